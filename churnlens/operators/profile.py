@@ -123,7 +123,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     stacked = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in df.columns])).alias("_r")
     ).select("_r.*")
-    distinct = stacked.where(F.col("v").isNotNull()).groupBy("column", "v").agg().groupBy("column").agg(
+    distinct = stacked.where(F.col("v").isNotNull()).distinct().groupBy("column").agg(
         F.count(F.lit(1)).alias("nunique")
     )
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"`nn__{c}`").alias("non_null")) for c in df.columns]

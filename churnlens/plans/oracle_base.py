@@ -59,8 +59,8 @@ training_data AS (
 
 RISK = """
 risk AS (
-  SELECT *, 1.6 * IsGermany + 1.2 * IsFemale + 1.3 * IsInactive + 1.5 * IsSenior + 4.2 * Has3PlusProducts
-       + 2.0 * Senior_Inactive AS RiskScore
+  SELECT *, CAST(1.6 AS DOUBLE) * IsGermany + CAST(1.2 AS DOUBLE) * IsFemale + CAST(1.3 AS DOUBLE) * IsInactive
+       + CAST(1.5 AS DOUBLE) * IsSenior + CAST(4.2 AS DOUBLE) * Has3PlusProducts + CAST(2.0 AS DOUBLE) * Senior_Inactive AS RiskScore
   FROM (SELECT *, IsGermany * IsFemale AS Germany_Female, IsSenior * IsInactive AS Senior_Inactive,
                IsGermany * IsSenior AS Germany_Senior
         FROM (SELECT *, CAST(Balance > 0 AS INT) AS HasBalance, CAST(Age > 50 AS INT) AS IsSenior,
