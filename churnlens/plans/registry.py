@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("q_explore", "q_stats", "q_quality", "q_sources", "q_store", "q_features", "q_evaluation", "q_models")
+MODULES = ("q_explore", "q_stats", "q_quality", "q_sources", "q_store", "q_features", "q_evaluation", "q_models", "q_scoring")
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
