@@ -138,17 +138,30 @@ def q_clean_nonfinite(spark, sf_dir):
     return df.select("CustomerId", F.round(FX.clean_nonfinite(raw), 6).alias("balance_to_salary"))
 
 
-@query(
-    "significance_stars",
-    None,
-)
+def _stars_oracle() -> str:
+    from churnlens.plans.q_stats import _CHI_CTE
+
+    return with_ctes(
+        "SELECT feature, p_value, CASE WHEN p_value < 0.001 THEN 'YES ***' WHEN p_value < 0.01 THEN 'YES **' "
+        "WHEN p_value < 0.05 THEN 'YES *' ELSE 'NO' END AS stars FROM chi",
+        extra=_CHI_CTE,
+    )
+
+
+def _effect_oracle() -> str:
+    from churnlens.plans.registry import ORACLES
+
+    return ORACLES["cohens_d"]
+
+
+@query("significance_stars", _stars_oracle())
 def q_significance_stars(spark, sf_dir):
     from churnlens.operators.stattests import chi_square
 
     return chi_square(bank_customers(spark, sf_dir)).select("feature", "p_value", FX.significance_stars(F.col("p_value")).alias("stars"))
 
 
-@query("effect_label", None)
+@query("effect_label", _effect_oracle())
 def q_effect_label(spark, sf_dir):
     from churnlens.operators.stattests import cohens_d
 
@@ -202,3 +215,19 @@ def q_prefix_sample(spark, sf_dir):
     """The experiment's fixed-size subsample of the training split (the limit is the operator)."""
     s = R.stratified_split(bank_customers(spark, sf_dir))
     return s.where(F.col("split") == "train").orderBy("RowNumber").limit(2000)
+
+
+@query("feature_concat")
+def q_feature_concat(spark, sf_dir):
+    """Same-row column concatenation (the matrix ``hstack``): production matrix + engineered columns."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from churnlens.operators import preprocess as PP
+
+    df = PP.with_label(R.stratified_split(bank_customers(spark, sf_dir)))
+    pre = PP.prod_preprocessor().fit(df.where("split = 'train'"))
+    eng = FX.risk_score(FX.ratio_features(pre.transform(df)))
+    extra = list(PP.V2_CUSTOM_FLAGS) + ["Age_Log", "BalancePerProduct", "RiskScore"]
+    out = VectorAssembler(inputCols=["features", *extra], outputCol="combined").transform(eng)
+    return out.select("CustomerId", "split", vector_to_array("combined").alias("combined"))
