@@ -161,3 +161,25 @@ def effect_size(d: Column) -> Column:
 def effect_meaningful(d: Column) -> Column:
     a = F.abs(d)
     return F.when(a < 0.2, "NO").when(a < 0.5, "Maybe").when(a < 0.8, "YES").otherwise("YES!")
+
+
+def exact_avg_round(col: str, digits: int = 4) -> Column:
+    """ROUND(AVG(col), digits) (half up) computed exactly for non-negative values.
+
+    Values are summed as integers in 1e-9 units (exact, independent of summation order), and the
+    half-up division happens in integer arithmetic, so exact ties round the same way every time.
+    """
+    unit = 10**9
+    scale = 10**digits
+    s = F.sum(F.round(F.col(col) * unit).cast("decimal(38,0)"))
+    n = F.count(col).cast("decimal(38,0)")
+    q = (F.lit(2 * scale) * s + n * F.lit(unit)) / (F.lit(2) * n * F.lit(unit))
+    return F.floor(q).cast("double") / scale
+
+
+def exact_avg_round_sql(col: str, digits: int = 4) -> str:
+    unit = 10**9
+    scale = 10**digits
+    s = f"sum(CAST(round({col} * {unit}) AS HUGEINT))"
+    n = f"count({col})"
+    return f"CAST(({2 * scale} * {s} + {n} * {unit}) // (2 * {n} * {unit}) AS DOUBLE) / {scale}"

@@ -10,7 +10,8 @@ task.  ``running_sums`` instead works in two phases on the already-collapsed
 2. per-(partition, group) totals -- at most ``partitions + groups`` rows -- turned into
    offsets by a window over that tiny frame, then joined back by ``(pid, group)``.
 
-The result is exact and its cost is one range shuffle of the collapsed data.
+The result is exact and its cost is one range shuffle of the collapsed data plus one checkpoint
+write of it (which also cuts the lineage, so a lost executor never recomputes the range shuffle).
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlens.session import checkpoint_dir
+
 _PID = "_pid"
 
 
@@ -83,9 +86,13 @@ def running_sums(
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id())
 
     schema = T.StructType(ranged.schema.fields + [T.StructField(c, T.DoubleType()) for c in out_cols])
-    local = ranged.mapInPandas(_local_cumsum(group_cols, weights, out_cols), schema)
+    # Range bounds are sampled from the input, whose row order after a shuffle is not fixed, so
+    # two evaluations could disagree on partition ids.  Materialise the local sums once (reliable
+    # checkpoint in the shared checkpoint folder) and derive the totals from that same copy.
+    checkpoint_dir(df.sparkSession)
+    local = ranged.mapInPandas(_local_cumsum(group_cols, weights, out_cols), schema).checkpoint(eager=True)
 
-    totals = ranged.groupBy(_PID, *group_cols).agg(*[F.sum(F.col(w).cast("double")).alias(w) for w in weights])
+    totals = local.groupBy(_PID, *group_cols).agg(*[F.sum(F.col(w).cast("double")).alias(w) for w in weights])
     before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         _PID, *group_cols, *[F.coalesce(F.sum(w).over(before), F.lit(0.0)).alias(f"_off_{w}") for w in weights]

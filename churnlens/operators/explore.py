@@ -221,7 +221,7 @@ def monthly_churn_stats(preds: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total_predictions"),
             F.sum(F.when(F.col("churn_prediction") == 1, 1).otherwise(0)).cast("bigint").alias("predicted_churns"),
-            F.round(F.avg("churn_probability"), 4).alias("avg_churn_prob"),
+            FX.exact_avg_round("churn_probability", 4).alias("avg_churn_prob"),
             F.count(F.when(F.col("risk_category") == "High", 1)).alias("high_risk_count"),
         )
         .orderBy(F.col("month").desc())

@@ -159,10 +159,11 @@ def gram_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Variance inflation per column without an intercept: VIF_i = G_ii * (G^-1)_ii.
+    """Variance inflation per column without an intercept (uncentred R^2 of x_i on the others).
 
-    The k x k Gram matrix is the only thing brought to the driver (k = number of columns).
-    Singular matrices (e.g. a full one-hot block) give ``inf``.
+    Only the k x k Gram matrix X'X (one distributed aggregate) reaches the driver.  With
+    G the Gram matrix: RSS_i = G_ii - g_i' pinv(G_oo) g_i and VIF_i = G_ii / RSS_i; columns that are
+    exact combinations of others (a full one-hot block) get ``inf``.
     """
     import numpy as np
 
@@ -173,13 +174,17 @@ def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for i in range(k):
         for j in range(i, k):
             g[i, j] = g[j, i] = row[f"g_{i}_{j}"] or 0.0
-    try:
-        inv = np.linalg.inv(g)
-        if np.linalg.cond(g) > 1e12:
-            raise np.linalg.LinAlgError
-        vals = [float(g[i, i] * inv[i, i]) for i in range(k)]
-    except np.linalg.LinAlgError:
-        vals = [float("inf")] * k
+    vals = []
+    for i in range(k):
+        others = [j for j in range(k) if j != i]
+        gii = g[i, i]
+        if not others or gii == 0:
+            vals.append(float("inf") if gii == 0 else 1.0)
+            continue
+        goo = g[np.ix_(others, others)]
+        gi = g[others, i]
+        rss = gii - gi @ np.linalg.pinv(goo, rcond=1e-12) @ gi
+        vals.append(float("inf") if rss <= 1e-9 * gii else float(gii / rss))
     return df.sparkSession.createDataFrame(list(zip(cols, vals)), "feature string, vif double")
 
 

@@ -8,6 +8,7 @@ from churnlens import schema as S
 from churnlens.functions import features as FX
 from churnlens.operators import explore as X
 from churnlens.plans.oracle_base import with_ctes
+from churnlens.functions.features import exact_avg_round_sql
 from churnlens.plans.registry import query
 from churnlens.plans.sqlgen import stack_sql
 from churnlens.sources.fixture import bank_customers, predictions
@@ -237,7 +238,7 @@ def q_target_correlation(spark, sf_dir):
     with_ctes(
         """SELECT strftime(prediction_date, '%Y-%m') AS month, count(*) AS total_predictions,
        CAST(sum(CASE WHEN churn_prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_churns,
-       round(avg(churn_probability), 4) AS avg_churn_prob,
+       """ + exact_avg_round_sql("churn_probability", 4) + """ AS avg_churn_prob,
        count(CASE WHEN risk_category = 'High' THEN 1 END) AS high_risk_count
 FROM preds GROUP BY 1 ORDER BY month DESC""",
         "PRED",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from churnlens.operators.explore import monthly_churn_stats
 from churnlens.plans.oracle_base import with_ctes
+from churnlens.functions.features import exact_avg_round_sql
 from churnlens.plans.registry import query
 from churnlens.session import scratch_path
 from churnlens.sources import store
@@ -172,7 +173,7 @@ def q_table_stats(spark, sf_dir):
     "monitoring_append",
     with_ctes(
         """SELECT m.metric_name, m.metric_value, CAST(month || '-01' AS DATE) AS metric_date, month AS details
-FROM (SELECT strftime(prediction_date, '%Y-%m') AS month, count(*) AS n, round(avg(churn_probability), 4) AS avg_p,
+FROM (SELECT strftime(prediction_date, '%Y-%m') AS month, count(*) AS n, """ + exact_avg_round_sql("churn_probability", 4) + """ AS avg_p,
              count(CASE WHEN risk_category = 'High' THEN 1 END) AS hi FROM preds GROUP BY 1) s,
      LATERAL (SELECT 'prediction_count' AS metric_name, CAST(n AS DOUBLE) AS metric_value
               UNION ALL SELECT 'avg_churn_probability', avg_p

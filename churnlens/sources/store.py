@@ -62,13 +62,16 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, Column] | N
     return df.select(*cols)
 
 
-STORE_DEFAULTS = {
-    "training_data": {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()},
-    "test_data": {"created_at": F.current_timestamp(), "is_scored": F.lit(0)},
-    "predictions": {"created_at": F.current_timestamp()},
-    "model_metadata": {"created_at": F.current_timestamp(), "status": F.lit("training")},
-    "monitoring_metrics": {"created_at": F.current_timestamp()},
-}
+def store_defaults(table: str) -> dict[str, Column]:
+    """Column DEFAULTs of a store table (built per call: Columns need an active session)."""
+    now = F.current_timestamp()
+    return {
+        "training_data": {"created_at": now, "updated_at": now},
+        "test_data": {"created_at": now, "is_scored": F.lit(0)},
+        "predictions": {"created_at": now},
+        "model_metadata": {"created_at": now, "status": F.lit("training")},
+        "monitoring_metrics": {"created_at": now},
+    }.get(table, {})
 
 
 def create_tables(spark: SparkSession, root: str, tables: Iterable[str] = S.STORE_SCHEMAS) -> DataFrame:
@@ -83,19 +86,27 @@ def create_tables(spark: SparkSession, root: str, tables: Iterable[str] = S.STOR
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string, nullable boolean")
 
 
+def _parquet_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a Parquet table from its footers (no column is read)."""
+    try:
+        return spark.read.parquet(path).count()
+    except Exception:  # noqa: BLE001 - a path that does not exist yet holds no rows
+        return 0
+
+
 def insert_dataframe(df: DataFrame, path: str, if_exists: str = "append", table: str | None = None) -> int:
     """Write ``df`` to a store table path; ``if_exists`` in {'append', 'replace', 'fail'}.
 
-    Returns the number of rows written, counted while writing (``observe``), not by a second scan.
+    Returns the number of rows written: the difference of the table's footer row counts before and
+    after the write, so ``df`` is computed only once.
     """
-    from pyspark.sql import Observation
-
     mode = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}[if_exists]
     if table is not None:
-        df = conform(df, S.STORE_SCHEMAS[table], STORE_DEFAULTS.get(table))
-    obs = Observation("rows_written")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
-    return int(obs.get["n"])
+        df = conform(df, S.STORE_SCHEMAS[table], store_defaults(table))
+    spark = df.sparkSession
+    before = _parquet_rows(spark, path) if mode == "append" else 0
+    df.write.mode(mode).parquet(path)
+    return _parquet_rows(spark, path) - before
 
 
 def mark_scored(test: DataFrame, scored_ids: DataFrame, key: str = "customer_id", now: Column | None = None) -> DataFrame:
@@ -148,7 +159,7 @@ def model_metadata_row(spark: SparkSession, metrics: DataFrame, model_name: str,
         F.lit(run_id).cast("string").alias("mlflow_run_id"),
         F.lit(status).cast("string").alias("status"),
     )
-    return conform(row.withColumn("id", F.lit(None).cast("bigint")), S.MODEL_METADATA_SCHEMA, STORE_DEFAULTS["model_metadata"])
+    return conform(row.withColumn("id", F.lit(None).cast("bigint")), S.MODEL_METADATA_SCHEMA, store_defaults("model_metadata"))
 
 
 def monitoring_rows(df: DataFrame, name_value: Sequence[tuple[str, Column]], date: Column, details: Column | None = None) -> DataFrame:
