@@ -34,10 +34,10 @@ def test_chi2_sf_known_values(spark):
 
 
 def test_ks_pvalue_known_value(spark):
-    # Q_KS(1.36) ~= 0.0494
-    df = spark.createDataFrame([(1.36, 1, 10**12)], "d double, n1 long, n2 long")
-    p = df.select(ks_pvalue("d", "n1", "n2").alias("p")).first().p
-    assert abs(p - 0.049414) < 1e-5
+    # Kolmogorov tail: Q(1.36) = 0.0494859, Q(1.0) = 0.2699997 (n1*n2/(n1+n2) ~= 1)
+    df = spark.createDataFrame([(1.36, 1, 10**12), (1.0, 1, 10**12), (0.5, 1, 10**12)], "d double, n1 long, n2 long")
+    p = [r.p for r in df.select(ks_pvalue("d", "n1", "n2").alias("p")).collect()]
+    assert abs(p[0] - 0.0494859) < 1e-6 and abs(p[1] - 0.2699997) < 1e-6 and abs(p[2] - 0.9639452) < 1e-6
 
 
 def test_chi_square_yates_two_by_two(spark):
