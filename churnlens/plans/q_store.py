@@ -42,7 +42,7 @@ WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.customer_id = t.customer_id)""",
 )
 def q_fetch_new_customers(spark, sf_dir):
     t = store.test_data(spark, sf_dir).drop("is_scored", "scored_at")
-    return t.join(predictions(spark, sf_dir).select("customer_id"), "customer_id", "left_anti")
+    return t.join(predictions(spark, sf_dir).select("customer_id").distinct(), "customer_id", "left_anti")
 
 
 _SCORED = """scored AS (

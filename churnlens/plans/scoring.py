@@ -50,8 +50,12 @@ def model_scorer(pipeline_model, id_col: str = "customer_id") -> Scorer:
 
 
 def fetch_new(customers: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Customers with no prediction yet (left anti join on customer_id)."""
-    return customers.join(predictions.select("customer_id"), "customer_id", "left_anti")
+    """Customers with no prediction yet (left anti join on customer_id).
+
+    The prediction ids are de-duplicated first (map-side partial aggregate), so a customer holding
+    a large share of all predictions becomes one row instead of a skewed join partition.
+    """
+    return customers.join(predictions.select("customer_id").distinct(), "customer_id", "left_anti")
 
 
 def to_prediction_rows(scored: DataFrame, base_id, model_version: str) -> DataFrame:
