@@ -10,8 +10,9 @@ task.  ``running_sums`` instead works in two phases on the already-collapsed
 2. per-(partition, group) totals -- at most ``partitions + groups`` rows -- turned into
    offsets by a window over that tiny frame, then joined back by ``(pid, group)``.
 
-The result is exact and its cost is one range shuffle of the collapsed data plus one checkpoint
-write of it (which also cuts the lineage, so a lost executor never recomputes the range shuffle).
+The result is exact and its cost is one range shuffle of the collapsed data plus one write of it
+to the shared checkpoint folder (which also cuts the lineage, so a lost executor never recomputes
+the range shuffle).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.session import checkpoint_dir
+from churnlens.session import scratch_path
 
 _PID = "_pid"
 
@@ -72,7 +73,8 @@ def running_sums(
     prefix: str = "cum_",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``{prefix}{w}`` = sum of ``w`` over rows of the same group ordered at or before this row.
+    """Add ``{prefix}{w}`` = sum of ``w`` over rows of the same group ordered at or before this row,
+    and ``tot_{w}`` = the group's total of ``w``.
 
     ``df`` must hold one row per ``(group..., order_col)`` (collapse with ``groupBy`` first), so
     ties never straddle two rows and the inclusive sum is the ``cume_dist``-style count.
@@ -87,20 +89,28 @@ def running_sums(
 
     schema = T.StructType(ranged.schema.fields + [T.StructField(c, T.DoubleType()) for c in out_cols])
     # Range bounds are sampled from the input, whose row order after a shuffle is not fixed, so
-    # two evaluations could disagree on partition ids.  Materialise the local sums once (reliable
-    # checkpoint in the shared checkpoint folder) and derive the totals from that same copy.
-    checkpoint_dir(df.sparkSession)
-    local = ranged.mapInPandas(_local_cumsum(group_cols, weights, out_cols), schema).checkpoint(eager=True)
+    # two evaluations could disagree on partition ids.  Materialise the local sums once, as a
+    # table in the shared checkpoint folder (one job; it also cuts the lineage), and derive the
+    # totals from that same copy.
+    spark = df.sparkSession
+    path = scratch_path(spark, "prefix")
+    ranged.mapInPandas(_local_cumsum(group_cols, weights, out_cols), schema).write.parquet(path)
+    local = spark.read.parquet(path)
 
     totals = local.groupBy(_PID, *group_cols).agg(*[F.sum(F.col(w).cast("double")).alias(w) for w in weights])
     before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group_cols)
+    # At most (partitions + groups) rows: offsets of earlier partitions and the group totals.
     offsets = totals.select(
-        _PID, *group_cols, *[F.coalesce(F.sum(w).over(before), F.lit(0.0)).alias(f"_off_{w}") for w in weights]
+        _PID, *group_cols,
+        *[F.coalesce(F.sum(w).over(before), F.lit(0.0)).alias(f"_off_{w}") for w in weights],
+        *[F.sum(w).over(whole).alias(f"tot_{w}") for w in weights],
     )
     joined = local.join(offsets, on=[_PID, *group_cols], how="left")
     return joined.select(
         *[c for c in df.columns],
         *[(F.col(c) + F.col(f"_off_{w}")).alias(c) for w, c in zip(weights, out_cols)],
+        *[f"tot_{w}" for w in weights],
     )
 
 
@@ -122,12 +132,7 @@ def exact_quantiles(
     """
     group_cols = list(group_cols)
     vc = value_counts(df, group_cols, value_col)
-    cum = running_sums(vc, group_cols, value_col, ["cnt"])
-    totals = vc.groupBy(*group_cols).agg(F.sum("cnt").alias("n")) if group_cols else vc.agg(F.sum("cnt").alias("n"))
-    if group_cols:
-        cum = cum.join(totals, on=group_cols, how="inner")
-    else:
-        cum = cum.withColumn("n", totals.scalar())
+    cum = running_sums(vc, group_cols, value_col, ["cnt"]).withColumn("n", F.col("tot_cnt"))
     aggs: list[Column] = [F.max("n").alias("n")]
     v = F.col(value_col).cast("double")
     for name, q in probs.items():

@@ -85,8 +85,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score", keys: S
         F.count_if(y == 1).alias("tp_at"), F.count_if(y == 0).alias("fp_at")
     )
     cum = running_sums(counts, keys, "threshold", ["tp_at", "fp_at"], descending=True)
-    tot = counts.groupBy(*keys).agg(F.sum("tp_at").alias("P"), F.sum("fp_at").alias("N"))
-    j = cum.join(tot, keys) if keys else cum.withColumns({"P": tot.select("P").scalar(), "N": tot.select("N").scalar()})
+    j = cum.withColumns({"P": F.col("tot_tp_at"), "N": F.col("tot_fp_at")})
     return j.select(
         *keys,
         "threshold",

@@ -130,7 +130,7 @@ def stratified_folds(df: DataFrame, k: int, label: str = "label", id_col: str =
     """``fold`` = (rank within class by hash order) mod k, via exact two-phase running counts."""
     keyed = df.withColumns({"_k": F.struct(split_key(id_col).alias("h"), F.col(id_col).alias("i")), "_one": F.lit(1)})
     ranked = running_sums(keyed, [label], "_k", ["_one"])
-    return ranked.withColumn("fold", ((F.col("cum__one") - 1) % k).cast("int")).drop("_k", "_one", "cum__one")
+    return ranked.withColumn("fold", ((F.col("cum__one") - 1) % k).cast("int")).drop("_k", "_one", "cum__one", "tot__one")
 
 
 def f1_positive_evaluator() -> MulticlassClassificationEvaluator:

@@ -17,9 +17,8 @@ def ecdf(df: DataFrame, columns: Sequence[str], by: str = S.TARGET) -> DataFrame
 
     long = stack_columns(df, columns, keep=[by], as_string=False)
     vc = value_counts(long, ["feature", by], "value")
-    cum = running_sums(vc, ["feature", by], "value", ["cnt"])
-    n = vc.groupBy("feature", by).agg(F.sum("cnt").alias("n"))
-    return cum.join(n, ["feature", by]).select(
+    cum = running_sums(vc, ["feature", by], "value", ["cnt"]).withColumn("n", F.col("tot_cnt"))
+    return cum.select(
         "feature", by, "value", F.col("cnt").alias("count"), F.col("cum_cnt").cast("bigint").alias("cum_count"),
         F.round(F.col("cum_cnt") / F.col("n"), 6).alias("ecdf"),
     )
@@ -52,12 +51,9 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, label: str = S.TARGE
     """
     keyed = df.withColumns({"_k": F.struct(split_key(id_col).alias("h"), F.col(id_col).alias("i")), "_one": F.lit(1)})
     ranked = running_sums(keyed, [label], "_k", ["_one"])
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        ranked.join(n, label)
-        .withColumn("split", F.when(F.col("cum__one") <= F.round(F.lit(test_size) * F.col("_n")), "test").otherwise("train"))
-        .select(*df.columns, "split")
-    )
+    return ranked.withColumn(
+        "split", F.when(F.col("cum__one") <= F.round(F.lit(test_size) * F.col("tot__one")), "test").otherwise("train")
+    ).select(*df.columns, "split")
 
 
 def split_churn_rate(split_df: DataFrame, label: str = S.TARGET) -> DataFrame:

@@ -32,9 +32,8 @@ def ks_two_sample(long: DataFrame, sample_col: str, first, second, group: str =
         )
     )
     cum = running_sums(counts, [group], "value", ["c1", "c2"])
-    n = counts.groupBy(group).agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
     d = (
-        cum.join(n, group)
+        cum.withColumns({"n1": F.col("tot_c1").cast("bigint"), "n2": F.col("tot_c2").cast("bigint")})
         .groupBy(group, "n1", "n2")
         .agg(F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("statistic"))
     )
