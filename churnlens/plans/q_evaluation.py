@@ -57,8 +57,8 @@ def _scored_sql(threshold: float = RULE_THRESHOLD) -> str:
 def _cm_sql(src: str, keys: str = "") -> str:
     sel = f"{keys}, " if keys else ""
     grp = f" GROUP BY {keys}" if keys else ""
-    return f"""SELECT {sel}count_if(label = 0 AND prediction = 0) AS tn, count_if(label = 0 AND prediction = 1) AS fp,
-       count_if(label = 1 AND prediction = 0) AS fn, count_if(label = 1 AND prediction = 1) AS tp FROM {src}{grp}"""
+    return f"""SELECT {sel}CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn, CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
+       CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn, CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp FROM {src}{grp}"""
 
 
 def _metrics_sql(src: str, keys: str = "") -> str:
@@ -90,7 +90,7 @@ def q_classification_metrics(spark, sf_dir):
     with_ctes(
         """SELECT split, round(sum(pos * (cum_neg - neg + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS roc_auc
 FROM (SELECT split, score, pos, neg, sum(neg) OVER (PARTITION BY split ORDER BY score) AS cum_neg
-      FROM (SELECT split, score, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM scored GROUP BY split, score) c) t
+      FROM (SELECT split, score, CAST(count_if(label = 1) AS BIGINT) AS pos, CAST(count_if(label = 0) AS BIGINT) AS neg FROM scored GROUP BY split, score) c) t
 GROUP BY split""",
         "SPLIT",
         "RISK",
@@ -106,7 +106,7 @@ def q_roc_auc_prob(spark, sf_dir):
     with_ctes(
         """SELECT split, threshold, round(sum(fp_at) OVER w / sum(fp_at) OVER (PARTITION BY split), 6) AS fpr,
        round(sum(tp_at) OVER w / sum(tp_at) OVER (PARTITION BY split), 6) AS tpr
-FROM (SELECT split, score AS threshold, count_if(label = 1) AS tp_at, count_if(label = 0) AS fp_at FROM scored GROUP BY split, score) c
+FROM (SELECT split, score AS threshold, CAST(count_if(label = 1) AS BIGINT) AS tp_at, CAST(count_if(label = 0) AS BIGINT) AS fp_at FROM scored GROUP BY split, score) c
 WINDOW w AS (PARTITION BY split ORDER BY threshold DESC)""",
         "SPLIT",
         "RISK",

@@ -18,7 +18,7 @@ _SEG = FX.SEGMENTS
 
 def _segment_sql() -> str:
     aggs = ",\n  ".join(
-        f"count_if({p}) AS n{i}, avg(CASE WHEN {p} THEN Exited END) AS r{i}" for i, (_, p) in enumerate(_SEG)
+        f"CAST(count_if({p}) AS BIGINT) AS n{i}, avg(CASE WHEN {p} THEN Exited END) AS r{i}" for i, (_, p) in enumerate(_SEG)
     )
     rows = "\nUNION ALL ".join(
         f"SELECT '{name}' AS segment, n{i} AS size, round(r{i} * 100, 6) AS churn_pct, round(r{i} / base, 6) AS lift FROM a"
@@ -123,7 +123,7 @@ def q_pivot_products_balance(spark, sf_dir):
 @query(
     "crosstab",
     with_ctes(
-        """SELECT feature, value, count_if(Exited = 0) AS retained, count_if(Exited = 1) AS churned
+        """SELECT feature, value, CAST(count_if(Exited = 0) AS BIGINT) AS retained, CAST(count_if(Exited = 1) AS BIGINT) AS churned
 FROM long WHERE value IS NOT NULL GROUP BY feature, value""",
         extra=f"long AS ({stack_sql('bank_customers', X.CROSSTAB_FEATURES, keep=['Exited'])})",
     ),
@@ -141,8 +141,8 @@ _LONG_NUM = f"long AS ({stack_sql('bank_customers', _NUM, keep=['Exited'], cast=
     with_ctes(
         """SELECT q.feature, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
        round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper,
-       count_if(l.value < q1 - 1.5 * (q3 - q1) OR l.value > q3 + 1.5 * (q3 - q1)) AS outliers,
-       round(count_if(l.value < q1 - 1.5 * (q3 - q1) OR l.value > q3 + 1.5 * (q3 - q1)) * 100.0 / count(*), 6) AS outlier_pct
+       CAST(count_if(l.value < q1 - 1.5 * (q3 - q1) OR l.value > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers,
+       round(CAST(count_if(l.value < q1 - 1.5 * (q3 - q1) OR l.value > q3 + 1.5 * (q3 - q1)) AS BIGINT) * 100.0 / count(*), 6) AS outlier_pct
 FROM q JOIN long l ON l.feature = q.feature
 GROUP BY q.feature, q1, q3""",
         extra=_LONG_NUM

@@ -218,7 +218,7 @@ def q_scale_custom(spark, sf_dir):
     "class_weights",
     with_ctes(
         """SELECT Exited AS label, count(*) AS n_c, (SELECT count(*) FROM split_customers WHERE split = 'train') / (2.0 * count(*)) AS weight,
-       (SELECT count_if(Exited = 0) FROM split_customers WHERE split = 'train') / CAST((SELECT count_if(Exited = 1) FROM split_customers WHERE split = 'train') AS DOUBLE) AS scale_pos_weight
+       (SELECT CAST(count_if(Exited = 0) AS BIGINT) FROM split_customers WHERE split = 'train') / CAST((SELECT CAST(count_if(Exited = 1) AS BIGINT) FROM split_customers WHERE split = 'train') AS DOUBLE) AS scale_pos_weight
 FROM split_customers WHERE split = 'train' GROUP BY Exited""",
         "SPLIT",
     ),

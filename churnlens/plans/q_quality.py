@@ -20,7 +20,7 @@ _RAW_NUMERIC = [f.name for f in S.RAW_SCHEMA.fields if f.name not in ("Surname",
 
 def _missing_sql() -> str:
     cols = ", ".join(
-        f"count_if({c} IS NULL{' OR isnan(' + c + ')' if c in ('Balance', 'EstimatedSalary') else ''}) AS m_{c}" for c in _ALL
+        f"CAST(count_if({c} IS NULL{' OR isnan(' + c + ')' if c in ('Balance', 'EstimatedSalary') else ''}) AS BIGINT) AS m_{c}" for c in _ALL
     )
     rows = "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", m_{c} AS missing_count, n FROM a" for c in _ALL)
     return with_ctes(
@@ -85,7 +85,7 @@ def q_category_counts(spark, sf_dir):
     with_ctes(
         """SELECT label, count, round(count * 100.0 / n, 6) AS pct, round(n1 * 100.0 / n, 6) AS churn_rate_pct,
        round(CAST(n0 AS DOUBLE) / n1, 6) AS imbalance_ratio
-FROM (SELECT count_if(Exited = 0) AS n0, count_if(Exited = 1) AS n1, count(Exited) AS n FROM bank_customers) a,
+FROM (SELECT CAST(count_if(Exited = 0) AS BIGINT) AS n0, CAST(count_if(Exited = 1) AS BIGINT) AS n1, count(Exited) AS n FROM bank_customers) a,
      (SELECT 0 AS label UNION ALL SELECT 1) l, LATERAL (SELECT CASE WHEN label = 0 THEN n0 ELSE n1 END AS count) c"""
     ),
 )
@@ -111,7 +111,7 @@ def q_column_profile(spark, sf_dir):
 
 
 def _zero_sql() -> str:
-    z = ", ".join(f"count_if({c} = 0) AS z_{c}" for c in S.NUMERIC_COLUMNS)
+    z = ", ".join(f"CAST(count_if({c} = 0) AS BIGINT) AS z_{c}" for c in S.NUMERIC_COLUMNS)
     rows = "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", z_{c} AS zero_count, n FROM a" for c in S.NUMERIC_COLUMNS)
     return with_ctes(
         f"SELECT \"column\", zero_count, round(zero_count * 100.0 / n, 6) AS zero_pct FROM ({rows}) t WHERE zero_count > 0",
@@ -128,7 +128,7 @@ def _not_null_sql() -> str:
     parts = []
     for t, src in (("training_data", "training_data"), ("test_data", "test_data"), ("predictions", "preds")):
         for c in S.NOT_NULL[t]:
-            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count_if({c} IS NULL) AS null_count FROM {src}")
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count FROM {src}")
     return with_ctes("\nUNION ALL ".join(parts), "PRED", "TEST", "TRAIN")
 
 
@@ -250,7 +250,7 @@ FROM (SELECT split, feature, round(min(value), 6) AS mn, round(max(value), 6) AS
      LATERAL (SELECT 'min' AS metric, mn AS value UNION ALL SELECT 'max', mx UNION ALL SELECT 'mean', mean UNION ALL SELECT 'std', std) m
 UNION ALL
 SELECT split, 'target', 'Exited', m.metric, m.value
-FROM (SELECT split, count(*) AS rows, count_if(Exited = 1) AS churned FROM split_customers GROUP BY split) t,
+FROM (SELECT split, count(*) AS rows, CAST(count_if(Exited = 1) AS BIGINT) AS churned FROM split_customers GROUP BY split) t,
      LATERAL (SELECT 'rows' AS metric, CAST(rows AS DOUBLE) AS value UNION ALL SELECT 'churned', CAST(churned AS DOUBLE)
               UNION ALL SELECT 'churn_rate', round(churned / rows, 6)) m
 UNION ALL

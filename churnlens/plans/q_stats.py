@@ -54,7 +54,7 @@ def _ks_sql(sample_col: str, first: str, second: str, table: str, cols, extra_se
     keep = [sample_col]
     long = stack_sql(table, cols, keep=keep, cast="DOUBLE")
     return f"""long AS ({long}),
-cnt AS (SELECT feature, value, count_if({sample_col} = {first}) AS c1, count_if({sample_col} = {second}) AS c2
+cnt AS (SELECT feature, value, CAST(count_if({sample_col} = {first}) AS BIGINT) AS c1, CAST(count_if({sample_col} = {second}) AS BIGINT) AS c2
         FROM long WHERE value IS NOT NULL GROUP BY feature, value),
 cum AS (SELECT feature, value,
           sum(c1) OVER (PARTITION BY feature ORDER BY value) AS s1, sum(c2) OVER (PARTITION BY feature ORDER BY value) AS s2,
