@@ -165,11 +165,11 @@ def champion_challenger(current: DataFrame | None, challenger: DataFrame, margin
 
     Both inputs are one-row metric frames scored on the same holdout.
     """
-    new = challenger.select(F.col("f1").alias("new_f1"), F.lit(1).alias("_k"))
+    new = challenger.select(F.col("f1").alias("new_f1"))
     if current is None:
         return new.select("new_f1", F.lit(None).cast("double").alias("current_f1"), F.lit(None).cast("double").alias("improvement"), F.lit(1).alias("accepted"))
-    cur = current.select(F.col("f1").alias("current_f1"), F.lit(1).alias("_k"))
-    j = new.join(cur, "_k", "left")
+    # The incumbent's F1 enters as a scalar subquery (one value), not as a join.
+    j = new.withColumn("current_f1", current.select(F.max("f1")).scalar())
     imp = F.col("new_f1") - F.col("current_f1")
     return j.select(
         "new_f1", "current_f1", F.round(imp, 6).alias("improvement"),

@@ -154,7 +154,7 @@ def _base(model_name: str):
     return GBTClassifier(seed=SEED), None
 
 
-def grid_search_cv(train: DataFrame, model_name: str = "RandomForest", folds: int = 3, parallelism: int = 4):
+def grid_search_cv(train: DataFrame, model_name: str = "RandomForest", folds: int = 3, parallelism: int = 8):
     """Exhaustive grid, k-fold CV on positive-class F1; returns (best model, per-combination scores)."""
     est, mode = _base(model_name)
     data = with_weights(train, mode) if mode else train
@@ -204,7 +204,7 @@ RF_SPACE = {
 }
 
 
-def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallelism: int = 4):
+def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallelism: int = 8):
     """Seeded random search over the forest space, k-fold CV accuracy; returns (best, trials)."""
     est = RandomForestClassifier(featureSubsetStrategy="sqrt", seed=SEED)
     maps = sample_param_maps(est, RF_SPACE, n_trials)
