@@ -142,10 +142,14 @@ def q_table_append(spark, sf_dir):
 
 @query("table_ddl")
 def q_table_ddl(spark, sf_dir):
+    """Create the five store tables, load the derived rows, return the column catalogue with row counts."""
     root = scratch_path(spark, "store")
-    # The catalogue rows are the result; the tables themselves start empty.
-    bank_customers(spark, sf_dir).limit(0).count()
-    return store.create_tables(spark, root)
+    catalogue = store.create_tables(spark, root)
+    store.insert_into(store.training_data(spark, sf_dir), "training_data")
+    store.insert_into(store.test_data(spark, sf_dir), "test_data")
+    store.insert_into(predictions(spark, sf_dir), "predictions")
+    counts = store.table_stats({t: spark.table(t) for t in ("training_data", "test_data", "predictions", "model_metadata", "monitoring_metrics")})
+    return catalogue.join(counts, "table_name", "left")
 
 
 @query(

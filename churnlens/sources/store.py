@@ -80,7 +80,9 @@ def create_tables(spark: SparkSession, root: str, tables: Iterable[str] = S.STOR
     for name in tables:
         schema = S.STORE_SCHEMAS[name]
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet LOCATION '{root}/{name}'")
+        # External tables: dropping the catalogue entry never deletes data at another location.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{root}/{name}'")
         for i, f in enumerate(schema.fields):
             rows.append((name, i, f.name, f.dataType.simpleString(), f.nullable))
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string, nullable boolean")
@@ -94,6 +96,11 @@ def _parquet_rows(spark: SparkSession, path: str) -> int:
         return 0
 
 
+def insert_into(df: DataFrame, table: str) -> None:
+    """Append rows to a catalogue table, conformed to its schema (positional insert)."""
+    conform(df, S.STORE_SCHEMAS[table], store_defaults(table)).write.insertInto(table)
+
+
 def insert_dataframe(df: DataFrame, path: str, if_exists: str = "append", table: str | None = None) -> int:
     """Write ``df`` to a store table path; ``if_exists`` in {'append', 'replace', 'fail'}.
 
