@@ -234,7 +234,48 @@ def _v2(spark, sf_dir):
     return model, model.transform(df)
 
 
-@query("churn_feature_pipeline")
+
+
+def _v2_oracle() -> str:
+    d = "CAST({} AS DOUBLE)"
+
+    def z(c, m, sd):
+        return f"round(({c} - {m}) / CASE WHEN {sd} > 0 THEN {sd} ELSE 1 END, 6)"
+
+    b = "(CAST(Age >= e1 AS INT) + CAST(Age >= e2 AS INT) + CAST(Age >= e3 AS INT) + CAST(Age >= e4 AS INT))"
+    one = "CAST(1 AS DOUBLE)"
+    zero = "CAST(0 AS DOUBLE)"
+    cols = [
+        z("CreditScore", "m_cs", "s_cs") + " AS CreditScore_std",
+        "round((Age - med) / CASE WHEN q3 - q1 > 0 THEN q3 - q1 ELSE 1 END, 6) AS Age_robust",
+        *[f"CASE WHEN {b} = {i} THEN {one} ELSE {zero} END AS Age_bin_{i}" for i in range(5)],
+        z("Balance_log1p", "m_bl", "s_bl") + " AS Balance_log_scaled",
+        f"CASE WHEN Geography = 'Germany' THEN {one} ELSE {zero} END AS Geography_Germany",
+        f"CASE WHEN Geography = 'Spain' THEN {one} ELSE {zero} END AS Geography_Spain",
+        f"CASE WHEN Gender = 'Male' THEN {one} ELSE {zero} END AS Gender_Male",
+        *[f"CASE WHEN NumOfProducts = {i} THEN {one} ELSE {zero} END AS NumOfProducts_{i}" for i in range(1, 5)],
+        d.format("IsActiveMember") + " AS IsActiveMember",
+        *[d.format(f) + f" AS {f}" for f in PP.V2_CUSTOM_FLAGS],
+        z("Age_Log", "m_al", "s_al") + " AS Age_Log_scaled",
+        z("BalancePerProduct", "m_bp", "s_bp") + " AS BalancePerProduct_scaled",
+        z("RiskScore", "m_rs", "s_rs") + " AS RiskScore_scaled",
+    ]
+    extra = f"""v AS (
+  SELECT s.CustomerId, s.split, CAST(s.Exited AS DOUBLE) AS label, s.CreditScore, s.Age, ln(1 + s.Balance) AS Balance_log1p,
+         s.Geography, s.Gender, s.NumOfProducts, s.IsActiveMember, {', '.join('r.' + f for f in PP.V2_CUSTOM_FLAGS)},
+         ln(1 + CAST(s.Age AS DOUBLE)) AS Age_Log, s.Balance / greatest(s.NumOfProducts, 1) AS BalancePerProduct, r.RiskScore
+  FROM split_customers s JOIN risk r ON r.CustomerId = s.CustomerId),
+st AS (
+  SELECT avg(CreditScore) AS m_cs, stddev_pop(CreditScore) AS s_cs, avg(Balance_log1p) AS m_bl, stddev_pop(Balance_log1p) AS s_bl,
+         avg(Age_Log) AS m_al, stddev_pop(Age_Log) AS s_al, avg(BalancePerProduct) AS m_bp, stddev_pop(BalancePerProduct) AS s_bp,
+         avg(RiskScore) AS m_rs, stddev_pop(RiskScore) AS s_rs,
+         quantile_cont(Age, 0.25) AS q1, quantile_cont(Age, 0.5) AS med, quantile_cont(Age, 0.75) AS q3,
+         quantile_cont(Age, 0.2) AS e1, quantile_cont(Age, 0.4) AS e2, quantile_cont(Age, 0.6) AS e3, quantile_cont(Age, 0.8) AS e4
+  FROM v WHERE split = 'train')"""
+    return with_ctes(f"SELECT CustomerId, split, label, {', '.join(cols)} FROM v, st", "SPLIT", "RISK", extra=extra)
+
+
+@query("churn_feature_pipeline", _v2_oracle())
 def q_churn_feature_pipeline(spark, sf_dir):
     model, out = _v2(spark, sf_dir)
     names = PP.feature_names(model)

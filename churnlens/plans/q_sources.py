@@ -34,14 +34,15 @@ def q_split_sink(spark, sf_dir):
     return train.unionByName(test).select(*[f.name for f in S.RAW_SCHEMA.fields], "split")
 
 
-@query("run_versioning")
+@query("run_versioning", with_ctes("SELECT * FROM bank_customers WHERE Exited = 1"))
 def q_run_versioning(spark, sf_dir):
+    """Two runs appended under run_id partitions; reading one run prunes to its folder."""
     root = scratch_path(spark, "versioned")
     first, second = files.new_run_id(), files.new_run_id() + "b"
     df = bank_customers(spark, sf_dir)
     files.versioned_write(df, root, first)
     files.versioned_write(df.where("Exited = 1"), root, second)
-    return files.read_run(spark, root, second)
+    return files.read_run(spark, root, second).drop("run_id")
 
 
 def _report_oracle() -> str:
