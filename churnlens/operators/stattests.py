@@ -15,6 +15,9 @@ from churnlens.operators.explore import CROSSTAB_FEATURES, stack_columns
 
 KS_FEATURES = S.NUMERIC_COLUMNS
 COHEN_FEATURES = ("CreditScore", "Age", "Tenure", "Balance", "EstimatedSalary")
+# exp(-0.5 * z * z) is exactly 0.0 in double precision once |z| > 38.6, so a kernel never reaches
+# grid points more than 40 bandwidths away.
+KDE_REACH = 40.0
 
 
 def ks_two_sample(long: DataFrame, sample_col: str, first, second, group: str = "feature") -> DataFrame:
@@ -124,9 +127,11 @@ def cohens_d(df: DataFrame, columns: Sequence[str] = COHEN_FEATURES) -> DataFram
 def kde_density(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, points: int = 200, by: str | None = None) -> DataFrame:
     """Gaussian KDE (Scott bandwidth n^-1/5 * sample std) on ``points`` grid points over [min, max].
 
-    Works on distinct-value counts; each distinct value adds its kernel to the fixed grid through a
-    bounded fan-out of ``points`` rows, which a partial aggregate collapses to ``points`` rows per
-    task before the shuffle.  Columns with zero spread are skipped (as the plot does).
+    Works on distinct-value counts; each distinct value adds its kernel only to the grid points
+    within ``KDE_REACH`` bandwidths of it (farther points get exactly 0.0 in double precision, so
+    the sums are unchanged), and a partial aggregate collapses that to at most ``points`` rows per
+    task before the shuffle.  The bandwidth shrinks as n^-1/5, so the fan-out per value falls as
+    the data grows.  Columns with zero spread are skipped (as the plot does).
     """
     keys = ["feature"] + ([by] if by else [])
     long = stack_columns(df, columns, keep=[by] if by else [], as_string=False).where(F.col("value").isNotNull())
@@ -135,18 +140,19 @@ def kde_density(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, point
         F.count(F.lit(1)).alias("n"), F.stddev_samp("value").alias("sd"), F.min("value").alias("lo"), F.max("value").alias("hi")
     ).where(F.col("sd") > 0)
     st = st.withColumn("h", F.pow(F.col("n").cast("double"), -0.2) * F.col("sd"))
+    step = (F.col("hi") - F.col("lo")) / (points - 1)
     # One stats row per (column[, class]): bounded by the column list.
     j = vc.join(F.broadcast(st), keys)
-    step = (F.col("hi") - F.col("lo")) / (points - 1)
-    contrib = j.select(
-        *keys,
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k"),
-        "value", "cnt", "n", "h", "lo", "hi",
-    ).withColumn("x", F.col("lo") + F.col("k") * step)
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    dens = contrib.groupBy(*keys, "k", "x").agg(
-        F.sum(F.col("cnt") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * F.sqrt(F.lit(2 * 3.141592653589793)))).alias("d")
-    )
+    first = F.greatest(F.lit(0), F.ceil((F.col("value") - KDE_REACH * F.col("h") - F.col("lo")) / step).cast("int"))
+    last = F.least(F.lit(points - 1), F.floor((F.col("value") + KDE_REACH * F.col("h") - F.col("lo")) / step).cast("int"))
+    # The minimum is one distinct value per key: it alone spans the whole grid, so every grid point
+    # keeps a row even where no other value reaches it.  Null (no rows) when nothing is in reach.
+    reach = F.when(F.col("value") == F.col("lo"), F.sequence(F.lit(0), F.lit(points - 1))).when(first <= last, F.sequence(first, last))
+    contrib = j.select(*keys, F.explode(reach).alias("k"), "value", "cnt", "n", "h", "lo", "hi")
+    x = F.col("lo") + F.col("k") * step
+    z = (x - F.col("value")) / F.col("h")
+    term = F.col("cnt") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("h") * F.sqrt(F.lit(2 * 3.141592653589793)))
+    dens = contrib.withColumn("x", x).groupBy(*keys, "k", "x").agg(F.sum(term).alias("d"))
     return dens.select(*keys, "k", F.round("x", 6).alias("x"), F.round("d", 10).alias("density"))
 
 
