@@ -215,19 +215,3 @@ def q_prefix_sample(spark, sf_dir):
     """The experiment's fixed-size subsample of the training split (the limit is the operator)."""
     s = R.stratified_split(bank_customers(spark, sf_dir))
     return s.where(F.col("split") == "train").orderBy("RowNumber").limit(2000)
-
-
-@query("feature_concat")
-def q_feature_concat(spark, sf_dir):
-    """Same-row column concatenation (the matrix ``hstack``): production matrix + engineered columns."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    from churnlens.operators import preprocess as PP
-
-    df = PP.with_label(R.stratified_split(bank_customers(spark, sf_dir)))
-    pre = PP.prod_preprocessor().fit(df.where("split = 'train'"))
-    eng = FX.risk_score(FX.ratio_features(pre.transform(df)))
-    extra = list(PP.V2_CUSTOM_FLAGS) + ["Age_Log", "BalancePerProduct", "RiskScore"]
-    out = VectorAssembler(inputCols=["features", *extra], outputCol="combined").transform(eng)
-    return out.select("CustomerId", "split", vector_to_array("combined").alias("combined"))

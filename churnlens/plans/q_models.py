@@ -88,27 +88,61 @@ def _prod_frame(spark, sf_dir):
     return model, model.transform(df).select("CustomerId", "split", "features", "label")
 
 
+# The 17-column production matrix as flat SQL columns f_00..f_16 (9 scaled, 5 one-hot, 3 binary).
+_PROD_COLS_SQL = (
+    ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS f_{i:02d}" for i, c in enumerate(PP.PROD_SCALED))
+    + ", "
+    + ", ".join(
+        f"CASE WHEN {col} = '{v}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS f_{9 + i:02d}"
+        for i, (col, v) in enumerate([("Geography", g) for g in _GEO] + [("Gender", g) for g in _GEN])
+    )
+    + ", "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS f_{14 + i:02d}" for i, c in enumerate(PP.PROD_BINARY))
+)
+_PROD_SQL = with_ctes(
+    f"SELECT CustomerId, split, CAST(Exited AS DOUBLE) AS label, {_PROD_COLS_SQL} FROM pf, st", "SPLIT", extra=_PF + ",\n" + _M1_ST
+)
+
+
+def _flat(vec: str, prefix: str, k: int):
+    arr = vector_to_array(vec)
+    return [F.round(arr[i], 6).alias(f"{prefix}{i:02d}") for i in range(k)]
+
+
+@query("preprocess_prod", _PROD_SQL)
+def q_preprocess_prod(spark, sf_dir):
+    _, feats = _prod_frame(spark, sf_dir)
+    return feats.select("CustomerId", "split", "label", *_flat("features", "f_", 17))
+
+
+# hstack of the production matrix with the v2 flags, interactions and ratios (29 columns).
+_CONCAT_EXTRA = list(PP.V2_CUSTOM_FLAGS) + list(PP.V2_CUSTOM_SCALED)
+
+
 @query(
-    "preprocess_prod",
+    "feature_concat",
     with_ctes(
-        f"SELECT CustomerId, split, CAST(Exited AS DOUBLE) AS label, "
-        + ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) AS f_{i:02d}" for i, c in enumerate(PP.PROD_SCALED))
-        + ", "
-        + ", ".join(
-            f"CASE WHEN {col} = '{v}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS f_{9 + i:02d}"
-            for i, (col, v) in enumerate([("Geography", g) for g in _GEO] + [("Gender", g) for g in _GEN])
-        )
-        + ", "
-        + ", ".join(f"CAST({c} AS DOUBLE) AS f_{14 + i:02d}" for i, c in enumerate(PP.PROD_BINARY))
-        + " FROM pf, st",
+        f"SELECT CustomerId, split, {_PROD_COLS_SQL.replace(' AS f_', ' AS c_')}, "
+        + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS c_{17 + i:02d}" for i, c in enumerate(_CONCAT_EXTRA))
+        + " FROM pfr, st",
         "SPLIT",
-        extra=_PF + ",\n" + _M1_ST,
+        "RISK",
+        extra=_PF + ",\n" + _M1_ST + """,
+pfr AS (SELECT p.*, """ + ", ".join(f"r.{c}" for c in PP.V2_CUSTOM_FLAGS) + """, p.Age_log AS Age_Log, r.RiskScore
+        FROM pf p JOIN risk r ON r.CustomerId = p.CustomerId)""",
     ),
 )
-def q_preprocess_prod(spark, sf_dir):
-    _, feats = _prod_frame(spark, sf_dir)
-    arr = vector_to_array("features")
-    return feats.select("CustomerId", "split", "label", *[F.round(arr[i], 6).alias(f"f_{i:02d}") for i in range(17)])
+def q_feature_concat(spark, sf_dir):
+    """Same-row column concatenation (the matrix ``hstack``): production matrix + engineered columns."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from churnlens.functions import features as FX
+
+    df = PP.with_label(_split(spark, sf_dir))
+    pre = PP.prod_preprocessor().fit(df.where("split = 'train'"))
+    eng = FX.risk_score(FX.ratio_features(pre.transform(df)))
+    out = VectorAssembler(inputCols=["features", *_CONCAT_EXTRA], outputCol="combined").transform(eng)
+    return out.select("CustomerId", "split", *_flat("combined", "c_", 17 + len(_CONCAT_EXTRA)))
 
 
 @query(
@@ -305,13 +339,15 @@ def q_pca_variance(spark, sf_dir):
     return ST.pca_variance(feats.where("split = 'train'"))
 
 
-@query("feature_store")
+@query("feature_store", _PROD_SQL)
 def q_feature_store(spark, sf_dir):
+    """Store the transformed matrix as ``(CustomerId, split, features, label)`` partitioned by split,
+    read it back and return the flat export (one column per matrix column)."""
     _, feats = _prod_frame(spark, sf_dir)
     path = scratch_path(spark, "feature_store")
     feats.write.mode("overwrite").partitionBy("split").parquet(path)
     back = spark.read.parquet(path)
-    return back.select("CustomerId", "split", "label", vector_to_array("features").alias("features"))
+    return back.select("CustomerId", "split", "label", *_flat("features", "f_", 17))
 
 
 @query("pipeline_persist")
