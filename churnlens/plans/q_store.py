@@ -28,7 +28,12 @@ WHERE p.risk_category = 'High' ORDER BY p.churn_probability DESC""",
 def q_high_risk_customers(spark, sf_dir):
     t = store.test_data(spark, sf_dir)
     p = predictions(spark, sf_dir).where(F.col("risk_category") == "High")
-    return t.join(p, "customer_id", "inner").select(*_HR).orderBy(F.col("churn_probability").desc())
+    # Ties on the probability are broken by customer, date and prediction id, so the range
+    # partitioning of the sort can split a hot probability value (or a hot customer) across tasks.
+    ordered = t.join(p, "customer_id", "inner").orderBy(
+        F.col("churn_probability").desc(), F.col("customer_id"), F.col("prediction_date"), p["id"]
+    )
+    return ordered.select(*_HR)
 
 
 @query(
