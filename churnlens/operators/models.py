@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from churnlens.functions.prefix import running_sums
 from churnlens.operators import evaluate as E
 from churnlens.operators.ranking import split_key
+from churnlens.session import checkpoint_dir
 
 SEED = 42
 
@@ -96,6 +97,9 @@ def positive_score(df: DataFrame, prob_col: str = "probability", raw_col: str =
 
 def fit(name: str, train: DataFrame):
     """Fit a named configuration on ``(features, label[, weight])`` rows of the train split."""
+    # Boosting checkpoints its lineage every ``checkpointInterval`` (10) iterations only when the
+    # context has a checkpoint folder, so a lost executor never replays hundreds of iterations.
+    checkpoint_dir(train.sparkSession)
     mode = WEIGHT_MODE.get(name)
     data = with_weights(train, mode) if mode else train
     ws = data.agg(F.sum("weight")).first()[0] if mode == "balanced" else None
