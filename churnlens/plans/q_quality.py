@@ -45,7 +45,18 @@ def q_duplicate_rows(spark, sf_dir):
     return P.duplicate_rows(bank_customers(spark, sf_dir))
 
 
-@query("dtype_report")
+# DuckDB type names of the derived table, as Spark's simple type strings.
+_DTYPE_SQL = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+       WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END"""
+
+
+@query(
+    "dtype_report",
+    with_ctes(
+        f"""SELECT CAST(row_number() OVER () - 1 AS INT) AS position, column_name AS "column", {_DTYPE_SQL} AS dtype
+FROM (DESCRIBE bank_customers) d"""
+    ),
+)
 def q_dtype_report(spark, sf_dir):
     return P.dtype_report(bank_customers(spark, sf_dir))
 
@@ -185,7 +196,23 @@ def q_fk_check(spark, sf_dir):
     return preds.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("orphan_rows", orphans.agg(F.count(F.lit(1))).scalar())
 
 
-@query("schema_check")
+def _schema_check_sql() -> str:
+    exp = [(k, c) for k, cols in (("required", S.FEATURE_COLUMNS), ("target", (S.TARGET,)), ("numeric", S.NUMERIC_COLUMNS),
+                                  ("categorical", S.CATEGORICAL_COLUMNS)) for c in cols]
+    values = ", ".join(f"('{k}', '{c}')" for k, c in exp)
+    numeric = "d.column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE') OR d.column_type LIKE 'DECIMAL%'"
+    return with_ctes(
+        f"""SELECT e.k AS "check", e.c AS "column", ok,
+       CASE WHEN ok THEN '' WHEN e.k = 'required' THEN 'Missing required column: ' || e.c
+            WHEN e.k = 'target' THEN 'Missing target column: ' || e.c
+            WHEN e.k = 'numeric' THEN 'Numeric column missing or not numeric: ' || e.c
+            ELSE 'Missing categorical column: ' || e.c END AS message
+FROM (SELECT e.k, e.c, CASE WHEN e.k = 'numeric' THEN coalesce({numeric}, false) ELSE d.column_name IS NOT NULL END AS ok
+      FROM (VALUES {values}) e(k, c) LEFT JOIN (DESCRIBE bank_customers) d ON d.column_name = e.c) e"""
+    )
+
+
+@query("schema_check", _schema_check_sql())
 def q_schema_check(spark, sf_dir):
     return P.schema_check(bank_customers(spark, sf_dir))
 
