@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,14 +88,6 @@ def create_tables(spark: SparkSession, root: str, tables: Iterable[str] = S.STOR
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string, nullable boolean")
 
 
-def _parquet_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a Parquet table from its footers (no column is read)."""
-    try:
-        return spark.read.parquet(path).count()
-    except Exception:  # noqa: BLE001 - a path that does not exist yet holds no rows
-        return 0
-
-
 def insert_into(df: DataFrame, table: str) -> None:
     """Append rows to a catalogue table, conformed to its schema (positional insert)."""
     conform(df, S.STORE_SCHEMAS[table], store_defaults(table)).write.insertInto(table)
@@ -104,16 +96,15 @@ def insert_into(df: DataFrame, table: str) -> None:
 def insert_dataframe(df: DataFrame, path: str, if_exists: str = "append", table: str | None = None) -> int:
     """Write ``df`` to a store table path; ``if_exists`` in {'append', 'replace', 'fail'}.
 
-    Returns the number of rows written: the difference of the table's footer row counts before and
-    after the write, so ``df`` is computed only once.
+    Returns the number of rows written, observed on the write itself (``Observation``): ``df`` is
+    computed once and the table is never re-counted, however large it already is.
     """
     mode = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}[if_exists]
     if table is not None:
         df = conform(df, S.STORE_SCHEMAS[table], store_defaults(table))
-    spark = df.sparkSession
-    before = _parquet_rows(spark, path) if mode == "append" else 0
-    df.write.mode(mode).parquet(path)
-    return _parquet_rows(spark, path) - before
+    written = Observation()
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return int(written.get["rows"])
 
 
 def mark_scored(test: DataFrame, scored_ids: DataFrame, key: str = "customer_id", now: Column | None = None) -> DataFrame:
