@@ -66,8 +66,11 @@ def q_stream_scoring(spark, sf_dir):
     path = _seed_predictions(spark, sf_dir)
     base = spark.read.parquet(path).agg(F.max("id")).first()[0]
     events_dir = scratch_path(spark, "events")
-    # The arriving files: the events table, written as several files in time order.
+    # The arriving files: the events table, range-partitioned on time (one file per shuffle
+    # partition), consumed in about four micro-batches.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ev = read_table(spark, sf_dir, "events").select(*[F.col(f.name).cast(f.dataType) for f in EVENTS_SCHEMA.fields])
-    ev.repartitionByRange(4, "ts").write.parquet(events_dir)
-    stream_scoring(spark, events_dir, store.test_data(spark, sf_dir), path, scratch_path(spark, "stream-ckpt"), files_per_trigger=1)
+    ev.repartitionByRange(n, "ts").write.parquet(events_dir)
+    stream_scoring(spark, events_dir, store.test_data(spark, sf_dir), path, scratch_path(spark, "stream-ckpt"),
+                   files_per_trigger=max(1, n // 4))
     return spark.read.parquet(path).where(F.col("id") > base).select(*_OUT)
