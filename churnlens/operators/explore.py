@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens import schema as S
@@ -14,6 +14,7 @@ from churnlens.functions.prefix import exact_quantiles
 CHURN_GROUP_COLUMNS = S.CATEGORICAL_COLUMNS + S.BINARY_COLUMNS
 CROSSTAB_FEATURES = ("Geography", "Gender", "HasCrCard", "IsActiveMember", "NumOfProducts")
 CORR_COLUMNS = S.NUMERIC_COLUMNS + (S.TARGET,)
+_ALL_ROWS = "_all_rows"
 
 
 def stack_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), as_string: bool = True) -> DataFrame:
@@ -25,14 +26,19 @@ def stack_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (
 
 
 def churn_by_category(df: DataFrame, columns: Sequence[str] = CHURN_GROUP_COLUMNS) -> DataFrame:
-    """Churn mean/count/sum per value of each column plus the global baseline, one shuffle."""
-    long = stack_columns(df, columns, keep=[S.TARGET]).where(F.col("value").isNotNull())
+    """Churn mean/count/sum per value of each column plus the global baseline, one scan, one shuffle.
+
+    The baseline rides along as one more group holding every row, so the input is read once.
+    """
+    src = df.withColumn(_ALL_ROWS, F.lit("all"))
+    long = stack_columns(src, [*columns, _ALL_ROWS], keep=[S.TARGET]).where(F.col("value").isNotNull())
     g = long.groupBy("feature", "value").agg(
         F.avg(S.TARGET).alias("churn_rate"), F.count(F.lit(1)).alias("total"), F.sum(S.TARGET).cast("bigint").alias("churned")
     )
-    baseline = df.agg(F.avg(S.TARGET)).scalar()
-    return g.select(
-        "feature", "value", F.round("churn_rate", 6).alias("churn_rate"), "total", "churned", F.round(baseline, 6).alias("baseline")
+    # Over the aggregated frame only: one row per (column, category), bounded by the categories.
+    baseline = F.max(F.when(F.col("feature") == _ALL_ROWS, F.col("churn_rate"))).over(Window.partitionBy())
+    return g.withColumn("_base", baseline).where(F.col("feature") != _ALL_ROWS).select(
+        "feature", "value", F.round("churn_rate", 6).alias("churn_rate"), "total", "churned", F.round("_base", 6).alias("baseline")
     )
 
 

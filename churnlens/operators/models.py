@@ -16,7 +16,7 @@ from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegressi
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.prefix import running_sums
@@ -30,16 +30,16 @@ SEED = 42
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weights n / (2 * n_c) per class and the positive-class multiplier n0 / n1."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = counts.agg(
-        F.sum("n_c").alias("n"),
-        F.sum(F.when(F.col(label) == 0, F.col("n_c"))).alias("n0"),
-        F.sum(F.when(F.col(label) == 1, F.col("n_c"))).alias("n1"),
-    )
+    # Totals over the per-class rows only (one per class), so the input is scanned once.
+    whole = Window.partitionBy()
+    n = F.sum("n_c").over(whole)
+    n0 = F.sum(F.when(F.col(label) == 0, F.col("n_c"))).over(whole)
+    n1 = F.sum(F.when(F.col(label) == 1, F.col("n_c"))).over(whole)
     return counts.select(
         label,
         "n_c",
-        (tot.select("n").scalar() / (2.0 * F.col("n_c"))).alias("weight"),
-        (tot.select("n0").scalar() / tot.select("n1").scalar().cast("double")).alias("scale_pos_weight"),
+        (n / (2.0 * F.col("n_c"))).alias("weight"),
+        (n0 / n1.cast("double")).alias("scale_pos_weight"),
     )
 
 
