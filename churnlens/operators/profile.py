@@ -178,6 +178,21 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key).distinct(), key, "left_anti")
 
 
+def fk_summary(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """``n_rows`` of ``child`` and ``orphan_rows`` (no ``key`` match in ``parent``) in one scan.
+
+    The child is first counted per key (map-side partial aggregate, so a key holding a third of
+    the rows becomes one row per task), then joined one-to-one with the distinct parent keys.
+    """
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    parents = parent.select(key).distinct().withColumn("_hit", F.lit(True))
+    j = per_key.join(parents, key, "left")
+    return j.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+    )
+
+
 def schema_check(df: DataFrame, target: str | None = S.TARGET) -> DataFrame:
     """Expected columns present? One report row per expectation (``check, column, ok, message``)."""
     present = set(df.columns)

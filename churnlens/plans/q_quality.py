@@ -191,9 +191,7 @@ def q_unique_check(spark, sf_dir):
     ),
 )
 def q_fk_check(spark, sf_dir):
-    preds = predictions(spark, sf_dir)
-    orphans = P.fk_orphans(preds, store.test_data(spark, sf_dir), "customer_id")
-    return preds.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("orphan_rows", orphans.agg(F.count(F.lit(1))).scalar())
+    return P.fk_summary(predictions(spark, sf_dir), store.test_data(spark, sf_dir), "customer_id")
 
 
 def _schema_check_sql() -> str:
