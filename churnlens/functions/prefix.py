@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,32 +34,34 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _group_key(idx) -> tuple:
+    """Hashable key of one group; nulls (None / NaN) compare equal across batches."""
+    t = idx if isinstance(idx, tuple) else (idx,)
+    return tuple(None if v is None or (isinstance(v, float) and v != v) else v for v in t)
+
+
 def _local_cumsum(group_cols: list[str], weights: list[str], out_cols: list[str]):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry: dict[tuple, list[float]] = {}
+        # Running totals of groups seen in earlier batches of this partition: one entry per group.
+        carry: dict[tuple, np.ndarray] = {}
+        zero = np.zeros(len(weights))
         for pdf in batches:
             if pdf.empty:
                 yield pdf.assign(**{c: pd.Series(dtype="float64") for c in out_cols})
                 continue
             keys = [pdf[g] for g in group_cols] if group_cols else [pd.Series(0, index=pdf.index)]
             grouped = pdf[weights].astype("float64").groupby(keys, sort=False, dropna=False)
-            local = grouped.cumsum()
-            last = grouped.sum()
+            local = grouped.cumsum().to_numpy()
+            last = grouped.sum()  # groups in order of first appearance, like ngroup() codes
+            group_keys = [_group_key(i) for i in last.index]
             if carry:
-                key_tuples = list(zip(*[k.tolist() for k in keys]))
-                add = pd.DataFrame(
-                    [carry.get(t, [0.0] * len(weights)) for t in key_tuples],
-                    index=pdf.index,
-                    columns=weights,
-                )
-                local = local + add
-            for idx, row in last.iterrows():
-                t = idx if isinstance(idx, tuple) else (idx,)
-                prev = carry.get(t, [0.0] * len(weights))
-                carry[t] = [p + float(v) for p, v in zip(prev, row.tolist())]
+                prev = np.array([carry.get(k, zero) for k in group_keys])
+                local = local + prev[grouped.ngroup().to_numpy()]  # vectorised gather per row
+            for k, tot in zip(group_keys, last.to_numpy()):
+                carry[k] = carry.get(k, zero) + tot
             out = pdf.copy()
-            for w, c in zip(weights, out_cols):
-                out[c] = local[w].to_numpy()
+            for i, c in enumerate(out_cols):
+                out[c] = local[:, i]
             yield out
 
     return fn
@@ -106,9 +109,12 @@ def running_sums(
         *[F.coalesce(F.sum(w).over(before), F.lit(0.0)).alias(f"_off_{w}") for w in weights],
         *[F.sum(w).over(whole).alias(f"tot_{w}") for w in weights],
     )
-    joined = local.join(offsets, on=[_PID, *group_cols], how="left")
+    # Null-safe on the group keys, so a null group gets its offsets too (still an equi-join).
+    off = offsets.select(*[F.col(c).alias(f"_o{c}") for c in [_PID, *group_cols]], *[c for c in offsets.columns if c.startswith(("_off_", "tot_"))])
+    cond = [local[_PID] == off[f"_o{_PID}"]] + [local[g].eqNullSafe(off[f"_o{g}"]) for g in group_cols]
+    joined = local.join(off, cond, how="left")
     return joined.select(
-        *[c for c in df.columns],
+        *[local[c] for c in df.columns],
         *[(F.col(c) + F.col(f"_off_{w}")).alias(c) for w, c in zip(weights, out_cols)],
         *[f"tot_{w}" for w in weights],
     )

@@ -55,3 +55,29 @@ def test_ks_identical_samples_is_zero(spark):
     long = spark.createDataFrame(rows, "sample string, feature string, value double")
     r = ks_two_sample(long, "sample", "x", "y").first()
     assert r.statistic == 0.0 and r.p_value == 1.0
+
+
+def test_running_sums_carry_across_small_arrow_batches(spark):
+    # Tiny Arrow batches make groups continue across batches of one partition (the carry path),
+    # with two group columns, one of them null for some rows.
+    rng = np.random.default_rng(1)
+    n = 2000
+    g1 = rng.choice(["a", "b"], n, p=[0.8, 0.2])
+    g2 = rng.choice([1.0, 2.0, np.nan], n)
+    pdf = pd.DataFrame({"g1": g1, "g2": g2, "v": rng.integers(0, 10**6, n), "w": rng.integers(1, 5, n)})
+    pdf = pdf.groupby(["g1", "g2", "v"], as_index=False, dropna=False)["w"].sum()
+    df = spark.createDataFrame(pdf, "g1 string, g2 double, v long, w long").withColumn(
+        "g2", F.when(F.isnan("g2"), F.lit(None)).otherwise(F.col("g2"))
+    )
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        out = running_sums(df, ["g1", "g2"], "v", ["w"], num_partitions=4).toPandas()
+    finally:
+        spark.conf.set(key, old)
+    out = out.sort_values(["g1", "g2", "v"], na_position="first")
+    exp = pdf.sort_values(["g1", "g2", "v"], na_position="first").groupby(["g1", "g2"], dropna=False)["w"].cumsum()
+    assert np.array_equal(out["cum_w"].to_numpy(), exp.to_numpy().astype(float))
+    tot = pdf.groupby(["g1", "g2"], dropna=False)["w"].transform("sum")
+    assert np.array_equal(out["tot_w"].to_numpy(), pdf.sort_values(["g1", "g2", "v"], na_position="first").assign(t=tot)["t"].to_numpy().astype(float))
