@@ -113,6 +113,19 @@ def test_stream_scores_customers_whose_events_arrive_late(spark):
     assert scored == set(new_ids)
 
 
+def test_store_write_then_logistic_regression_scoring(spark):
+    # A store write followed by logistic-regression scoring in the same session must work
+    # (nothing on the write path may leave unserializable state on the session).
+    from pyspark.ml.classification import LogisticRegression
+
+    path = scratch_path(spark, "predictions")
+    assert store.insert_dataframe(predictions(spark, SF_SMALL), path, "replace", table="predictions") > 0
+    df = _split(spark)
+    feats = PP.prod_preprocessor().fit(df.where("split = 'train'")).transform(df)
+    model = LogisticRegression(maxIter=5).fit(feats.where("split = 'train'"))
+    assert model.transform(feats).select(vector_to_array("probability")[1].alias("p")).where("p >= 0 AND p <= 1").count() == feats.count()
+
+
 def test_models_train_and_score(spark):
     from churnlens.operators import models as ML
     from pyspark.ml.classification import GBTClassifier
