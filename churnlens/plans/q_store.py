@@ -145,7 +145,28 @@ def q_table_append(spark, sf_dir):
     return spark.read.parquet(path).drop("created_at")
 
 
-@query("table_ddl")
+def _table_ddl_sql() -> str:
+    from churnlens import schema as S
+
+    cat = ", ".join(
+        f"('{t}', {i}, '{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()})"
+        for t in S.STORE_SCHEMAS for i, f in enumerate(S.STORE_SCHEMAS[t].fields)
+    )
+    return with_ctes(
+        """SELECT c.table_name, CAST(c.position AS INT) AS position, c.column_name, c.data_type, c.nullable,
+       CAST(n.row_count AS BIGINT) AS row_count
+FROM cat c LEFT JOIN cnt n ON n.table_name = c.table_name""",
+        "PRED",
+        "TEST",
+        "TRAIN",
+        extra=f"""cat(table_name, position, column_name, data_type, nullable) AS (VALUES {cat}),
+cnt AS (SELECT 'training_data' AS table_name, count(*) AS row_count FROM training_data
+        UNION ALL SELECT 'test_data', count(*) FROM test_data UNION ALL SELECT 'predictions', count(*) FROM preds
+        UNION ALL SELECT 'model_metadata', 0 UNION ALL SELECT 'monitoring_metrics', 0)""",
+    )
+
+
+@query("table_ddl", _table_ddl_sql())
 def q_table_ddl(spark, sf_dir):
     """Create the five store tables, load the derived rows, return the column catalogue with row counts."""
     root = scratch_path(spark, "store")
