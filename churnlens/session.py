@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +56,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in tasks are pickled by reference, so workers must be able to import them
+    wherever the driver found the package.  Spark distributes the archive itself."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(top)
+    archive = os.path.join(tempfile.mkdtemp(prefix="churnlens-package-"), "churnlens.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(top):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, base))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
