@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import bpe, mixing, quality, simhash, substring
+from churnlens.llm import ann, bpe, html, mixing, quality, simhash, substring, urlfilter, vecdedup, warc
 from churnlens.llm.tables import table
 from churnlens.plans.registry import shipped
+from churnlens.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,12 +24,24 @@ def _query(name: str):
     return deco
 
 
+@_query("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @_query("op2_simhash_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return rows.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@_query("op3_warc")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(warc.plan_records(table(spark, sf_dir, "pages"), min_bytes=1000), path)
+    return warc.read_back(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @_query("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
@@ -53,6 +66,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op7_ann")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@_query("op8_url_filter")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urlfilter.fit(urlfilter.labelled_urls())
+    return urlfilter.judge(table(spark, sf_dir, "pages"), model).select("page_id", "host", "path", "rule", "verdict")
+
+
 @_query("op9_quality_classifier")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,4 +85,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held, "score", "predicted")
 
 
+@_query("op10_vector_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 ORACLES["op6_source_mix"] = mixing.oracle_sql()
