@@ -107,7 +107,7 @@ class Model:
         return 1 / (1 + np.exp(-(z / n + self.bias)))
 
 
-def fit(rows: Sequence[tuple[str, int]], l2: float = 2e-3, rounds: int = 400, rate: float = 4.0, prior: float = 0.25) -> Model:
+def fit(rows: Sequence[tuple[str, int]], l2: float = 2e-3, rounds: int = 2500, rate: float = 4.0, prior: float = 0.15) -> Model:
     """Logistic regression by gradient descent; blocked rows weigh ``prior`` in all, so that an address
     about which nothing is known is allowed.  One class or no rows: bias only."""
     model = Model(np.zeros(DIMENSIONS), 0.0)
@@ -119,9 +119,11 @@ def fit(rows: Sequence[tuple[str, int]], l2: float = 2e-3, rounds: int = 400, ra
     row, dim = _grams(hosts, paths)
     scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(y)), 1))
     weight = np.where(y == 1, prior / y.sum(), (1 - prior) / (len(y) - y.sum()))
+    each = scale[row]
     for _ in range(rounds):
-        g = weight * (model.probability(hosts, paths) - y)
-        model.weights -= rate * (np.bincount(dim, weights=(g * scale)[row], minlength=DIMENSIONS) + l2 / 100 * model.weights)
+        z = np.bincount(row, weights=model.weights[dim], minlength=len(y)) * scale + model.bias
+        g = weight * (1 / (1 + np.exp(-z)) - y)
+        model.weights -= rate * (np.bincount(dim, weights=g[row] * each, minlength=DIMENSIONS) + l2 / 100 * model.weights)
         model.bias -= rate * g.sum()
     return model
 

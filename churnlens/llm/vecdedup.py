@@ -4,8 +4,9 @@
 2. Nodes are dealt to shards (label, cluster), each to its nearest ``overlap`` clusters; shards longer
    than ``block_rows`` are cut into blocks.
 3. Each block builds a flat graph: near neighbours of each node, robustly pruned (a neighbour goes if a
-   kept one is ``alpha`` times closer to it).  A node's lists from all of its blocks are united.
-4. Every node is a query in its nearest cluster: a greedy walk from the block's medoid over the united
+   kept one is ``alpha`` times closer to it), with edges both ways, so a list is never longer than its
+   block.  A node's lists from all of its blocks are united.
+4. Every node is a query in its nearest cluster: a greedy walk from the block's medoids over the united
    lists, then a search that expands every node within the range plus a margin.  Links are verified
    on the vectors in double precision.
 5. An audit compares links of a bounded sample of nodes with brute force over all rows; below the
@@ -27,13 +28,14 @@ from churnlens.llm.graph import connected_components
 from churnlens.llm.tables import checkpointed
 
 THRESHOLD = 0.93
-SAMPLE_ROWS = 16384  # rows that centroids are fitted on
+SAMPLE_ROWS = 32768  # rows that centroids are fitted on
 AUDIT_ROWS = 128
 TARGET = 0.98
-MAX_CLUSTERS = 1024
-CLUSTER_ROWS = 8192  # mean rows of a cluster, all labels together
-BLOCK_ROWS = 2048
-DEGREE, POOL, ALPHA = 24, 64, 1.2
+MAX_CLUSTERS = 4096
+BLOCK_ROWS = 2048  # nodes of a block; clusters hold a quarter of that on average, before overlap
+BEAM = 16
+DEGREE, POOL, ALPHA = 32, 96, 1.2
+WALK_DEGREE = 64  # neighbours of a node that a walk looks at
 MARGIN = 0.04  # the search also expands nodes this far below the threshold
 SEED = 10
 
@@ -69,44 +71,96 @@ def robust_pruned(x: np.ndarray, degree: int = DEGREE, pool: int = POOL, alpha:
     return out
 
 
-def range_search(x: np.ndarray, lists: np.ndarray, queries: np.ndarray, own: np.ndarray, low: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs of similarity at least ``low`` found over neighbour ``lists`` (-1: none).
-
-    Each query walks greedily from the medoid, then expands every node within the range plus the
-    margin.  ``own`` is the query's own node (-1 if it is elsewhere), whose list is expanded too."""
+def medoids(x: np.ndarray) -> np.ndarray:
+    """Places of about sqrt(n) rows, each nearest to the centre of a part of the block."""
+    centers = V.centroids(x, int(np.ceil(np.sqrt(len(x)))), SEED, rounds=4)
+    return np.unique((x @ centers.T).argmax(0))
+
+
+def _greedy(x: np.ndarray, lists: np.ndarray, queries: np.ndarray, entries: np.ndarray, low: float) -> tuple[np.ndarray, np.ndarray]:
+    """Best-first walks of all queries side by side from their nearest medoids, over a beam of ``BEAM``
+    nodes, until every node of the beam is expanded or one is in range; returns the beams."""
+    m, width = len(queries), min(BEAM, len(entries))
+    s = queries @ x[entries].T
+    top = np.argpartition(-s, width - 1, axis=1)[:, :width]
+    nodes, sims = entries[top], np.take_along_axis(s, top, 1)
+    if width < BEAM:
+        nodes = np.concatenate((nodes, np.full((m, BEAM - width), -1)), 1)
+        sims = np.concatenate((sims, np.full((m, BEAM - width), -3.0)), 1)
+    fresh = nodes >= 0
+    seen = np.zeros((m, len(x)), bool)
+    seen[np.arange(m)[:, None], np.maximum(nodes, 0)] |= fresh
+    act = np.arange(m)
+    while len(act):
+        left = np.where(fresh[act], sims[act], -4.0)
+        j = left.argmax(1)
+        going = (left[np.arange(len(act)), j] > -3) & (sims[act].max(1) < low)
+        act, j = act[going], j[going]
+        if not len(act):
+            break
+        fresh[act, j] = False
+        near = lists[nodes[act, j]]
+        ok = (near >= 0) & ~seen[act[:, None], np.maximum(near, 0)]
+        got = np.where(ok, np.einsum("qd,qrd->qr", queries[act], x[near]), -3.0)
+        r, c = np.nonzero(ok)
+        seen[act[r], near[r, c]] = True
+        all_n = np.concatenate((nodes[act], np.where(ok, near, -1)), 1)
+        all_s = np.concatenate((sims[act], got), 1)
+        all_f = np.concatenate((fresh[act], ok), 1)
+        top = np.argpartition(-all_s, BEAM - 1, axis=1)[:, :BEAM]
+        nodes[act], sims[act], fresh[act] = (np.take_along_axis(v, top, 1) for v in (all_n, all_s, all_f))
+    return nodes, sims
+
+
+class Graph:
+    """Neighbour lists of a block's nodes, one after another; ``wide`` holds the first of each list,
+    padded with -1, for the walks."""
+
+    def __init__(self, n: int, row: np.ndarray, place: np.ndarray):
+        """``row`` (ascending) and ``place``: the edges."""
+        self.degree = np.bincount(row, minlength=n)
+        self.first = np.cumsum(self.degree) - self.degree
+        self.place = place
+        rank = np.arange(len(row)) - self.first[row]
+        self.wide = np.full((n, max(1, min(WALK_DEGREE, int(self.degree.max(initial=0))))), -1, np.int64)
+        early = rank < self.wide.shape[1]
+        self.wide[row[early], rank[early]] = place[early]
+
+    def expand(self, q: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, neighbour) for all neighbours of each (query, node)."""
+        d = self.degree[node]
+        at = np.repeat(self.first[node] - (np.cumsum(d) - d), d) + np.arange(int(d.sum()))
+        return np.repeat(q, d), self.place[at]
+
+
+def range_search(
+    x: np.ndarray, graph: Graph, queries: np.ndarray, own: np.ndarray, low: float, entries: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) pairs of similarity at least ``low`` found over the graph.
+
+    Each query walks greedily from the medoids ``entries``, then expands every node within the range
+    plus the margin.  ``own`` is the query's own node (-1 if it is elsewhere), whose list is expanded too."""
     n, m = len(x), len(queries)
-    medoid = int((x @ x.mean(0)).argmax())
-    at = np.full(m, medoid)
-    best = queries @ x[medoid]
-    moving = np.arange(m)
-    while len(moving):
-        near = lists[at[moving]]
-        s = np.where(near >= 0, np.einsum("qd,qrd->qr", queries[moving], x[near]), -2)
-        j = s.argmax(1)
-        top = s[np.arange(len(moving)), j]
-        up = top > best[moving]
-        moving, near, j, top = moving[up], near[up], j[up], top[up]
-        at[moving], best[moving] = near[np.arange(len(moving)), j], top
+    nodes, sims = _greedy(x, graph.wide, queries, entries, low)
+    near_by = (sims >= low - MARGIN) & (nodes >= 0)
+    near_by[np.arange(m), sims.argmax(1)] = True
+    q, c = np.nonzero(near_by)
+    q, node = np.concatenate((q, np.flatnonzero(own >= 0))), np.concatenate((nodes[q, c], own[own >= 0]))
     seen = np.zeros((m, n), bool)
     hit_q, hit_n = [], []
-    q = np.concatenate((np.arange(m), np.flatnonzero(own >= 0)))
-    node = np.concatenate((at, own[own >= 0]))
     start = True
     while len(q):
-        key = np.unique(q * n + node)
-        q, node = key // n, key % n
-        fresh = ~seen[q, node]
-        q, node = q[fresh], node[fresh]
-        seen[q, node] = True
+        fresh = np.zeros((m, n), bool)
+        fresh[q, node] = True
+        q, node = np.nonzero(fresh & ~seen)
+        seen |= fresh
         s = np.concatenate([np.einsum("pd,pd->p", queries[q[i : i + 65536]], x[node[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.empty(0)])
         hit = s >= low
         hit_q.append(q[hit])
         hit_n.append(node[hit])
         open_ = np.ones(len(q), bool) if start else s >= low - MARGIN
         start = False
-        q, node = q[open_], node[open_]
-        near = lists[node]
-        q, node = np.repeat(q, near.shape[1])[near.ravel() >= 0], near.ravel()[near.ravel() >= 0]
+        q, node = graph.expand(q[open_], node[open_])
     return np.concatenate(hit_q), np.concatenate(hit_n)
 
 
@@ -131,9 +185,12 @@ def _build(dims: int):
     def run(table: pa.Table) -> pa.Table:
         ids, x = table.column("node").to_numpy(), _unit(V.matrix(table.column("x"), dims))
         near = robust_pruned(x)
-        held = near >= 0
-        ends = np.concatenate(([0], np.cumsum(held.sum(1)))).astype(np.int32)
-        return pa.table({"node": table.column("node"), "near": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[near[held]], pa.int64()))})
+        a, b = np.repeat(np.arange(len(ids)), near.shape[1])[near.ravel() >= 0], near.ravel()[near.ravel() >= 0]
+        # Edges run both ways: a pruned neighbour is then reached through the closer one that was kept.
+        row, place = np.concatenate((a, b)), np.concatenate((b, a))
+        order = np.argsort(row, kind="stable")  # own choices first
+        ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(ids))))).astype(np.int32)
+        return pa.table({"node": table.column("node"), "near": pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[place[order]], pa.int64()))})
 
     return run
 
@@ -155,9 +212,7 @@ def _search(dims: int, low: float):
         place = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
         here = ids[place] == flat  # edges to nodes of this block
         row, place = row[here], place[here]
-        degree = np.bincount(row, minlength=len(ids))
-        lists = np.full((len(ids), max(1, int(degree.max(initial=0)))), -1, np.int64)
-        lists[row, np.arange(len(row)) - np.repeat(np.cumsum(degree) - degree, degree)] = place
+        graph = Graph(len(ids), row, place)
         q_ids = queries.column("node").to_numpy()
         q = _unit(V.matrix(queries.column("x"), dims))
         own = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
@@ -167,8 +222,9 @@ def _search(dims: int, low: float):
         inside = np.flatnonzero(own >= 0)
         _unite(parent, own[inside], inside + len(ids))
         links = np.zeros(len(q), np.int64)
+        entries = medoids(x)
         for lo in range(0, len(q), 128):
-            hq, hn = range_search(x, lists, q[lo : lo + 128], own[lo : lo + 128], low)
+            hq, hn = range_search(x, graph, q[lo : lo + 128], own[lo : lo + 128], low, entries)
             hq = hq + lo
             other = ids[hn] != q_ids[hq]
             hq, hn = hq[other], hn[other]
@@ -257,7 +313,7 @@ def near_duplicates(
     total = nodes.count()
     joined = rows.withColumn("_valid", F.coalesce(valid, F.lit(False)))
     if total:
-        k = int(np.clip(-(-total // CLUSTER_ROWS), 1, MAX_CLUSTERS))
+        k = int(np.clip(-(-4 * total // block_rows), 1, MAX_CLUSTERS))
         points = V.sample(nodes, "node", "x", total, SAMPLE_ROWS, dims, SEED)
         centers = V.centroids(_unit(points), k, SEED)
         while True:

@@ -297,7 +297,9 @@ def test_robust_pruned_graph():
     lists = vecdedup.robust_pruned(x, degree=12, pool=40)
     sims = x @ x.T - 2 * np.eye(300)
     assert all(lists[i, 0] == sims[i].argmax() for i in range(300))
-    q, n = vecdedup.range_search(x, lists, x, np.arange(300), 0.8)
+    row, place = np.repeat(np.arange(300), 12)[lists.ravel() >= 0], lists.ravel()[lists.ravel() >= 0]
+    graph = vecdedup.Graph(300, row, place)
+    q, n = vecdedup.range_search(x, graph, x, np.arange(300), 0.8, vecdedup.medoids(x))
     true = sims >= 0.8
     assert not (sims[q, n] < 0.8 - 1e-9)[q != n].any()
     assert true[q[q != n], n[q != n]].sum() >= 0.97 * true.sum()
