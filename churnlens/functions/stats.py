@@ -11,7 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KS_TERMS = 20
-GAMMA_TERMS = 400
 
 
 def _series(dialect: str, n_from: int, n_to: int, var: str, term: str) -> str:
@@ -48,16 +47,32 @@ def _lngamma_sql(z: str) -> str:
     return f"({stirling} - ({shift}))"
 
 
-def chi2_sf_sql(x: str, dof: str, dialect: str = "spark") -> str:
-    """Upper tail of the chi-square distribution: Q(dof/2, x/2), regularised-gamma series."""
+def chi2_sf_sql(x: str, dof: str) -> str:
+    """Upper tail of the chi-square distribution, Q(a = dof / 2, h = x / 2), for any ``dof``.
+
+    Below the mean the series of the lower tail, above it the continued fraction of the upper one.
+    Either needs some sqrt(a) steps, so their number follows ``a``."""
     a = f"(CAST({dof} AS DOUBLE) / 2)"
     h = f"(CAST({x} AS DOUBLE) / 2)"
-    term = f"exp(-{h} + ({a} + n_) * ln({h}) - {_lngamma_sql(f'{a} + n_ + 1')})"
-    p = _series(dialect, 0, GAMMA_TERMS, "n_", term)
+    steps = f"CAST(ceil(12 * sqrt({a})) + 200 AS INT)"
+    front = f"exp(-{h} + {a} * ln({h}) - {_lngamma_sql(a)})"
+    series = (
+        f"aggregate(sequence(1, {steps}), named_struct('t', 1 / {a}, 's', 1 / {a}), "
+        f"(z, n_) -> named_struct('t', z.t * {h} / ({a} + n_), 's', z.s + z.t * {h} / ({a} + n_)), z -> z.s)"
+    )
+    # Steed's form: convergents d and deltas of the continued fraction 1 / (h + 1 - a - 1 (1 - a) / ...).
+    first = f"1 / ({h} + 1 - {a})"
+    d = f"(1 / (({h} + 1 - {a} + 2 * n_) - n_ * (n_ - {a}) * z.d))"
+    fraction = (
+        f"aggregate(sequence(1, {steps}), named_struct('d', {first}, 'e', {first}, 's', {first}), "
+        f"(z, n_) -> named_struct('d', {d}, 'e', (({h} + 1 - {a} + 2 * n_) * {d} - 1) * z.e, "
+        f"'s', z.s + (({h} + 1 - {a} + 2 * n_) * {d} - 1) * z.e), z -> z.s)"
+    )
     return (
         f"CASE WHEN ({x}) IS NULL OR ({dof}) IS NULL OR ({dof}) <= 0 THEN NULL "
-        f"WHEN {h} <= 0 THEN 1.0 WHEN {h} > {a} + 200 THEN 0.0 "
-        f"ELSE least(1.0, greatest(0.0, 1.0 - {p})) END"
+        f"WHEN {h} <= 0 THEN CAST(1 AS DOUBLE) "
+        f"WHEN {h} < {a} + 1 THEN least(1.0, greatest(0.0, 1.0 - {front} * {series})) "
+        f"ELSE least(1.0, greatest(0.0, {front} * {fraction})) END"
     )
 
 
@@ -66,4 +81,4 @@ def ks_pvalue(d: str, n1: str, n2: str) -> Column:
 
 
 def chi2_sf(x: str, dof: str) -> Column:
-    return F.expr(chi2_sf_sql(x, dof, "spark"))
+    return F.expr(chi2_sf_sql(x, dof))

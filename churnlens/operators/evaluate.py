@@ -167,7 +167,7 @@ def champion_challenger(current: DataFrame | None, challenger: DataFrame, margin
     """
     new = challenger.select(F.col("f1").alias("new_f1"))
     if current is None:
-        return new.select("new_f1", F.lit(None).cast("double").alias("current_f1"), F.lit(None).cast("double").alias("improvement"), F.lit(1).alias("accepted"))
+        return new.select("new_f1", F.lit(0.0).alias("current_f1"), F.round("new_f1", 6).alias("improvement"), F.lit(1).alias("accepted"))
     # The incumbent's F1 enters as a scalar subquery (one value), not as a join.
     j = new.withColumn("current_f1", current.select(F.max("f1")).scalar())
     imp = F.col("new_f1") - F.col("current_f1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.operators.evaluate import AUTO_PROMOTE_F1
@@ -30,9 +30,10 @@ def latest_run(runs: DataFrame) -> DataFrame:
 def promote(registry: DataFrame, candidate: DataFrame, model_name: str, manual_review: bool = True,
             threshold: float = AUTO_PROMOTE_F1) -> DataFrame:
     """Register ``candidate`` as version max(version)+1 in Staging; move it to Production iff
-    F1 >= threshold and no manual review is required, archiving the previous Production version.
+    F1 >= threshold and no manual review is required, archiving the model's previous Production
+    version.  Versions and stages of other models are left alone.
     """
-    next_version = registry.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).scalar()
+    next_version = registry.where(F.col("model_name") == model_name).agg(F.coalesce(F.max("version"), F.lit(0)) + 1).scalar()
     promote_now = (F.col("f1") >= threshold) & F.lit(not manual_review)
     new = candidate.select(
         F.lit(model_name).alias("model_name"),
@@ -44,10 +45,7 @@ def promote(registry: DataFrame, candidate: DataFrame, model_name: str, manual_r
     new_is_prod = new.agg(F.max((F.col("stage") == "Production").cast("int"))).scalar()
     old = registry.select(
         "model_name", "version", "run_id", "f1",
-        F.when((F.col("stage") == "Production") & (new_is_prod == 1), "Archived").otherwise(F.col("stage")).alias("stage"),
+        F.when((F.col("model_name") == model_name) & (F.col("stage") == "Production") & (new_is_prod == 1), "Archived").otherwise(F.col("stage")).alias("stage"),
     )
     return old.unionByName(new)
 
-
-def stage_column(f1: Column, threshold: float = AUTO_PROMOTE_F1) -> Column:
-    return F.when(f1 >= threshold, "Production").otherwise("Staging")

@@ -114,6 +114,19 @@ def evaluate_model(model, feats: DataFrame, keys: Sequence[str] = ("split",)) ->
     return hard.join(auc, list(keys))
 
 
+def model_facts(scored: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
+    """What must hold for any fitted binary classifier, counted on its output: every row has a finite
+    score and a 0/1 prediction, class support is that of the input, and scores rank better than chance."""
+    counts = scored.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("label").cast("long")).alias("positives"),
+        F.count_if(F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))).alias("finite_scores"),
+        F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("hard_predictions"),
+    )
+    auc = E.auc_from_scores(scored, keys=list(keys))
+    return counts.join(auc, list(keys)).withColumn("auc_above_chance", (F.col("roc_auc") > 0.5).cast("int")).drop("roc_auc")
+
+
 def persist(df: DataFrame) -> DataFrame:
     """Iterative learners pass over their input many times: keep it in memory, spilling to disk."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -152,7 +165,7 @@ GRIDS = {
 
 def _base(model_name: str):
     if model_name == "RandomForest":
-        return RandomForestClassifier(featureSubsetStrategy="sqrt", weightCol="weight", seed=SEED), "balanced"
+        return RandomForestClassifier(featureSubsetStrategy="sqrt", weightCol="weight", cacheNodeIds=True, checkpointInterval=10, seed=SEED), "balanced"
     if model_name == "XGBoost":
         return GBTClassifier(weightCol="weight", seed=SEED), "pos_scale"
     return GBTClassifier(seed=SEED), None
@@ -210,7 +223,9 @@ RF_SPACE = {
 
 def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallelism: int = 8):
     """Seeded random search over the forest space, k-fold CV accuracy; returns (best, trials)."""
-    est = RandomForestClassifier(featureSubsetStrategy="sqrt", seed=SEED)
+    # Cached node ids: otherwise every task of a level carries the trees grown so far.
+    est = RandomForestClassifier(featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10, seed=SEED)
+    checkpoint_dir(train.sparkSession)
     maps = sample_param_maps(est, RF_SPACE, n_trials)
     data = stratified_folds(train, folds)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
@@ -223,19 +238,21 @@ def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallel
 def kfold_score(train: DataFrame, name: str = "rf_baseline", folds: int = 5) -> DataFrame:
     """Per-fold positive-class F1 of a configuration and their mean (cross_val_score)."""
     mode = WEIGHT_MODE.get(name)
-    data = stratified_folds(with_weights(train, mode) if mode else train, folds)
-    data = persist(data)
-    ws = data.agg(F.sum("weight")).first()[0] if mode == "balanced" else None
+    data = persist(stratified_folds(train, folds))
     scores = []
     for k in range(folds):
         tr, va = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
+        if mode:  # balanced from the fold's own training rows: held-out labels carry no weight
+            tr = with_weights(tr.drop("weight"), mode)
+        ws = tr.agg(F.sum("weight")).first()[0] if mode == "balanced" else None
         model = estimator(name, ws).fit(tr)
         m = E.classification_metrics(model.transform(va))
-        scores.append(m.select(F.lit(k).alias("fold"), "f1", "accuracy"))
+        scores.append(m.select(F.lit(str(k)).alias("fold"), "f1", "accuracy"))
     out = scores[0]
     for s in scores[1:]:
         out = out.unionByName(s)
-    return out
+    mean = out.agg(F.avg("f1").alias("f1"), F.avg("accuracy").alias("accuracy"))
+    return out.unionByName(mean.select(F.lit("mean").alias("fold"), "f1", "accuracy"))
 
 
 def scoring_pipeline(preprocessor: PipelineModel, model) -> PipelineModel:

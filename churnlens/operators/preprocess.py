@@ -24,8 +24,6 @@ from churnlens import schema as S
 from churnlens.functions import features as FX
 from churnlens.functions.prefix import exact_quantiles
 
-MAX_CATEGORIES = 10_000
-
 
 class _ScalerParams(HasInputCols, HasOutputCols):
     method = Param(Params._dummy(), "method", "'standard' (mean, population std) or 'robust' (median, IQR)",
@@ -142,6 +140,8 @@ class DropFirstOneHot(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadabl
         idx = StringIndexer(inputCol=c, outputCol=f"{o}__idx", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
         n = len(idx.labels)
         ohe = OneHotEncoder(inputCol=f"{o}__idx", outputCol=f"{o}__full", dropLast=True).fit(idx.transform(df))
+        if n < 2:  # the only category is the dropped one: an empty block
+            return PipelineModel([idx, ohe, VectorAssembler(inputCols=[], outputCol=o)])
         slicer = VectorSlicer(inputCol=f"{o}__full", outputCol=o, indices=list(range(1, n)))
         return PipelineModel([idx, ohe, slicer])
 

@@ -16,10 +16,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _stack(pairs: Sequence[tuple[str, Column]], name_col: str = "column") -> list[Column]:
-    return [F.lit(n).alias(name_col), c]
-
-
 def _long(df: DataFrame, names: Sequence[str], metric_exprs: dict[str, callable], keys: Sequence[str] = ()) -> DataFrame:
     """Compute ``metric(col)`` for every column in one aggregate, then unpivot to one row per column."""
     aggs = [fn(c).alias(f"{m}__{c}") for c in names for m, fn in metric_exprs.items()]

@@ -1,4 +1,4 @@
-"""Order-dependent operators: ECDF, exact stratified split, split summary, head/limit helpers."""
+"""Order-dependent operators: ECDF, exact stratified split, split summary."""
 
 from __future__ import annotations
 
@@ -62,8 +62,3 @@ def split_churn_rate(split_df: DataFrame, label: str = S.TARGET) -> DataFrame:
     total = F.sum("rows").over(Window.partitionBy())  # over the per-split rows only
     return g.select("split", "rows", F.round("_rate", 6).alias("churn_rate"), F.round(F.col("rows") / total, 6).alias("share"))
 
-
-def head(df: DataFrame, order_col: str, n: int, columns: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows by ``order_col`` (top-k: each task keeps n rows, the driver merges n*tasks)."""
-    out = df.orderBy(order_col).limit(n)
-    return out.select(*columns) if columns else out

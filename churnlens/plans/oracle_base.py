@@ -31,9 +31,12 @@ preds AS (
     CAST(CASE WHEN (o_orderkey * 7919) % 1000 > 500 THEN 1 ELSE 0 END AS INT) AS churn_prediction,
     CASE WHEN (o_orderkey * 7919) % 1000 >= 700 THEN 'High' WHEN (o_orderkey * 7919) % 1000 >= 500 THEN 'Medium' ELSE 'Low' END AS risk_category,
     concat('v', CAST(o_orderkey % 3 AS VARCHAR)) AS model_version, CAST(o_orderdate AS DATE) AS prediction_date
-  FROM orders WHERE o_custkey % 5 < 3
+  FROM orders
 )"""
 
+#: The log of the first three customers in five: what the operators on unscored customers start from.
+SCORED = PREDICTIONS.replace("FROM orders\n", "FROM orders WHERE o_custkey % 5 < 3\n")
+
 SPLIT = """
 split_customers AS (
   SELECT *, CASE WHEN row_number() OVER (PARTITION BY Exited ORDER BY (CustomerId * 2654435761) % 4294967296, CustomerId)
@@ -69,8 +72,8 @@ risk AS (
               FROM bank_customers) f0) f1
 )"""
 
-_ORDER = ["BANK", "SPLIT", "PRED", "TEST", "TRAIN", "RISK"]
-_CTES = {"BANK": BANK_CUSTOMERS, "SPLIT": SPLIT, "PRED": PREDICTIONS, "TEST": TEST_DATA, "TRAIN": TRAINING_DATA, "RISK": RISK}
+_ORDER = ["BANK", "SPLIT", "PRED", "SCORED", "TEST", "TRAIN", "RISK"]
+_CTES = {"BANK": BANK_CUSTOMERS, "SPLIT": SPLIT, "PRED": PREDICTIONS, "SCORED": SCORED, "TEST": TEST_DATA, "TRAIN": TRAINING_DATA, "RISK": RISK}
 
 
 def with_ctes(body: str, *needs: str, extra: str = "") -> str:

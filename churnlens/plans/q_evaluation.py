@@ -14,6 +14,7 @@ from churnlens.operators import governance as G
 from churnlens.operators import ranking as R
 from churnlens.plans.oracle_base import with_ctes
 from churnlens.plans.registry import query
+from churnlens.session import scratch_path
 from churnlens.sources import store
 from churnlens.sources.fixture import bank_customers
 
@@ -217,9 +218,9 @@ _CC = (
     ),
 )
 def q_champion_challenger(spark, sf_dir):
-    test_cur = scored(spark, sf_dir, RULE_THRESHOLD).where(F.col("split") == "test")
-    test_new = scored(spark, sf_dir, CHALLENGER_THRESHOLD).where(F.col("split") == "test")
-    return E.champion_challenger(E.classification_metrics(test_cur), E.classification_metrics(test_new))
+    by_rule = candidates(spark, sf_dir).select("threshold", "f1")  # one split, one pass for all thresholds
+    current, new = (by_rule.where(F.col("threshold") == t) for t in (RULE_THRESHOLD, CHALLENGER_THRESHOLD))
+    return E.champion_challenger(current, new)
 
 
 def _cand_sql() -> str:
@@ -249,18 +250,35 @@ def q_latest_run(spark, sf_dir):
     return G.latest_run(runs)
 
 
-@query("experiment_log")
+_LOGGED = (("threshold", "param"), *((m, "metric") for m in ("accuracy", "precision", "recall", "f1", "roc_auc")))
+
+
+@query(
+    "experiment_log",
+    with_ctes(
+        "\nUNION ALL ".join(
+            f"SELECT run_id, start_time, '{k}' AS key, '{kind}' AS kind, CAST({k} AS VARCHAR) AS value FROM cand" for k, kind in _LOGGED
+        ),
+        "SPLIT",
+        "RISK",
+        extra=_CAND,
+    ),
+)
 def q_experiment_log(spark, sf_dir):
-    return G.run_log(candidates(spark, sf_dir), ["threshold"], ["accuracy", "precision", "recall", "f1", "roc_auc"])
+    """The runs appended to a log table, read back."""
+    names = {kind: [k for k, of in _LOGGED if of == kind] for kind in ("param", "metric")}
+    path = scratch_path(spark, "experiment_log")
+    store.insert_dataframe(G.run_log(candidates(spark, sf_dir), names["param"], names["metric"]), path, "append")
+    return spark.read.parquet(path)
 
 
 @query(
     "promote_model",
     with_ctes(
-        """SELECT 'BankChurnProduction' AS model_name, CAST(row_number() OVER (ORDER BY threshold) AS INT) AS version, run_id, f1,
+        """SELECT 'AttritionRule' AS model_name, CAST(row_number() OVER (ORDER BY threshold) AS INT) AS version, run_id, f1,
        'None' AS stage FROM cand
 UNION ALL
-SELECT * FROM (SELECT 'BankChurnProduction', CAST((SELECT count(*) FROM cand) + 1 AS INT), run_id, f1, 'Staging'
+SELECT * FROM (SELECT 'AttritionRule', CAST((SELECT count(*) FROM cand) + 1 AS INT), run_id, f1, 'Staging'
                FROM cand ORDER BY f1 DESC, run_id LIMIT 1) b""",
         "SPLIT",
         "RISK",
@@ -273,18 +291,18 @@ def q_promote_model(spark, sf_dir):
     cand = candidates(spark, sf_dir)
     # The registry before this run: one version per earlier candidate (bounded, tiny frame).
     registry = cand.select(
-        F.lit("BankChurnProduction").alias("model_name"),
+        F.lit("AttritionRule").alias("model_name"),
         F.row_number().over(Window.orderBy("threshold")).cast("int").alias("version"),
         "run_id", "f1", F.lit("None").alias("stage"),
     )
     best = G.best_model(cand).where(F.col("rank") == 1)
-    return G.promote(registry, best, "BankChurnProduction", manual_review=True)
+    return G.promote(registry, best, "AttritionRule", manual_review=True)
 
 
 @query(
     "log_model_metadata",
     with_ctes(
-        """SELECT 'BankChurnRule' AS model_name, 'rule_t4.0' AS model_version, 'risk_score_rule' AS algorithm,
+        """SELECT CAST(1 AS BIGINT) AS id, 'BankChurnRule' AS model_name, 'rule_t4.0' AS model_version, 'risk_score_rule' AS algorithm,
        f1 AS f1_score, precision AS precision_score, recall AS recall_score, roc_auc AS roc_auc_score,
        n AS training_records, 'training' AS status FROM m""",
         "SPLIT",
@@ -294,6 +312,8 @@ def q_promote_model(spark, sf_dir):
 )
 def q_log_model_metadata(spark, sf_dir):
     m = E.classification_metrics(scored(spark, sf_dir).where(F.col("split") == "test"))
+    path = scratch_path(spark, "model_metadata")
     row = store.model_metadata_row(spark, m, "BankChurnRule", "rule_t4.0", "risk_score_rule")
-    return row.select("model_name", "model_version", "algorithm", "f1_score", "precision_score", "recall_score",
+    store.insert_dataframe(row, path, "append", table="model_metadata")
+    return spark.read.parquet(path).select("id", "model_name", "model_version", "algorithm", "f1_score", "precision_score", "recall_score",
                       "roc_auc_score", "training_records", "status")

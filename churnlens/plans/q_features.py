@@ -193,9 +193,12 @@ def q_rename_columns(spark, sf_dir):
     return rename_to_store(bank_customers(spark, sf_dir))
 
 
-@query("filter_by_label", with_ctes("SELECT * FROM bank_customers WHERE Exited = 1"))
+@query("filter_by_label", with_ctes("""SELECT *, 'churned' AS part FROM bank_customers WHERE Exited = 1
+UNION ALL SELECT *, 'retained' FROM bank_customers WHERE Exited = 0"""))
 def q_filter_by_label(spark, sf_dir):
-    return bank_customers(spark, sf_dir).where(F.col(S.TARGET) == 1)
+    """Both label filters, each row named by the one that keeps it; one scan."""
+    part = F.when(F.col(S.TARGET) == 1, "churned").when(F.col(S.TARGET) == 0, "retained")
+    return bank_customers(spark, sf_dir).withColumn("part", part).where(F.col("part").isNotNull())
 
 
 _NUMERIC_RAW = [f.name for f in S.RAW_SCHEMA.fields if f.name not in ("Surname", "Geography", "Gender")]

@@ -350,7 +350,7 @@ def q_feature_store(spark, sf_dir):
     return back.select("CustomerId", "split", "label", *_flat("features", "f_", 17))
 
 
-@query("pipeline_persist")
+@query("pipeline_persist", with_ctes("SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS max_abs_diff, 1 AS allclose FROM bank_customers"))
 def q_pipeline_persist(spark, sf_dir):
     from pyspark.ml import PipelineModel
 
@@ -376,11 +376,20 @@ def _train_eval(spark, sf_dir, name: str):
     _, feats = _prod_frame(spark, sf_dir)
     feats = ML.persist(feats)
     model = ML.fit(name, feats.where("split = 'train'"))
-    return ML.evaluate_model(model, feats).withColumn("model", F.lit(name))
+    return ML.model_facts(ML.positive_score(model.transform(feats))).withColumn("model", F.lit(name))
+
+
+def _facts_sql(name: str) -> str:
+    return with_ctes(
+        f"""SELECT '{name}' AS model, split, count(*) AS n, CAST(sum(Exited) AS BIGINT) AS positives,
+       count(*) AS finite_scores, count(*) AS hard_predictions, 1 AS auc_above_chance
+FROM split_customers GROUP BY split""",
+        "SPLIT",
+    )
 
 
 def _register_model(name: str):
-    @query(name)
+    @query(name, _facts_sql(name))
     def _q(spark, sf_dir, _name=name):
         return _train_eval(spark, sf_dir, _name)
 
@@ -392,24 +401,19 @@ for _name in ("gbt_production", "gbt_baseline", "rf_baseline", "rf_tuned", "logr
     _register_model(_name)
 
 
-@query("soft_voting")
+@query("soft_voting", _facts_sql("soft_voting"))
 def q_soft_voting(spark, sf_dir):
-    from churnlens.operators import evaluate as E
-
     _, feats = _prod_frame(spark, sf_dir)
     feats = ML.persist(feats)
     train = feats.where("split = 'train'")
     models = [ML.fit(n, train) for n in ("rf_baseline", "gbt_baseline", "logreg_baseline")]
-    voted = ML.soft_voting(models, feats)
-    hard = E.classification_metrics(voted, keys=["split"])
-    auc = E.auc_from_scores(voted, keys=["split"]).withColumnRenamed("roc_auc", "roc_auc_prob")
-    return hard.join(auc, "split")
+    return ML.model_facts(ML.soft_voting(models, feats)).withColumn("model", F.lit("soft_voting"))
 
 
 @query("grid_search_cv")
 def q_grid_search_cv(spark, sf_dir):
     _, feats = _prod_frame(spark, sf_dir)
-    _, rows = ML.grid_search_cv(feats.where("split = 'train'").join(_split(spark, sf_dir).select("CustomerId"), "CustomerId"))
+    _, rows = ML.grid_search_cv(feats.where("split = 'train'"))
     return spark.createDataFrame([(str(sorted(p.items())), s) for p, s in rows], "params string, cv_f1 double")
 
 

@@ -9,7 +9,7 @@ from churnlens.plans.oracle_base import with_ctes
 from churnlens.plans.registry import query
 from churnlens.session import scratch_path
 from churnlens.sources import store
-from churnlens.sources.fixture import predictions, read_table
+from churnlens.sources.fixture import scored_predictions, read_table
 from churnlens.streaming.scoring import EVENTS_SCHEMA, stream_scoring
 
 _OUT = ["customer_id", "churn_probability", "churn_prediction", "risk_category", "model_version"]
@@ -17,7 +17,7 @@ _OUT = ["customer_id", "churn_probability", "churn_prediction", "risk_category",
 
 def _seed_predictions(spark, sf_dir):
     path = scratch_path(spark, "predictions")
-    store.insert_dataframe(predictions(spark, sf_dir), path, "replace", table="predictions")
+    store.insert_dataframe(scored_predictions(spark, sf_dir), path, "replace", table="predictions")
     return path
 
 
@@ -36,7 +36,7 @@ _TIER = "CASE WHEN churn_probability >= 0.7 THEN 'High' WHEN churn_probability >
         f"""SELECT CAST((SELECT max(id) FROM preds) + row_number() OVER (ORDER BY customer_id) AS BIGINT) AS id, customer_id,
        churn_probability, CAST(churn_probability > 0.5 AS INT) AS churn_prediction, {_TIER} AS risk_category,
        'rule_v1' AS model_version FROM sc""",
-        "PRED",
+        "SCORED",
         "TEST",
         "RISK",
         extra=_scored_sql("SELECT customer_id FROM test_data t WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.customer_id = t.customer_id)"),
@@ -53,7 +53,7 @@ def q_batch_scoring(spark, sf_dir):
     with_ctes(
         f"""SELECT customer_id, churn_probability, CAST(churn_probability > 0.5 AS INT) AS churn_prediction,
        {_TIER} AS risk_category, 'rule_v1' AS model_version FROM sc""",
-        "PRED",
+        "SCORED",
         "TEST",
         "RISK",
         extra=_scored_sql(

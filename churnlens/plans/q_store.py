@@ -10,7 +10,7 @@ from churnlens.functions.features import exact_avg_round_sql
 from churnlens.plans.registry import query
 from churnlens.session import scratch_path
 from churnlens.sources import store
-from churnlens.sources.fixture import bank_customers, predictions
+from churnlens.sources.fixture import bank_customers, predictions, scored_predictions
 
 _HR = ["customer_id", "geography", "gender", "age", "balance", "churn_probability", "prediction_date"]
 
@@ -41,13 +41,13 @@ def q_high_risk_customers(spark, sf_dir):
     with_ctes(
         """SELECT t.* EXCLUDE (is_scored) FROM test_data t
 WHERE NOT EXISTS (SELECT 1 FROM preds p WHERE p.customer_id = t.customer_id)""",
-        "PRED",
+        "SCORED",
         "TEST",
     ),
 )
 def q_fetch_new_customers(spark, sf_dir):
     t = store.test_data(spark, sf_dir).drop("is_scored", "scored_at")
-    return t.join(predictions(spark, sf_dir).select("customer_id").distinct(), "customer_id", "left_anti")
+    return t.join(scored_predictions(spark, sf_dir).select("customer_id").distinct(), "customer_id", "left_anti")
 
 
 _SCORED = """scored AS (
@@ -56,18 +56,18 @@ _SCORED = """scored AS (
 
 
 def _scored_snapshot(spark, sf_dir):
-    ids = predictions(spark, sf_dir).select("customer_id")
+    ids = scored_predictions(spark, sf_dir).select("customer_id")
     return store.mark_scored(store.test_data(spark, sf_dir), ids)
 
 
-@query("mark_scored", with_ctes("SELECT customer_id, is_scored FROM scored", "PRED", "TEST", extra=_SCORED))
+@query("mark_scored", with_ctes("SELECT customer_id, is_scored FROM scored", "SCORED", "TEST", extra=_SCORED))
 def q_mark_scored(spark, sf_dir):
     return _scored_snapshot(spark, sf_dir).select("customer_id", "is_scored")
 
 
 @query(
     "unscored_rows",
-    with_ctes("SELECT customer_id FROM scored WHERE is_scored = 0", "PRED", "TEST", extra=_SCORED),
+    with_ctes("SELECT customer_id FROM scored WHERE is_scored = 0", "SCORED", "TEST", extra=_SCORED),
 )
 def q_unscored_rows(spark, sf_dir):
     return _scored_snapshot(spark, sf_dir).where(F.col("is_scored") == 0).select("customer_id")
@@ -128,9 +128,10 @@ def q_sql_query(spark, sf_dir):
 @query("bulk_load", with_ctes("SELECT * FROM training_data", "TRAIN"))
 def q_bulk_load(spark, sf_dir):
     path = scratch_path(spark, "training_data")
-    n = store.insert_dataframe(store.bulk_load(bank_customers(spark, sf_dir)), path, "replace", table="training_data")
+    source = bank_customers(spark, sf_dir)
+    store.insert_dataframe(store.bulk_load(source), path, "replace", table="training_data")
     loaded = spark.read.parquet(path)
-    if loaded.count() != n:
+    if loaded.count() != source.count():
         raise AssertionError("bulk load row count mismatch")
     return loaded.drop("created_at", "updated_at")
 
@@ -174,7 +175,7 @@ def q_table_ddl(spark, sf_dir):
     store.insert_into(store.training_data(spark, sf_dir), "training_data")
     store.insert_into(store.test_data(spark, sf_dir), "test_data")
     store.insert_into(predictions(spark, sf_dir), "predictions")
-    counts = store.table_stats({t: spark.table(t) for t in ("training_data", "test_data", "predictions", "model_metadata", "monitoring_metrics")})
+    counts = store.table_stats({t: spark.table(f"{store.DATABASE}.{t}") for t in ("training_data", "test_data", "predictions", "model_metadata", "monitoring_metrics")})
     return catalogue.join(counts, "table_name", "left")
 
 
@@ -224,5 +225,5 @@ def q_monitoring_append(spark, sf_dir):
         F.col("month"),
     )
     path = scratch_path(spark, "monitoring_metrics")
-    store.insert_dataframe(rows, path, "append", table="monitoring_metrics")
+    store.insert_dataframe(store.with_ids(rows, "metric_date", "metric_name"), path, "append", table="monitoring_metrics")
     return spark.read.parquet(path).select("metric_name", "metric_value", "metric_date", "details")

@@ -95,7 +95,10 @@ def score_and_append(spark: SparkSession, customers: DataFrame, predictions_path
 def batch_scoring(spark: SparkSession, test_data: DataFrame, predictions_path: str, test_data_path: str,
                   scorer: Scorer = rule_scorer, model_version: str = RULE_MODEL_VERSION) -> ScoringResult:
     appended, n = score_and_append(spark, test_data, predictions_path, scorer, model_version)
-    marked = store.mark_scored(test_data, appended.select("customer_id"))
+    # All rows that this model version has written: a run that appended but stopped before marking is
+    # made good here.
+    written = spark.read.parquet(predictions_path).where(F.col("model_version") == model_version)
+    marked = store.mark_scored(test_data, written.select("customer_id"))
     marked.write.mode("overwrite").parquet(test_data_path)  # a new snapshot; never the path being read
     alerts = appended.where(F.col("churn_probability") > 0.7)
     return ScoringResult(appended, alerts, spark.read.parquet(test_data_path), n)

@@ -24,8 +24,9 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "8g"))
+    if master and master.startswith("local"):  # builder settings would beat those of the submitter
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder = builder.config("spark.driver.memory", os.environ.get("CHURNLENS_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -44,6 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if sc_dir:
         return sc_dir
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="churnlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlens import schema as S
+from churnlens.functions.prefix import running_sums
 from churnlens.sources.fixture import bank_customers
 
 
@@ -74,46 +75,65 @@ def store_defaults(table: str) -> dict[str, Column]:
     }.get(table, {})
 
 
+DATABASE = "churnlens_store"
+
+
 def create_tables(spark: SparkSession, root: str, tables: Iterable[str] = S.STORE_SCHEMAS) -> DataFrame:
-    """``CREATE TABLE ... USING parquet LOCATION`` for each store table; returns its column catalogue."""
+    """Each store table in the library's own database, over Parquet under ``root``; returns the column
+    catalogue.  A table of that database that is not external, so that dropping it would delete data,
+    is refused; tables of other databases are never touched."""
     rows = []
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
     for name in tables:
         schema = S.STORE_SCHEMAS[name]
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields)
-        # External tables: dropping the catalogue entry never deletes data at another location.
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{root}/{name}'")
+        full = f"{DATABASE}.{name}"
+        if spark.catalog.tableExists(full):
+            if spark.catalog.getTable(full).tableType != "EXTERNAL":
+                raise ValueError(f"{full} holds data of its own and is not replaced")
+            spark.sql(f"DROP TABLE {full}")  # the catalogue entry; the files stay
+        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet LOCATION '{root}/{name}'")
         for i, f in enumerate(schema.fields):
             rows.append((name, i, f.name, f.dataType.simpleString(), f.nullable))
     return spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string, nullable boolean")
 
 
-def _parquet_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a Parquet table from its footers (no column is read)."""
-    try:
-        return spark.read.parquet(path).count()
-    except Exception:  # noqa: BLE001 - a path that does not exist yet holds no rows
-        return 0
+def _files(spark: SparkSession, path: str) -> set[str]:
+    """Data files of a table path; a path that does not exist has none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return set()
+    return {str(f.getPath()) for f in fs.listStatus(hadoop) if f.isFile() and not f.getPath().getName().startswith(("_", "."))}
+
+
+def with_ids(df: DataFrame, *order: str, start: int = 0) -> DataFrame:
+    """Consecutive ids from ``start + 1`` in the order of unique ``order`` columns (exact two-phase
+    running counts; null ids never reach a table)."""
+    keyed = df.withColumns({"_at": F.struct(*order), "_one": F.lit(1)})
+    ranked = running_sums(keyed, [], "_at", ["_one"])
+    return ranked.withColumn("id", (F.lit(start) + F.col("cum__one")).cast("bigint")).drop("_at", "_one", "cum__one", "tot__one")
 
 
 def insert_into(df: DataFrame, table: str) -> None:
     """Append rows to a catalogue table, conformed to its schema (positional insert)."""
-    conform(df, S.STORE_SCHEMAS[table], store_defaults(table)).write.insertInto(table)
+    conform(df, S.STORE_SCHEMAS[table], store_defaults(table)).write.insertInto(f"{DATABASE}.{table}")
 
 
 def insert_dataframe(df: DataFrame, path: str, if_exists: str = "append", table: str | None = None) -> int:
     """Write ``df`` to a store table path; ``if_exists`` in {'append', 'replace', 'fail'}.
 
-    Returns the number of rows written: the difference of the table's footer row counts before and
-    after the write, so ``df`` is computed only once.
+    Returns the number of rows written, from the footers of the files that the write added, so the cost
+    of counting follows the append and not the table.
     """
     mode = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}[if_exists]
     if table is not None:
         df = conform(df, S.STORE_SCHEMAS[table], store_defaults(table))
     spark = df.sparkSession
-    before = _parquet_rows(spark, path) if mode == "append" else 0
+    before = _files(spark, path) if mode == "append" else set()
     df.write.mode(mode).parquet(path)
-    return _parquet_rows(spark, path) - before
+    added = sorted(_files(spark, path) - before)
+    return spark.read.parquet(*added).count() if added else 0
 
 
 def mark_scored(test: DataFrame, scored_ids: DataFrame, key: str = "customer_id", now: Column | None = None) -> DataFrame:
@@ -136,11 +156,6 @@ def mark_scored(test: DataFrame, scored_ids: DataFrame, key: str = "customer_id"
     )
 
 
-def affected_rows(test: DataFrame, scored_ids: DataFrame, key: str = "customer_id") -> int:
-    """Rows an ``UPDATE ... WHERE key IN (ids)`` touches (semi join count)."""
-    return test.join(scored_ids.select(key).distinct(), key, "left_semi").count()
-
-
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """``{table: COUNT(*)}`` as rows, one aggregate per table, unioned."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in tables.items()]
@@ -151,7 +166,7 @@ def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def model_metadata_row(spark: SparkSession, metrics: DataFrame, model_name: str, model_version: str, algorithm: str,
-                       run_id: str | None = None, status: str | None = None) -> DataFrame:
+                       run_id: str | None = None, status: str | None = None, next_id: int = 1) -> DataFrame:
     """One ``model_metadata`` row from a one-row metrics frame (f1/precision/recall/roc_auc/n)."""
     row = metrics.select(
         F.lit(model_name).alias("model_name"),
@@ -166,7 +181,7 @@ def model_metadata_row(spark: SparkSession, metrics: DataFrame, model_name: str,
         F.lit(run_id).cast("string").alias("mlflow_run_id"),
         F.lit(status).cast("string").alias("status"),
     )
-    return conform(row.withColumn("id", F.lit(None).cast("bigint")), S.MODEL_METADATA_SCHEMA, store_defaults("model_metadata"))
+    return conform(row.withColumn("id", F.lit(next_id).cast("bigint")), S.MODEL_METADATA_SCHEMA, store_defaults("model_metadata"))
 
 
 def monitoring_rows(df: DataFrame, name_value: Sequence[tuple[str, Column]], date: Column, details: Column | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from churnlens.operators import ranking as R
 from churnlens.plans import scoring as SC
 from churnlens.session import scratch_path
 from churnlens.sources import store
-from churnlens.sources.fixture import bank_customers, predictions
+from churnlens.sources.fixture import bank_customers, scored_predictions
 
 from conftest import SF_SMALL
 
@@ -69,7 +69,7 @@ def test_v2_pipeline_names_and_persistence(spark):
 
 def test_batch_scoring_idempotent(spark):
     path = scratch_path(spark, "pred-test")
-    store.insert_dataframe(predictions(spark, SF_SMALL), path, "replace", table="predictions")
+    store.insert_dataframe(scored_predictions(spark, SF_SMALL), path, "replace", table="predictions")
     td = store.test_data(spark, SF_SMALL)
     first = SC.batch_scoring(spark, td, path, scratch_path(spark, "td"))
     assert first.rows_appended > 0
@@ -98,7 +98,7 @@ def test_stream_scores_customers_whose_events_arrive_late(spark):
     from churnlens.streaming.scoring import EVENTS_SCHEMA, stream_scoring
 
     path = scratch_path(spark, "predictions")
-    store.insert_dataframe(predictions(spark, SF_SMALL), path, "replace", table="predictions")
+    store.insert_dataframe(scored_predictions(spark, SF_SMALL), path, "replace", table="predictions")
     customers = store.test_data(spark, SF_SMALL)
     new_ids = [r.customer_id for r in SC.fetch_new(customers, spark.read.parquet(path)).orderBy("customer_id").limit(3).collect()]
     events_dir = scratch_path(spark, "events")
@@ -119,7 +119,7 @@ def test_store_write_then_logistic_regression_scoring(spark):
     from pyspark.ml.classification import LogisticRegression
 
     path = scratch_path(spark, "predictions")
-    assert store.insert_dataframe(predictions(spark, SF_SMALL), path, "replace", table="predictions") > 0
+    assert store.insert_dataframe(scored_predictions(spark, SF_SMALL), path, "replace", table="predictions") > 0
     df = _split(spark)
     feats = PP.prod_preprocessor().fit(df.where("split = 'train'")).transform(df)
     model = LogisticRegression(maxIter=5).fit(feats.where("split = 'train'"))

@@ -77,3 +77,19 @@ def test_kde_reach_matches_full_grid_brute_force(spark):
     assert list(got["k"]) == list(range(200))
     assert np.allclose(got["density"].to_numpy(), np.round(want, 10), atol=1e-10)
     assert (got["density"] == 0).sum() > 100  # the reach cut is exercised
+
+
+def test_chi2_tail_for_any_dof(spark):
+    """Against the Wilson-Hilferty value (about 1e-3 at dof 1,000, better above) and exact closed forms."""
+    import math
+
+    def approx(x, k):
+        z = ((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k))
+        return 0.5 * math.erfc(z / math.sqrt(2))
+
+    cases = [(x, k) for k in (1000, 10_000, 100_000) for x in (k - 2 * math.sqrt(2 * k), k, k + math.sqrt(2 * k), k + 3 * math.sqrt(2 * k))]
+    cases += [(100_447.0, 100_000), (10_400.0, 10_000), (900.0, 1), (3.0, 1), (0.01, 1), (5.0, 2), (50.0, 2)]
+    df = spark.createDataFrame([(float(x), int(k)) for x, k in cases], "x double, d int")
+    for r in df.select("x", "d", chi2_sf("x", "d").alias("p")).collect():
+        want = math.erfc(math.sqrt(r.x / 2)) if r.d == 1 else math.exp(-r.x / 2) if r.d == 2 else approx(r.x, r.d)
+        assert abs(r.p - want) < (1e-9 if r.d < 3 else 2e-4), (r.x, r.d, r.p, want)
