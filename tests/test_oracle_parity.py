@@ -9,7 +9,8 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 # Long fits and the optional operators, which have tests of their own, are left to tools/check_oracle.py.
-LONG = {"gbt_production", "gbt_baseline", "gbt_weighted", "rf_tuned", "soft_voting", "linear_svm", "logreg_notebook"}
+LONG = {"gbt_production", "gbt_baseline", "gbt_weighted", "rf_tuned", "soft_voting", "linear_svm", "logreg_notebook",
+        "logreg_baseline", "rf_baseline"}
 NAMES = sorted(n for n in entry.oracle_sql() if n not in LONG and not n.startswith(("op", "pipeline")))
 
 
