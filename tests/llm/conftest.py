@@ -1,20 +1,13 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from churnlens.session import get_session, ship_package
+@pytest.fixture(scope="session", autouse=True)
+def package(spark):
+    from churnlens.session import ship_package
 
-    s = get_session("local[4]", shuffle_partitions=4)
-    ship_package(s)
-    yield s
+    ship_package(spark)
 
 
 @pytest.fixture(scope="session")

@@ -7,12 +7,13 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
-from conftest import SF
 
 from churnlens.llm import bpe, mixing, queries, simhash, substring, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
+from .conftest import SF
+
 
 def _docs(df):
     return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]

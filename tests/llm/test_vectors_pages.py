@@ -7,12 +7,13 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import SF
 from pyspark.sql import functions as F
 
 from churnlens.llm import ann, html, quality, queries, urlfilter, vecdedup, warc
 from churnlens.session import scratch_path
 
+from .conftest import SF
+
 
 @pytest.fixture(scope="module")
 def pages(spark):
