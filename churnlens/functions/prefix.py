@@ -42,7 +42,8 @@ def _group_key(idx) -> tuple:
 
 def _local_cumsum(group_cols: list[str], weights: list[str], out_cols: list[str]):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Running totals of groups seen in earlier batches of this partition: one entry per group.
+        # Running total of the last group of the batch before; rows are sorted by group, so no other
+        # group goes on.
         carry: dict[tuple, np.ndarray] = {}
         zero = np.zeros(len(weights))
         for pdf in batches:
@@ -57,8 +58,7 @@ def _local_cumsum(group_cols: list[str], weights: list[str], out_cols: list[str]
             if carry:
                 prev = np.array([carry.get(k, zero) for k in group_keys])
                 local = local + prev[grouped.ngroup().to_numpy()]  # vectorised gather per row
-            for k, tot in zip(group_keys, last.to_numpy()):
-                carry[k] = carry.get(k, zero) + tot
+            carry = {group_keys[-1]: carry.get(group_keys[-1], zero) + last.to_numpy()[-1]}
             out = pdf.copy()
             for i, c in enumerate(out_cols):
                 out[c] = local[:, i]
@@ -136,9 +136,19 @@ def exact_quantiles(
 
     Returns ``group..., n, <name>...`` for each ``name -> q`` in ``probs``.
     """
+    return quantiles_of(ranked_values(df, group_cols, value_col), group_cols, value_col, probs)
+
+
+def ranked_values(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """One row per ``(group..., value)`` with its count ``cnt``, running count ``cum_cnt`` and the
+    group's total ``tot_cnt``."""
+    return running_sums(value_counts(df, group_cols, value_col), group_cols, value_col, ["cnt"])
+
+
+def quantiles_of(ranked: DataFrame, group_cols: Sequence[str], value_col: str, probs: dict[str, float]) -> DataFrame:
+    """``exact_quantiles`` from ``ranked_values``."""
     group_cols = list(group_cols)
-    vc = value_counts(df, group_cols, value_col)
-    cum = running_sums(vc, group_cols, value_col, ["cnt"]).withColumn("n", F.col("tot_cnt"))
+    cum = ranked.withColumn("n", F.col("tot_cnt"))
     aggs: list[Column] = [F.max("n").alias("n")]
     v = F.col(value_col).cast("double")
     for name, q in probs.items():

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from churnlens import schema as S
@@ -43,17 +44,47 @@ def stratified_split_window(df: DataFrame, test_size: float = 0.2, label: str =
     )
 
 
+#: Hash values per bucket, as a power of two: the 32-bit hash space makes about a million buckets.
+BUCKET_BITS = 12
+
+
+def _test_cuts(keyed: DataFrame, test_size: float) -> list[Row]:
+    """The last test row ``(c, h, i)`` of each class ``c`` that has one.
+
+    One aggregate counts rows per class and hash bucket and finds the bucket that holds the cut; a
+    second look ranks the rows of those buckets alone.  The windows see at most 2^20 buckets a class,
+    and a millionth of a class's rows; the driver sees one row a class, like any fitted threshold."""
+    bucket = F.shiftright("h", BUCKET_BITS)
+    running = Window.partitionBy("c").orderBy("b")
+    whole = Window.partitionBy("c")
+    counts = keyed.groupBy("c", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    want = F.round(F.lit(test_size) * F.sum("n").over(whole)).cast("bigint")
+    found = counts.select("c", "b", want.alias("want"), F.sum("n").over(running).alias("upto"), "n")
+    found = found.where("want > 0 AND upto >= want AND upto - n < want").collect()
+    if not found:
+        return []
+
+    def at(r: Row, *more: Column) -> Column:
+        cond = F.col("c").eqNullSafe(F.lit(r["c"])) & F.col("h").between(r["b"] << BUCKET_BITS, ((r["b"] + 1) << BUCKET_BITS) - 1)
+        return functools.reduce(lambda a, b: a & b, more, cond)
+
+    any_of = lambda conds: functools.reduce(lambda a, b: a | b, conds)
+    rank = F.row_number().over(Window.partitionBy("c").orderBy("h", "i"))
+    near = keyed.where(any_of([at(r) for r in found])).withColumn("rank", rank)
+    return near.where(any_of([at(r, F.col("rank") == r["want"] - (r["upto"] - r["n"])) for r in found])).collect()
+
+
 def stratified_split(df: DataFrame, test_size: float = 0.2, label: str = S.TARGET, id_col: str = "CustomerId") -> DataFrame:
     """Exact stratified 80/20 split with the same assignment as ``stratified_split_window``.
 
-    Ranks come from two-phase running counts over ``(label, (hash, id))`` on range partitions, so a
-    class holding most of the rows is still spread over all partitions instead of one task.
-    """
-    keyed = df.withColumns({"_k": F.struct(split_key(id_col).alias("h"), F.col(id_col).alias("i")), "_one": F.lit(1)})
-    ranked = running_sums(keyed, [label], "_k", ["_one"])
-    return ranked.withColumn(
-        "split", F.when(F.col("cum__one") <= F.round(F.lit(test_size) * F.col("tot__one")), "test").otherwise("train")
-    ).select(*df.columns, "split")
+    ``id_col`` is unique and not null.  Each class is cut at one (hash, id) key, found from bucket
+    counts, so marking the rows is a narrow projection: no row is shuffled or written."""
+    h, i = split_key(id_col), F.col(id_col)
+    in_test = F.lit(False)
+    for cut in _test_cuts(df.select(F.col(label).alias("c"), h.alias("h"), i.alias("i")), test_size):
+        same = F.col(label).eqNullSafe(F.lit(cut["c"]))
+        in_test = in_test | (same & ((h < cut["h"]) | ((h == cut["h"]) & (i <= cut["i"]))))
+    return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
 
 
 def split_churn_rate(split_df: DataFrame, label: str = S.TARGET) -> DataFrame:

@@ -93,3 +93,32 @@ def test_chi2_tail_for_any_dof(spark):
     for r in df.select("x", "d", chi2_sf("x", "d").alias("p")).collect():
         want = math.erfc(math.sqrt(r.x / 2)) if r.d == 1 else math.exp(-r.x / 2) if r.d == 2 else approx(r.x, r.d)
         assert abs(r.p - want) < (1e-9 if r.d < 3 else 2e-4), (r.x, r.d, r.p, want)
+
+
+def test_split_moves_and_writes_no_row(spark, tmp_path):
+    df = spark.range(1, 1001).selectExpr("id AS CustomerId", "CAST(id % 7 = 0 AS INT) AS Exited")
+    plan = R.stratified_split(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Scan parquet" not in plan and "Window" not in plan
+
+
+def test_split_of_empty_small_and_null_classes(spark):
+    empty = spark.createDataFrame([], "CustomerId long, Exited int")
+    assert R.stratified_split(empty).count() == 0
+    rows = [(i, None if i % 3 == 0 else i % 3) for i in range(1, 41)] + [(100, 5)]
+    df = spark.createDataFrame(rows, "CustomerId long, Exited int")
+    key = lambda d: sorted((r.CustomerId, r.split) for r in d.collect())
+    assert key(R.stratified_split(df)) == key(R.stratified_split_window(df))
+
+
+def test_kde_of_groups_equals_kde_of_each_group_alone(spark):
+    df = bank_customers(spark, SF_SMALL)
+    key = lambda rows: {r.k: r.density for r in rows}
+    both = ST.kde_density(df, ["Age"], points=50, by=["Geography"], bounds=(18, 80)).where("Geography = 'Spain'").collect()
+    alone = ST.kde_density(df.where("Geography = 'Spain'"), ["Age"], points=50, bounds=(18, 80)).collect()
+    assert key(both) == key(alone) and len(both) == 50
+
+
+def test_feature_correlation_of_constant_and_opposite_columns(spark):
+    df = spark.createDataFrame([(1.0, -2.0, 3.0), (2.0, -4.0, 3.0), (4.0, -8.0, 3.0)], "a double, b double, c double")
+    got = {(r.var1, r.var2): r["corr"] for r in ST.feature_correlation(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] == -1.0 and got["a", "c"] is None and got["c", "c"] == 1.0
