@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnlens import schema as S
 from churnlens.functions import features as FX
-from churnlens.functions.prefix import exact_quantiles
+from churnlens.functions.prefix import quantiles_of, ranked_values
 
 CHURN_GROUP_COLUMNS = S.CATEGORICAL_COLUMNS + S.BINARY_COLUMNS
 CROSSTAB_FEATURES = ("Geography", "Gender", "HasCrCard", "IsActiveMember", "NumOfProducts")
@@ -114,17 +114,17 @@ def segment_members(df: DataFrame, segments: Sequence[tuple[str, str]] = FX.SEGM
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS) -> DataFrame:
-    """Exact Q1/Q3 (linear), fences at 1.5 IQR (strict), outlier count and % per column."""
-    long = stack_columns(df, columns, as_string=False)
-    q = exact_quantiles(long, ["feature"], "value", {"q1": 0.25, "q3": 0.75})
+    """Exact Q1/Q3 (linear), fences at 1.5 IQR (strict), outlier count and % per column; one scan, as
+    outliers are counted on the ranked distinct values."""
+    ranked = ranked_values(stack_columns(df, columns, as_string=False), ["feature"], "value")
+    q = quantiles_of(ranked, ["feature"], "value", {"q1": 0.25, "q3": 0.75})
     fences = q.select(
         "feature", "n", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr")
     ).withColumns({"lower": F.col("q1") - 1.5 * F.col("iqr"), "upper": F.col("q3") + 1.5 * F.col("iqr")})
     # One fence row per column: a size bound known from the column list.
-    flagged = long.join(F.broadcast(fences.select("feature", "lower", "upper")), "feature")
-    counts = flagged.groupBy("feature").agg(
-        F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outliers")
-    )
+    flagged = ranked.join(F.broadcast(fences.select("feature", "lower", "upper")), "feature")
+    outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
+    counts = flagged.groupBy("feature").agg(F.sum(F.when(outside, F.col("cnt")).otherwise(0)).cast("bigint").alias("outliers"))
     return fences.join(counts, "feature").select(
         "feature",
         *[F.round(c, 6).alias(c) for c in ("q1", "q3", "iqr", "lower", "upper")],
@@ -153,24 +153,26 @@ def class_summary(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS) ->
     )
 
 
-def histogram(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, bins: int = 50) -> DataFrame:
-    """Equal-width bins over [min, max] (last bin closed), density n/(N*w), empty bins included."""
-    long = stack_columns(df, columns, as_string=False).where(F.col("value").isNotNull())
-    rng = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("total"))
+def histogram(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
+    """Equal-width bins over [min, max] (last bin closed), density n/(N*w), empty bins included; with
+    ``by`` every group of those columns has a range and a total of its own."""
+    keys = ["feature", *by]
+    long = stack_columns(df, columns, keep=list(by), as_string=False).where(F.col("value").isNotNull())
+    rng = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("total"))
     width = (F.col("hi") - F.col("lo")) / bins
     rng = rng.withColumn("w", width)
-    # One range row per column (bounded by the column list).
-    b = long.join(F.broadcast(rng), "feature").select(
-        "feature",
+    # Without groups one range row per column, bounded by the column list; groups have no such bound.
+    b = long.join(rng if by else F.broadcast(rng), keys).select(
+        *keys,
         F.when(F.col("w") > 0, F.least(F.floor((F.col("value") - F.col("lo")) / F.col("w")), F.lit(bins - 1)))
         .otherwise(0)
         .cast("int")
         .alias("bin"),
     )
-    counts = b.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("count"))
-    grid = rng.select("feature", "lo", "w", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return grid.join(counts, ["feature", "bin"], "left").select(
-        "feature",
+    counts = b.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
+    grid = rng.select(*keys, "lo", "w", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return grid.join(counts, [*keys, "bin"], "left").select(
+        *keys,
         "bin",
         F.round(F.col("lo") + F.col("bin") * F.col("w"), 6).alias("bin_lo"),
         F.round(F.col("lo") + (F.col("bin") + 1) * F.col("w"), 6).alias("bin_hi"),

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from churnlens.operators.evaluate import AUTO_PROMOTE_F1
+from churnlens.operators.evaluate import AUTO_PROMOTE_F1, CHAMPION_MARGIN, champion_challenger
+
+EVALUATION_REPORT_SCHEMA = T.StructType([
+    T.StructField("section", T.StringType()), T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType()),
+])
 
 
 def run_log(leaderboard: DataFrame, params: list[str], metrics: list[str]) -> DataFrame:
@@ -49,3 +54,20 @@ def promote(registry: DataFrame, candidate: DataFrame, model_name: str, manual_r
     )
     return old.unionByName(new)
 
+
+def evaluation_report(current: DataFrame | None, challenger: DataFrame, margin: float = CHAMPION_MARGIN) -> DataFrame:
+    """Long report ``(section, metric, value)`` of a one-row challenger: its metrics, the production
+    model's F1 (null if there is none), and the comparison that decides on acceptance."""
+    c = champion_challenger(current, challenger, margin).select("current_f1", "improvement", "accepted")
+    # Two frames of one row: the decision columns enter as scalar subqueries.
+    row = challenger.withColumns({name: c.select(name).scalar() for name in c.columns})
+    live = F.col("current_f1") > 0
+    entries = [("trained_model", m, F.col(of)) for m, of in (("f1_score", "f1"), *((m, m) for m in ("precision", "recall", "accuracy", "roc_auc")))]
+    entries += [
+        ("production_model", "f1_score", F.when(live, F.col("current_f1"))),
+        ("production_model", "exists", F.lit(0 if current is None else 1)),
+        ("comparison", "improvement", F.col("improvement")), ("comparison", "threshold", F.lit(margin)),
+        ("comparison", "is_accepted", F.col("accepted")),
+    ]
+    structs = [F.struct(F.lit(s).alias("section"), F.lit(m).alias("metric"), v.cast("double").alias("value")) for s, m, v in entries]
+    return row.select(F.explode(F.array(*structs)).alias("_e")).select("_e.*")

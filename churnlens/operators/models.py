@@ -79,6 +79,8 @@ def estimator(name: str, weight_sum: float | None = None):
                              weightCol="weight", seed=SEED)
     if name == "gbt_weighted_small":
         return GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=6, weightCol="weight", seed=SEED)
+    if name == "gbt_default":
+        return GBTClassifier(maxIter=100, stepSize=0.3, maxDepth=6, seed=SEED)
     raise KeyError(name)
 
 
@@ -182,7 +184,9 @@ def grid_search_cv(train: DataFrame, model_name: str = "RandomForest", folds: in
     maps = grid.build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=f1_positive_evaluator(), foldCol="fold",
                         parallelism=parallelism, seed=SEED)
-    model = cv.fit(persist(data))
+    data = persist(data)
+    model = cv.fit(data)
+    data.unpersist()
     rows = [({p.name: v for p, v in m.items()}, float(s)) for m, s in zip(maps, model.avgMetrics)]
     return model.bestModel, rows
 
@@ -230,7 +234,9 @@ def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallel
     data = stratified_folds(train, folds)
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
                         foldCol="fold", parallelism=parallelism, seed=SEED)
-    model = cv.fit(persist(data))
+    data = persist(data)
+    model = cv.fit(data)
+    data.unpersist()
     rows = [({p.name: v for p, v in m.items()}, float(s)) for m, s in zip(maps, model.avgMetrics)]
     return model.bestModel, rows
 

@@ -26,7 +26,7 @@ def _long(df: DataFrame, names: Sequence[str], metric_exprs: dict[str, callable]
     return wide.select(*keys, F.explode(F.array(*structs)).alias("_r")).select(*keys, "_r.*")
 
 
-def _is_missing(df: DataFrame, c: str) -> Column:
+def is_missing(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     if isinstance(dt, (T.DoubleType, T.FloatType)):
         return F.col(c).isNull() | F.isnan(c)
@@ -35,7 +35,7 @@ def _is_missing(df: DataFrame, c: str) -> Column:
 
 def missing_values(df: DataFrame) -> DataFrame:
     """Per column: missing count and % of rows; only columns with at least one missing value."""
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count_if(_is_missing(df, c)).alias(f"m__{c}") for c in df.columns]
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.count_if(is_missing(df, c)).alias(f"m__{c}") for c in df.columns]
     wide = df.agg(*aggs)
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"`m__{c}`").alias("missing_count")) for c in df.columns]
     out = wide.select("__n", F.explode(F.array(*structs)).alias("_r")).select("__n", "_r.*")
@@ -113,23 +113,21 @@ def target_distribution(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Per column: non-null, null, null % (2 dp, half-even like pandas), distinct non-null values."""
-    n_expr = [F.count(F.lit(1)).alias("__n")]
-    counts = df.agg(*n_expr, *[F.count(c).alias(f"nn__{c}") for c in df.columns])
+    """Per column: non-null, null, null % (2 dp, half-even like pandas), distinct non-null values.
+    One scan: rows, nulls and distinct values all come from the counts per (column, value)."""
     stacked = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in df.columns])).alias("_r")
     ).select("_r.*")
-    distinct = stacked.where(F.col("v").isNotNull()).distinct().groupBy("column").agg(
-        F.count(F.lit(1)).alias("nunique")
+    n, cnt = F.col("_n"), F.col("cnt")
+    per_value = stacked.groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    per_column = per_value.groupBy("column").agg(
+        F.sum(cnt).alias("_n"),
+        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), cnt)), F.lit(0)).cast("bigint").alias("non_null"),
+        F.count("v").alias("nunique"),
     )
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"`nn__{c}`").alias("non_null")) for c in df.columns]
-    long = counts.select("__n", F.explode(F.array(*structs)).alias("_r")).select("__n", "_r.*")
-    return long.join(distinct, "column", "left").select(
-        "column",
-        "non_null",
-        (F.col("__n") - F.col("non_null")).alias("null_count"),
-        F.bround((F.col("__n") - F.col("non_null")) * 100.0 / F.col("__n"), 2).alias("null_pct"),
-        F.coalesce("nunique", F.lit(0)).cast("bigint").alias("nunique"),
+    return per_column.select(
+        "column", "non_null", (n - F.col("non_null")).alias("null_count"),
+        F.bround((n - F.col("non_null")) * 100.0 / n, 2).alias("null_pct"), "nunique",
     )
 
 
@@ -189,8 +187,8 @@ def fk_summary(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     )
 
 
-def schema_check(df: DataFrame, target: str | None = S.TARGET) -> DataFrame:
-    """Expected columns present? One report row per expectation (``check, column, ok, message``)."""
+def schema_findings(df: DataFrame, target: str | None = S.TARGET) -> list[tuple[str, str, bool, str]]:
+    """Expected columns present?  ``(check, column, ok, message)`` for every expectation."""
     present = set(df.columns)
     rows = []
     for c in S.FEATURE_COLUMNS:
@@ -202,7 +200,12 @@ def schema_check(df: DataFrame, target: str | None = S.TARGET) -> DataFrame:
         rows.append(("numeric", c, ok, "" if ok else f"Numeric column missing or not numeric: {c}"))
     for c in S.CATEGORICAL_COLUMNS:
         rows.append(("categorical", c, c in present, "" if c in present else f"Missing categorical column: {c}"))
-    return df.sparkSession.createDataFrame(rows, "check string, column string, ok boolean, message string")
+    return rows
+
+
+def schema_check(df: DataFrame, target: str | None = S.TARGET) -> DataFrame:
+    """``schema_findings`` as a report with one row per expectation."""
+    return df.sparkSession.createDataFrame(schema_findings(df, target), "check string, column string, ok boolean, message string")
 
 
 def dag_gate(df: DataFrame, min_rows: int = 1000, required: Sequence[str] = S.DAG_REQUIRED_COLUMNS) -> DataFrame:

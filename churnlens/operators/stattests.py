@@ -124,8 +124,10 @@ def cohens_d(df: DataFrame, columns: Sequence[str] = COHEN_FEATURES) -> DataFram
     )
 
 
-def kde_density(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, points: int = 200, by: str | None = None) -> DataFrame:
-    """Gaussian KDE (Scott bandwidth n^-1/5 * sample std) on ``points`` grid points over [min, max].
+def kde_density(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, points: int = 200,
+                by: Sequence[str] = (), bounds: tuple[float, float] | None = None) -> DataFrame:
+    """Gaussian KDE (Scott bandwidth n^-1/5 * sample std) on ``points`` grid points over [min, max] of
+    the group, or over ``bounds``; ``by`` gives every group of those columns a density of its own.
 
     Works on distinct-value counts; each distinct value adds its kernel only to the grid points
     within ``KDE_REACH`` bandwidths of it (farther points get exactly 0.0 in double precision, so
@@ -133,21 +135,23 @@ def kde_density(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, point
     task before the shuffle.  The bandwidth shrinks as n^-1/5, so the fan-out per value falls as
     the data grows.  Columns with zero spread are skipped (as the plot does).
     """
-    keys = ["feature"] + ([by] if by else [])
-    long = stack_columns(df, columns, keep=[by] if by else [], as_string=False).where(F.col("value").isNotNull())
+    keys = ["feature", *by]
+    long = stack_columns(df, columns, keep=list(by), as_string=False).where(F.col("value").isNotNull())
     vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
     st = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.stddev_samp("value").alias("sd"), F.min("value").alias("lo"), F.max("value").alias("hi")
     ).where(F.col("sd") > 0)
-    st = st.withColumn("h", F.pow(F.col("n").cast("double"), -0.2) * F.col("sd"))
+    st = st.withColumns({"h": F.pow(F.col("n").cast("double"), -0.2) * F.col("sd"), "least": F.col("lo")})
+    if bounds:
+        st = st.withColumns({"lo": F.lit(float(bounds[0])), "hi": F.lit(float(bounds[1]))})
     step = (F.col("hi") - F.col("lo")) / (points - 1)
-    # One stats row per (column[, class]): bounded by the column list.
-    j = vc.join(F.broadcast(st), keys)
+    # Without groups one stats row per column, bounded by the column list; groups have no such bound.
+    j = vc.join(st if by else F.broadcast(st), keys)
     first = F.greatest(F.lit(0), F.ceil((F.col("value") - KDE_REACH * F.col("h") - F.col("lo")) / step).cast("int"))
     last = F.least(F.lit(points - 1), F.floor((F.col("value") + KDE_REACH * F.col("h") - F.col("lo")) / step).cast("int"))
     # The minimum is one distinct value per key: it alone spans the whole grid, so every grid point
     # keeps a row even where no other value reaches it.  Null (no rows) when nothing is in reach.
-    reach = F.when(F.col("value") == F.col("lo"), F.sequence(F.lit(0), F.lit(points - 1))).when(first <= last, F.sequence(first, last))
+    reach = F.when(F.col("value") == F.col("least"), F.sequence(F.lit(0), F.lit(points - 1))).when(first <= last, F.sequence(first, last))
     contrib = j.select(*keys, F.explode(reach).alias("k"), "value", "cnt", "n", "h", "lo", "hi")
     x = F.col("lo") + F.col("k") * step
     z = (x - F.col("value")) / F.col("h")
@@ -156,6 +160,22 @@ def kde_density(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, point
     return dens.select(*keys, "k", F.round("x", 6).alias("x"), F.round("d", 10).alias("density"))
 
 
+def feature_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every ordered pair of ``columns``, long ``(var1, var2, corr)``; null where a
+    column is constant, 1 on the diagonal.  One distributed pass; only the k x k matrix reaches the driver."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    cols = list(columns)
+    vectors = VectorAssembler(inputCols=cols, outputCol="_v").transform(df).select("_v")
+    m = Correlation.corr(vectors, "_v").first()[0].toArray()
+    rows = [
+        (a, b, 1.0 if i == j else None if m[i, j] != m[i, j] else round(float(m[i, j]), 6) + 0.0)
+        for i, a in enumerate(cols) for j, b in enumerate(cols)
+    ]
+    return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, corr double")
+
+
 def gram_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Uncentred X'X as long ``(i, j, g)`` in one distributed aggregate."""
     cols = list(columns)

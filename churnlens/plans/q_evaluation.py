@@ -15,7 +15,7 @@ from churnlens.operators import ranking as R
 from churnlens.plans.oracle_base import with_ctes
 from churnlens.plans.registry import query
 from churnlens.session import scratch_path
-from churnlens.sources import store
+from churnlens.sources import files, store
 from churnlens.sources.fixture import bank_customers
 
 RULE_THRESHOLD = 4.0
@@ -299,6 +299,67 @@ def q_promote_model(spark, sf_dir):
     return G.promote(registry, best, "AttritionRule", manual_review=True)
 
 
+@query(
+    "promote_production",
+    with_ctes(
+        """SELECT 'AttritionRule' AS model_name, CAST(row_number() OVER (ORDER BY threshold) AS INT) AS version, run_id, f1,
+       CASE WHEN threshold > 2.0 THEN 'Staging' WHEN (SELECT max(f1) FROM cand) >= 0.2 THEN 'Archived' ELSE 'Production' END AS stage FROM cand
+UNION ALL
+SELECT 'EarlierRule', CAST(9 AS INT), run_id, f1, 'Production' FROM cand WHERE threshold = 2.0
+UNION ALL
+SELECT * FROM (SELECT 'AttritionRule', CAST((SELECT count(*) FROM cand) + 1 AS INT), run_id, f1,
+                      CASE WHEN f1 >= 0.2 THEN 'Production' ELSE 'Staging' END
+               FROM cand ORDER BY f1 DESC, run_id LIMIT 1) b""",
+        "SPLIT",
+        "RISK",
+        extra=_CAND,
+    ),
+)
+def q_promote_production(spark, sf_dir):
+    """Promotion without manual review: the new version goes live and archives the model's own earlier
+    one.  The bar is set where the rule passes it; ``promote``'s default is the reference's 0.60."""
+    from pyspark.sql import Window
+
+    cand = candidates(spark, sf_dir)
+    first = F.col("threshold") == 2.0
+    # The registry before this run: one version per earlier candidate (bounded, tiny frame), and another model.
+    own = cand.select(
+        F.lit("AttritionRule").alias("model_name"),
+        F.row_number().over(Window.orderBy("threshold")).cast("int").alias("version"),
+        "run_id", "f1", F.when(first, "Production").otherwise("Staging").alias("stage"),
+    )
+    other = cand.where(first).select(
+        F.lit("EarlierRule").alias("model_name"), F.lit(9).alias("version"), "run_id", "f1", F.lit("Production").alias("stage")
+    )
+    best = G.best_model(cand).where(F.col("rank") == 1)
+    return G.promote(own.unionByName(other), best, "AttritionRule", manual_review=False, threshold=0.2)
+
+
+@query(
+    "evaluation_report",
+    with_ctes(
+        """SELECT x.section, x.metric, x.value FROM new LEFT JOIN cur ON true,
+LATERAL (SELECT 'trained_model' AS section, 'f1_score' AS metric, new.f1 AS value UNION ALL SELECT 'trained_model', 'precision', new.precision
+  UNION ALL SELECT 'trained_model', 'recall', new.recall UNION ALL SELECT 'trained_model', 'accuracy', new.accuracy
+  UNION ALL SELECT 'trained_model', 'roc_auc', new.roc_auc
+  UNION ALL SELECT 'production_model', 'f1_score', CASE WHEN cur.f1 > 0 THEN cur.f1 END
+  UNION ALL SELECT 'production_model', 'exists', CASE WHEN cur.f1 IS NULL THEN 0.0 ELSE 1.0 END
+  UNION ALL SELECT 'comparison', 'improvement', round(new.f1 - cur.f1, 6) UNION ALL SELECT 'comparison', 'threshold', 0.02
+  UNION ALL SELECT 'comparison', 'is_accepted', CASE WHEN cur.f1 IS NULL OR new.f1 - cur.f1 > 0.02 THEN 1.0 ELSE 0.0 END) x""",
+        "SPLIT",
+        "RISK",
+        extra=_CC,
+    ),
+)
+def q_evaluation_report(spark, sf_dir):
+    """The report of a challenger against the model in production, written and read back."""
+    by_rule = candidates(spark, sf_dir)
+    current, new = (by_rule.where(F.col("threshold") == t) for t in (RULE_THRESHOLD, CHALLENGER_THRESHOLD))
+    path = scratch_path(spark, "evaluation_report")
+    files.write_report(G.evaluation_report(current, new), path)
+    return files.read_report(spark, path, G.EVALUATION_REPORT_SCHEMA)
+
+
 @query(
     "log_model_metadata",
     with_ctes(

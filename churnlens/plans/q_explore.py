@@ -198,6 +198,26 @@ def q_histogram(spark, sf_dir):
     return X.histogram(bank_customers(spark, sf_dir))
 
 
+@query(
+    "histogram_by_class",
+    with_ctes(
+        """SELECT g.feature, g.Exited, g.bin, round(lo + g.bin * w, 6) AS bin_lo, round(lo + (g.bin + 1) * w, 6) AS bin_hi,
+       CAST(coalesce(c.cnt, 0) AS BIGINT) AS count,
+       round(CASE WHEN w > 0 THEN coalesce(c.cnt, 0) / (total * w) END, 10) AS density
+FROM (SELECT r.*, CAST(b.bin AS INT) AS bin FROM r, range(0, 30) AS b(bin)) g
+LEFT JOIN c ON c.feature = g.feature AND c.Exited = g.Exited AND c.bin = g.bin""",
+        extra=_LONG_NUM
+        + """,
+r AS (SELECT feature, Exited, min(value) AS lo, max(value) AS hi, count(*) AS total, (max(value) - min(value)) / 30 AS w
+      FROM long WHERE value IS NOT NULL GROUP BY feature, Exited),
+c AS (SELECT l.feature, l.Exited, CAST(CASE WHEN w > 0 THEN least(floor((value - lo) / w), 29) ELSE 0 END AS INT) AS bin, count(*) AS cnt
+      FROM long l JOIN r ON r.feature = l.feature AND r.Exited = l.Exited WHERE value IS NOT NULL GROUP BY 1, 2, 3)""",
+    ),
+)
+def q_histogram_by_class(spark, sf_dir):
+    return X.histogram(bank_customers(spark, sf_dir), bins=30, by=[S.TARGET])
+
+
 _CORR = list(X.CORR_COLUMNS)
 
 

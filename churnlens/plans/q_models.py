@@ -7,13 +7,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnlens import schema as S
+from churnlens.operators import evaluate as E
 from churnlens.operators import models as ML
 from churnlens.operators import preprocess as PP
 from churnlens.operators import ranking as R
 from churnlens.operators import stattests as ST
 from churnlens.plans.oracle_base import with_ctes
 from churnlens.plans.registry import query
-from churnlens.session import scratch_path
+from churnlens.session import checkpoint_dir, scratch_path
 from churnlens.sources.fixture import bank_customers
 
 _PF = """pf AS (
@@ -270,7 +271,7 @@ def _v2(spark, sf_dir):
 
 
 
-def _v2_oracle() -> str:
+def _v2_oracle(body: str) -> str:
     d = "CAST({} AS DOUBLE)"
 
     def z(c, m, sd):
@@ -306,10 +307,11 @@ st AS (
          quantile_cont(Age, 0.25) AS q1, quantile_cont(Age, 0.5) AS med, quantile_cont(Age, 0.75) AS q3,
          quantile_cont(Age, 0.2) AS e1, quantile_cont(Age, 0.4) AS e2, quantile_cont(Age, 0.6) AS e3, quantile_cont(Age, 0.8) AS e4
   FROM v WHERE split = 'train')"""
-    return with_ctes(f"SELECT CustomerId, split, label, {', '.join(cols)} FROM v, st", "SPLIT", "RISK", extra=extra)
+    extra += f",\nvf AS (SELECT CustomerId, split, label, {', '.join(cols)} FROM v, st)"
+    return with_ctes(body, "SPLIT", "RISK", extra=extra)
 
 
-@query("churn_feature_pipeline", _v2_oracle())
+@query("churn_feature_pipeline", _v2_oracle("SELECT * FROM vf"))
 def q_churn_feature_pipeline(spark, sf_dir):
     model, out = _v2(spark, sf_dir)
     names = PP.feature_names(model)
@@ -317,7 +319,31 @@ def q_churn_feature_pipeline(spark, sf_dir):
     return out.select("CustomerId", "split", "label", *[F.round(arr[i], 6).alias(n) for i, n in enumerate(names)])
 
 
-@query("feature_names")
+@query(
+    "final_feature_correlation",
+    _v2_oracle(
+        """SELECT a.feature AS var1, b.feature AS var2,
+       CASE WHEN a.feature = b.feature THEN 1.0 WHEN stddev_pop(a.value) = 0 OR stddev_pop(b.value) = 0 THEN NULL
+            ELSE round(corr(a.value, b.value), 6) + 0.0 END AS corr
+FROM (UNPIVOT (SELECT * EXCLUDE (split) FROM vf WHERE split = 'train') ON COLUMNS(* EXCLUDE (CustomerId)) INTO NAME feature VALUE value) a
+JOIN (UNPIVOT (SELECT * EXCLUDE (split) FROM vf WHERE split = 'train') ON COLUMNS(* EXCLUDE (CustomerId)) INTO NAME feature VALUE value) b
+  ON a.CustomerId = b.CustomerId
+GROUP BY a.feature, b.feature"""
+    ),
+)
+def q_final_feature_correlation(spark, sf_dir):
+    """Every feature of the fitted pipeline, and the label, against every other on the train split."""
+    train = q_churn_feature_pipeline(spark, sf_dir).where("split = 'train'")
+    return ST.feature_correlation(train, [c for c in train.columns if c not in ("CustomerId", "split")])
+
+
+@query(
+    "feature_names",
+    _v2_oracle(
+        """SELECT CAST(row_number() OVER () - 1 AS INT) AS position, column_name AS feature
+FROM (DESCRIBE vf) d WHERE column_name NOT IN ('CustomerId', 'split', 'label')"""
+    ),
+)
 def q_feature_names(spark, sf_dir):
     model, _ = _v2(spark, sf_dir)
     names = PP.feature_names(model)
@@ -376,7 +402,16 @@ def _train_eval(spark, sf_dir, name: str):
     _, feats = _prod_frame(spark, sf_dir)
     feats = ML.persist(feats)
     model = ML.fit(name, feats.where("split = 'train'"))
-    return ML.model_facts(ML.positive_score(model.transform(feats))).withColumn("model", F.lit(name))
+    return _settled(ML.model_facts(ML.positive_score(model.transform(feats))).withColumn("model", F.lit(name)), feats)
+
+
+def _settled(result, *persisted):
+    """The (small) result, checkpointed, so that the frames it was computed from can be released."""
+    checkpoint_dir(result.sparkSession)
+    out = result.checkpoint(eager=True)
+    for df in persisted:
+        df.unpersist()
+    return out
 
 
 def _facts_sql(name: str) -> str:
@@ -397,7 +432,7 @@ def _register_model(name: str):
 
 
 for _name in ("gbt_production", "gbt_baseline", "rf_baseline", "rf_tuned", "logreg_baseline", "logreg_l2",
-              "logreg_notebook", "linear_svm", "gbt_weighted"):
+              "logreg_notebook", "linear_svm", "gbt_weighted", "gbt_weighted_small", "gbt_default"):
     _register_model(_name)
 
 
@@ -407,14 +442,17 @@ def q_soft_voting(spark, sf_dir):
     feats = ML.persist(feats)
     train = feats.where("split = 'train'")
     models = [ML.fit(n, train) for n in ("rf_baseline", "gbt_baseline", "logreg_baseline")]
-    return ML.model_facts(ML.soft_voting(models, feats)).withColumn("model", F.lit("soft_voting"))
+    return _settled(ML.model_facts(ML.soft_voting(models, feats)).withColumn("model", F.lit("soft_voting")), feats)
 
 
 @query("grid_search_cv")
 def q_grid_search_cv(spark, sf_dir):
     _, feats = _prod_frame(spark, sf_dir)
-    _, rows = ML.grid_search_cv(feats.where("split = 'train'"))
-    return spark.createDataFrame([(str(sorted(p.items())), s) for p, s in rows], "params string, cv_f1 double")
+    best, rows = ML.grid_search_cv(feats.where("split = 'train'"))
+    test_f1 = E.classification_metrics(best.transform(feats.where("split = 'test'"))).first()["f1"]
+    top = max(s for _, s in rows)
+    out = [(str(sorted(p.items())), s, test_f1 if s == top else None) for p, s in rows]
+    return spark.createDataFrame(out, "params string, cv_f1 double, best_test_f1 double")
 
 
 @query("random_search")
@@ -442,7 +480,7 @@ def q_model_bakeoff(spark, sf_dir):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.orderBy(F.col("roc_auc_prob").desc())
+    return _settled(out, feats).orderBy(F.col("roc_auc_prob").desc())
 
 
 @query("score_raw")
@@ -452,7 +490,9 @@ def q_score_raw(spark, sf_dir):
     df = PP.with_label(_split(spark, sf_dir))
     train = df.where("split = 'train'")
     pre = PP.prod_preprocessor().fit(train)
-    model = ML.fit("gbt_baseline", pre.transform(train))
+    feats = ML.persist(pre.transform(train))
+    model = ML.fit("gbt_baseline", feats)
+    feats.unpersist()
     scorer = ML.scoring_pipeline(pre, model)
     raw = bank_customers(spark, sf_dir).select("CustomerId", *S.FEATURE_COLUMNS)
     scored = ML.positive_score(scorer.transform(raw))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnlens import schema as S
+from churnlens.operators import explore as X
 from churnlens.operators import profile as P
 from churnlens.operators import ranking as R
 from churnlens.operators import stattests as ST
@@ -194,23 +195,21 @@ def q_fk_check(spark, sf_dir):
     return P.fk_summary(predictions(spark, sf_dir), store.test_data(spark, sf_dir), "customer_id")
 
 
-def _schema_check_sql() -> str:
+def _schema_check_body() -> str:
     exp = [(k, c) for k, cols in (("required", S.FEATURE_COLUMNS), ("target", (S.TARGET,)), ("numeric", S.NUMERIC_COLUMNS),
                                   ("categorical", S.CATEGORICAL_COLUMNS)) for c in cols]
     values = ", ".join(f"('{k}', '{c}')" for k, c in exp)
     numeric = "d.column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE') OR d.column_type LIKE 'DECIMAL%'"
-    return with_ctes(
-        f"""SELECT e.k AS "check", e.c AS "column", ok,
+    return f"""SELECT e.k AS "check", e.c AS "column", ok,
        CASE WHEN ok THEN '' WHEN e.k = 'required' THEN 'Missing required column: ' || e.c
             WHEN e.k = 'target' THEN 'Missing target column: ' || e.c
             WHEN e.k = 'numeric' THEN 'Numeric column missing or not numeric: ' || e.c
             ELSE 'Missing categorical column: ' || e.c END AS message
 FROM (SELECT e.k, e.c, CASE WHEN e.k = 'numeric' THEN coalesce({numeric}, false) ELSE d.column_name IS NOT NULL END AS ok
       FROM (VALUES {values}) e(k, c) LEFT JOIN (DESCRIBE bank_customers) d ON d.column_name = e.c) e"""
-    )
 
 
-@query("schema_check", _schema_check_sql())
+@query("schema_check", with_ctes(_schema_check_body()))
 def q_schema_check(spark, sf_dir):
     return P.schema_check(bank_customers(spark, sf_dir))
 
@@ -226,64 +225,134 @@ def q_dag_gate(spark, sf_dir):
     return P.dag_gate(bank_customers(spark, sf_dir))
 
 
+_STATS = {"min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev_samp}
+#: Which checks of ``schema_findings`` make up each validity flag of a split.
+_VALIDITY = {"columns_valid": ("required", "target"), "numerical_valid": ("numeric",), "categorical_valid": ("categorical",)}
+
+
+def _entry(section: str, column: str, metric, value=None, text=None):
+    """One report row; ``value`` for numbers, ``text`` for everything else."""
+    return F.struct(
+        F.lit(section).alias("section"), F.lit(column).alias("column"), F.lit(metric).alias("metric"),
+        (F.lit(None) if value is None else value).cast("double").alias("value"),
+        (F.lit(None) if text is None else F.lit(text)).cast("string").alias("text"),
+    )
+
+
+def _spread(df, entries, split):
+    """The entries that hold something, as report rows."""
+    rows = df.select(split.alias("split"), F.explode(F.array(*entries)).alias("_e")).select("split", "_e.*")
+    return rows.where("value IS NOT NULL OR text IS NOT NULL")
+
+
+def split_quality(split_df, findings):
+    """Shape, validity, missing values, types, numeric statistics and target of each split: one aggregate."""
+    data = split_df.drop("split")
+    n, target = F.col("n"), F.col(S.TARGET)
+    numeric = P.numeric_columns(data)
+    wide = split_df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(target == 0).alias("n0"), F.count_if(target == 1).alias("n1"),
+        *[F.count_if(P.is_missing(data, c)).alias(f"missing_{c}") for c in data.columns],
+        *[fn(c).cast("double").alias(f"{m}_{c}") for c in numeric for m, fn in _STATS.items()],
+    )
+    missing = {c: F.when(F.col(f"missing_{c}") > 0, F.col(f"missing_{c}")) for c in data.columns}
+    entries = [
+        _entry("shape", "*", "rows", n), _entry("shape", "*", "columns", F.lit(len(data.columns))),
+        *[_entry("status", "*", flag, F.lit(int(all(ok for k, _, ok, _ in findings if k in kinds)))) for flag, kinds in _VALIDITY.items()],
+        *[_entry("missing", c, "count", missing[c]) for c in data.columns],
+        *[_entry("missing", c, "percentage", F.round(missing[c] * 100.0 / n, 6)) for c in data.columns],
+        *[_entry("dtype", c, "dtype", text=t) for c, t in data.dtypes],
+        *[_entry("numeric", c, m, F.round(F.col(f"{m}_{c}"), 6)) for c in numeric for m in _STATS],
+        _entry("target", S.TARGET, "rows", n), _entry("target", S.TARGET, "retained", F.col("n0")),
+        _entry("target", S.TARGET, "churned", F.col("n1")), _entry("target", S.TARGET, "churn_rate", F.round(F.col("n1") / n, 6)),
+    ]
+    return _spread(wide, entries, F.col("split"))
+
+
 def validation_report_df(split_df):
-    """Long report ``(split, section, column, metric, value)`` for both splits plus drift rows."""
-    num = P.numeric_stats(split_df, keys=["split"])
-    stats = num.select(
-        "split",
-        F.lit("numeric").alias("section"),
-        "column",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("min", "max", "mean", "std")])).alias("_m"),
-    ).select("split", "section", "column", "_m.metric", "_m.value")
-    target = split_df.groupBy("split").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(S.TARGET) == 1).alias("churned")
+    """Long report ``(split, section, column, metric, value, text)``: the quality sections of each split,
+    drift between them, and the overall status with its error messages (split ``all``)."""
+    data = split_df.drop("split")
+    findings = P.schema_findings(data)
+    errors = [(c, k, message) for k, c, ok, message in findings if not ok]
+    overall = _spread(
+        split_df.sparkSession.range(1),
+        [_entry("status", "*", "validation_status", F.lit(int(not errors))), *[_entry("error", c, k, text=m) for c, k, m in errors]],
+        F.lit("all"),
     )
-    tgt = target.select(
-        "split",
-        F.lit("target").alias("section"),
-        F.lit(S.TARGET).alias("column"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("rows").alias("metric"), F.col("rows").cast("double").alias("value")),
-                F.struct(F.lit("churned").alias("metric"), F.col("churned").cast("double").alias("value")),
-                F.struct(F.lit("churn_rate").alias("metric"), F.round(F.col("churned") / F.col("rows"), 6).alias("value")),
-            )
-        ).alias("_m"),
-    ).select("split", "section", "column", "_m.metric", "_m.value")
+    nothing = F.lit(None).cast("string").alias("text")
+    copies = split_df.groupBy("split", *data.columns).agg(F.count(F.lit(1)).alias("_c"))
+    duplicates = copies.groupBy("split").agg(F.sum(F.col("_c") - 1).cast("double").alias("value")).select(
+        "split", F.lit("duplicates").alias("section"), F.lit("*").alias("column"), F.lit("rows").alias("metric"), "value", nothing
+    )
+    present = [c for c in S.CATEGORICAL_COLUMNS if c in data.columns]
+    named = X.stack_columns(split_df, present, keep=["split"]) if present else split_df.selectExpr("split", "'' AS feature", "NULL AS value")
+    categories = named.where("value IS NOT NULL")
+    categories = categories.groupBy("split", "feature", "value").agg(F.count(F.lit(1)).alias("_n")).select(
+        "split", F.lit("category").alias("section"), F.col("feature").alias("column"), F.col("value").alias("metric"),
+        F.col("_n").cast("double").alias("value"), nothing,
+    )
+    metrics = {"ks_statistic": "statistic", "p_value": "p_value", "drift": "drift"}
     drift = ST.ks_drift(split_df).select(
-        F.lit("drift").alias("split"),
-        F.lit("drift").alias("section"),
-        F.col("feature").alias("column"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("ks_statistic").alias("metric"), F.col("statistic").alias("value")),
-                F.struct(F.lit("p_value").alias("metric"), F.col("p_value").alias("value")),
-                F.struct(F.lit("drift").alias("metric"), F.col("drift").cast("double").alias("value")),
-            )
-        ).alias("_m"),
-    ).select("split", "section", "column", "_m.metric", "_m.value")
-    return stats.unionByName(tgt).unionByName(drift)
+        F.lit("drift").alias("split"), F.lit("drift").alias("section"), F.col("feature").alias("column"),
+        F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value")) for m, c in metrics.items()])).alias("_m"),
+    ).select("split", "section", "column", "_m.metric", "_m.value", nothing)
+    return split_quality(split_df, findings).unionByName(duplicates).unionByName(categories).unionByName(drift).unionByName(overall)
 
 
 def _validation_sql() -> str:
     from churnlens.plans.q_stats import _RAW_NUMERIC as KS_COLS
     from churnlens.plans.q_stats import _ks_sql
 
-    body = """SELECT split, 'numeric' AS section, feature AS column, m.metric, m.value
+    none = "CAST(NULL AS VARCHAR) AS text"
+    missing = "\nUNION ALL ".join(
+        f"SELECT split, '{c}' AS feature, count(*) AS n, count_if({c} IS NULL{f' OR isnan({c})' if c in ('Balance', 'EstimatedSalary') else ''}) AS k "
+        "FROM split_customers GROUP BY split" for c in _ALL
+    )
+    flags = "\nUNION ALL ".join(
+        f"SELECT '{flag}' AS metric, CAST(CAST(bool_and(ok) AS INT) AS DOUBLE) AS value FROM findings WHERE \"check\" IN ({', '.join(repr(k) for k in kinds)})"
+        for flag, kinds in _VALIDITY.items()
+    )
+    body = f"""SELECT split, 'numeric' AS section, feature AS column, m.metric, m.value, {none}
 FROM (SELECT split, feature, round(min(value), 6) AS mn, round(max(value), 6) AS mx, round(avg(value), 6) AS mean,
              round(stddev_samp(value), 6) AS std FROM nlong GROUP BY split, feature) s,
      LATERAL (SELECT 'min' AS metric, mn AS value UNION ALL SELECT 'max', mx UNION ALL SELECT 'mean', mean UNION ALL SELECT 'std', std) m
+WHERE m.value IS NOT NULL
+UNION ALL
+SELECT split, x.section, x.col, x.metric, x.value, {none}
+FROM (SELECT split, count(*) AS rows, count_if(Exited = 0) AS retained, count_if(Exited = 1) AS churned FROM split_customers GROUP BY split) t,
+     LATERAL (SELECT 'target' AS section, 'Exited' AS col, 'rows' AS metric, CAST(rows AS DOUBLE) AS value
+              UNION ALL SELECT 'target', 'Exited', 'retained', CAST(retained AS DOUBLE)
+              UNION ALL SELECT 'target', 'Exited', 'churned', CAST(churned AS DOUBLE)
+              UNION ALL SELECT 'target', 'Exited', 'churn_rate', round(churned / rows, 6)
+              UNION ALL SELECT 'shape', '*', 'rows', CAST(rows AS DOUBLE)
+              UNION ALL SELECT 'shape', '*', 'columns', (SELECT CAST(count(*) AS DOUBLE) FROM (DESCRIBE bank_customers) d)) x
+UNION ALL
+SELECT split, 'missing', feature, m.metric, m.value, {none}
+FROM ({missing}) miss, LATERAL (SELECT 'count' AS metric, CAST(k AS DOUBLE) AS value UNION ALL SELECT 'percentage', round(k * 100.0 / n, 6)) m
+WHERE k > 0
+UNION ALL
+SELECT split, 'duplicates', '*', 'rows', CAST(sum(c - 1) AS DOUBLE), {none}
+FROM (SELECT split, {', '.join(_ALL)}, count(*) AS c FROM split_customers GROUP BY ALL) g GROUP BY split
+UNION ALL
+SELECT s.split, 'dtype', column_name, 'dtype', CAST(NULL AS DOUBLE), {_DTYPE_SQL}
+FROM (DESCRIBE bank_customers) d, (SELECT DISTINCT split FROM split_customers) s
+UNION ALL
+SELECT split, 'category', feature, value, CAST(count(*) AS DOUBLE), {none} FROM clong WHERE value IS NOT NULL GROUP BY split, feature, value
+UNION ALL
+SELECT s.split, 'status', '*', f.metric, f.value, {none} FROM ({flags}) f, (SELECT DISTINCT split FROM split_customers) s
+UNION ALL
+SELECT 'all', 'status', '*', 'validation_status', CAST(CAST(bool_and(ok) AS INT) AS DOUBLE), {none} FROM findings
 UNION ALL
-SELECT split, 'target', 'Exited', m.metric, m.value
-FROM (SELECT split, count(*) AS rows, CAST(count_if(Exited = 1) AS BIGINT) AS churned FROM split_customers GROUP BY split) t,
-     LATERAL (SELECT 'rows' AS metric, CAST(rows AS DOUBLE) AS value UNION ALL SELECT 'churned', CAST(churned AS DOUBLE)
-              UNION ALL SELECT 'churn_rate', round(churned / rows, 6)) m
+SELECT 'all', 'error', "column", "check", CAST(NULL AS DOUBLE), message FROM findings WHERE NOT ok
 UNION ALL
-SELECT 'drift', 'drift', feature, m.metric, m.value
+SELECT 'drift', 'drift', feature, m.metric, m.value, {none}
 FROM ksp, LATERAL (SELECT 'ks_statistic' AS metric, statistic AS value UNION ALL SELECT 'p_value', p_value
                    UNION ALL SELECT 'drift', CAST(CAST(p_value < 0.05 AS INT) AS DOUBLE)) m"""
     extra = (
         f"nlong AS ({stack_sql('split_customers', _RAW_NUMERIC, keep=['split'], cast='DOUBLE')}),\n"
+        + f"clong AS ({stack_sql('split_customers', S.CATEGORICAL_COLUMNS, keep=['split'])}),\n"
+        + f"findings AS ({_schema_check_body()}),\n"
         + _ks_sql("split", "'train'", "'test'", "split_customers", KS_COLS, "")
     )
     return with_ctes(body, "SPLIT", extra=extra)

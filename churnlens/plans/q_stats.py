@@ -177,6 +177,22 @@ def q_kde_density(spark, sf_dir):
     return ST.kde_density(bank_customers(spark, sf_dir))
 
 
+@query(
+    "kde_age_by_geography",
+    with_ctes(
+        """SELECT 'Age' AS feature, st.Geography, st.Exited, k.k, round(18 + k.k * CAST(62 AS DOUBLE) / 99, 6) AS x,
+       round(sum(cnt * exp(-0.5 * power(((18 + k.k * CAST(62 AS DOUBLE) / 99) - value) / h, 2)) / (n * h * sqrt(2 * 3.141592653589793))), 10) AS density
+FROM st JOIN vc ON vc.Geography = st.Geography AND vc.Exited = st.Exited, (SELECT CAST(range AS INT) AS k FROM range(0, 100)) k
+GROUP BY st.Geography, st.Exited, k.k""",
+        extra="""vc AS (SELECT Geography, Exited, CAST(Age AS DOUBLE) AS value, count(*) AS cnt FROM bank_customers WHERE Age IS NOT NULL GROUP BY ALL),
+st AS (SELECT Geography, Exited, count(*) AS n, power(CAST(count(*) AS DOUBLE), -0.2) * stddev_samp(CAST(Age AS DOUBLE)) AS h
+       FROM bank_customers WHERE Age IS NOT NULL GROUP BY ALL HAVING stddev_samp(CAST(Age AS DOUBLE)) > 0)""",
+    ),
+)
+def q_kde_age_by_geography(spark, sf_dir):
+    return ST.kde_density(bank_customers(spark, sf_dir), ["Age"], points=100, by=["Geography", S.TARGET], bounds=(18, 80))
+
+
 @query(
     "ecdf",
     with_ctes(

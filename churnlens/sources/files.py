@@ -48,6 +48,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("column", T.StringType()),
     T.StructField("metric", T.StringType()),
     T.StructField("value", T.DoubleType()),
+    T.StructField("text", T.StringType()),
 ])
 
 
@@ -55,8 +56,8 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REPORT_SCHEMA).json(path)
+def read_report(spark: SparkSession, path: str, schema: T.StructType = REPORT_SCHEMA) -> DataFrame:
+    return spark.read.schema(schema).json(path)
 
 
 def versioned_write(df: DataFrame, root: str, run_id: str) -> None:

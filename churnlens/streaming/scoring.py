@@ -44,9 +44,10 @@ def stream_scoring(spark: SparkSession, events_dir: str, customers: DataFrame, p
     """Run until all available events are consumed (``availableNow``); returns the finished query."""
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        ids = batch.select("customer_id").distinct()
+        ids = batch.select("customer_id").distinct().persist()
         candidates = customers.join(ids, "customer_id", "left_semi")
-        score_and_append(spark, candidates, predictions_path, scorer, model_version)
+        score_and_append(spark, candidates, predictions_path, scorer, model_version, ids)
+        ids.unpersist()
 
     q = (
         arriving_customers(spark, events_dir, files_per_trigger)
