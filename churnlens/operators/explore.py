@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,12 +133,18 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS) -> D
     )
 
 
+def wide_stats(df: DataFrame, columns: Sequence[str], stats: dict[str, Callable[[Column], Column]], keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, feature`` and each of ``stats`` of every column: one aggregate over the rows as they
+    are; only its result, a row per group, is unpivoted."""
+    aggs = [fn(F.col(c).cast("double")).alias(f"{c}__{k}") for c in columns for k, fn in stats.items()]
+    wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}__{k}").alias(k) for k in stats]) for c in columns])
+    return wide.select(*keys, F.inline(rows))
+
+
 def univariate_stats(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS) -> DataFrame:
     """n, mean, sample std and bias-corrected (pandas) skewness per column."""
-    long = stack_columns(df, columns, as_string=False)
-    g = long.groupBy("feature").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.skewness("value").alias("g1")
-    )
+    g = wide_stats(df, columns, {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "g1": F.skewness})
     n = F.col("n").cast("double")
     adj = F.sqrt(n * (n - 1)) / (n - 2)
     return g.select(
@@ -147,10 +153,8 @@ def univariate_stats(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS)
 
 
 def class_summary(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS) -> DataFrame:
-    long = stack_columns(df, columns, keep=[S.TARGET], as_string=False)
-    return long.groupBy("feature", S.TARGET).agg(
-        F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_samp("value"), 6).alias("std")
-    )
+    g = wide_stats(df, columns, {"n": F.count, "mean": F.avg, "std": F.stddev_samp}, [S.TARGET])
+    return g.select("feature", S.TARGET, "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str] = S.NUMERIC_COLUMNS, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from churnlens import schema as S
 from churnlens.functions import features as FX
 from churnlens.functions.prefix import running_sums
 from churnlens.functions.stats import chi2_sf, ks_pvalue
-from churnlens.operators.explore import CROSSTAB_FEATURES, stack_columns
+from churnlens.operators.explore import CROSSTAB_FEATURES, stack_columns, wide_stats
 
 KS_FEATURES = S.NUMERIC_COLUMNS
 COHEN_FEATURES = ("CreditScore", "Age", "Tenure", "Balance", "EstimatedSalary")
@@ -106,17 +106,12 @@ def cramers_v(chi: DataFrame) -> DataFrame:
 
 def cohens_d(df: DataFrame, columns: Sequence[str] = COHEN_FEATURES) -> DataFrame:
     """(mean churned - mean retained) / pooled sample std, with effect label; one aggregation."""
-    long = stack_columns(df, columns, keep=[S.TARGET], as_string=False)
-    is1 = F.col(S.TARGET) == 1
-    is0 = F.col(S.TARGET) == 0
-    g = long.groupBy("feature").agg(
-        F.count(F.when(is0, F.col("value"))).alias("n0"),
-        F.count(F.when(is1, F.col("value"))).alias("n1"),
-        F.avg(F.when(is0, F.col("value"))).alias("m0"),
-        F.avg(F.when(is1, F.col("value"))).alias("m1"),
-        F.var_samp(F.when(is0, F.col("value"))).alias("v0"),
-        F.var_samp(F.when(is1, F.col("value"))).alias("v1"),
-    )
+    def of(label: int, fn):
+        return lambda value: fn(F.when(F.col(S.TARGET) == label, value))
+
+    g = wide_stats(df, columns, {
+        "n0": of(0, F.count), "n1": of(1, F.count), "m0": of(0, F.avg), "m1": of(1, F.avg), "v0": of(0, F.var_samp), "v1": of(1, F.var_samp),
+    })
     pooled = F.sqrt(((F.col("n0") - 1) * F.col("v0") + (F.col("n1") - 1) * F.col("v1")) / (F.col("n0") + F.col("n1") - 2))
     d = F.try_divide(F.col("m1") - F.col("m0"), pooled)
     return g.select("feature", F.round(d, 6).alias("cohens_d")).select(

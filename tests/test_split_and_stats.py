@@ -122,3 +122,13 @@ def test_feature_correlation_of_constant_and_opposite_columns(spark):
     df = spark.createDataFrame([(1.0, -2.0, 3.0), (2.0, -4.0, 3.0), (4.0, -8.0, 3.0)], "a double, b double, c double")
     got = {(r.var1, r.var2): r["corr"] for r in ST.feature_correlation(df, ["a", "b", "c"]).collect()}
     assert got["a", "b"] == -1.0 and got["a", "c"] is None and got["c", "c"] == 1.0
+
+
+def test_wide_stats_per_group_with_nulls(spark):
+    from churnlens.operators.explore import wide_stats
+
+    df = spark.createDataFrame([("x", 1, None), ("x", 3, 2.0), ("y", None, 4.0)], "k string, a int, b double")
+    got = {(r.k, r.feature): (r.n, r.m) for r in wide_stats(df, ["a", "b"], {"n": F.count, "m": F.avg}, ["k"]).collect()}
+    assert got == {("x", "a"): (2, 2.0), ("x", "b"): (1, 2.0), ("y", "a"): (0, None), ("y", "b"): (1, 4.0)}
+    empty = wide_stats(df.where("k = 'z'"), ["a"], {"n": F.count, "m": F.avg}).collect()
+    assert [(r.feature, r.n, r.m) for r in empty] == [("a", 0, None)]
