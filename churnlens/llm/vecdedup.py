@@ -6,9 +6,11 @@
 3. Each block builds a flat graph: near neighbours of each node, robustly pruned (a neighbour goes if a
    kept one is ``alpha`` times closer to it), with edges both ways, so a list is never longer than its
    block.  A node's lists from all of its blocks are united.
-4. Every node is a query in its nearest cluster: a greedy walk from the block's medoids over the united
-   lists, then a search that expands every node within the range plus a margin.  Links are verified
-   on the vectors in double precision.
+4. Every node is a query in its nearest cluster, its home, and in those of its other clusters that may
+   decide a pair: a greedy walk from the block's medoids over the united lists, then a search that
+   expands every node within the range plus a margin.  Links are verified on the vectors in double
+   precision.  A pair is decided in one cluster (a home of either that holds both, the lower of two),
+   where both directions meet, and a link counts for both ends whichever found it.
 5. An audit compares links of a bounded sample of nodes with brute force over all rows; below the
    target recall the overlap doubles and the graph is built again.
 
@@ -134,7 +136,8 @@ class Graph:
 
 
 def range_search(
-    x: np.ndarray, graph: Graph, queries: np.ndarray, own: np.ndarray, low: float, entries: np.ndarray
+    x: np.ndarray, graph: Graph, queries: np.ndarray, own: np.ndarray, low: float, entries: np.ndarray,
+    margin: float = MARGIN,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs of similarity at least ``low`` found over the graph.
 
@@ -142,7 +145,7 @@ def range_search(
     plus the margin.  ``own`` is the query's own node (-1 if it is elsewhere), whose list is expanded too."""
     n, m = len(x), len(queries)
     nodes, sims = _greedy(x, graph.wide, queries, entries, low)
-    near_by = (sims >= low - MARGIN) & (nodes >= 0)
+    near_by = (sims >= low - margin) & (nodes >= 0)
     near_by[np.arange(m), sims.argmax(1)] = True
     q, c = np.nonzero(near_by)
     q, node = np.concatenate((q, np.flatnonzero(own >= 0))), np.concatenate((nodes[q, c], own[own >= 0]))
@@ -158,7 +161,7 @@ def range_search(
         hit = s >= low
         hit_q.append(q[hit])
         hit_n.append(node[hit])
-        open_ = np.ones(len(q), bool) if start else s >= low - MARGIN
+        open_ = np.ones(len(q), bool) if start else s >= low - margin
         start = False
         q, node = graph.expand(q[open_], node[open_])
     return np.concatenate(hit_q), np.concatenate(hit_n)
@@ -198,62 +201,94 @@ def _build(dims: int):
 _FOUND = {"node": pa.int64(), "links": pa.int64(), "root": pa.int64()}
 
 
-def _search(dims: int, low: float):
-    def run(key: tuple, nodes: pa.Table, queries: pa.Table) -> pa.Table:
-        if not nodes.num_rows or not queries.num_rows:
-            return pa.table({k: pa.array([], t) for k, t in _FOUND.items()})
-        order = np.argsort(nodes.column("node").to_numpy(), kind="stable")
-        ids = nodes.column("node").to_numpy()[order]
-        x = _unit(V.matrix(nodes.column("x"), dims))[order]
-        copies = nodes.column("copies").to_numpy()[order]
-        near = nodes.column("near").combine_chunks().take(pa.array(order))
+class _Block:
+    """The nodes of one block of a cluster, ascending."""
+
+    def __init__(self, table: pa.Table, dims: int):
+        order = np.argsort(table.column("node").to_numpy(), kind="stable")
+        self.ids = table.column("node").to_numpy()[order]
+        self.x = _unit(V.matrix(table.column("x"), dims))[order]
+        self.copies, self.home = (table.column(c).to_numpy()[order] for c in ("copies", "home"))
+        held = table.column("held").combine_chunks()
+        self.held = np.asarray(held.flatten().to_numpy(zero_copy_only=False)).reshape(len(order), -1)[order]
+        near = table.column("near").combine_chunks().take(pa.array(order))
         flat = near.flatten().to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(ids)), np.asarray(near.value_lengths().fill_null(0)))
-        place = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
-        here = ids[place] == flat  # edges to nodes of this block
-        row, place = row[here], place[here]
-        graph = Graph(len(ids), row, place)
-        q_ids = queries.column("node").to_numpy()
-        q = _unit(V.matrix(queries.column("x"), dims))
-        own = np.minimum(np.searchsorted(ids, q_ids), len(ids) - 1)
-        own = np.where(ids[own] == q_ids, own, -1)
-        # Union-find over the block's nodes, then the queries.
-        parent = np.arange(len(ids) + len(q))
-        inside = np.flatnonzero(own >= 0)
-        _unite(parent, own[inside], inside + len(ids))
-        links = np.zeros(len(q), np.int64)
-        entries = medoids(x)
-        for lo in range(0, len(q), 128):
-            hq, hn = range_search(x, graph, q[lo : lo + 128], own[lo : lo + 128], low, entries)
-            hq = hq + lo
-            other = ids[hn] != q_ids[hq]
-            hq, hn = hq[other], hn[other]
-            np.add.at(links, hq, copies[hn])
-            _unite(parent, hq + len(ids), hn)
+        row = np.repeat(np.arange(len(order)), np.asarray(near.value_lengths().fill_null(0)))
+        place = np.minimum(np.searchsorted(self.ids, flat), len(order) - 1)
+        here = self.ids[place] == flat  # edges to nodes of this block
+        self.graph = Graph(len(order), row[here], place[here])
+        self.entries = medoids(self.x)
+
+
+def _decided(cluster: int, a: _Block, i: np.ndarray, b: _Block, j: np.ndarray) -> np.ndarray:
+    """Pairs (a[i], b[j]) that this cluster decides: of the two homes that hold both nodes, the lower."""
+    home_a, home_b = a.home[i], b.home[j]
+    in_a, in_b = home_a == cluster, home_b == cluster
+    b_holds = (a.held[i] == home_b[:, None]).any(1)
+    a_holds = (b.held[j] == home_a[:, None]).any(1)
+    return (in_a & in_b) | (in_a & ((cluster < home_b) | ~b_holds)) | (in_b & ((cluster < home_a) | ~a_holds))
+
+
+def _search(dims: int, low: float, margin: float):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        cluster, first, last = (k.as_py() for k in key[1:])
+        block = table.column("block").to_numpy()
+        if not ((block == first).any() and (block == last).any()):
+            return pa.table({k: pa.array([], t) for k, t in _FOUND.items()})
+        a = _Block(table.filter(pa.array(block == first)), dims)
+        b = a if first == last else _Block(table.filter(pa.array(block == last)), dims)
+        found = np.zeros((len(a.ids), len(b.ids)), bool)
+        for asked, at, out in ((a, b, found), (b, a, found.T)):
+            # Guests ask where this cluster may decide their pairs with nodes at home here.
+            who = np.flatnonzero(asked.home >= cluster)
+            for lo in range(0, len(who), 128):
+                q = who[lo : lo + 128]
+                own = q if asked is at else np.full(len(q), -1)
+                i, j = range_search(at.x, at.graph, asked.x[q], own, low, at.entries, margin)
+                i = q[i]
+                mine = _decided(cluster, asked, i, at, j) & (asked.ids[i] != at.ids[j])
+                out[i[mine], j[mine]] = True
+            if a is b:
+                found |= found.T.copy()
+                break
+        # Both ends of a link count it.  Union-find over a's nodes, then b's.
+        shift = 0 if a is b else len(a.ids)
+        parent = np.arange(shift + len(b.ids))
+        for lo in range(0, len(a.ids), 128):
+            i, j = np.nonzero(found[lo : lo + 128])
+            _unite(parent, i + lo, j + shift)
         root = _find(parent, np.arange(len(parent)))
-        every = np.concatenate((ids, q_ids))
-        counts = np.concatenate((np.zeros(len(ids), np.int64), links))
-        told = (every != every[root]) | (counts > 0)
-        return pa.table({"node": pa.array(every[told]), "links": pa.array(counts[told]), "root": pa.array(every[root][told])})
+        ids = a.ids if a is b else np.concatenate((a.ids, b.ids))
+        counts = _weighed(found, b.copies) if a is b else np.concatenate((_weighed(found, b.copies), _weighed(found.T, a.copies)))
+        told = (ids != ids[root]) | (counts > 0)
+        return pa.table({"node": pa.array(ids[told]), "links": pa.array(counts[told]), "root": pa.array(ids[root][told])})
 
     return run
 
 
+def _weighed(found: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    return np.array([copies[row].sum() for row in found], np.int64)
+
+
 def _deal(nodes: DataFrame, centers: np.ndarray, overlap: int, dims: int) -> DataFrame:
-    """Each node once per cluster that holds it; ``home`` marks its nearest."""
+    """Each node once per cluster that holds it; ``home`` is its nearest, ``held`` all of them."""
 
     def run(batches):
         for batch in batches:
             x = _unit(V.matrix(batch.column(3), dims))
             order = np.argsort(-(x @ centers.T - 0.5 * (centers**2).sum(1)), axis=1, kind="stable")
-            for k in range(min(overlap, len(centers))):
-                yield pa.record_batch([*batch.columns, pa.array(order[:, k].astype(np.int32)), pa.array(np.full(len(x), k == 0))], names=[*batch.schema.names, "cluster", "home"])
+            order = order[:, : min(overlap, len(centers))].astype(np.int32)
+            held = V.list_array(order)
+            for k in range(order.shape[1]):
+                yield pa.record_batch([*batch.columns, pa.array(order[:, k]), pa.array(order[:, 0]), held], names=[*batch.schema.names, "cluster", "home", "held"])
 
-    return nodes.select("node", "label", "copies", "x").mapInArrow(run, "node long, label string, copies long, x array<double>, cluster int, home boolean")
+    return nodes.select("node", "label", "copies", "x").mapInArrow(run, "node long, label string, copies long, x array<double>, cluster int, home int, held array<int>")
 
 
-def _links(nodes: DataFrame, centers: np.ndarray, overlap: int, dims: int, low: float, block_rows: int) -> DataFrame:
-    """``node, links, root``: per block and query, links found and a spanning forest."""
+def _links(
+    nodes: DataFrame, centers: np.ndarray, overlap: int, dims: int, low: float, block_rows: int, margin: float = MARGIN
+) -> DataFrame:
+    """``node, links, root``: per pair of blocks and node, links found and a spanning forest."""
     members = _deal(nodes, centers, overlap, dims)
     sizes = checkpointed(members.groupBy("label", "cluster").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")))
     dealt = members.join(sizes, ["label", "cluster"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -261,16 +296,12 @@ def _links(nodes: DataFrame, centers: np.ndarray, overlap: int, dims: int, low:
     block = ["label", "cluster", "block"]
     built = dealt.select(*block, "node", "x").groupBy(*block).applyInArrow(_build(dims), "node long, near array<long>")
     united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    # A block of nodes meets each block of queries of its shard.
-    targets = dealt.join(checkpointed(united), "node").select(
-        *block, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("asked"), "node", "copies", "x", "near"
-    )
-    queries = dealt.where("home").select(
-        "label", "cluster", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("block").alias("asked"), F.col("node").alias("q_node"), F.col("x").alias("q_x")
-    )
-    queries = queries.toDF("q_label", "q_cluster", "q_block", "q_asked", "node", "x")
-    pairs = targets.groupBy(*block, "asked").cogroup(queries.groupBy("q_label", "q_cluster", "q_block", "q_asked"))
-    return pairs.applyInArrow(_search(dims, low), "node long, links long, root long")
+    # Each two blocks of a cluster meet once, and each block meets itself.
+    meeting = dealt.join(checkpointed(united), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meeting = meeting.withColumns({"first": F.least("block", "other"), "last": F.greatest("block", "other")})
+    return meeting.select("label", "cluster", "first", "last", "block", "node", "copies", "x", "near", "home", "held").groupBy(
+        "label", "cluster", "first", "last"
+    ).applyInArrow(_search(dims, low, margin), "node long, links long, root long")
 
 
 def _audit(nodes: DataFrame, found: DataFrame, dims: int, low: float) -> float:

@@ -292,6 +292,18 @@ def test_vector_dedup_finds_the_links(spark):
         assert np.mean([got[i][1] == want[i][1] for i in want]) >= 0.98
 
 
+def test_vector_dedup_counts_a_link_at_both_ends(spark):
+    rng = np.random.default_rng(4)
+    x = vecdedup._unit(rng.normal(size=(1000, 64)))
+    y = vecdedup._unit(x + vecdedup._unit(rng.normal(size=x.shape)) * 0.3)  # near the threshold, each pair on its own
+    rows = [(2 * i + k, [float(c) for c in v], 0) for i, pair in enumerate(zip(x, y)) for k, v in enumerate(pair)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vecdedup.near_duplicates(df, overlap=2, target=0.0, block_rows=64).collect()}
+    found = [got[2 * i] + got[2 * i + 1] for i in range(1000)]
+    assert sum(f[0] for f in found) > 700
+    assert all(f in ((1, 2 * i, 1, 2 * i), (0, 2 * i, 0, 2 * i + 1)) for i, f in enumerate(found))
+
+
 def test_robust_pruned_graph():
     rng = np.random.default_rng(0)
     x = vecdedup._unit(rng.normal(size=(300, 8)))
