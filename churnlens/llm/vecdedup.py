@@ -11,8 +11,9 @@
    expands every node within the range plus a margin.  Links are verified on the vectors in double
    precision.  A pair is decided in one cluster (a home of either that holds both, the lower of two),
    where both directions meet, and a link counts for both ends whichever found it.
-5. An audit compares links of a bounded sample of nodes with brute force over all rows; below the
-   target recall the overlap doubles and the graph is built again.
+5. An audit compares links of a bounded sample of nodes with brute force over all rows.  Nodes weigh
+   equally, those of few and of many links apart; if the mean recall of either is below the target, the
+   overlap doubles, or once every cluster holds every node the margin, and the links are found again.
 
 Links are counted where they are found and only a spanning forest of each block leaves the task, so
 output is linear in the input even where a group of near copies holds a third of all rows.
@@ -20,6 +21,8 @@ output is linear in the input even where a group of near copies holds a third of
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,10 @@ from churnlens.llm.tables import checkpointed
 
 THRESHOLD = 0.93
 SAMPLE_ROWS = 32768  # rows that centroids are fitted on
-AUDIT_ROWS = 128
+AUDIT_ROWS = 512  # nodes of the audit's first draw
+AUDIT_MOST = 4096  # nodes of all its draws
+AUDIT_LINKED = 64  # nodes of few links that it wants to see
+FEW_LINKS = 16
 TARGET = 0.98
 MAX_CLUSTERS = 4096
 BLOCK_ROWS = 2048  # nodes of a block; clusters hold a quarter of that on average, before overlap
@@ -304,22 +310,45 @@ def _links(
     ).applyInArrow(_search(dims, low, margin), "node long, links long, root long")
 
 
-def _audit(nodes: DataFrame, found: DataFrame, dims: int, low: float) -> float:
-    """Share of the true links of a bounded sample of nodes that ``found(node, links)`` holds."""
-    drawn = nodes.orderBy(F.xxhash64(F.lit(SEED), F.col("node")), "node").limit(AUDIT_ROWS).select("node", "label", "x")
-    ids = drawn.collect()
-    q = _unit(np.array([r["x"] for r in ids], np.float64).reshape(len(ids), dims))
-    q_ids, q_labels = np.array([r["node"] for r in ids]), np.array([r["label"] for r in ids])
+def _true_links(nodes: DataFrame, rows: list, dims: int, low: float) -> DataFrame:
+    """``node, n``: the links of the nodes ``rows(node, label, x)`` by brute force over all nodes."""
+    q = _unit(np.array([r["x"] for r in rows], np.float64).reshape(len(rows), dims))
+    q_ids, q_labels = np.array([r["node"] for r in rows]), np.array([r["label"] for r in rows])
 
-    def true_links(batches):
+    def count(batches):
+        n = np.zeros(len(q_ids), np.int64)
         for batch in batches:
-            near = (_unit(V.matrix(batch.column(3), dims)) @ q.T >= low) & (np.array(batch.column(1).to_pylist())[:, None] == q_labels)
-            near &= batch.column(0).to_numpy()[:, None] != q_ids
-            yield pa.record_batch([pa.array(q_ids), pa.array((near * batch.column(2).to_numpy()[:, None]).sum(0))], names=["node", "n"])
+            ids, copies = (batch.column(c).to_numpy() for c in (0, 2))
+            x, labels = _unit(V.matrix(batch.column(3), dims)), np.array(batch.column(1).to_pylist())
+            for lo in range(0, len(q_ids), 256):
+                at = slice(lo, lo + 256)
+                i, j = np.nonzero(x @ q[at].T >= low)
+                same = (labels[i] == q_labels[at][j]) & (ids[i] != q_ids[at][j])
+                np.add.at(n, lo + j[same], copies[i[same]])
+        yield pa.record_batch([pa.array(q_ids), pa.array(n)], names=["node", "n"])
+
+    return nodes.select("node", "label", "copies", "x").mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+
 
-    true = nodes.select("node", "label", "copies", "x").mapInArrow(true_links, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    sums = true.join(found, "node", "left").agg(F.sum("n").alias("all"), F.sum(F.least("n", F.coalesce("links", F.lit(0)))).alias("got")).first()
-    return sums["got"] / sums["all"] if sums["all"] else 1.0
+def _audit(nodes: DataFrame, found: DataFrame, dims: int, low: float) -> float:
+    """Mean share of a node's true links that ``found(node, links)`` holds, over a sample of the nodes
+    that have any: the lesser of the means over nodes of few and of many links.
+
+    More nodes are drawn while too few of the drawn ones have a link, up to ``AUDIT_MOST``; 1 if none has."""
+    order = [F.xxhash64(F.lit(SEED), F.col("node")), F.col("node")]
+    few, many, drawn, wanted = [], [], 0, AUDIT_ROWS
+    while True:
+        rows = nodes.orderBy(*order).limit(wanted).select("node", "label", "x").collect()[drawn:]
+        if rows:
+            shares = _true_links(nodes, rows, dims, low).where("n > 0").join(found, "node", "left").select(
+                "n", F.least("n", F.coalesce("links", F.lit(0))).alias("got")
+            )
+            for r in shares.collect():
+                (few if r["n"] <= FEW_LINKS else many).append(r["got"] / r["n"])
+        drawn += len(rows)
+        if drawn < wanted or wanted >= AUDIT_MOST or len(few) >= AUDIT_LINKED:
+            return float(min((np.mean(c) for c in (few, many) if c), default=1.0))
+        wanted = min(4 * wanted, AUDIT_MOST)
 
 
 def near_duplicates(
@@ -347,12 +376,20 @@ def near_duplicates(
         k = int(np.clip(-(-4 * total // block_rows), 1, MAX_CLUSTERS))
         points = V.sample(nodes, "node", "x", total, SAMPLE_ROWS, dims, SEED)
         centers = V.centroids(_unit(points), k, SEED)
+        margin = MARGIN
         while True:
-            found = checkpointed(_links(nodes, centers, overlap, dims, threshold, block_rows))
+            found = checkpointed(_links(nodes, centers, overlap, dims, threshold, block_rows, margin))
             links = checkpointed(found.groupBy("node").agg(F.sum("links").alias("links")))
-            if overlap >= len(centers) or _audit(nodes, links, dims, threshold) >= target:
+            recall = _audit(nodes, links, dims, threshold)
+            if recall >= target:
+                break
+            if overlap < len(centers):
+                overlap *= 2
+            elif margin < 1 + threshold:  # below that, the search may still leave nodes unexpanded
+                margin *= 2
+            else:
+                warnings.warn(f"links found: {recall:.4f} of the true ones of a sampled node, {target} asked")
                 break
-            overlap *= 2
         parts = connected_components(found.select("node", "root"), "node", "root")
         classes = nodes.join(links, "node", "left").join(parts, "node", "left").select(
             F.col("label").alias("_label"), F.col("x").alias("_x"),

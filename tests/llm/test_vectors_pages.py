@@ -304,6 +304,31 @@ def test_vector_dedup_counts_a_link_at_both_ends(spark):
     assert all(f in ((1, 2 * i, 1, 2 * i), (0, 2 * i, 0, 2 * i + 1)) for i, f in enumerate(found))
 
 
+def test_vector_dedup_audit_weighs_nodes_equally(spark):
+    rng = np.random.default_rng(6)
+    core = vecdedup._unit(rng.normal(size=(1, 32))) + rng.normal(size=(600, 32)) * 0.02
+    apart = vecdedup._unit(rng.normal(size=(300, 32)))
+    x = vecdedup._unit(np.concatenate((core, np.repeat(apart, 2, 0) + rng.normal(size=(600, 32)) * 0.01)))
+    nodes = spark.createDataFrame([(i, "a", 1, [float(c) for c in v]) for i, v in enumerate(x)], "node long, label string, copies long, x array<double>")
+    links = (x @ x.T >= 0.93).sum(1) - 1
+    told = lambda rows: spark.createDataFrame([(int(i), int(links[i])) for i in rows], "node long, links long")
+    assert vecdedup._audit(nodes, told(range(1200)), 32, 0.93) == 1.0
+    assert vecdedup._audit(nodes, told(range(600)), 32, 0.93) == 0.0  # every pair lost beside the whole group
+    rare = nodes.where("node >= 1198").unionByName(
+        spark.range(1200, 4000).select("id", F.lit("b"), F.lit(1).cast("long"), F.transform(F.sequence(F.lit(1), F.lit(32)), lambda k: F.sin(F.col("id") * 7.7 * k))).toDF(*nodes.columns)
+    )
+    assert vecdedup._audit(rare, told([]), 32, 0.93) == 0.0  # a few linked nodes among thousands
+
+
+def test_vector_dedup_audits_the_last_overlap(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(rng.normal(size=(300, 8)))]
+    seen = []
+    monkeypatch.setattr(vecdedup, "_audit", lambda *a: seen.append(a) or 1.0)
+    vecdedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), overlap=3)
+    assert len(seen) == 1  # one cluster holds all
+
+
 def test_robust_pruned_graph():
     rng = np.random.default_rng(0)
     x = vecdedup._unit(rng.normal(size=(300, 8)))
