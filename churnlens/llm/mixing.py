@@ -97,14 +97,17 @@ def apportion(parties: DataFrame, house: Sequence[str], key: Column, votes: str,
 def mix_plan(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
     weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_WORDS,
-    docs_per_shard: int = DOCS_PER_SHARD, seed: int = SEED,
+    docs_per_shard: int = DOCS_PER_SHARD, seed: int = SEED, by_source: bool = False,
 ) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, taken`` and the block
     choice ``(before, passes, picks, shift, blocks)`` that ``taken`` follows from.
 
     ``taken`` counts words, repeats included, and is at most ``max_epochs * size``.  Null text: size
     0.  A null source is a source of its own, last.  Repeated rows count as often as they stand; rows
-    of one id are ordered by size.  Null ids come first in their shard.  Empty table: no rows."""
+    of one id are ordered by size.  Null ids come first in their shard.  Empty table: no rows.
+
+    The number of shards follows all rows, as in the SQL, or with ``by_source`` each source's own, so
+    that a small source beside large ones keeps whole blocks and reaches its target."""
     sized = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
     )
@@ -112,7 +115,13 @@ def mix_plan(
     m = F.round(F.col("total") / block_words).cast("long")
     quotas = apportion(sources.withColumn("seats", m), [], F.col("source").asc_nulls_last(), "target", "seats")
 
-    shards_of = sized.agg(F.greatest(F.ceil(F.count(F.lit(1)) / docs_per_shard), F.lit(1)).alias("s")).scalar()
+    if by_source:
+        # Only sources of more than one shard are listed: at most one per docs_per_shard rows.
+        cut = sized.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count(F.lit(1)) / docs_per_shard).alias("_shards")).where("_shards > 1")
+        sized = sized.join(F.broadcast(cut), F.col("source").eqNullSafe(F.col("_source")), "left")
+        shards_of = F.coalesce("_shards", F.lit(1))
+    else:
+        shards_of = sized.agg(F.greatest(F.ceil(F.count(F.lit(1)) / docs_per_shard), F.lit(1)).alias("s")).scalar()
     in_shard = sized.withColumn("shard", F.pmod(
         _draw(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), shards_of
     ))
@@ -154,14 +163,14 @@ def picked_slices(block_words: int = BLOCK_WORDS) -> Column:
     ))
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
-    """The mix itself, with the columns of ``docs(doc_id, text, source, ...)``: each document once per
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, by_source: bool = True, **options) -> DataFrame:
+    """The mix itself, by default with shards by source, with the columns of ``docs(doc_id, text, source, ...)``: each document once per
     whole pass, unchanged, and once more with the words of its picked blocks joined by spaces;
     ``n_chars``, if there, follows the text.  Documents of which no word is taken are absent."""
     keys = ["doc_id", "source", "size"]
     # Rows that repeat (id, source, size) are told apart by their number, in either frame.
     number = Window.partitionBy(*keys)
-    plan = mix_plan(docs, block_words=block_words, **options).withColumn("slices", picked_slices(block_words))
+    plan = mix_plan(docs, block_words=block_words, by_source=by_source, **options).withColumn("slices", picked_slices(block_words))
     plan = plan.where("taken > 0").withColumn("n", F.row_number().over(number.orderBy("before")))
     rows = docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("row")

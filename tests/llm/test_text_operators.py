@@ -289,6 +289,19 @@ def test_mixed_documents_hold_the_words_taken(documents, odd):
         assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
 
 
+@pytest.mark.parametrize("weights", [(5, 2, 1), (50, 50, 1)])
+def test_mixed_documents_of_a_small_source_beside_large_ones(spark, weights):
+    short, long = " ".join(["w"] * 20), " ".join(["v"] * 40)
+    rows = [(i, short, "small") for i in range(64)] + [(i, long, "ab"[i % 2]) for i in range(64, 1064)]
+    rows += [(i, short, None) for i in range(2000, 2064)]
+    sizes = {"a": 20000, "b": 20000, "small": 1280, None: 1280}
+    got = defaultdict(int)
+    for r in mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=weights, docs_per_shard=32).collect():
+        got[r["source"]] += len(r["text"].split())
+    for s, t in _slow_targets(sizes, weights).items():
+        assert abs(got[s] - t) <= max(3 * mixing.BLOCK_WORDS, 0.02 * t), (s, got[s], t)  # half a block of each of many shards
+
+
 def test_empty_tables(nothing):
     assert simhash.near_duplicates(nothing).count() == 0
     assert substring.deduplicate(nothing, with_text=True).count() == 0
