@@ -1,7 +1,8 @@
 """Main text of HTML pages by tree scoring.
 
-A forgiving parser builds the element tree of a whole page.  Boilerplate subtrees (menus, forms,
-adverts, comments and so on, by element, role or class words) go.  Each remaining paragraph earns
+A forgiving parser builds the element tree of a whole page.  Boilerplate subtrees (menus, hidden parts
+and so on, by element or role) go.  Forms and blocks with boilerplate words in class or id are only
+marked: they go unless they hold the article or most of the page's prose.  Each remaining paragraph earns
 points for its length and commas and passes them to its ancestors, less with each level; a container
 is discounted by the share of its text that stands in links.  The best container, widened to the
 article around it if there is one, is kept with those siblings that score enough of their own.
@@ -28,7 +29,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style noscript template head title meta link nav aside form button select option textarea input label "
+    "script style noscript template head title meta link nav aside button select option textarea input label "
     "fieldset legend iframe noembed noframes object embed applet canvas svg math audio video map dialog menu datalist footer".split()
 )
 BLOCKS = frozenset(
@@ -57,16 +58,28 @@ BAD_WORDS = frozenset(
     "social related recommended recommendations outbrain taboola widget widgets toc hidden skip copyright legal disclaimer "
     "form search".split()
 )
+#: Marked for these words, an element stays only where the page has no other prose.
+_STRICT = frozenset(
+    "ad ads adbox advert adverts advertisement advertising adsense banner banners sponsored promo promos comment comments commentlist "
+    "disqus respond reply replies cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login outbrain taboola".split()
+)
+#: Words that beside another one may as well name a part of an article.
+_TITLE_WORDS = frozenset(
+    "header related notice notices legal copyright disclaimer alert form search discussion social recommended recommendations promotion".split()
+)
+_LAYOUT = frozenset("layout wrap wrapper content container page main site".split())
+SOFT, STRICT, TITLE = 1, 2, 3  # marks
+LOW_LINK = 0.25
 _MODIFIERS = ("has", "with", "no", "without", "is")
 _SAFE = frozenset("html body article main".split())
 _COMMAS = re.compile("[,،、，﹐﹑､]")
 
 
 class _Node:
-    __slots__ = ("tag", "bad", "parent", "children", "points", "text", "linked")
+    __slots__ = ("tag", "bad", "mark", "parent", "children", "points", "text", "linked")
 
-    def __init__(self, tag: str, bad: bool, parent: "_Node | None"):
-        self.tag, self.bad, self.parent = tag, bad, parent
+    def __init__(self, tag: str, bad: bool, mark: int, parent: "_Node | None"):
+        self.tag, self.bad, self.mark, self.parent = tag, bad, mark, parent
         self.children: list[_Node | str] = []
         self.points = 0.0
         self.text = self.linked = 0  # code points in the subtree, and those in links
@@ -88,17 +101,37 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id") and tag not in HEADINGS:
-            for one in unescape(value).split():
-                words = [w.lower() for w in _WORD.findall(one)]
-                if words and words[0] not in _MODIFIERS and not BAD_WORDS.isdisjoint(words):
-                    return True
     return False
 
 
+def _mark(tag: str, attributes: str, in_article: bool) -> int:
+    """SOFT, STRICT or TITLE for a form or a block with boilerplate words in class or id, else 0."""
+    mark = SOFT if tag == "form" else 0
+    if not attributes or tag in _SAFE or tag in HEADINGS or tag not in BLOCKS:
+        return mark
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() not in ("class", "id"):
+            continue
+        value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
+        for one in unescape(value).split():
+            words = [w.lower() for w in _WORD.findall(one)]
+            bad = BAD_WORDS.intersection(words)
+            if not bad or words[0] in _MODIFIERS:
+                continue
+            if not _STRICT.isdisjoint(bad) and all(w in BAD_WORDS or w.isdigit() for w in words):
+                return STRICT
+            if not _STRICT.isdisjoint(bad):
+                # "comment-list" is strict too; a wrapper named after its layout is not.
+                mark = SOFT if not _LAYOUT.isdisjoint(words) and mark != STRICT else STRICT
+            elif mark in (0, TITLE):
+                other = any(w not in BAD_WORDS and not w.isdigit() for w in words)
+                mark = TITLE if in_article and other and bad <= _TITLE_WORDS else SOFT
+    return mark
+
+
 def parse(html: str) -> _Node:
     """The element tree; unclosed and misnested elements end where their parent does."""
-    root = node = _Node("#root", False, None)
+    root = node = _Node("#root", False, 0, None)
     at, articles = 0, 0
     while m := _TOKEN.match(html, at):
         at = m.end()
@@ -141,7 +174,7 @@ def parse(html: str) -> _Node:
                 while node is not end.parent:
                     articles -= node.tag in ("article", "main")
                     node = node.parent
-        child = _Node(tag, _is_boilerplate(tag, m[3], articles > 0), node)
+        child = _Node(tag, _is_boilerplate(tag, m[3], articles > 0), _mark(tag, m[3], articles > 0), node)
         node.children.append(child)
         if tag in VOID:
             continue
@@ -155,7 +188,7 @@ def parse(html: str) -> _Node:
     return root
 
 
-def _blocks(top: list, keep_bad: bool) -> list[tuple[_Node, str, int]]:
+def _blocks(top: list, keep_marked: bool = False) -> list[tuple[_Node, str, int]]:
     """Blocks of text in page order: (element that holds the text, text, code points in links)."""
     out: list[tuple[_Node, str, int]] = []
     held: list[str] = []
@@ -181,7 +214,7 @@ def _blocks(top: list, keep_bad: bool) -> list[tuple[_Node, str, int]]:
             held.append(item)
             if in_link:
                 linked += len(item.strip())
-        elif keep_bad or not item.bad:
+        elif not item.bad and (keep_marked or not item.mark):
             block = item.tag in BLOCKS
             if block:
                 close()
@@ -195,19 +228,82 @@ def _blocks(top: list, keep_bad: bool) -> list[tuple[_Node, str, int]]:
     return out
 
 
+def _points(text: str, linked: int) -> float:
+    size = len(text)
+    points = 1 + len(_COMMAS.findall(text)) + min(size / 100, 3.0) if size >= 25 else 0.0
+    return points * (1 - linked / size)
+
+
+def _link_share(blocks: list[tuple[_Node, str, int]]) -> float:
+    """Share of the blocks' text that stands in links; 1 if there is none."""
+    size = sum(len(t) for _, t, _ in blocks)
+    return sum(k for _, _, k in blocks) / size if size else 1.0
+
+
+def _lift_marks(root: _Node) -> None:
+    """Take the mark off elements that hold the article or most of the prose outside of marks."""
+    marked, homes, stack = [], [], [root]
+    while stack:
+        node = stack.pop()
+        if node.mark:
+            marked.append(node)
+        if node.tag in ("article", "main"):
+            homes.append(node)
+        stack.extend(c for c in reversed(node.children) if isinstance(c, _Node) and not c.bad)
+    if not marked:
+        return
+
+    def holders(node: _Node | None) -> list[_Node]:
+        """Marked elements around a node, from the inner one to the first strict one."""
+        out = []
+        while node is not None and not (out and out[-1].mark == STRICT):
+            if node.mark:
+                out.append(node)
+            node = node.parent
+        return out
+
+    free, own, held = 0.0, {}, {}
+    for home, text, linked in _blocks([root], True):
+        points, around = _points(text, linked), holders(home)
+        if not around:
+            free += points
+        for k, m in enumerate(around):
+            held[m] = held.get(m, 0.0) + points
+            if k == 0:
+                own[m] = own.get(m, 0.0) + points
+    mains = {m for n in homes if n.tag == "main" for m in holders(n)}
+    dropped = set()
+    for m in marked:  # outer ones first
+        up = m.parent
+        while up is not None and not up.mark:
+            up = up.parent
+        if up is not None and up in dropped or m.mark == STRICT:
+            dropped.add(m)
+            continue
+        keep = m in mains or held.get(m, 0.0) > free
+        if not keep and m.mark == TITLE:
+            m.mark = 0
+            inner = _blocks([m])
+            m.mark = TITLE
+            keep = _link_share(inner) < LOW_LINK and any(len(t) >= 25 or h.tag in HEADINGS for h, t, _ in inner)
+        if keep:
+            m.mark = 0
+            free += own.get(m, 0.0)
+        else:
+            dropped.add(m)
+
+
 def _score(blocks: list[tuple[_Node, str, int]]) -> list[_Node]:
     """Pass the points of each block to its ancestors; returns the containers that got any."""
     seen: dict[int, _Node] = {}
     for home, text, linked in blocks:
-        size = len(text)
-        points = 1 + len(_COMMAS.findall(text)) + min(size / 100, 3.0) if size >= 25 else 0.0
-        points *= 1 - linked / size
+        points = _points(text, linked)
         up = home.parent if home.tag in ("p", "pre", "blockquote", "li", "td", "dd", *HEADINGS) and home.parent else home
         level = 1.0
         while up is not None and up.tag != "#root":
             seen[id(up)] = up
             up.points += points / level
-            up.text += size
+            up.text += len(text)
             up.linked += linked
             level = 2.0 if level == 1.0 else level * 1.5
             up = up.parent
@@ -216,19 +312,37 @@ def _score(blocks: list[tuple[_Node, str, int]]) -> list[_Node]:
     return list(seen.values())
 
 
+def _unmark(root: _Node) -> None:
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        node.mark = 0
+        stack.extend(c for c in node.children if isinstance(c, _Node))
+
+
+def _joined(node: _Node) -> str:
+    return "\n\n".join(t for _, t, _ in _blocks([node]))
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks joined by a blank line; empty if there is none."""
     if not html:
         return ""
     root = parse(html)
-    blocks = _blocks([root], False)
+    _lift_marks(root)
+    blocks = _blocks([root])
+    if not any(_points(t, k) > 0 for _, t, k in blocks):
+        every = _blocks([root], True)
+        if not blocks or any(_points(t, k) > 0 for _, t, k in every):
+            _unmark(root)
+            blocks = every
     if not blocks:
         return ""
     found = _score(blocks)
     best = max(found, key=lambda n: n.points, default=None)
     if best is None or best.points <= 0:
         keep = [n for n in found if n.tag in ("article", "main")][:1]
-        return "\n\n".join(t for _, t, _ in (_blocks(keep, False) if keep else blocks))
+        return _joined(keep[0]) if keep else "\n\n".join(t for _, t, _ in blocks)
     up, around = best, None
     while up is not None:
         if up.tag == "article" or (up.tag == "main" and around is None):
@@ -243,7 +357,7 @@ def main_text(html: str | None) -> str:
     for s in best.parent.children:
         if s is best:
             kept.append(s)
-        elif isinstance(s, _Node) and not s.bad:
+        elif isinstance(s, _Node) and not s.bad and not s.mark:
             own = _blocks([s], False)
             size = sum(len(t) for _, t, _ in own)
             share = sum(k for _, _, k in own) / max(size, 1)

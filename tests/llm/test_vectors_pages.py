@@ -110,6 +110,22 @@ def test_html_leaves_boilerplate_out():
     assert html.main_text(split) == want
 
 
+def test_html_keeps_marked_elements_that_hold_the_page():
+    ps, want = "".join(f"<p>{t}</p>" for t in ARTICLE), "\n\n".join(ARTICLE)
+    aside = "<div class=sidebar><p>Sidebar text, short, with commas, and more.</p></div><div id=comments>" + "<p>A reader, says, this, and, that, at length.</p>" * 9 + "</div>"
+    for wrap in ("<div class='content-sidebar-wrap'>{}</div>", "<div class='layout-with-sidebar'><div id='page-header-and-content'>{}</div></div>", "<form>{}</form>", "<div class=widget>{}</div>"):
+        for inner in ("<div>{}</div>", "<article>{}</article>", "<main>{}</main>"):
+            assert html.main_text(_page(wrap.format(inner.format(ps) + aside) + "<form><p>Sign up, please, and, get, mail.</p></form>")) == want, (wrap, inner)
+    assert html.main_text(_page(f"<div class=comments>{ps}</div><div><a href=/>(c)</a></div>")) == want
+    parts = (
+        "<div class='section-header'><h2>Related</h2></div><section id='related-work'><p>Others have, of course, done this before us.</p></section>"
+        "<p class='notice-text'>A notice, which is, part of the text.</p><p>Under <span id='Legal_issues'>the law</span> it holds.</p>"
+    )
+    links = "<div class='related-posts'><ul><li><a href=/1>Another page of this site, to read</a></ul></div><div class=share>Share, this page, with all your friends</div>"
+    told = ["Related", "Others have, of course, done this before us.", "A notice, which is, part of the text.", "Under the law it holds."]
+    assert html.main_text(_page(f"<article>{ps}{parts}{links}</article>")) == "\n\n".join([*ARTICLE, *told])
+
+
 def test_html_odd_inputs():
     assert html.main_text(None) == html.main_text("") == html.main_text("<nav><p>menu</p></nav>") == ""
     assert html.main_text("plain text, no markup & no tags") == "plain text, no markup & no tags"
