@@ -4,8 +4,8 @@ A forgiving parser builds the element tree of a whole page.  Boilerplate subtree
 and so on, by element or role) go.  Forms and blocks with boilerplate words in class or id are only
 marked: they go unless they hold the article or most of the page's prose.  Each remaining paragraph earns
 points for its length and commas and passes them to its ancestors, less with each level; a container
-is discounted by the share of its text that stands in links.  The best container, widened to the
-article around it if there is one, is kept with those siblings that score enough of their own.
+is discounted by the share of its text that stands in links.  The best container is widened to the
+article around it or else to the ancestor over which prose is spread, without its linked parts.
 """
 
 from __future__ import annotations
@@ -324,6 +324,37 @@ def _joined(node: _Node) -> str:
     return "\n\n".join(t for _, t, _ in _blocks([node]))
 
 
+def _spread(best: _Node) -> _Node:
+    """The nearest ancestor over which the prose of ``best`` goes on, at least its parent, without the
+    linked parts on the way."""
+    path, top, started = best, best, False
+    linked: list[tuple[int, _Node]] = []
+    level = height = 0
+    while path.tag not in ("body", "html") and path.parent is not None and path.parent.tag != "#root":
+        prose, items = False, path.parent.children
+        for k, s in enumerate(items):
+            if isinstance(s, str) or s is path or s.bad or s.mark:
+                continue
+            own = _blocks([s])
+            if not own:
+                continue
+            in_text = s.tag not in BLOCKS and any(isinstance(n, str) and not n.isspace() for n in (*items[max(k - 1, 0) : k], *items[k + 1 : k + 2]))
+            if _link_share(own) < LOW_LINK:
+                prose = prose or any(_points(t, n) > 0 for _, t, n in own)
+            elif not in_text:
+                linked.append((level, s))
+        prose = prose or any(isinstance(s, str) and len(s.strip()) >= 25 for s in items)
+        if started and not prose:
+            break
+        path, level = path.parent, level + 1
+        if prose or level == 1:
+            top, height = path, level
+        started = started or prose
+    for at, s in linked:
+        s.bad = s.bad or at < height
+    return top
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks joined by a blank line; empty if there is none."""
     if not html:
@@ -348,23 +379,7 @@ def main_text(html: str | None) -> str:
         if up.tag == "article" or (up.tag == "main" and around is None):
             around = up
         up = up.parent
-    if around is not None:
-        return "\n\n".join(t for _, t, _ in _blocks([around], False))
-    if best.tag in ("body", "html") or best.parent is None:
-        return "\n\n".join(t for _, t, _ in _blocks([best], False))
-    kept: list[_Node] = []
-    least = max(10.0, best.points * 0.2)
-    for s in best.parent.children:
-        if s is best:
-            kept.append(s)
-        elif isinstance(s, _Node) and not s.bad and not s.mark:
-            own = _blocks([s], False)
-            size = sum(len(t) for _, t, _ in own)
-            share = sum(k for _, _, k in own) / max(size, 1)
-            prose = s.tag in ("p", "pre", "blockquote") and (size > 80 and share < 0.25 or 0 < size and share == 0)
-            if s.points >= least or prose or (s.tag in HEADINGS and share == 0):
-                kept.append(s)
-    return "\n\n".join(t for _, t, _ in _blocks(kept, False))
+    return _joined(around if around is not None else _spread(best))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

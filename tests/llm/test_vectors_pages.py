@@ -126,6 +126,18 @@ def test_html_keeps_marked_elements_that_hold_the_page():
     assert html.main_text(_page(f"<article>{ps}{parts}{links}</article>")) == "\n\n".join([*ARTICLE, *told])
 
 
+def test_html_keeps_all_parts_of_an_article():
+    more = [f"Paragraph number {i} of the longest part of this page, which goes on, and on, for a while." for i in range(20)]
+    long, short = "".join(f"<p>{t}</p>" for t in more), "<h2>Next</h2><p>A short part, of one sentence.</p><p>And another.</p>"
+    rest = "<ul><li>one</li><li>two</li></ul>bare <a href=/>linked</a> text<table><tr><td>1</td><td>2</td></tr></table><figure><figcaption>Fig</figcaption></figure>"
+    links = "<ul><li><a href=/a>More of this site</a></li><li><a href=/b>Even more</a></li></ul>"
+    told = ["Next", "A short part, of one sentence.", "And another.", "one", "two", "bare linked text", "1", "2", "Fig"]
+    for part in ("<section>{}</section>", "<section><div>{}</div></section>", "<div><div>{}</div></div>"):
+        body = part.format(long) + part.format(short) + rest + links
+        for page in (body, f"<div id=x><div>{body}</div></div>"):
+            assert html.main_text(_page(page)).split("\n\n") == [*more, *told], (part, page[:20])
+
+
 def test_html_odd_inputs():
     assert html.main_text(None) == html.main_text("") == html.main_text("<nav><p>menu</p></nav>") == ""
     assert html.main_text("plain text, no markup & no tags") == "plain text, no markup & no tags"
