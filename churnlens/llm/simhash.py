@@ -16,7 +16,7 @@ fingerprints, so links within a hot value cost a constant number of rows per fin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +50,9 @@ def _fingerprint_chunk(texts: list[bytes], shingle: int) -> np.ndarray:
     return np.packbits(bits, axis=1).view(">u8").astype(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp)``: the signed 64-bit SimHash of each row's lower-cased (A-Z) word shingles.
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, also: Sequence[Column] = ()) -> DataFrame:
+    """``(id, fp)`` and the columns ``also``: the signed 64-bit SimHash of each row's lower-cased (A-Z)
+    word shingles.
 
     A text of fewer words than a shingle is one shingle; null and wordless texts have fp 0."""
 
@@ -60,10 +61,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             texts = W.text_bytes(batch.column(1))
             fps = [_fingerprint_chunk(texts[a:b], shingle) for a, b in W.chunks(texts)]
             fp = np.concatenate(fps) if fps else np.empty(0, np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *also)
+    more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(run, f"doc_id long, fp long{more}")
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -140,6 +142,12 @@ def near_duplicates(
     Rows of one text share a fingerprint and so a component.  A null id stays a row of its own and
     is never the smallest id; a component of null ids only has a null component_id.  Empty table: no rows."""
     prints = checkpointed(fingerprints(docs, id_col, text_col, shingle))
+    classes = _classes(prints, max_bits, bucket_rows)
+    return prints.join(classes.drop("component"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _classes(prints: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """``fp, component, component_id`` of each fingerprint of ``prints(doc_id, fp)``."""
     reps = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     parts = connected_components(links(reps.select("fp"), max_bits, bucket_rows), "a", "b")
     placed = reps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
@@ -147,8 +155,22 @@ def near_duplicates(
     )
     placed = checkpointed(placed)
     least = checkpointed(placed.groupBy("component").agg(F.min("rep").alias("component_id")))
-    classes = checkpointed(placed.join(least, "component").select("fp", "component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return checkpointed(placed.join(least, "component").select("fp", "component", "component_id"))
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
+    bucket_rows: int = 128,
+) -> DataFrame:
+    """One row of ``docs`` per component of ``near_duplicates``, unchanged: that of the smallest id, nulls
+    last, and of rows of that id the one whose text has the smallest hash."""
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    prints = checkpointed(fingerprints(docs, id_col, text_col, shingle, [digest.alias("digest")]))
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    first = prints.join(_classes(prints, max_bits, bucket_rows), "fp").groupBy("component").agg(F.min(key).alias("_first"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_first.doc_id")) & (F.col("_digest") == F.col("_first.digest"))
+    kept = docs.withColumn("_digest", digest).join(checkpointed(first), same, "left_semi")
+    return kept.dropDuplicates([id_col, "_digest"]).drop("_digest")
 
 
 def hex_fingerprint(fp: Column) -> Column:

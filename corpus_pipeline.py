@@ -24,12 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each SimHash component.  Rows without an id all stay; of rows
-    that repeat an id, one stays."""
-    classes = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each SimHash component: that of smallest id, rows without an id last, then that
+    of the smallest text hash."""
+    return simhash.one_of_each(docs, shingle=3, max_bits=2)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,6 +62,19 @@ def test_simhash_equals_brute_force(documents, odd, bucket_rows):
         assert sorted((tuple(r) for r in rows), key=str) == _slow_near(_docs(df))
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_component(spark, documents):
+    import corpus_pipeline
+
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(1, x), (5, x), (5, y), (5, z), (5, z), (None, x), (None, "only " + y[::-1]), (None, "only " + y[::-1]), (7, z)]
+    got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, x), (5, y), (5, z), (None, "only " + y[::-1])]))
+    want = simhash.near_duplicates(documents).where("doc_id = component_id").select("doc_id").collect()
+    kept = corpus_pipeline.near_duplicate_stage(spark, documents, "")
+    assert kept.columns == documents.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in want)
+
+
 def test_simhash_links_of_a_dense_group(spark):
     rng = np.random.default_rng(1)
     base = [int(x) for x in rng.integers(0, 2**63, 3)]
