@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.llm import ann, bpe, divergence, html, mixing, quality, simhash, substring, urlfilter, vecdedup, warc
+from churnlens.llm import ann, bpe, conversations, divergence, fingerprint, html, mixing, quality, simhash, substring, urlfilter, vecdedup, warc
 from churnlens.llm.tables import table
 from churnlens.plans.registry import shipped
 from churnlens.session import scratch_path
@@ -90,10 +90,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vecdedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+@_query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+@_query("op12_document_fingerprints")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 @_query("op13_source_divergence")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
 ORACLES["op6_source_mix"] = mixing.oracle_sql()
+ORACLES["op11_conversation_repair"] = conversations.oracle_sql()
+ORACLES["op12_document_fingerprints"] = fingerprint.oracle_sql()
 ORACLES["op13_source_divergence"] = divergence.oracle_sql()
