@@ -222,8 +222,8 @@ class Piece:
             first, last, distinct = self.turns
             self.turns = [turn if first is None else first, turn, distinct + (turn != last)]
 
-    def full(self) -> bool:
-        return len(self.roles) >= BLOCK_ROWS or self.bytes >= BLOCK_BYTES
+    def full(self, block_rows: int) -> bool:
+        return len(self.roles) >= block_rows or self.bytes >= BLOCK_BYTES
 
     def kinds(self, seen: set[bytes] = frozenset()) -> str:
         known, out = set(seen), []
@@ -297,37 +297,40 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield from batch.slice(k, 64).to_pylist()
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of conversations that lie whole in this task, blocks of the others."""
-    from pyspark import TaskContext
+def _cut(block_rows: int):
+    """Results of conversations that lie whole in a task and in one block, blocks of the others."""
 
-    part = TaskContext.get().partitionId()
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def found() -> Iterator[dict]:
-        key, piece, number, first = None, Piece(), 0, True
+        rows = _pieces(_rows(batches), TaskContext.get().partitionId() << 32, block_rows)
+        return _batched(rows, _arrow(SORTED), weigh=lambda r: sum(map(len, r.get("texts") or ())))
 
-        def block() -> dict:
-            return {
-                "key": key, "block": part << 32 | number, "roles": piece.roles, "texts": piece.texts,
-                "turns": piece.turns, "digests": [digest(r, t) for r, t in zip(piece.roles, piece.texts)],
-            }
+    return cut
 
-        for r in _rows(batches):
-            if r["key"] != key or piece.full():
-                if r["key"] == key or first or number:
-                    if key is not None:
-                        yield block()
-                else:
-                    yield {"key": key} | repair(piece)
-                same = r["key"] == key
-                first = first and (key is None or same)
-                number = number + 1 if same else 0
-                key, piece = r["key"], Piece()
-            piece.add(r["turn"], r["role"], r["text"], r["copies"])
-        if key is not None:
-            yield block()
-
-    return _batched(found(), _arrow(SORTED), weigh=lambda r: sum(map(len, r.get("texts") or ())))
+
+def _pieces(rows: Iterator[dict], number: int, block_rows: int) -> Iterator[dict]:
+    key, piece, first, cut = None, Piece(), True, False
+
+    def block() -> dict:
+        return {
+            "key": key, "block": number, "roles": piece.roles, "texts": piece.texts,
+            "turns": piece.turns, "digests": [digest(r, t) for r, t in zip(piece.roles, piece.texts)],
+        }
+
+    for r in rows:
+        same = r["key"] == key
+        if key is not None and (not same or piece.full(block_rows)):
+            if same or first or cut:  # more of it follows, or may stand in the task before
+                yield block()
+                number += 1
+            else:
+                yield {"key": key} | repair(piece)
+            first, cut, piece = first and same, same, Piece()
+        key = r["key"]
+        piece.add(r["turn"], r["role"], r["text"], r["copies"])
+    if key is not None:
+        yield block()
 
 
 ALIGNED = "key string, block long, roles array<string>, kinds string, costs array<bigint>"
@@ -441,19 +444,19 @@ def damaged(rows: DataFrame) -> DataFrame:
     )
 
 
-def repair_conversations(rows: DataFrame) -> DataFrame:
+def repair_conversations(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row for each conversation of ``damaged``-like ``rows(key, turn, role, text, copies)``:
     ``key, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256``.
 
     Rows stand by turn, nulls first; rows of one turn by role and text, in code point order, so that
     equal rows are adjacent and any of them is the duplicate.  An empty role has no initial and fits no
     slot.  Turns may repeat, be negative or null (they then count for no gap).  Texts of any length;
-    a conversation of any length is aligned in blocks of ``BLOCK_ROWS``.  Empty table: no rows."""
+    a conversation of any length is aligned in blocks of ``block_rows``.  Empty table: no rows."""
     spark = rows.sparkSession
     order = ["key", F.col("turn").asc_nulls_first(), "role"]
     path = scratch_path(spark, "conversations")
     dealt = rows.repartitionByRange(*order, F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions(*order, "text")
-    dealt.withColumn("text", F.col("text").cast("binary")).mapInArrow(_cut, SORTED).write.parquet(path)
+    dealt.withColumn("text", F.col("text").cast("binary")).mapInArrow(_cut(block_rows), SORTED).write.parquet(path)
     cut = spark.read.schema(SORTED).parquet(path)
     names = [x.split()[0] for x in RESULT.split(", ")]
     whole = cut.where("block IS NULL").select("key", *names)
@@ -473,12 +476,12 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
     return whole.unionByName(chained)
 
 
-def damaged_and_repaired(conversations: DataFrame) -> DataFrame:
+def damaged_and_repaired(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``conv_id`` and the result columns for every conversation of ``conversations(conv_id, turn, role,
     text)``, null among them, after ``damaged``.  A conversation that lost all rows has zeros, an empty
     audit and the digest of nothing.  Other columns are not read."""
     kind = conversations.schema["conv_id"].dataType
-    out = repair_conversations(damaged(conversations))
+    out = repair_conversations(damaged(conversations), block_rows)
     conv = F.when(F.col("key") != "", F.expr("substring(key, 2)")).cast(kind)
     return out.select(conv.alias("conv_id"), *[c for c in out.columns if c != "key"])
 
