@@ -109,23 +109,24 @@ def edited_pairs(
     of id and text, and rows that are equal in both are one document in that order, though each is
     returned.  One document follows itself.  Empty table: no rows.  Other columns are not read."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), text)))
-    whole = docs.select(
-        F.col(id_col).alias("doc_id"), text.alias("text"), key.alias("key"), sketch(text, shingle, fraction).alias("sketch")
-    )
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    # The id stands in the key, so that both joins below want the same columns and share one exchange.
+    key = F.concat(F.md5(F.concat(name, F.lit(":"), text)), name)
+    whole = docs.select(key.alias("key"), text.alias("text"), sketch(text, shingle, fraction).alias("sketch"))
     narrow = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), F.length(text).cast("long").alias("n")).distinct()
     links = following(narrow, "doc_id", "key").select(
         F.col("key").alias("own_key"), F.expr("n div 2").cast("int").alias("half"), F.col("next.key").alias("key")
     )
     # The part of the next document that is needed, once for each key however often that document stands.
     ahead = (
-        whole.select("key", "text", "sketch").join(links, "key")
+        whole.join(links, "key")
         .select("own_key", F.left("text", F.col("half")).alias("head"), F.col("sketch").alias("next_sketch"))
         .groupBy(F.col("own_key").alias("key")).agg(F.first("head").alias("head"), F.first("next_sketch").alias("next_sketch"))
     )
     n = F.length("text").cast("long")
-    both = whole.select("key", "text", "sketch", "doc_id").join(ahead, "key").select(
-        "doc_id", n.alias("n_chars"), "sketch", "next_sketch",
+    doc_id = F.when(F.length("key") > 32, F.expr("substring(key, 33)")).cast(docs.schema[id_col].dataType)
+    both = whole.join(ahead, "key").select(
+        doc_id.alias("doc_id"), n.alias("n_chars"), "sketch", "next_sketch",
         F.concat(F.left("text", n - F.floor(n / 2)), F.col("head")).alias("edited"),
     )
     both = both.withColumn("edited_sketch", sketch(F.col("edited"), shingle, fraction))
