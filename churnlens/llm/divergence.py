@@ -1,9 +1,9 @@
 """Source divergence audit by chunk factorization.
 
 1. *Chunks.*  Documents are cut at white space.  Each task counts the chunks of its documents in
-   blocks of about ``BLOCK_PAIRS`` (document, chunk) pairs and writes one row per block, language and
+   blocks of about ``BLOCK_PAIRS`` (document, chunk) pairs and makes one row per block, language and
    distinct chunk: occurrences by source, number of documents and, where those are fewer than the
-   vocabulary threshold, which documents.
+   vocabulary threshold, which documents.  The rows are kept in buckets of language and chunk.
 2. *Terms.*  Each globally distinct chunk is tokenized once and its terms are joined back.
 3. *Vocabulary.*  A term is in at least as many documents as its most frequent chunk and in at most as
    many as its chunks together.  Where the threshold lies between, all its chunks are rare, so the
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.llm.tables import shuffle_partitions
 from churnlens.session import scratch_path
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -30,20 +31,20 @@ MIN_DOCS = 30
 TOP_TERMS = 50
 SCALE = 1_000_000_000
 PRIOR = 5
-BLOCK_PAIRS = 2_000_000
+BLOCK_PAIRS = 3_000_000
 BLOCK_TERMS = 2048
 OUT_ROWS = 50_000
 
 CHUNK_SCHEMA = (
-    "lang string, source string, chunk string, docs long, in_docs array<bigint>, counts array<struct<source:string,n:bigint>>"
+    "lang string, source string, chunk string, docs int, block long, in_docs array<int>, sources array<string>, times_in array<bigint>"
 )
 
 
 class _Block:
-    """Chunks of a bounded run of documents; document numbers are unique over all blocks."""
+    """Chunks of a bounded run of documents."""
 
     def __init__(self, number: int, rare: int):
-        self.first, self.rare = number << 21, rare
+        self.number, self.rare = number, rare
         self.chunks: dict[bytes, int] = {}
         self.langs: dict[str, int] = {}
         self.sources: dict[str, int] = {}
@@ -61,73 +62,71 @@ class _Block:
         if not found:
             return
         known = self.chunks
-        self.codes.append(np.fromiter((known.setdefault(c, len(known)) for c in found), np.int64, len(found)))
-        self.times.append(np.fromiter(found.values(), np.int64, len(found)))
+        self.codes.append(np.fromiter((known.setdefault(c, len(known)) for c in found), np.int32, len(found)))
+        self.times.append(np.fromiter(found.values(), np.int32, len(found)))
         self.doc_lang.append(at)
         self.doc_source.append(by)
         self.pairs += len(found)
 
-    def tables(self) -> Iterator[pa.RecordBatch]:
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """A row per group, then a row per language and chunk, whose documents and sources are slices of
+        the pairs in that order."""
         langs, sources, chunks = list(self.langs), list(self.sources), list(self.chunks)
-        groups = sorted(self.groups)
-        yield _batch(
-            [langs[a] for a, _ in groups], [sources[b] for _, b in groups], [None] * len(groups),
-            np.zeros(len(groups), np.int64), np.zeros(len(groups) + 1, np.int64), np.empty(0, np.int64),
-            np.zeros(len(groups) + 1, np.int64), [], np.empty(0, np.int64),
-        )
+        groups, none = sorted(self.groups), np.empty(0, np.int32)
+        flat = np.zeros(len(groups) + 1, np.int32)
+        yield self._batch([langs[a] for a, _ in groups], [sources[b] for _, b in groups], [None] * len(groups), flat[1:], flat, none, flat, [], none)
         if not self.pairs:
             return
         sizes = [len(x) for x in self.codes]
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        code, n = np.concatenate(self.codes), np.concatenate(self.times)
-        lang, source = np.asarray(self.doc_lang)[doc], np.asarray(self.doc_source)[doc]
-        order = np.lexsort((source, lang * len(chunks) + code))
-        key, source, doc, n = (lang * len(chunks) + code)[order], source[order], doc[order], n[order]
+        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        key = np.asarray(self.doc_lang)[doc] * len(chunks) + np.concatenate(self.codes)
+        order = np.argsort(key * len(sources) + np.asarray(self.doc_source)[doc], kind="stable")
+        key, doc, n = key[order], doc[order], np.concatenate(self.times)[order]
+        source = np.asarray(self.doc_source, np.int32)[doc]
+        del order
         new_row = np.concatenate(([True], key[1:] != key[:-1]))
-        new_part = new_row | np.concatenate(([True], source[1:] != source[:-1]))
-        rows, parts = np.flatnonzero(new_row), np.flatnonzero(new_part)
+        parts = np.flatnonzero(new_row | np.concatenate(([True], source[1:] != source[:-1])))
+        rows = np.flatnonzero(new_row)
         docs = np.diff(np.append(rows, len(key)))
-        total = np.add.reduceat(n, parts)
+        total = np.add.reduceat(n, parts, dtype=np.int64)
         part_at = np.append(np.searchsorted(parts, rows), len(parts))
         for a in range(0, len(rows), OUT_ROWS):
             b = min(a + OUT_ROWS, len(rows))
             pairs = slice(rows[a], rows[b] if b < len(rows) else len(key))
             p0, p1 = part_at[a], part_at[b]
             few = docs[a:b] < self.rare
-            yield _batch(
-                [langs[k // len(chunks)] for k in key[rows[a:b]].tolist()], [None] * (b - a),
-                [chunks[k % len(chunks)] for k in key[rows[a:b]].tolist()], docs[a:b],
-                np.concatenate(([0], np.cumsum(np.where(few, docs[a:b], 0)))),
-                self.first + doc[pairs][np.repeat(few, docs[a:b])],
+            heads = key[rows[a:b]].tolist()
+            yield self._batch(
+                [langs[k // len(chunks)] for k in heads], [None] * (b - a), [chunks[k % len(chunks)] for k in heads], docs[a:b],
+                np.concatenate(([0], np.cumsum(np.where(few, docs[a:b], 0)))), doc[pairs][np.repeat(few, docs[a:b])],
                 part_at[a : b + 1] - p0, [sources[s] for s in source[parts[p0:p1]].tolist()], total[p0:p1],
             )
 
-
-def _batch(langs, sources, chunks, docs, doc_at, in_docs, part_at, names, n) -> pa.RecordBatch:
-    pair = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(n, pa.int64())], ["source", "n"])
-    return pa.RecordBatch.from_arrays([
-        pa.array(langs, pa.string()), pa.array(sources, pa.string()),
-        pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(docs, pa.int64()),
-        pa.ListArray.from_arrays(pa.array(doc_at, pa.int32()), pa.array(in_docs, pa.int64())),
-        pa.ListArray.from_arrays(pa.array(part_at, pa.int32()), pair),
-    ], ["lang", "source", "chunk", "docs", "in_docs", "counts"])
+    def _batch(self, langs, sources, chunks, docs, doc_at, in_docs, part_at, names, n) -> pa.RecordBatch:
+        part_at = pa.array(part_at, pa.int32())
+        return pa.RecordBatch.from_arrays([
+            pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()),
+            pa.array(docs, pa.int32()), pa.array([self.number] * len(langs), pa.int64()),
+            pa.ListArray.from_arrays(pa.array(doc_at, pa.int32()), pa.array(in_docs, pa.int32())),
+            pa.ListArray.from_arrays(part_at, pa.array(names, pa.string())), pa.ListArray.from_arrays(part_at, pa.array(n, pa.int64())),
+        ], ["lang", "source", "chunk", "docs", "block", "in_docs", "sources", "times_in"])
 
 
 def _count_blocks(block_pairs: int, rare: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId() << 20
-        block = _Block(task, rare)
+        number = TaskContext.get().partitionId() << 32
+        block = _Block(number, rare)
         for batch in batches:
             texts = batch.column(2).cast(pa.large_binary())
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
                 block.add(lang, source, text.as_py())
                 if block.pairs >= block_pairs:
-                    yield from block.tables()
-                    task += 1
-                    block = _Block(task, rare)
-        yield from block.tables()
+                    yield from block.batches()
+                    number += 1
+                    block = _Block(number, rare)
+        yield from block.batches()
 
     return count
 
@@ -151,6 +150,15 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` written in buckets of ``keys``, so that later joins and groups on them move it no more."""
+    spark = df.sparkSession
+    path, n = scratch_path(spark, "divergence-chunks"), shuffle_partitions(spark)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def vocabulary(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang, chunk, term, times`` for every term in at least ``min_docs`` documents of its language."""
     spread = chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
@@ -163,8 +171,8 @@ def vocabulary(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     unsure = bounds.where((F.col("least") < min_docs) & (F.col("most") >= min_docs)).select("lang", "term")
     listed = (
         terms.join(unsure, ["lang", "term"]).select("lang", "chunk", "term")
-        .join(chunks.where(F.size("in_docs") > 0).select("lang", "chunk", "in_docs"), ["lang", "chunk"])
-        .select("lang", "term", F.explode("in_docs").alias("doc")).distinct()
+        .join(chunks.select("lang", "chunk", "block", "in_docs"), ["lang", "chunk"])
+        .select("lang", "term", "block", F.explode("in_docs").alias("doc")).distinct()
         .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_docs).select("lang", "term")
     )
@@ -218,14 +226,14 @@ def audit(
     Null text, lang and source count as ''.  Every row is a document, repeated rows included.  Texts
     without terms still name their group.  A language without kept terms has pairs of value 0.  Ties of
     value rank by item in code point order.  Other columns are not read.  Empty table: no rows."""
-    blocks = _written(chunk_counts(docs, min_docs, block_pairs), "chunks")
+    blocks = _bucketed(chunk_counts(docs, min_docs, block_pairs), "lang", "chunk")
     groups = blocks.where("chunk IS NULL").select("lang", "source").distinct()
     chunks = blocks.where("chunk IS NOT NULL").drop("source")
     kept = _written(vocabulary(chunks, min_docs), "kept")
     counts = _written(
-        kept.join(chunks.select("lang", "chunk", "counts"), ["lang", "chunk"])
-        .select("lang", "term", "times", F.inline("counts"))
-        .groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n")),
+        kept.join(chunks.select("lang", "chunk", "sources", "times_in"), ["lang", "chunk"])
+        .select("lang", "term", "times", F.inline(F.arrays_zip("sources", "times_in")))
+        .groupBy("lang", F.col("sources").alias("source"), "term").agg(F.sum(F.col("times_in") * F.col("times")).alias("n")),
         "counts",
     )
     size = kept.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))
