@@ -1,4 +1,4 @@
-"""Classifiers, search and scoring on ``pyspark.ml`` (distributed training, no driver-side data).
+"""Class weights, folds and the classifiers of ``pyspark.ml`` that the learners are compared with.
 
 Estimator factories map the reference configurations onto Spark ML:
 sklearn ``C`` becomes ``regParam = 1 / (C * sum(weights))`` with ``standardization=False``;
@@ -7,18 +7,12 @@ sklearn ``C`` becomes ``regParam = 1 / (C * sum(weights))`` with ``standardizati
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.prefix import running_sums
@@ -59,7 +53,7 @@ def _reg(c: float, weight_sum: float) -> float:
 
 
 def estimator(name: str, weight_sum: float | None = None):
-    """Reference model configurations by name."""
+    """Model configurations by name (fixed values)."""
     if name == "gbt_production":
         return GBTClassifier(maxIter=200, stepSize=0.05, maxDepth=4, subsamplingRate=0.8, seed=SEED)
     if name == "gbt_baseline":
@@ -118,19 +112,6 @@ def evaluate_model(model, feats: DataFrame, keys: Sequence[str] = ("split",)) ->
     return hard.join(auc, list(keys))
 
 
-def model_facts(scored: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
-    """What must hold for any fitted binary classifier, counted on its output: every row has a finite
-    score and a 0/1 prediction, class support is that of the input, and scores rank better than chance."""
-    counts = scored.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("label").cast("long")).alias("positives"),
-        F.count_if(F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))).alias("finite_scores"),
-        F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("hard_predictions"),
-    )
-    auc = E.auc_from_scores(scored, keys=list(keys))
-    return counts.join(auc, list(keys)).withColumn("auc_above_chance", (F.col("roc_auc") > 0.5).cast("int")).drop("roc_auc")
-
-
 def persist(df: DataFrame) -> DataFrame:
     """Iterative learners pass over their input many times: keep it in memory, spilling to disk."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -145,191 +126,8 @@ def compact(df: DataFrame) -> DataFrame:
     return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
 
 
-def soft_voting(models: Sequence, feats: DataFrame) -> DataFrame:
-    """Mean P(churn) of several fitted models; predict churn iff the mean exceeds 0.5 (argmax)."""
-    out = feats
-    cols = []
-    for i, m in enumerate(models):
-        out = m.copy({m.probabilityCol: f"_p{i}", m.rawPredictionCol: f"_r{i}", m.predictionCol: f"_y{i}"}).transform(out)
-        cols.append(vector_to_array(f"_p{i}")[1])
-    avg = sum(cols[1:], cols[0]) / len(cols)
-    return out.withColumn("score", avg).withColumn("prediction", (F.col("score") > 0.5).cast("double"))
-
-
 def stratified_folds(df: DataFrame, k: int, label: str = "label", id_col: str = "CustomerId") -> DataFrame:
     """``fold`` = (rank within class by hash order) mod k, via exact two-phase running counts."""
     keyed = df.withColumns({"_k": F.struct(split_key(id_col).alias("h"), F.col(id_col).alias("i")), "_one": F.lit(1)})
     ranked = running_sums(keyed, [label], "_k", ["_one"])
     return ranked.withColumn("fold", ((F.col("cum__one") - 1) % k).cast("int")).drop("_k", "_one", "cum__one", "tot__one")
-
-
-def f1_positive_evaluator() -> MulticlassClassificationEvaluator:
-    """F1 of the positive class (Spark's plain ``f1`` is the weighted average)."""
-    return MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-
-
-# The tuning grids of the training job (min_samples_split has no Spark counterpart).
-GRIDS = {
-    "RandomForest": {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2]},
-    "GradientBoosting": {"maxIter": [100, 200], "maxDepth": [3, 5], "stepSize": [0.01, 0.1], "subsamplingRate": [0.8, 1.0]},
-    "XGBoost": {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.8, 1.0]},
-}
-
-
-def _base(model_name: str):
-    if model_name == "RandomForest":
-        return RandomForestClassifier(featureSubsetStrategy="sqrt", weightCol="weight", cacheNodeIds=True, checkpointInterval=10, seed=SEED), "balanced"
-    if model_name == "XGBoost":
-        return GBTClassifier(weightCol="weight", seed=SEED), "pos_scale"
-    return GBTClassifier(seed=SEED), None
-
-
-def cross_validate(est, maps: Sequence[dict], data: DataFrame, folds: int, evaluator, mode: str | None = None,
-                   parallelism: int = 8) -> list[float]:
-    """Mean held-out metric of each parameter map over ``data.fold``.
-
-    Class weights come from a fold's own training rows, so held-out labels carry no weight; column
-    ``unit`` is the weight of the maps that want none.  ``parallelism`` fits run side by side."""
-    totals = [0.0] * len(maps)
-    for k in range(folds):
-        tr = data.where(F.col("fold") != k).withColumn("unit", F.lit(1.0))
-        tr = persist(compact(with_weights(tr.drop("weight"), mode) if mode else tr))
-        va = persist(data.where(F.col("fold") == k))
-        fits = est.fitMultiple(tr, maps)
-
-        def one(_, fits=fits, va=va):
-            i, model = next(fits)
-            return i, evaluator.evaluate(model.transform(va))
-
-        with ThreadPool(min(parallelism, len(maps))) as pool:
-            for i, score in pool.imap_unordered(inheritable_thread_target(data.sparkSession)(one), range(len(maps))):
-                totals[i] += score
-        tr.unpersist()
-        va.unpersist()
-    return [t / folds for t in totals]
-
-
-def grid_search_cv(train: DataFrame, model_name: str = "RandomForest", folds: int = 3, parallelism: int = 8):
-    """Exhaustive grid, k-fold CV on positive-class F1; returns (best model, per-combination scores)."""
-    est, mode = _base(model_name)
-    checkpoint_dir(train.sparkSession)
-    data = persist(stratified_folds(train, folds))
-    grid = ParamGridBuilder()
-    for p, vals in GRIDS[model_name].items():
-        grid = grid.addGrid(est.getParam(p), vals)
-    maps = grid.build()
-    scores = cross_validate(est, maps, data, folds, f1_positive_evaluator(), mode, parallelism)
-    best = maps[max(range(len(maps)), key=lambda i: scores[i])]
-    whole = with_weights(data, mode) if mode else data
-    model = est.fit(compact(whole), best)
-    data.unpersist()
-    return model, [({p.name: v for p, v in m.items()}, s) for m, s in zip(maps, scores)]
-
-
-# The search space of the accuracy study (min_samples_split, kernels other than the
-# linear one and their gamma have no Spark counterpart).
-SEARCH_SPACE = {
-    "LinearSVC": {"C": (0.1, 100, "log"), "class_weight": [None, "balanced"]},
-    "RandomForest": {
-        "numTrees": (50, 300, "int"),
-        "maxDepth": (3, 20, "int"),
-        "minInstancesPerNode": (1, 10, "int"),
-        "bootstrap": [True, False],
-        "impurity": ["gini", "entropy", "log_loss"],
-        "class_weight": ["balanced", "balanced_subsample", None],
-    },
-}
-
-
-def sample_trials(space: dict, n_trials: int, seed: int = SEED) -> list[tuple[str, dict]]:
-    """Seeded draws: a family, then a value of each of its parameters, ``(low, high, 'int'|'log')`` or
-    a list of choices."""
-    rng = random.Random(seed)
-    trials = []
-    for _ in range(n_trials):
-        family = rng.choice(list(space))
-        drawn = {}
-        for name, spec in space[family].items():
-            if isinstance(spec, list):
-                drawn[name] = rng.choice(spec)
-            elif spec[2] == "int":
-                drawn[name] = rng.randint(spec[0], spec[1])
-            else:
-                drawn[name] = math.exp(rng.uniform(math.log(spec[0]), math.log(spec[1])))
-        trials.append((family, drawn))
-    return trials
-
-
-def _trial_map(est, drawn: dict, rows: float) -> dict:
-    """A drawn trial as Spark parameters; both balanced weightings are the weight column, and the log
-    loss is entropy."""
-    given = {k: v for k, v in drawn.items() if k not in ("C", "class_weight")}
-    given["weightCol"] = "weight" if drawn["class_weight"] else "unit"
-    if "C" in drawn:
-        given["regParam"] = _reg(drawn["C"], rows)  # weights of either kind sum to the number of rows
-    if given.get("impurity") == "log_loss":
-        given["impurity"] = "entropy"
-    return {est.getParam(k): v for k, v in given.items()}
-
-
-def random_search(train: DataFrame, n_trials: int = 50, folds: int = 3, parallelism: int = 8, space: dict = SEARCH_SPACE):
-    """Seeded random search over both families, k-fold CV accuracy; returns (best model, trials)."""
-    checkpoint_dir(train.sparkSession)
-    data = persist(stratified_folds(train, folds))
-    n = data.count()
-    trials = sample_trials(space, n_trials)
-    # Cached node ids: otherwise every task of a level carries the trees grown so far.
-    makers = {
-        "RandomForest": RandomForestClassifier(featureSubsetStrategy="sqrt", cacheNodeIds=True, checkpointInterval=10, seed=SEED),
-        "LinearSVC": LinearSVC(standardization=False, maxIter=100),
-    }
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    scores = [0.0] * n_trials
-    for family, est in makers.items():
-        mine = [i for i, (f, _) in enumerate(trials) if f == family]
-        if mine:
-            maps = [_trial_map(est, trials[i][1], n * (folds - 1) / folds) for i in mine]
-            for i, s in zip(mine, cross_validate(est, maps, data, folds, accuracy, "balanced", parallelism)):
-                scores[i] = s
-    family, drawn = trials[max(range(n_trials), key=lambda i: scores[i])]
-    whole = with_weights(data, "balanced").withColumn("unit", F.lit(1.0))
-    model = makers[family].fit(compact(whole), _trial_map(makers[family], drawn, n))
-    data.unpersist()
-    return model, [({"family": f, **d}, s) for (f, d), s in zip(trials, scores)]
-
-
-def kfold_score(train: DataFrame, name: str = "rf_baseline", folds: int = 5) -> DataFrame:
-    """Per fold its rows, positives, positive-class F1 and accuracy, and their means over all folds
-    (cross_val_score)."""
-    mode = WEIGHT_MODE.get(name)
-    data = persist(stratified_folds(train, folds))
-    rows = []
-    for k in range(folds):
-        tr, va = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
-        if mode:  # balanced from the fold's own training rows: held-out labels carry no weight
-            tr = with_weights(tr.drop("weight"), mode)
-        ws = tr.agg(F.sum("weight")).first()[0] if mode == "balanced" else None
-        model = estimator(name, ws).fit(compact(tr))
-        m = held_out_metrics(model.transform(va)).first()
-        rows.append((str(k), m["n"], m["positives"], m["f1"], m["accuracy"]))
-    data.unpersist()
-    _, ns, ps, f1s, accs = zip(*rows)
-    rows.append(("mean", sum(ns), sum(ps), sum(f1s) / folds, sum(accs) / folds))
-    return train.sparkSession.createDataFrame(rows, "fold string, n long, positives long, f1 double, accuracy double")
-
-
-def held_out_metrics(scored: DataFrame) -> DataFrame:
-    """``positives, n, accuracy, precision, recall, f1, roc_auc`` of hard predictions."""
-    cm = E.confusion(scored).withColumn("positives", (F.col("tp") + F.col("fn")).cast("bigint"))
-    return E.metrics_from_confusion(cm, ["positives"])
-
-
-def beats_coin(f1: Column, n: Column, positives: Column) -> Column:
-    """Whether an F1 is above that of a fair coin, p / (p + 0.5) at a share p of positives."""
-    p = positives / n
-    return (f1 > p / (p + 0.5)).cast("int")
-
-
-def scoring_pipeline(preprocessor: PipelineModel, model) -> PipelineModel:
-    """Raw rows -> features -> model, as one persisted unit (input frame is not mutated)."""
-    return PipelineModel([*preprocessor.stages, model])

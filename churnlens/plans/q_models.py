@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnlens import schema as S
+from churnlens.functions import features as FX
 from churnlens.operators import evaluate as E
 from churnlens.operators import models as ML
 from churnlens.operators import preprocess as PP
 from churnlens.operators import ranking as R
+from churnlens.operators import search as SR
 from churnlens.operators import stattests as ST
+from churnlens.operators import trees as TR
 from churnlens.plans.oracle_base import with_ctes
 from churnlens.plans.registry import query
 from churnlens.session import checkpoint_dir, scratch_path
@@ -452,13 +456,21 @@ def q_pipeline_persist(spark, sf_dir):
 
 
 # ---- models -------------------------------------------------------------------------------
+#
+# Model queries return ``model, part, name, value``: parts ``train`` and ``test`` hold the metrics of a
+# split, part ``coefficient`` or ``importance`` what was fitted, by column of the matrix.
 
+_METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "roc_auc_prob")
+
+
+def _long(metrics, model: str, names=_METRICS):
+    """Metric rows of a (split, metrics) frame."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names])).alias("m")
+    return metrics.select(F.lit(model).alias("model"), F.col("split").alias("part"), pairs).select("model", "part", "m.name", "m.value")
 
-def _train_eval(spark, sf_dir, name: str):
-    _, feats = _prod_frame(spark, sf_dir)
-    feats = ML.persist(feats)
-    model = ML.fit(name, feats.where("split = 'train'"))
-    return _settled(ML.model_facts(ML.positive_score(model.transform(feats))).withColumn("model", F.lit(name)), feats)
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "model string, part string, name string, value double")
 
 
 def _settled(result, *persisted):
@@ -470,149 +482,282 @@ def _settled(result, *persisted):
     return out
 
 
-def _facts_sql(name: str) -> str:
-    return with_ctes(
-        f"""SELECT '{name}' AS model, split, count(*) AS n, CAST(sum(Exited) AS BIGINT) AS positives,
-       count(*) AS finite_scores, count(*) AS hard_predictions, 1 AS auc_above_chance
-FROM split_customers GROUP BY split""",
-        "SPLIT",
+def _importances(model) -> list[tuple[str, float]]:
+    """Each column's share of all gains."""
+    gains = [0.0] * len(_MATRIX_NAMES)
+    for _, _, column, _, gain, _ in model.nodes():
+        if column >= 0:
+            gains[column] += gain
+    return [(n, round(g / sum(gains), 6) if sum(gains) else 0.0) for n, g in zip(_MATRIX_NAMES, gains)]
+
+
+def _fitted_rows(spark, name: str, model):
+    if hasattr(model, "trees"):
+        return _rows(spark, [(name, "importance", n, v) for n, v in _importances(model)])
+    if model.map is None:
+        values = zip([*_MATRIX_NAMES, "intercept"], model.coefficients.tolist())
+        return _rows(spark, [(name, "coefficient", n, round(v, 4) + 0.0) for n, v in values])
+    return _rows(spark, [(name, "landmarks", "directions", float(len(model.coefficients) - 1))])
+
+
+def _model_query(spark, sf_dir, name: str):
+    _, feats = _prod_frame(spark, sf_dir)
+    feats = ML.persist(feats)
+    model = SR.fit(feats.where("split = 'train'"), [SR.NAMED[name]])[0]
+    found = _long(SR.metrics(model.transform(feats)), name)
+    if not hasattr(model, "trees"):  # the last digits of sums of doubles follow the order of the rows
+        found = found.withColumn("value", F.round("value", 4))
+    return _settled(found.unionByName(_fitted_rows(spark, name, model)), feats)
+
+
+_MATRIX_DOUBLES = ", ".join(f"f_{i:02d}" for i in range(17))
+
+
+def _newton_ctes(c: float, rounds: int = 15) -> str:
+    """``scored(split, y, score)`` and ``newton(turn, b)``: a balanced logistic regression by Newton's
+    method, one step a recursion; the linear system is solved by Gauss-Jordan elimination."""
+    return _PF + ",\n" + _M1_ST + f""",
+matrix AS (SELECT split, CAST(Exited AS DOUBLE) AS y, [{_MATRIX_DOUBLES}, CAST(1 AS DOUBLE)] AS v
+  FROM (SELECT split, Exited, {_UNROUNDED} FROM pf, st)),
+trained AS MATERIALIZED (SELECT v, y, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY y)) AS w FROM matrix WHERE split = 'train'),
+newton AS (SELECT 0 AS turn, list_transform(range(18), lambda i: CAST(0 AS DOUBLE)) AS b UNION ALL
+  SELECT turn + 1, list_transform(b, lambda x, i: x + solved[i][19]) FROM (
+    SELECT turn, b, list_reduce(range(1, 19), lambda m, k: list_transform(m, lambda r, i: CASE
+      WHEN i = k THEN list_transform(r, lambda x: x / r[k])
+      ELSE list_transform(r, lambda x, j: x - r[k] * m[k][j] / m[k][k]) END), system) AS solved
+    FROM (SELECT turn, b, list(line ORDER BY i) AS system FROM (
+      SELECT turn, b, i, list_append(list(h ORDER BY j), any_value(g)) AS line FROM (
+        SELECT turn, b, i, j, {c} * sum(w * p * (1 - p) * v[i] * v[j]) + CASE WHEN i = j AND i < 18 THEN 1 ELSE 0 END AS h,
+          {c} * sum(w * (y - p) * v[i]) - CASE WHEN i < 18 THEN b[i] ELSE 0 END AS g
+        FROM (SELECT turn, b, v, y, w, 1 / (1 + exp(-list_inner_product(v, b))) AS p FROM newton, trained WHERE turn < {rounds}),
+          range(1, 19) x(i), range(1, 19) z(j)
+        GROUP BY turn, b, i, j) GROUP BY turn, b, i) GROUP BY turn, b))),
+solution AS MATERIALIZED (SELECT b FROM newton WHERE turn = {rounds}),
+scored AS MATERIALIZED (SELECT split, CAST(y AS INT) AS label, 1 / (1 + exp(-list_inner_product(v, b))) AS score, CAST(list_inner_product(v, b) > 0 AS INT) AS prediction
+  FROM matrix, solution),
+cells AS (SELECT split, count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+  count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 1 AND prediction = 1) AS tp FROM scored GROUP BY split),
+measured AS (SELECT split, (tp + tn) / (tp + tn + fp + fn) AS accuracy, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS "precision",
+  CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall, CASE WHEN tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1,
+  CASE WHEN tp + fn = 0 OR tn + fp = 0 THEN 0 ELSE (tp / (tp + fn) + tn / (tn + fp)) / 2 END AS roc_auc FROM cells),
+ranked AS (SELECT split, sum(CASE WHEN label = 1 THEN place END) AS s, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n
+  FROM (SELECT split, label, (rank() OVER w + (count(*) OVER (PARTITION BY split, score) - 1) / 2.0) AS place FROM scored WINDOW w AS (PARTITION BY split ORDER BY score))
+  GROUP BY split)"""
+
+
+def _newton_sql(name: str) -> str:
+    spec = SR.NAMED[name]
+    measures = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS model, split AS part, '{m}' AS name, round(round(CAST({m if m != 'precision' else chr(34) + m + chr(34)} AS DOUBLE), 6), 4) AS value FROM measured" for m in _METRICS[:-1]
     )
+    body = f"""{measures}
+UNION ALL SELECT '{name}', split, 'roc_auc_prob', round(round((s - p * (p + 1) / 2.0) / (p * n), 6), 4) FROM ranked
+UNION ALL SELECT '{name}', 'coefficient', ({[*_MATRIX_NAMES, 'intercept']})[i], round(b[i], 4) + 0.0 FROM solution, range(1, 19) r(i)"""
+    return with_ctes(body, "SPLIT", extra=_newton_ctes(spec.c)).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 def _register_model(name: str):
-    @query(name, _facts_sql(name))
+    @query(name, _newton_sql(name) if name.startswith("logreg") else None)
     def _q(spark, sf_dir, _name=name):
-        return _train_eval(spark, sf_dir, _name)
+        return _model_query(spark, sf_dir, _name)
 
     return _q
 
 
-for _name in ("gbt_production", "gbt_baseline", "rf_baseline", "rf_tuned", "logreg_baseline", "logreg_l2",
-              "logreg_notebook", "linear_svm", "gbt_weighted", "gbt_weighted_small", "gbt_default"):
+for _name in SR.NAMED:
     _register_model(_name)
 
 
-@query("soft_voting", _facts_sql("soft_voting"))
+@query("soft_voting")
 def q_soft_voting(spark, sf_dir):
+    """The vote of three families, metrics per split."""
     _, feats = _prod_frame(spark, sf_dir)
     feats = ML.persist(feats)
-    train = feats.where("split = 'train'")
-    models = [ML.fit(n, train) for n in ("rf_baseline", "gbt_baseline", "logreg_baseline")]
-    return _settled(ML.model_facts(ML.soft_voting(models, feats)).withColumn("model", F.lit("soft_voting")), feats)
-
-
-# Searches and single scores return facts that hold for any correct fit, next to what was tried; the
-# operators return the scores and models themselves.
-@query(
-    "grid_search_cv",
-    """SELECT t AS "numTrees", d AS "maxDepth", m AS "minInstancesPerNode", 1 AS score_valid, 1 AS best_is_top, 1 AS test_f1_beats_coin
-FROM (VALUES (100), (200)) a(t), (VALUES (10), (20), (30)) b(d), (VALUES (1), (2)) c(m)""",
-)
-def q_grid_search_cv(spark, sf_dir):
-    _, feats = _prod_frame(spark, sf_dir)
-    best, rows = ML.grid_search_cv(feats.where("split = 'train'"))
-    test = ML.held_out_metrics(best.transform(feats.where("split = 'test'"))).select(ML.beats_coin(F.col("f1"), F.col("n"), F.col("positives")).alias("b")).first()["b"]
-    top = max(s for _, s in rows)
-    chosen = {"numTrees": best.getNumTrees, "maxDepth": best.getMaxDepth(), "minInstancesPerNode": best.getMinInstancesPerNode()}
-    is_top = int(any(p == chosen and s == top for p, s in rows))
-    names = ("numTrees", "maxDepth", "minInstancesPerNode")
-    out = [(*(p[k] for k in names), int(0 < s <= 1), is_top, test) for p, s in rows]
-    return spark.createDataFrame(out, ", ".join(f"{k} int" for k in names) + ", score_valid int, best_is_top int, test_f1_beats_coin int")
-
-
-@query("random_search", "SELECT CAST(t AS INT) AS trial, 1 AS in_space, 1 AS beats_constant, 1 AS best_is_top FROM range(1, 51) r(t)")
-def q_random_search(spark, sf_dir):
-    """All 50 trials: whether each lies in the space and is more accurate than the rarer class alone
-    would be, and whether the refitted model is that of a best trial."""
-    _, feats = _prod_frame(spark, sf_dir)
-    train = feats.where("split = 'train'")
-    best, rows = ML.random_search(train)
-    share = train.agg(F.avg("label")).first()[0]
-    top = max(s for _, s in rows)
-    kind = "LinearSVC" if type(best).__name__.startswith("LinearSVC") else "RandomForest"
-    is_top = int(any(
-        s == top and p["family"] == kind and (kind == "LinearSVC" or (p["numTrees"], p["maxDepth"]) == (best.getNumTrees, best.getMaxDepth()))
-        for p, s in rows
-    ))
-    def inside(p):
-        spec = ML.SEARCH_SPACE[p["family"]]
-        return all(p[k] in v if isinstance(v, list) else v[0] <= p[k] <= v[1] for k, v in spec.items())
-
-    out = [(i + 1, int(inside(p)), int(min(share, 1 - share) < s <= 1), is_top) for i, (p, s) in enumerate(rows)]
-    return spark.createDataFrame(out, "trial int, in_space int, beats_constant int, best_is_top int")
-
-
-@query(
-    "kfold_score",
-    with_ctes(
-        """SELECT fold, CAST(sum(n) AS BIGINT) AS n, CAST(sum(positives) AS BIGINT) AS positives, 1 AS scores_valid, 1 AS mean_beats_coin
-FROM (SELECT unnest([CAST(k AS VARCHAR), 'mean']) AS fold, count(*) AS n, sum(Exited) AS positives
-  FROM (SELECT Exited, (row_number() OVER (PARTITION BY Exited ORDER BY (CustomerId * 2654435761) % 4294967296, CustomerId) - 1) % 5 AS k
-    FROM split_customers WHERE split = 'train') GROUP BY k)
-GROUP BY fold""",
-        "SPLIT",
-    ),
-)
-def q_kfold_score(spark, sf_dir):
-    _, feats = _prod_frame(spark, sf_dir)
-    scores = ML.kfold_score(feats.where("split = 'train'"), "rf_baseline", folds=5)
-    valid = F.col("f1").between(0, 1) & (F.col("accuracy") > 0) & (F.col("accuracy") <= 1)
-    better = ML.beats_coin(F.col("f1"), F.col("n"), F.col("positives"))
-    mean = scores.where("fold = 'mean'").select(better.alias("b")).first()["b"]  # one fold is too small to claim it
-    return scores.select("fold", "n", "positives", valid.cast("int").alias("scores_valid"), F.lit(mean).alias("mean_beats_coin"))
+    models = SR.fit(feats.where("split = 'train'"), [SR.NAMED[n] for n in _BAKEOFF])
+    return _settled(_long(SR.metrics(SR.soft_voting(models, feats)), "soft_voting"), feats)
 
 
 _BAKEOFF = ("logreg_baseline", "rf_baseline", "gbt_baseline")
 
 
-@query(
-    "model_bakeoff",
-    with_ctes(
-        f"""SELECT model, count(*) AS n, CAST(sum(Exited) AS BIGINT) AS positives, count(*) AS finite_scores, count(*) AS hard_predictions,
-  1 AS auc_above_chance
-FROM split_customers, (SELECT unnest({list(_BAKEOFF)}) AS model) WHERE split = 'test' GROUP BY model""",
-        "SPLIT",
-    ),
-)
+@query("model_bakeoff")
 def q_model_bakeoff(spark, sf_dir):
     """Three families on the same engineered features, judged on the test split."""
     _, out = _v2(spark, sf_dir)
     feats = ML.persist(out.select("CustomerId", "split", "features", "label"))
-    train, test = feats.where("split = 'train'"), feats.where("split = 'test'")
-    parts = [
-        ML.model_facts(ML.positive_score(ML.fit(name, train).transform(test))).drop("split").withColumn("model", F.lit(name))
-        for name in _BAKEOFF
+    test = feats.where("split = 'test'")
+    models = SR.fit(feats.where("split = 'train'"), [SR.NAMED[n] for n in _BAKEOFF])
+    parts = [_long(SR.metrics(m.transform(test)), n, ("accuracy", "f1", "roc_auc_prob")) for n, m in zip(_BAKEOFF, models)]
+    return _settled(parts[0].unionByName(parts[1]).unionByName(parts[2]), feats)
+
+
+_TRIALS = "trial int, family string, params string, score double, best int, test_accuracy double, test_f1 double"
+
+
+def _trials(spark, feats, trials):
+    """All trials, the best marked and judged on the test split after a fit on all training rows."""
+    best = SR.best_of(trials)
+    model = SR.fit(feats.where("split = 'train'"), [SR.spec_of(best.family, best.params)])[0]
+    m = E.classification_metrics(model.transform(feats.where("split = 'test'"))).first()
+    rows = [
+        (t.number, t.family, t.described(), round(t.score, 6), int(t is best), *((m["accuracy"], m["f1"]) if t is best else (None, None)))
+        for t in trials
     ]
-    result = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return _settled(result, feats)
+    return spark.createDataFrame(rows, _TRIALS)
 
 
-@query(
-    "score_raw",
-    with_ctes(
-        """SELECT CustomerId, 1 AS probability_valid, 1 AS tier_fits, 1 AS label_fits, 1 AS ranks_above_chance FROM bank_customers"""
-    ),
-)
-def q_score_raw(spark, sf_dir):
-    """Raw rows through preprocessor and model as one pipeline; per customer whether the probability,
-    its tier and its label agree, and whether scores rank the classes better than chance."""
-    from churnlens.functions import features as FX
+def _register_search(name: str, run):
+    @query(name)
+    def _q(spark, sf_dir):
+        _, feats = _prod_frame(spark, sf_dir)
+        feats = ML.persist(feats)
+        out = _trials(spark, feats, run(feats.where("split = 'train'")))
+        feats.unpersist()
+        return out
+
+    return _q
+
+
+_register_search("grid_search_cv", lambda train: SR.grid_search(train, "RandomForest"))
+_register_search("grid_search_boosting", lambda train: SR.grid_search(train, "GradientBoosting"))
+_register_search("grid_search_xgb", lambda train: SR.grid_search(train, "XGBoost"))
+_register_search("random_search", SR.random_search)
+_register_search("parzen_study_accuracy", lambda train: SR.study(train, SR.ACCURACY_SPACE, SR.accuracy, 3))
+_register_search("parzen_study_f1", lambda train: SR.study(train, SR.F1_SPACE, SR.f1, 5))
+
+
+@query("kfold_score")
+def q_kfold_score(spark, sf_dir):
+    """Per fold its held-out rows, positives, F1 and accuracy, and their means."""
+    _, feats = _prod_frame(spark, sf_dir)
+    held = SR.Folds(feats.where("split = 'train'"), 5)
+    cells = held.confusions([SR.NAMED["rf_baseline"]])[0]
+    held.close()
+    rows = [(str(k), sum(c), c[2] + c[3], SR.f1(c), SR.accuracy(c)) for k, c in enumerate(cells)]
+    _, ns, ps, f1s, accs = zip(*rows)
+    rows.append(("mean", sum(ns), sum(ps), sum(f1s) / 5, sum(accs) / 5))
+    out = spark.createDataFrame(rows, "fold string, n long, positives long, f1 double, accuracy double")
+    return out.withColumns({c: F.round(c, 6) for c in ("f1", "accuracy")})
 
+
+@query("score_raw")
+def q_score_raw(spark, sf_dir):
+    """Raw rows through preprocessor and model: probability of churn, tier and label per customer."""
     df = PP.with_label(_split(spark, sf_dir))
     train = df.where("split = 'train'")
     pre = PP.prod_preprocessor().fit(train)
-    feats = ML.persist(pre.transform(train))
-    model = ML.fit("gbt_baseline", feats)
-    feats.unpersist()
-    scorer = ML.scoring_pipeline(pre, model)
+    model = SR.fit(pre.transform(train), [SR.NAMED["gbt_production"]])[0]
     raw = bank_customers(spark, sf_dir).select("CustomerId", *S.FEATURE_COLUMNS)
     p = F.col("score")
-    scored = ML.persist(ML.positive_score(scorer.transform(raw)).select("CustomerId", "score", FX.risk_tier(p).alias("tier"), FX.churn_label_text(p).alias("label_text")))
-    labels = bank_customers(spark, sf_dir).select("CustomerId", F.col(S.TARGET).alias("label"))
-    auc = E.auc_from_scores(scored.join(labels, "CustomerId")).first()["roc_auc"]
-    low = F.when(p >= 0.7, "High").when(p >= 0.5, "Medium").otherwise("Low")
-    facts = scored.select(
-        "CustomerId", ((p >= 0) & (p <= 1)).cast("int").alias("probability_valid"), (F.col("tier") == low).cast("int").alias("tier_fits"),
-        ((F.col("label_text") == F.lit("Will Churn")) == (p > 0.5)).cast("int").alias("label_fits"), F.lit(int(auc > 0.5)).alias("ranks_above_chance"),
+    return model.transform(pre.transform(raw)).select(
+        "CustomerId", F.round(p, 6).alias("churn_probability"), FX.risk_tier(p).alias("risk_category"), FX.churn_label_text(p).alias("prediction")
+    )
+
+
+def _champion_sql() -> str:
+    """F1 on the test rows of two regularizations, and the decision."""
+    parts = []
+    for name in ("logreg_l2", "logreg_baseline"):
+        inner = with_ctes("SELECT round(CAST(f1 AS DOUBLE), 6) AS f1 FROM measured WHERE split = 'test'", "SPLIT", extra=_newton_ctes(SR.NAMED[name].c))
+        parts.append(f"({inner.replace('WITH ', 'WITH RECURSIVE ', 1)})")
+    return f"""SELECT c.f1 AS current_f1, n.f1 AS new_f1, round(n.f1 - c.f1, 6) AS improvement, CAST(n.f1 - c.f1 > {E.CHAMPION_MARGIN} AS INT) AS accepted
+FROM {parts[0]} c, {parts[1]} n"""
+
+
+@query("champion_challenger_models", _champion_sql())
+def q_champion_challenger_models(spark, sf_dir):
+    """The champion (C = 0.1) and a challenger (C = 1), both fitted, on one holdout."""
+    _, feats = _prod_frame(spark, sf_dir)
+    feats = ML.persist(feats)
+    models = SR.fit(feats.where("split = 'train'"), [SR.NAMED["logreg_l2"], SR.NAMED["logreg_baseline"]])
+    test = feats.where("split = 'test'")
+    current, new = (E.classification_metrics(m.transform(test)).select("f1") for m in models)
+    return _settled(E.champion_challenger(current, new), feats)
+
+
+# ---- trees, node by node ------------------------------------------------------------------
+
+_TREE_COLUMNS = ["CreditScore", "Age", "Tenure", "Balance", "NumOfProducts", "HasCrCard", "IsActiveMember", "EstimatedSalary", "IsGermany", "IsFemale"]
+_BOOSTED = TR.TreeSpec("boost", 3, 2, rate=0.3, l2=1.5, l1=0.5, gamma=0.2, min_child=2.0, weighting="pos_scale")
+_GROWN = TR.TreeSpec("forest", 1, 3, min_leaf=4, min_split=20, weighting="balanced")
+
+
+def _tree_sql(spec: TR.TreeSpec, name: str) -> str:
+    """The trees of ``spec`` in SQL: bins, then for each tree and level the histograms and best splits."""
+    scale, boost = f"CAST({TR.SCALE} AS DOUBLE)", spec.kind == "boost"
+    balanced = "CASE WHEN y = 1 THEN n / (2.0 * n1) ELSE n / (2.0 * n0) END"
+    weight = f"CAST({'CASE WHEN y = 1 THEN CAST(n0 AS DOUBLE) / n1 ELSE 1 END' if boost else balanced} AS DOUBLE)"
+
+    def score(a: str, b: str) -> str:
+        a, b = f"(({a}) / {scale})", f"(({b}) / {scale})"
+        if boost:
+            return f"CASE WHEN {b} + {spec.l2} > 0 THEN pow(sign({a}) * greatest(abs({a}) - {spec.l1}, 0), 2) / ({b} + {spec.l2}) ELSE 0 END"
+        return f"CASE WHEN {b} > 0 THEN -2 * {a} * ({b} - {a}) / {b} ELSE 0 END"
+
+    def value(a: str, b: str) -> str:
+        a, b = f"(({a}) / {scale})", f"(({b}) / {scale})"
+        return f"-{spec.rate} * (sign({a}) * greatest(abs({a}) - {spec.l1}, 0)) / ({b} + {spec.l2})" if boost else f"{a} / {b}"
+
+    parts = [f"""raw AS (SELECT CustomerId AS id, Exited AS y, *, CAST(Geography = 'Germany' AS INT) AS IsGermany, CAST(Gender = 'Female' AS INT) AS IsFemale
+  FROM split_customers WHERE split = 'train')""",
+        "long AS (" + " UNION ALL ".join(f"SELECT id, {i} AS c, CAST({c} AS DOUBLE) AS v FROM raw" for i, c in enumerate(_TREE_COLUMNS)) + ")",
+        f"""placed AS (SELECT id, c, least(CAST(floor((v - low) * CAST({TR.CELLS} AS DOUBLE) / CASE WHEN high > low THEN high - low ELSE 1 END) AS INT), {TR.CELLS - 1}) AS cell
+  FROM long JOIN (SELECT c, min(v) AS low, max(v) AS high FROM long GROUP BY c) USING (c))""",
+        f"""cells AS (SELECT c, cell, CAST((sum(n) OVER (PARTITION BY c ORDER BY cell) - n) * {TR.BINS} // sum(n) OVER (PARTITION BY c) AS INT) AS bin
+  FROM (SELECT c, cell, count(*) AS n FROM placed GROUP BY c, cell))""",
+        "binned AS MATERIALIZED (SELECT id, c, bin FROM placed JOIN cells USING (c, cell))",
+        f"""m0 AS (SELECT id, y, {weight} AS w, CAST(0 AS DOUBLE) AS m
+  FROM raw, (SELECT count(*) AS n, count(*) FILTER (y = 0) AS n0, count(*) FILTER (y = 1) AS n1 FROM raw))"""]
+    for t in range(spec.trees):
+        a, b = ("w * (p - y)", "w * p * (1 - p)") if boost else ("w * y", "w")
+        parts += [f"""s{t} AS MATERIALIZED (SELECT id, CAST(round_even({a} * {scale}, 0) AS BIGINT) AS a, CAST(round_even({b} * {scale}, 0) AS BIGINT) AS b
+  FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM m{t}))""", f"at{t}_0 AS (SELECT id, '' AS path FROM s{t})"]
+        for level in range(spec.depth):
+            parts += [f"""h{t}_{level} AS (SELECT path, c, bin, CAST(sum(a) AS DOUBLE) AS a, CAST(sum(b) AS DOUBLE) AS b, count(*) AS n
+  FROM at{t}_{level} JOIN s{t} USING (id) JOIN binned USING (id) GROUP BY path, c, bin)""",
+                f"""b{t}_{level} AS MATERIALIZED (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY gain DESC, c, bin) AS place FROM (
+    SELECT *, {score("la", "lb")} + {score("ta - la", "tb - lb")} - ({score("ta", "tb")}) AS gain FROM (
+      SELECT path, c, bin, sum(a) OVER w AS la, sum(b) OVER w AS lb, sum(n) OVER w AS ln,
+        sum(a) OVER (PARTITION BY path, c) AS ta, sum(b) OVER (PARTITION BY path, c) AS tb, sum(n) OVER (PARTITION BY path, c) AS tn
+      FROM h{t}_{level} WINDOW w AS (PARTITION BY path, c ORDER BY bin))
+    WHERE least(ln, tn - ln) >= {spec.min_leaf} AND least(lb, tb - lb) >= {spec.min_child} * {scale} AND tn >= {max(spec.min_split, 2 * spec.min_leaf) if level else 0}
+      {"" if boost or not level else "AND ta > 0 AND ta < tb"}))
+  WHERE place = 1 AND gain > {TR.MIN_GAIN} AND gain >= {spec.gamma})""",
+                f"""at{t}_{level + 1} AS (SELECT id, path || CASE WHEN b.bin <= s.bin THEN 'L' ELSE 'R' END AS path
+  FROM at{t}_{level} JOIN b{t}_{level} s USING (path) JOIN binned b USING (id, c))"""]
+        reached = " UNION ALL ".join(f"SELECT id, path FROM at{t}_{level}" for level in range(spec.depth + 1))
+        splits = " UNION ALL ".join(f"SELECT path, c, bin, gain FROM b{t}_{level}" for level in range(spec.depth))
+        parts += [f"""v{t} AS MATERIALIZED (SELECT path, {value("CAST(sum(a) AS DOUBLE)", "CAST(sum(b) AS DOUBLE)")} AS value FROM ({reached}) JOIN s{t} USING (id) GROUP BY path)""",
+            f"n{t} AS (SELECT {t} AS tree, path, c, bin, gain, value FROM v{t} LEFT JOIN ({splits}) USING (path))",
+            f"""m{t + 1} AS (SELECT id, y, w, m + value AS m FROM m{t} JOIN (SELECT id, arg_max(path, len(path)) AS path FROM ({reached}) GROUP BY id) USING (id) JOIN v{t} USING (path))"""]
+    body = "\nUNION ALL ".join(
+        f"""SELECT '{name}' AS model, CAST(tree AS INT) AS tree, path, ({_TREE_COLUMNS})[c + 1] AS "column", bin AS cut, round(gain, 6) AS gain, round(value, 6) + 0.0 AS value FROM n{t}"""
+        for t in range(spec.trees)
     )
-    return _settled(facts, scored)
+    return with_ctes(body, "SPLIT", extra=",\n".join(parts))
+
+
+def _node_query(spark, sf_dir, spec: TR.TreeSpec, name: str):
+    df = _split(spark, sf_dir).where("split = 'train'").withColumns({
+        "IsGermany": (F.col("Geography") == "Germany").cast("int"), "IsFemale": (F.col("Gender") == "Female").cast("int"), "label": F.col(S.TARGET),
+    })
+    feats = VectorAssembler(inputCols=_TREE_COLUMNS, outputCol="features").transform(df)
+    model = TR.fit(feats, [spec])[0]
+    rows = [
+        (name, t.number, path, *((_TREE_COLUMNS[c], cut, round(gain, 6)) if c >= 0 else (None, None, None)), round(v, 6) + 0.0)
+        for t in model.trees for path, c, cut, gain, v in zip(TR.paths(t), t.column, t.cut, t.gain, t.value)
+    ]
+    return spark.createDataFrame(rows, "model string, tree int, path string, column string, cut int, gain double, value double")
+
+
+@query("boosted_nodes", _tree_sql(_BOOSTED, "boosted"))
+def q_boosted_nodes(spark, sf_dir):
+    """Every node of three second-order trees with both penalties, least gain and child weight."""
+    return _node_query(spark, sf_dir, _BOOSTED, "boosted")
+
+
+@query("tree_nodes", _tree_sql(_GROWN, "grown"))
+def q_tree_nodes(spark, sf_dir):
+    """Every node of one weighted classification tree on all rows and columns."""
+    return _node_query(spark, sf_dir, _GROWN, "grown")

@@ -8,10 +8,8 @@ import __spark_entry__ as entry
 
 from conftest import SF_SMALL
 
-# Long fits and the optional operators, which have tests of their own, are left to tools/check_oracle.py.
-LONG = {"gbt_production", "gbt_baseline", "gbt_weighted", "gbt_weighted_small", "gbt_default", "rf_tuned", "soft_voting", "linear_svm", "logreg_notebook",
-        "logreg_baseline", "rf_baseline", "grid_search_cv", "random_search", "kfold_score", "model_bakeoff", "score_raw"}
-NAMES = sorted(n for n in entry.oracle_sql() if n not in LONG and not n.startswith(("op", "pipeline")))
+# The optional operators have tests of their own.
+NAMES = sorted(n for n in entry.oracle_sql() if not n.startswith(("op", "pipeline")))
 
 
 def _norm(v):
