@@ -36,6 +36,37 @@ def ks_pvalue_sql(d: str, n1: str, n2: str, dialect: str = "spark") -> str:
     return f"least(1.0, greatest(0.0, {raw}))"
 
 
+#: Largest sample for which the distribution is counted; beyond it the asymptotic one is used.
+KS_EXACT_ROWS = 10_000
+#: Above this lambda the probability is below 1e-13, so it is not counted either.
+KS_EXACT_LAMBDA = 4.0
+
+
+def ks_exact_pvalue(h: Column, n1: Column, n2: Column) -> Column:
+    """P(D >= h / (n1 n2)) of two samples of one continuous distribution, by lattice paths.
+
+    The merged sample is a path from (0, 0) to (m, n), m the smaller, each order equally likely.  The fold
+    goes through its m + n steps and holds, for the first coordinates i of a step that keep
+    |i n - j m| < h, the probability of being there and of never having been outside."""
+    m, n = F.least(n1, n2).cast("long"), F.greatest(n1, n2).cast("long")
+
+    def step(row: Column, t: Column) -> Column:
+        left = (m + n - t + 1).cast("double")
+        # i (m + n) lies strictly between t m - h and t m + h.
+        low = F.greatest(F.lit(0), t - n, F.floor((t * m - h) / (m + n)).cast("long") + 1)
+        high = F.least(m, t, F.ceil((t * m + h) / (m + n)).cast("long") - 1)
+
+        def before(i: Column) -> Column:
+            return F.coalesce(F.get(row["p"], (i - row["low"]).cast("int")), F.lit(0.0))
+
+        cells = F.transform(F.sequence(low, high), lambda i: before(i) * (n - (t - 1 - i)) / left + before(i - 1) * (m - i + 1) / left)
+        return F.struct(low.alias("low"), F.when(low <= high, cells).otherwise(F.array().cast("array<double>")).alias("p"))
+
+    start = F.struct(F.lit(0).cast("long").alias("low"), F.array(F.lit(1.0)).alias("p"))
+    inside = F.aggregate(F.sequence(F.lit(1).cast("long"), m + n), start, step, lambda row: F.coalesce(F.get(row["p"], F.lit(0)), F.lit(0.0)))
+    return F.when(h <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1.0 - inside))
+
+
 def _lngamma_sql(z: str) -> str:
     """ln Gamma(z) for z > 0: Stirling series at z + 8, shifted back by the recurrence."""
     w = f"(({z}) + 8)"

@@ -355,7 +355,7 @@ FROM ksp, LATERAL (SELECT 'ks_statistic' AS metric, statistic AS value UNION ALL
         + f"findings AS ({_schema_check_body()}),\n"
         + _ks_sql("split", "'train'", "'test'", "split_customers", KS_COLS, "")
     )
-    return with_ctes(body, "SPLIT", extra=extra)
+    return with_ctes(body, "SPLIT", extra=extra).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 @query("validation_report", _validation_sql())

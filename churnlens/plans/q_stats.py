@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from churnlens import schema as S
-from churnlens.functions.stats import ks_pvalue_sql
+from churnlens.functions.stats import KS_EXACT_LAMBDA, KS_EXACT_ROWS, ks_pvalue_sql
 from churnlens.operators import ranking as R
 from churnlens.operators import stattests as ST
 from churnlens.operators.explore import CROSSTAB_FEATURES
@@ -59,10 +59,20 @@ cnt AS (SELECT feature, value, CAST(count_if({sample_col} = {first}) AS BIGINT)
 cum AS (SELECT feature, value,
           sum(c1) OVER (PARTITION BY feature ORDER BY value) AS s1, sum(c2) OVER (PARTITION BY feature ORDER BY value) AS s2,
           sum(c1) OVER (PARTITION BY feature) AS n1, sum(c2) OVER (PARTITION BY feature) AS n2 FROM cnt),
-ks AS (SELECT feature, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, max(abs(s1 / n1 - s2 / n2)) AS statistic
+ks AS MATERIALIZED (SELECT feature, CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, max(abs(s1 / n1 - s2 / n2)) AS statistic,
+         CAST(max(abs(s1 * n2 - s2 * n1)) AS BIGINT) AS h, CAST(least(n1, n2) AS BIGINT) AS m, CAST(greatest(n1, n2) AS BIGINT) AS n
        FROM cum GROUP BY feature, n1, n2),
+paths AS (
+  SELECT feature, m, n, h, 0 AS t, list_prepend(CAST(1 AS DOUBLE), list_transform(range(m), lambda i: CAST(0 AS DOUBLE))) AS p FROM ks
+  WHERE n <= {KS_EXACT_ROWS} AND m > 0 AND statistic * sqrt(CAST(m AS DOUBLE) / (m + n) * n) <= {KS_EXACT_LAMBDA}
+  UNION ALL
+  SELECT feature, m, n, h, t + 1, list_transform(range(m + 1), lambda i: CASE WHEN t + 1 - i BETWEEN 0 AND n AND abs(i * n - (t + 1 - i) * m) < h
+    THEN (p[i + 1] * (n - (t - i)) + CASE WHEN i > 0 THEN p[i] * (m - i + 1) ELSE 0 END) / (m + n - t) ELSE 0 END)
+  FROM paths WHERE t < m + n),
+counted AS (SELECT feature, CASE WHEN h <= 0 THEN 1 ELSE greatest(0, 1 - p[m + 1]) END AS exact FROM paths WHERE t = m + n),
 ksp AS (SELECT feature, n1, n2, round(statistic, 6) AS statistic,
-          round({ks_pvalue_sql('statistic', 'n1', 'n2', 'duckdb')}, 6) AS p_value FROM ks)"""
+          round(CASE WHEN exact IS NOT NULL THEN exact ELSE {ks_pvalue_sql('statistic', 'n1', 'n2', 'duckdb')} END, 6) AS p_value
+        FROM ks LEFT JOIN counted USING (feature))"""
 
 
 @query(
@@ -71,7 +81,7 @@ ksp AS (SELECT feature, n1, n2, round(statistic, 6) AS statistic,
         "SELECT feature, statistic, p_value, CAST(p_value < 0.05 AS INT) AS drift FROM ksp",
         "SPLIT",
         extra=_ks_sql("split", "'train'", "'test'", "split_customers", _RAW_NUMERIC, ""),
-    ),
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def q_ks_drift(spark, sf_dir):
     return ST.ks_drift(split_frame(spark, sf_dir))
@@ -82,7 +92,7 @@ def q_ks_drift(spark, sf_dir):
     with_ctes(
         f"SELECT feature, n1 AS n_retained, n2 AS n_churned, statistic, p_value, {_STARS} AS significant FROM ksp",
         extra=_ks_sql("Exited", "0", "1", "bank_customers", _NUM, ""),
-    ),
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def q_ks_by_class(spark, sf_dir):
     return ST.ks_by_class(bank_customers(spark, sf_dir))

@@ -132,3 +132,25 @@ def test_wide_stats_per_group_with_nulls(spark):
     assert got == {("x", "a"): (2, 2.0), ("x", "b"): (1, 2.0), ("y", "a"): (0, None), ("y", "b"): (1, 4.0)}
     empty = wide_stats(df.where("k = 'z'"), ["a"], {"n": F.count, "m": F.avg}).collect()
     assert [(r.feature, r.n, r.m) for r in empty] == [("a", 0, None)]
+
+
+def test_ks_exact_pvalue_equals_counted_paths(spark):
+    from itertools import combinations
+
+    from churnlens.functions.stats import ks_exact_pvalue
+
+    rows, want = [], {}
+    for m, n in ((1, 1), (2, 5), (5, 3), (4, 4), (6, 7), (1, 9)):
+        worst = []
+        for first in combinations(range(m + n), m):
+            i, most = 0, 0
+            for t in range(m + n):
+                i += t in first
+                most = max(most, abs(i * n - (t + 1 - i) * m))
+            worst.append(most)
+        for h in range(0, m * n + 1):
+            rows.append((h, m, n))
+            want[h, m, n] = sum(w >= h for w in worst) / len(worst)
+    df = spark.createDataFrame(rows, "h long, m long, n long")
+    for r in df.select("h", "m", "n", ks_exact_pvalue(F.col("h"), F.col("m"), F.col("n")).alias("p")).collect():
+        assert abs(r["p"] - want[r["h"], r["m"], r["n"]]) < 1e-12, r
