@@ -161,17 +161,18 @@ def _bucketed(df: DataFrame, *keys: str) -> DataFrame:
 
 def vocabulary(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang, chunk, term, times`` for every term in at least ``min_docs`` documents of its language."""
-    spread = chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))
-    once = chunks.select("chunk").distinct().withColumn(
+    spread = _written(chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")), "spread")
+    once = spread.select("chunk").distinct().withColumn(
         "term", F.explode(F.transform(F.regexp_extract_all("chunk", F.lit(f"({TERM})"), F.lit(1)), lower_ascii))
     ).groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
     terms = _written(spread.join(once, "chunk"), "terms")
     bounds = terms.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
     sure = bounds.where(F.col("least") >= min_docs).select("lang", "term")
     unsure = bounds.where((F.col("least") < min_docs) & (F.col("most") >= min_docs)).select("lang", "term")
+    # The chunk rows stay in their buckets and unsorted: the short side is hashed, a bucket a task.
     listed = (
-        terms.join(unsure, ["lang", "term"]).select("lang", "chunk", "term")
-        .join(chunks.select("lang", "chunk", "block", "in_docs"), ["lang", "chunk"])
+        chunks.where(F.col("docs") < min_docs).select("lang", "chunk", "block", "in_docs")
+        .join(terms.join(unsure, ["lang", "term"]).select("lang", "chunk", "term").hint("shuffle_hash"), ["lang", "chunk"])
         .select("lang", "term", "block", F.explode("in_docs").alias("doc")).distinct()
         .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_docs).select("lang", "term")
@@ -231,7 +232,7 @@ def audit(
     chunks = blocks.where("chunk IS NOT NULL").drop("source")
     kept = _written(vocabulary(chunks, min_docs), "kept")
     counts = _written(
-        kept.join(chunks.select("lang", "chunk", "sources", "times_in"), ["lang", "chunk"])
+        chunks.select("lang", "chunk", "sources", "times_in").join(kept.hint("shuffle_hash"), ["lang", "chunk"])
         .select("lang", "term", "times", F.inline(F.arrays_zip("sources", "times_in")))
         .groupBy("lang", F.col("sources").alias("source"), "term").agg(F.sum(F.col("times_in") * F.col("times")).alias("n")),
         "counts",
