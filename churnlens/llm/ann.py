@@ -8,7 +8,13 @@ against the query's threshold are abandoned.  The threshold is the k-th best sco
 list, found in a first pass.  Survivors are scored exactly on the original vectors.
 
 The number of lists to probe is read off an audit: for a bounded sample of queries the true neighbours
-are found by brute force over all rows, and the fewest lists that hold ``target`` of them are probed.
+are found by brute force over all rows, and the fewest lists that hold ``target`` of them are probed.  After
+the search the same queries are judged on what it found, one by one; where their mean or the worst of
+them falls short, the search is run again with twice the lists and a wider test.
+
+Every row is kept once.  A task takes the rows of a block and then its queries, a batch at a time, so that
+any number of queries meets a block in bounded memory; only where more than ``QUERY_ROWS`` queries
+probe a list do its blocks get copies, to share the work.
 """
 
 from __future__ import annotations
@@ -21,15 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.llm import vectors as V
-from churnlens.llm.tables import checkpointed
+from churnlens.llm.tables import checkpointed, shuffle_partitions
 
 SAMPLE_ROWS = 16384  # rows that centroids are fitted on
 AUDIT_QUERIES = 96
 MAX_LISTS = 4096
-BLOCK_ROWS = 4096  # candidates, and queries, of one task group
+BLOCK_ROWS = 4096  # candidates of a block
+QUERY_ROWS = 65536  # queries that one copy of a block answers
 COLUMN_BLOCK = 16
 EPSILON = 1.6  # width of the hypothesis test
 TARGET = 0.975
+LEAST_MEAN, LEAST = 0.95, 0.5  # recall of the audit queries, end to end: their mean, the worst of them
 SEED = 7
 
 
@@ -42,6 +50,7 @@ class Index:
     rotation: np.ndarray
     sizes: np.ndarray  # rows of each list
     probes: int = 1
+    truth: DataFrame | None = None  # query_id, vec_id: the true neighbours of the audit queries
 
     @property
     def blocks(self) -> np.ndarray:
@@ -72,8 +81,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class _Scan:
     """A block of candidates, rotated and cut into column blocks with their partial norms."""
 
-    def __init__(self, index: Index, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x, self.index = ids, x, index
+    def __init__(self, index: Index, ids: np.ndarray, x: np.ndarray, epsilon: float = EPSILON):
+        self.ids, self.x, self.index, self.epsilon = ids, x, index, epsilon
         r = x @ index.rotation
         cuts = range(0, index.dims, COLUMN_BLOCK)
         self.columns = [np.ascontiguousarray(r[:, c : c + COLUMN_BLOCK]) for c in cuts]
@@ -96,7 +105,7 @@ class _Scan:
                 p = rq[seen : seen + b.shape[1]]
                 part[alive] += n[alive] + (p**2).sum() - 2 * (b[alive] @ p)
                 seen += b.shape[1]
-                slack = (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < self.index.dims else 1.0
+                slack = (1 + self.epsilon / np.sqrt(seen)) ** 2 if seen < self.index.dims else 1.0
                 alive = alive[part[alive] * (self.index.dims / seen) <= slack * reach[alive] + 1e-9]
                 if not len(alive):
                     break
@@ -105,32 +114,55 @@ class _Scan:
         return self.ids[alive][at], scores[at]
 
 
-def _searches(index: Index, k: int, thresholds_only: bool):
-    def run(key: tuple, candidates: pa.Table, queries: pa.Table) -> pa.Table:
-        qs, ids, scores = [], [], []
-        if candidates.num_rows and queries.num_rows:
-            scan = _Scan(index, candidates.column("vec_id").to_numpy(), V.matrix(candidates.column("x"), index.dims))
-            q = V.matrix(queries.column("x"), index.dims)
-            for i, (qid, floor) in enumerate(zip(queries.column("query_id").to_pylist(), queries.column("floor").to_pylist())):
-                found, s = scan.query(qid, q[i], k, floor)
-                if thresholds_only:
-                    found, s = (found[k - 1 : k], s[k - 1 : k])
-                qs.append(np.full(len(found), qid))
-                ids.append(found)
-                scores.append(s)
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
-        return pa.table({"query_id": pa.array(join(qs, np.int64), pa.int64()), "vec_id": pa.array(join(ids, np.int64), pa.int64()), "score": pa.array(join(scores, np.float64))})
+def _searches(index: Index, k: int, epsilon: float, thresholds_only: bool):
+    """Over rows sorted by (list, block, part, asks): candidates of a block are gathered, the queries that
+    follow them are answered a batch at a time."""
+
+    def run(batches):
+        key, held, scan = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
+            cuts = np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [batch.num_rows]))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if key != tuple(keys[:3, lo]):
+                    key, held, scan = tuple(keys[:3, lo]), [], None
+                part = batch.slice(lo, hi - lo)
+                ids, x = part.column(4).to_numpy(), V.matrix(part.column(5), index.dims)
+                if not keys[3, lo]:
+                    held.append((ids, x))
+                elif held:
+                    scan = scan or _Scan(index, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), epsilon)
+                    yield _answers(scan, ids, x, part.column(6).to_numpy(zero_copy_only=False), k, thresholds_only)
 
     return run
 
 
+def _answers(scan: _Scan, ids: np.ndarray, q: np.ndarray, floors: np.ndarray, k: int, thresholds_only: bool) -> pa.RecordBatch:
+    qs, found, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+    for i, qid in enumerate(ids):
+        at, s = scan.query(qid, q[i], k, floors[i])
+        if thresholds_only:
+            at, s = at[k - 1 : k], s[k - 1 : k]
+        qs.append(np.full(len(at), qid))
+        found.append(at)
+        scores.append(s)
+    return pa.record_batch(
+        [pa.array(np.concatenate(qs), pa.int64()), pa.array(np.concatenate(found), pa.int64()), pa.array(np.concatenate(scores))],
+        names=["query_id", "vec_id", "score"],
+    )
+
+
 def _truth(audit_ids: np.ndarray, audit: np.ndarray, index: Index, k: int):
     """Per batch, each audit query's k best rows with their lists: brute force over all rows."""
 
+    centers = Index(index.dims, index.centers, index.rotation, index.sizes)  # tasks get no frame
+
     def run(batches):
         for batch in batches:
-            ids, x = batch.column(0).to_numpy(), V.matrix(batch.column(1), index.dims)
-            lists = index.nearest_list(x)
+            ids, x = batch.column(0).to_numpy(), V.matrix(batch.column(1), centers.dims)
+            lists = centers.nearest_list(x)
             for qid, q in zip(audit_ids, audit):
                 at = np.flatnonzero(ids != qid)
                 s = (x[at] * q).sum(1)
@@ -162,10 +194,11 @@ def build(rows: DataFrame, total: int, k: int, is_query: Column, target: float =
     if not audit:
         return index
     ids, q = np.array([r["vec_id"] for r in audit]), np.array([r["x"] for r in audit], np.float64)
-    true = _top(rows.select("vec_id", "x").mapInArrow(_truth(ids, q, index, k), "query_id long, vec_id long, list long, score double"), k)
+    true = checkpointed(_top(rows.select("vec_id", "x").mapInArrow(_truth(ids, q, index, k), "query_id long, vec_id long, list long, score double"), k))
     place = np.argsort(index.probe_order(q), axis=1)  # rank of each list for each audit query
     row_of = {int(v): i for i, v in enumerate(ids)}
     ranks = np.sort([place[row_of[r["query_id"]], r["list"]] for r in true.collect()])  # at most AUDIT_QUERIES * k rows
+    index.truth = true.select("query_id", "vec_id")
     if len(ranks):
         index.probes = int(ranks[min(len(ranks) - 1, int(np.ceil(target * len(ranks))) - 1)]) + 1
     return index
@@ -193,62 +226,116 @@ def search(
     apart; ties to the smaller id.  ``is_query`` is a condition on ``vec_id`` (default: id divisible by 20).
 
     Null, zero and non-finite vectors, rows without an id and vectors of an unusual length take no part.
-    Rows that repeat an id and vector count once each as candidates; as queries, once.  Empty table: no rows."""
+    Rows that repeat an id and vector count once each as candidates; as queries, once, and of unlike
+    vectors with one id the one of least hash asks.  ``audit_mean`` and ``audit_least`` are the recall of
+    the audit queries (null where nobody asks).  Empty table: no rows."""
     is_query = F.col("vec_id") % 20 == 0 if is_query is None else is_query
-    schema = "query_id long, rank int, vec_id long, score double"
     rows = usable(embeddings, id_col, vector_col)
     total = rows.count()
     if not total:
+        schema = "query_id long, rank int, vec_id long, score double, audit_mean double, audit_least double"
         return embeddings.sparkSession.createDataFrame([], schema)
     index = build(rows, total, k, is_query, target)
-    blocks, starts = index.blocks, 4 * k
-    n_queries = rows.where(is_query).count()
-    q_parts = max(1, -(-n_queries // BLOCK_ROWS))
+    truth, index.truth = index.truth, None  # the index itself travels to tasks
+    dealt = deal(rows, index)
+    asking = rows.where(is_query).select("vec_id", F.struct(F.xxhash64("x").alias("h"), "x").alias("v"))
+    queries = checkpointed(asking.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", "v.x"))
+    epsilon = EPSILON
+    while True:
+        hits = checkpointed(_top(_search(dealt, queries, index, k, epsilon), k))
+        mean, least = _recall(truth, hits)
+        if mean is None or (mean >= LEAST_MEAN and least >= LEAST) or (index.probes >= len(index.centers) and epsilon > 64):
+            break
+        index.probes, epsilon = min(len(index.centers), 2 * index.probes), 2 * epsilon
+    return hits.select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score",
+        F.lit(mean).cast("double").alias("audit_mean"), F.lit(least).cast("double").alias("audit_least"),
+    )
+
+
+def _recall(truth: DataFrame | None, hits: DataFrame) -> tuple[float | None, float | None]:
+    """Mean and least share of its true neighbours that an audit query got."""
+    if truth is None:
+        return None, None
+    found = hits.select("query_id", "vec_id", F.lit(1).alias("hit")).distinct()
+    each = truth.join(found, ["query_id", "vec_id"], "left").groupBy("query_id").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("r"))
+    row = each.agg(F.avg("r"), F.min("r")).first()
+    return row[0], row[1]
+
+
+DEALT = "list int, block int, vec_id long, x array<double>"
+
+
+def deal(rows: DataFrame, index: Index) -> DataFrame:
+    """Every row once, with its list and its block of that list."""
+    blocks = index.blocks
 
     def place(batches):
         for batch in batches:
             ids, x = batch.column(0).to_numpy(), V.matrix(batch.column(1), index.dims)
             lists = index.nearest_list(x)
-            for part in range(q_parts):
+            yield pa.record_batch(
+                [pa.array(lists.astype(np.int32)), pa.array(_block_of(ids, blocks[lists])), batch.column(0), batch.column(1)],
+                names=["list", "block", "vec_id", "x"],
+            )
+
+    return checkpointed(rows.select("vec_id", "x").mapInArrow(place, DEALT))
+
+
+def _search(dealt: DataFrame, queries: DataFrame, index: Index, k: int, epsilon: float) -> DataFrame:
+    """Hits of ``queries(vec_id, x)``: first the k-th best score in the own list, then all probed lists."""
+    nothing = F.lit(float("-inf"))
+    own = _meet(dealt, queries.withColumn("floor", nothing), index, k, epsilon, own_only=True)
+    floors = checkpointed(own.groupBy("query_id").agg(F.max("score").alias("floor")))
+    ready = queries.join(floors, queries["vec_id"] == floors["query_id"], "left").select("vec_id", "x", F.coalesce("floor", nothing).alias("floor"))
+    return _meet(dealt, ready, index, k, epsilon, own_only=False)
+
+
+def _meet(dealt: DataFrame, queries: DataFrame, index: Index, k: int, epsilon: float, own_only: bool) -> DataFrame:
+    blocks, starts = index.blocks, 4 * k
+
+    def probed(x: np.ndarray) -> list[np.ndarray]:
+        """The lists of each query."""
+        order = index.probe_order(x)
+        if own_only:
+            return list(order[:, :1])
+        held = np.cumsum(index.sizes[order], axis=1)
+        n = np.maximum(index.probes, (held < starts).sum(1) + 1)
+        return [order[i, : n[i]] for i in range(len(order))]
+
+    def count(batches):
+        total = np.zeros(len(blocks), np.int64)
+        for batch in batches:
+            for lists in probed(V.matrix(batch.column(1), index.dims)):
+                total[lists] += 1
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["list", "n"])
+
+    parts = np.ones(len(blocks), np.int64)  # copies of a list's blocks; at most MAX_LISTS counts come back
+    for r in queries.select("vec_id", "x").mapInArrow(count, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
+        parts[r["list"]] = max(1, -(-r["n"] // QUERY_ROWS))
+
+    def probe(batches):
+        for batch in batches:
+            ids, x, floor = batch.column(0).to_numpy(), V.matrix(batch.column(1), index.dims), batch.column(2)
+            for i, lists in enumerate(probed(x)):  # a query's probes are one slice of bounded length
+                each = np.repeat(lists, blocks[lists]).astype(np.int32)
+                block = np.concatenate([np.arange(b) for b in blocks[lists]]).astype(np.int32)
+                part = _block_of(np.full(len(each), ids[i]), parts[each])
+                same = pa.array(np.full(len(each), i))
                 yield pa.record_batch(
-                    [pa.array(lists.astype(np.int32)), pa.array(_block_of(ids, blocks[lists])), pa.array(np.full(len(ids), part, np.int32)), batch.column(0), batch.column(1)],
-                    names=["list", "block", "part", "vec_id", "x"],
+                    [pa.array(each), pa.array(block), pa.array(part), pa.array(np.ones(len(each), np.int32)), batch.column(0).take(same), batch.column(1).take(same), floor.take(same)],
+                    names=["list", "block", "part", "asks", "vec_id", "x", "floor"],
                 )
 
-    def probe(own_only: bool):
-        def run(batches):
-            for batch in batches:
-                ids, x, floor = batch.column(0).to_numpy(), V.matrix(batch.column(1), index.dims), batch.column(2)
-                order = index.probe_order(x)
-                part = _block_of(ids, np.full(len(ids), q_parts))
-                if own_only:
-                    lists = order[:, 0].astype(np.int32)
-                    yield pa.record_batch([pa.array(lists), pa.array(_block_of(ids, blocks[lists])), pa.array(part), batch.column(0), batch.column(1), floor], names=names)
-                    continue
-                held = np.cumsum(index.sizes[order], axis=1)
-                n = np.maximum(index.probes, (held < starts).sum(1) + 1)
-                for i in range(len(ids)):  # a query's probes are one slice of bounded length
-                    lists = order[i, : n[i]].astype(np.int32)
-                    each = np.repeat(lists, blocks[lists])
-                    block = np.concatenate([np.arange(b) for b in blocks[lists]]).astype(np.int32)
-                    same = pa.array(np.full(len(each), i))
-                    yield pa.record_batch([pa.array(each), pa.array(block), pa.array(np.full(len(each), part[i], np.int32)), batch.column(0).take(same), batch.column(1).take(same), floor.take(same)], names=names)
-
-        names = ["list", "block", "part", "query_id", "x", "floor"]
-        return run
-
-    places, probes = "list int, block int, part int, vec_id long, x array<double>", "list int, block int, part int, query_id long, x array<double>, floor double"
+    schema = "list int, block int, part int, asks int, vec_id long, x array<double>, floor double"
+    copied = {int(i): int(parts[i]) for i in np.flatnonzero(parts > 1)}
+    copies = F.array(F.lit(0))
+    if copied:
+        of = F.create_map(*[F.lit(v) for pair in copied.items() for v in pair])
+        copies = F.sequence(F.lit(0), F.coalesce(F.element_at(of, F.col("list")), F.lit(1)) - 1)
+    rows = dealt.select("list", "block", F.explode(copies).alias("part"), F.lit(0).alias("asks"), "vec_id", "x", F.lit(None).cast("double").alias("floor"))
     keys = ["list", "block", "part"]
-    dealt = checkpointed(rows.mapInArrow(place, places))
-    queries = rows.where(is_query).dropDuplicates(["vec_id"]).select("vec_id", "x")
-    no_floor = queries.withColumn("floor", F.lit(float("-inf")))
-    found = "query_id long, vec_id long, score double"
-    own = no_floor.mapInArrow(probe(True), probes)
-    floors = dealt.groupBy(*keys).cogroup(own.groupBy(*keys)).applyInArrow(_searches(index, k, True), found)
-    floors = checkpointed(floors.select("query_id", F.col("score").alias("floor")))
-    ready = queries.join(floors, queries["vec_id"] == floors["query_id"], "left").select(
-        "vec_id", "x", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")
-    )
-    wide = ready.mapInArrow(probe(False), probes)
-    hits = dealt.groupBy(*keys).cogroup(wide.groupBy(*keys)).applyInArrow(_searches(index, k, False), found)
-    return _top(hits, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    both = rows.unionByName(queries.select("vec_id", "x", "floor").mapInArrow(probe, schema))
+    run = both.repartition(shuffle_partitions(dealt.sparkSession), *keys).sortWithinPartitions(*keys, "asks", "vec_id")
+    return run.mapInArrow(_searches(index, k, epsilon, own_only), "query_id long, vec_id long, score double")

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.session import scratch_path
+
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 32
 DOCS_PER_SHARD = 4096
@@ -97,34 +99,33 @@ def apportion(parties: DataFrame, house: Sequence[str], key: Column, votes: str,
 def mix_plan(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
     weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_WORDS,
-    docs_per_shard: int = DOCS_PER_SHARD, seed: int = SEED, by_source: bool = False,
+    docs_per_shard: int = DOCS_PER_SHARD, seed: int = SEED,
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken`` and the block
-    choice ``(before, passes, picks, shift, blocks)`` that ``taken`` follows from.
+    """One row per document: ``doc_id, source, size, tie, source_size, target, taken`` and the block
+    choice ``(before, passes, picks, shift, blocks)`` that ``taken`` follows from; ``tie`` is the text's MD5.
 
     ``taken`` counts words, repeats included, and is at most ``max_epochs * size``.  Null text: size
     0.  A null source is a source of its own, last.  Repeated rows count as often as they stand; rows
-    of one id are ordered by size.  Null ids come first in their shard.  Empty table: no rows.
+    of one id are told apart by their text, so many rows without an id spread over the shards as well.
+    Null ids come first in their shard.  Empty table: no rows.
 
-    The number of shards follows all rows, as in the SQL, or with ``by_source`` each source's own, so
-    that a small source beside large ones keeps whole blocks and reaches its target."""
-    sized = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
-    )
+    A source has shards by its own rows, so that a small source beside large ones keeps whole blocks and
+    reaches its target.  The texts are read once: sizes and ties are written before they are used."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "mix-sizes")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"), F.md5(text).alias("tie")
+    ).write.parquet(path)
+    sized = spark.read.parquet(path)
     sources = source_targets(sized, weights, max_epochs)
     m = F.round(F.col("total") / block_words).cast("long")
     quotas = apportion(sources.withColumn("seats", m), [], F.col("source").asc_nulls_last(), "target", "seats")
 
-    if by_source:
-        # Only sources of more than one shard are listed: at most one per docs_per_shard rows.
-        cut = sized.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count(F.lit(1)) / docs_per_shard).alias("_shards")).where("_shards > 1")
-        sized = sized.join(F.broadcast(cut), F.col("source").eqNullSafe(F.col("_source")), "left")
-        shards_of = F.coalesce("_shards", F.lit(1))
-    else:
-        shards_of = sized.agg(F.greatest(F.ceil(F.count(F.lit(1)) / docs_per_shard), F.lit(1)).alias("s")).scalar()
-    in_shard = sized.withColumn("shard", F.pmod(
-        _draw(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), shards_of
-    ))
+    # Only sources of more than one shard are listed: at most one per docs_per_shard rows.
+    cut = sized.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count(F.lit(1)) / docs_per_shard).alias("_shards")).where("_shards > 1")
+    in_shard = sized.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn("shard", F.pmod(
+        _draw(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("tie")), F.coalesce("_shards", F.lit(1))
+    )).drop("_source", "_shards")
     shards = in_shard.groupBy("source", "shard").agg(F.sum("size").alias("words"))
     shards = shards.alias("s").join(quotas.alias("q"), F.col("s.source").eqNullSafe(F.col("q.source"))).select(
         "s.source", "s.shard", "s.words", "q.source_size", "q.target", F.col("q.won").alias("seats")
@@ -137,11 +138,11 @@ def mix_plan(
         F.when(n > 0, F.expr("quota % blocks")).otherwise(0).cast("long").alias("picks"),
         _draw(F.lit(f"{seed}pick"), F.coalesce("source", F.lit("")), F.col("shard").cast("string")).alias("shift"),
     )
-    laid = Window.partitionBy("source", "shard").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    laid = Window.partitionBy("source", "shard").orderBy("doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = in_shard.withColumn("before", F.coalesce(F.sum("size").over(laid), F.lit(0)))
     joined = placed.alias("p").join(
         cuts.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")) & (F.col("p.shard") == F.col("c.shard"))
-    ).select("p.doc_id", "p.source", "p.size", "p.before", "c.source_size", "c.target", "c.blocks", "c.passes", "c.picks", "c.shift")
+    ).select("p.doc_id", "p.source", "p.size", "p.tie", "p.before", "c.source_size", "c.target", "c.blocks", "c.passes", "c.picks", "c.shift")
     picked = F.aggregate(
         picked_slices(block_words), F.lit(0).cast("long"), lambda total, x: total + x["words"]
     )
@@ -163,18 +164,17 @@ def picked_slices(block_words: int = BLOCK_WORDS) -> Column:
     ))
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, by_source: bool = True, **options) -> DataFrame:
-    """The mix itself, by default with shards by source, with the columns of ``docs(doc_id, text, source, ...)``: each document once per
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
+    """The mix itself, with the columns of ``docs(doc_id, text, source, ...)``: each document once per
     whole pass, unchanged, and once more with the words of its picked blocks joined by spaces;
     ``n_chars``, if there, follows the text.  Documents of which no word is taken are absent."""
-    keys = ["doc_id", "source", "size"]
-    # Rows that repeat (id, source, size) are told apart by their number, in either frame.
+    keys = ["doc_id", "source", "tie"]
+    # Rows that repeat (id, source, text) are told apart by their number, in either frame.
     number = Window.partitionBy(*keys)
-    plan = mix_plan(docs, block_words=block_words, by_source=by_source, **options).withColumn("slices", picked_slices(block_words))
+    plan = mix_plan(docs, block_words=block_words, **options).withColumn("slices", picked_slices(block_words))
     plan = plan.where("taken > 0").withColumn("n", F.row_number().over(number.orderBy("before")))
-    rows = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("row")
-    ).withColumn("n", F.row_number().over(number.orderBy(F.xxhash64("row.text"))))
+    rows = docs.select("doc_id", "source", F.md5(F.coalesce("text", F.lit(""))).alias("tie"), F.struct(*docs.columns).alias("row"))
+    rows = rows.withColumn("n", F.row_number().over(number.orderBy("tie")))
     p, r = plan.alias("p"), rows.alias("r")
     same = F.col("p.n") == F.col("r.n")
     for k in keys:
@@ -225,12 +225,12 @@ def oracle_sql(
 ) -> str:
     """The mix in DuckDB SQL."""
     draw = "CAST('0x' || substr(md5({}), 1, 12) AS BIGINT)"
-    shard = draw.format(f"'{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '')")
+    shard = draw.format(f"'{seed}|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || tie")
     shift = draw.format(f"'{seed}pick|' || coalesce(source, '') || '|' || CAST(shard AS VARCHAR)")
     return f"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
-  FROM documents),
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    md5(coalesce(text, '')) AS tie FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos
   FROM sized GROUP BY source),
@@ -250,7 +250,7 @@ sources AS (
   FROM stopped),
 {_apportion_sql("quotas", "sources", "", "source NULLS LAST", "target", "source, source_size, target, seats").strip()},
 placed AS (
-  SELECT *, {shard} % greatest(CAST(ceil((SELECT count(*) FROM sized) / {docs_per_shard}.0) AS BIGINT), 1) AS shard FROM sized),
+  SELECT *, {shard} % CAST(ceil(count(*) OVER (PARTITION BY source) / {docs_per_shard}.0) AS BIGINT) AS shard FROM sized),
 shards AS (
   SELECT s.*, q.source_size, q.target, q.won AS seats
   FROM (SELECT source, shard, CAST(sum(size) AS BIGINT) AS words FROM placed GROUP BY source, shard) s
@@ -262,7 +262,7 @@ plan AS (
     CASE WHEN n > 0 THEN least(won, {epochs} * n) % n ELSE 0 END AS picks
   FROM (SELECT *, CAST(ceil(words / {block}.0) AS BIGINT) AS n FROM cuts)),
 laid AS (
-  SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY doc_id NULLS FIRST, size
+  SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source, shard ORDER BY doc_id NULLS FIRST, size, tie
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM placed)
 SELECT d.doc_id, d.size, c.source_size, c.target,
   CAST(c.passes * d.size + CASE WHEN d.size > 0 THEN coalesce(list_sum([

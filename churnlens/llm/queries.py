@@ -68,7 +68,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op7_ann")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    found = ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 @_query("op8_url_filter")

@@ -33,8 +33,8 @@ def sample(vectors: DataFrame, key: str, column: str, total: int, bound: int, di
     """At most ``bound`` vectors: those of least seeded hash, the same on every run."""
     share = min(1.0, 2.0 * bound / max(total, 1))
     drawn = vectors.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000)))
-    rows = drawn.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(bound).select(column).collect()
-    return np.array([r[0] for r in rows], np.float64).reshape(len(rows), dims)
+    rows = drawn.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(bound).select(column).toArrow()
+    return matrix(rows.column(0), dims)
 
 
 def centroids(points: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:

@@ -264,6 +264,50 @@ def test_search_small_table_is_exact(spark):
     assert ann.search(df.limit(0)).count() == 0
 
 
+def _clustered(spark, n=6000, dims=24, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(60, dims)) * 2
+    x = centres[rng.integers(0, 60, n)] + rng.normal(size=(n, dims))
+    x[: n // 3] = centres[0] + rng.normal(size=(n // 3, dims)) * 0.05  # a third lies in one place
+    rows = [(int(i), r.tolist(), "clash") for i, r in enumerate(x)]
+    return x, spark.createDataFrame(rows, "vec_id long, embedding array<double>, list string")
+
+
+@pytest.mark.parametrize("block_rows, query_rows", [(100, 40), (4096, 65536)])
+def test_search_keeps_each_row_once(spark, monkeypatch, block_rows, query_rows):
+    x, df = _clustered(spark)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(ann, "QUERY_ROWS", query_rows)
+    dealt, deal = [], ann.deal
+    monkeypatch.setattr(ann, "deal", lambda rows, index: dealt.append(deal(rows, index)) or dealt[0])
+    got = defaultdict(list)
+    audits = set()
+    for r in ann.search(df).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+        assert abs(r["score"] - x[r["query_id"]] @ x[r["vec_id"]]) < 1e-9
+        audits.add((r["audit_mean"], r["audit_least"]))
+    assert dealt[0].count() == len(x) and dealt[0].select("list", "block").distinct().count() > (1 if block_rows > 1000 else 20)
+    recall = []
+    for q in range(0, len(x), 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        best = set(np.argsort(-s, kind="stable")[:20].tolist())
+        assert len(got[q]) == len(set(got[q])) == 20
+        recall.append(len(best & set(got[q])) / 20)
+    assert np.mean(recall) >= 0.9
+    (mean, least), = audits
+    assert mean >= ann.LEAST_MEAN and least >= ann.LEAST
+
+
+def test_search_of_one_id_with_unlike_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(20 if i < 3 else i * 7 + 1, rng.normal(size=8).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    first = [tuple(r) for r in ann.search(df).orderBy("query_id", "rank").collect()]
+    again = [tuple(r) for r in ann.search(df.repartition(5)).orderBy("query_id", "rank").collect()]
+    assert first == again and len([r for r in first if r[0] == 20]) == 20
+
+
 def test_search_recall(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = defaultdict(set)
