@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from churnlens.llm import bpe, mixing, queries, simhash, substring, words
 
@@ -54,10 +55,10 @@ def _slow_near(docs):
     return sorted(((i, f"{f:016x}", least.get(comp[f])) for i, f in fps), key=str)
 
 
-@pytest.mark.parametrize("bucket_rows", [128, 1])
-def test_simhash_equals_brute_force(documents, odd, bucket_rows):
+@pytest.mark.parametrize("group_rows", [128, 1])
+def test_simhash_equals_brute_force(documents, odd, group_rows):
     for df in (odd, documents):
-        got = simhash.near_duplicates(df, bucket_rows=bucket_rows)
+        got = simhash.near_duplicates(df, group_rows=group_rows)
         rows = got.select("doc_id", simhash.hex_fingerprint("fp").alias("f"), "component_id").collect()
         assert sorted((tuple(r) for r in rows), key=str) == _slow_near(_docs(df))
 
@@ -327,3 +328,15 @@ def test_registered_queries_read_the_whole_table(spark, documents):
     for name in ("op2_simhash_dedup", "op4_substring_dedup", "op5_byte_bpe", "op6_source_mix"):
         got = [r["doc_id"] for r in queries.QUERIES[name](spark, SF).select("doc_id").collect()]
         assert sorted(got) == sorted(r["doc_id"] for r in documents.select("doc_id").collect())
+
+
+def test_small_source_beside_many_shards_reaches_its_target(spark):
+    large = spark.range(20_000).selectExpr("id AS doc_id", "repeat('w ', 100) AS text", "'a' AS source")
+    small = spark.range(400).selectExpr("id + 100000 AS doc_id", "repeat('v ', 20) AS text", "'b' AS source")
+    unnamed = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('u', id) AS text", "'c' AS source")
+    rows = mixing.mix_plan(large.unionByName(small).unionByName(unnamed), docs_per_shard=40)
+    got = {r["source"]: r for r in rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert got["b"]["target"] == 24_000 and got["b"]["taken"] >= 0.95 * 24_000
+    assert abs(got["a"]["taken"] / got["a"]["target"] - 1) < 0.02
+    # Rows without an id spread over the shards of their source.
+    assert rows.where("source = 'c'").groupBy("shift").count().agg(F.max("count")).first()[0] < 100
