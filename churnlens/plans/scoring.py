@@ -81,15 +81,11 @@ class ScoringResult:
 
 
 def score_and_append(spark: SparkSession, customers: DataFrame, predictions_path: str, scorer: Scorer,
-                     model_version: str = RULE_MODEL_VERSION, ids: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """Score customers that have no row in the predictions table yet and append them.
-
-    ``ids``: the distinct customer ids of a micro-batch; the table is first reduced to their rows, so
-    that only those are de-duplicated and shuffled."""
+                     model_version: str = RULE_MODEL_VERSION) -> tuple[DataFrame, int]:
+    """Score customers that have no row in the predictions table yet and append them."""
     current = spark.read.parquet(predictions_path)
     base = current.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    known = current.select("customer_id")
-    new = fetch_new(customers, known if ids is None else known.join(ids, "customer_id", "left_semi"))
+    new = fetch_new(customers, current.select("customer_id"))
     rows = to_prediction_rows(scorer(new), base, model_version)
     n = store.insert_dataframe(rows, predictions_path, "append", table="predictions")
     appended = spark.read.parquet(predictions_path).where(F.col("id") > F.lit(base))

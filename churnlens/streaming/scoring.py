@@ -1,24 +1,31 @@
-"""Incremental scoring of customers as their events arrive (Structured Streaming).
-
-events (file source) -> customer ids -> ``foreachBatch`` running the same fetch/score/append
-step as batch scoring.  The predictions table is the durable de-duplication state: each
-micro-batch takes its distinct customer ids (map-side partial aggregate) and anti-joins them
-against that table, so replays after a failure append nothing twice, and the checkpoint records
-which files were consumed.
-
-No streaming state operator is needed: a watermark-bounded ``dropDuplicatesWithinWatermark``
-would drop every event older than the watermark, and files are consumed in modification-time
-order, not event-time order, so a customer whose events all arrive in a late file would never be
-scored.  Here arrival order does not matter and no state store grows with the key space.
+"""Incremental scoring of customers as their events arrive (Structured Streaming with keyed state).
+
+The state holds one row for each customer that has no prediction yet: what the scorer reads of it.  It is
+filled once, from one pass over customers and predictions, when the query starts from nothing.  An event
+looks up its own key: a customer still in the state is passed on and leaves it, any other event adds
+nothing.  A micro-batch therefore reads neither the customer table nor the predictions; it scores and
+appends the customers that were passed on, with ids that continue from the last batch.
+
+Events are never dropped as late: files arrive in modification-time order, not event-time order, so a
+watermark would lose customers whose events all stand in a late file.  State only shrinks.
+
+After a restart the first micro-batch may repeat one whose rows were already appended, so that batch
+alone is checked against the predictions of its own ids.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from churnlens.plans.scoring import RULE_MODEL_VERSION, Scorer, rule_scorer, score_and_append
+from churnlens.plans.scoring import RULE_MODEL_VERSION, Scorer, fetch_new, rule_scorer, to_prediction_rows
+from churnlens.session import ship_package
+from churnlens.sources import store
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -38,20 +45,73 @@ def arriving_customers(spark: SparkSession, events_dir: str, files_per_trigger:
     return events.where(F.col("user_id").isNotNull()).select(F.col("user_id").alias("customer_id"))
 
 
+#: Keyed state of any size lives in RocksDB on the executors and is backed up to the checkpoint folder.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Unscored(StatefulProcessor):
+    """Passes a customer on at its first event, if it is among those without a prediction."""
+
+    def __init__(self, schema: T.StructType):
+        self.schema = schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.row = handle.getValueState("customer", self.schema)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        first = initialState.iloc[0]
+        self.row.update(tuple(None if pd.isna(first[c]) else _plain(first[c]) for c in self.schema.names))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for _ in rows:
+            pass
+        if self.row.exists():
+            found = self.row.get()
+            self.row.clear()
+            yield pd.DataFrame([found], columns=self.schema.names)
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(value):
+    return value.item() if hasattr(value, "item") else value
+
+
 def stream_scoring(spark: SparkSession, events_dir: str, customers: DataFrame, predictions_path: str,
                    checkpoint: str, scorer: Scorer = rule_scorer, model_version: str = RULE_MODEL_VERSION,
                    files_per_trigger: int | None = None):
-    """Run until all available events are consumed (``availableNow``); returns the finished query."""
+    """Run until all available events are consumed (``availableNow``); returns the finished query.
+
+    ``customers`` is one row a customer (``customer_id`` and what the scorer reads); those that the
+    predictions do not hold when the query first starts are the ones that it will score."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    predictions = spark.read.parquet(predictions_path)
+    # One pass at the start: customers without a prediction, and the last id given.
+    waiting = fetch_new(customers, predictions)
+    progress = {"last": predictions.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0], "checked": False}
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        ids = batch.select("customer_id").distinct().persist()
-        candidates = customers.join(ids, "customer_id", "left_semi")
-        score_and_append(spark, candidates, predictions_path, scorer, model_version, ids)
-        ids.unpersist()
+        new = batch.persist()
+        if not progress["checked"]:
+            ids = new.select("customer_id")
+            new = fetch_new(new, spark.read.parquet(predictions_path).select("customer_id").join(ids, "customer_id", "left_semi"))
+            progress["checked"] = True
+        rows = to_prediction_rows(scorer(new), progress["last"], model_version)
+        progress["last"] += store.insert_dataframe(rows, predictions_path, "append", table="predictions")
+        batch.unpersist()
 
-    q = (
+    passed = (
         arriving_customers(spark, events_dir, files_per_trigger)
-        .writeStream.foreachBatch(per_batch)
+        .groupBy("customer_id")
+        .transformWithStateInPandas(
+            statefulProcessor=Unscored(customers.schema), outputStructType=customers.schema, outputMode="Append", timeMode="None",
+            initialState=waiting.select(*customers.columns).groupBy("customer_id"),
+        )
+    )
+    q = (
+        passed.writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -113,6 +113,31 @@ def test_stream_scores_customers_whose_events_arrive_late(spark):
     assert scored == set(new_ids)
 
 
+def test_stream_repeats_no_batch_after_a_crash(spark):
+    # The last micro-batch was appended but its commit got lost: a restart runs it again and adds nothing.
+    import os
+
+    from churnlens.streaming.scoring import EVENTS_SCHEMA, stream_scoring
+
+    path, events_dir, ckpt = (scratch_path(spark, n) for n in ("predictions", "events", "stream-ckpt"))
+    store.insert_dataframe(scored_predictions(spark, SF_SMALL), path, "replace", table="predictions")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(*[F.col(f.name).cast(f.dataType) for f in EVENTS_SCHEMA.fields])
+    ev.repartition(3).write.parquet(events_dir)
+    run = lambda: stream_scoring(spark, events_dir, store.test_data(spark, SF_SMALL), path, ckpt, files_per_trigger=1)
+    run()
+    once = spark.read.parquet(path)
+    n = once.count()
+    assert once.select("customer_id").distinct().count() == scored_predictions(spark, SF_SMALL).select("customer_id").union(once.select("customer_id")).distinct().count()
+    commits = ckpt.removeprefix("file:") + "/commits"
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(f"{commits}/{f}"):
+            os.remove(f"{commits}/{f}")
+    run()
+    again = spark.read.parquet(path)
+    assert again.count() == n and again.select("id").distinct().count() == n
+
+
 def test_store_write_then_logistic_regression_scoring(spark):
     # A store write followed by logistic-regression scoring in the same session must work
     # (nothing on the write path may leave unserializable state on the session).
