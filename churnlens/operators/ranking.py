@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from churnlens import schema as S
 from churnlens.functions.prefix import running_sums, value_counts
+from churnlens.session import scratch_path
 
 
 def ecdf(df: DataFrame, columns: Sequence[str], by: str = S.TARGET) -> DataFrame:
@@ -78,10 +79,13 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, label: str = S.TARGE
     """Exact stratified 80/20 split with the same assignment as ``stratified_split_window``.
 
     ``id_col`` is unique and not null.  Each class is cut at one (hash, id) key, found from bucket
-    counts, so marking the rows is a narrow projection: no row is shuffled or written."""
+    counts, so marking the rows is a narrow projection and no row is shuffled.  ``df`` is computed once
+    for that: its (class, hash, id) are written to the shared folder, where both looks read them."""
     h, i = split_key(id_col), F.col(id_col)
     in_test = F.lit(False)
-    for cut in _test_cuts(df.select(F.col(label).alias("c"), h.alias("h"), i.alias("i")), test_size):
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "split-keys")
+    df.select(F.col(label).alias("c"), h.alias("h"), i.alias("i")).write.parquet(path)
+    for cut in _test_cuts(spark.read.parquet(path), test_size):
         same = F.col(label).eqNullSafe(F.lit(cut["c"]))
         in_test = in_test | (same & ((h < cut["h"]) | ((h == cut["h"]) & (i <= cut["i"]))))
     return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
