@@ -5,12 +5,14 @@ and so on, by element or role) go.  Forms and blocks with boilerplate words in c
 marked: they go unless they hold the article or most of the page's prose.  Each remaining paragraph earns
 points for its length and commas and passes them to its ancestors, less with each level; a container
 is discounted by the share of its text that stands in links.  The best container is widened to the
-article around it or else to the ancestor over which prose is spread, without its linked parts.
+article around it or else to the ancestor over which prose is spread, without its linked parts and loose notices;
+lists of mere links go in either.  Every step takes time in proportion to the page.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -29,7 +31,7 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style noscript template head title meta link nav aside button select option textarea input label "
+    "script style noscript template head title meta link nav aside button select option textarea input "
     "fieldset legend iframe noembed noframes object embed applet canvas svg math audio video map dialog menu datalist footer".split()
 )
 BLOCKS = frozenset(
@@ -56,12 +58,13 @@ BAD_WORDS = frozenset(
     "masthead topbar toolbar header comment comments commentlist disqus respond reply replies discussion cookie cookies "
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing "
     "social related recommended recommendations outbrain taboola widget widgets toc hidden skip copyright legal disclaimer "
-    "form search".split()
+    "form search feedback responses guestbook shoutbox".split()
 )
 #: Marked for these words, an element stays only where the page has no other prose.
 _STRICT = frozenset(
     "ad ads adbox advert adverts advertisement advertising adsense banner banners sponsored promo promos comment comments commentlist "
-    "disqus respond reply replies cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login outbrain taboola".split()
+    "disqus respond reply replies cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login outbrain taboola "
+    "feedback responses guestbook shoutbox".split()
 )
 #: Words that beside another one may as well name a part of an article.
 _TITLE_WORDS = frozenset(
@@ -70,6 +73,14 @@ _TITLE_WORDS = frozenset(
 _LAYOUT = frozenset("layout wrap wrapper content container page main site".split())
 SOFT, STRICT, TITLE = 1, 2, 3  # marks
 LOW_LINK = 0.25
+HIGH_LINK = 0.8  # a list or block of at least two links with this share in links is no part of an article
+LOOSE = 120  # code points of bare text beside the best container, without a paragraph or the like, that go
+NOTE = 300  # code points up to which a text with one of these phrases is a notice
+_NOTE = re.compile(
+    r"all rights reserved|\bcopyright\b|©|\bsite ?map\b|terms (?:of|and|&)|privacy policy|cookie policy|subscribe|sign (?:up|in)\b|log ?in\b"
+    r"|follow us|share this|click here|advertisement|sponsored|powered by|back to top|contact us|\bcall\b[^.]*\d{3}|\d{3}[-. ]\d{4}\b", re.I,
+)
+_TEXTUAL = frozenset("p pre blockquote li td th dd dt figcaption caption h1 h2 h3 h4 h5 h6".split())
 _MODIFIERS = ("has", "with", "no", "without", "is")
 _SAFE = frozenset("html body article main".split())
 _COMMAS = re.compile("[,،、，﹐﹑､]")
@@ -85,8 +96,8 @@ class _Node:
         self.text = self.linked = 0  # code points in the subtree, and those in links
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in DROPPED:
+def _is_boilerplate(tag: str, attributes: str, in_article: bool, in_form: bool) -> bool:
+    if tag in DROPPED or (tag == "label" and in_form):
         return True
     if tag == "header" and not in_article:
         return True
@@ -129,53 +140,81 @@ def _mark(tag: str, attributes: str, in_article: bool) -> int:
     return mark
 
 
+class _Open:
+    """The open elements, with the depths at which each tag, blocks and shields of paragraphs stand, so that
+    no look upwards costs more than a search among depths."""
+
+    def __init__(self, root: _Node):
+        self.stack = [root]
+        self.tags: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.shields: list[int] = []
+
+    @property
+    def node(self) -> _Node:
+        return self.stack[-1]
+
+    def last(self, tag: str) -> int:
+        depths = self.tags.get(tag)
+        return depths[-1] if depths else 0
+
+    def push(self, node: _Node) -> None:
+        depth = len(self.stack)
+        self.stack.append(node)
+        self.tags.setdefault(node.tag, []).append(depth)
+        if node.tag in BLOCKS:
+            self.blocks.append(depth)
+        if node.tag in _P_SHIELD:
+            self.shields.append(depth)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at ``depth`` and all in it."""
+        while len(self.stack) > depth:
+            node = self.stack.pop()
+            self.tags[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+            if node.tag in _P_SHIELD:
+                self.shields.pop()
+
+    def implied_end(self, tag: str) -> int:
+        """Depth of the element that a start tag ends, 0 for none."""
+        closed, shield = IMPLIED.get(tag, (frozenset(), frozenset()))
+        if not closed:
+            p = self.last("p")
+            return p if p > (self.shields[-1] if self.shields else 0) else 0
+        floor = max((self.last(t) for t in shield), default=0)
+        found = [d[at] for t in closed if (d := self.tags.get(t)) and (at := bisect_right(d, floor)) < len(d)]
+        return min(found, default=0)
+
+
 def parse(html: str) -> _Node:
     """The element tree; unclosed and misnested elements end where their parent does."""
-    root = node = _Node("#root", False, 0, None)
-    at, articles = 0, 0
+    root = _Node("#root", False, 0, None)
+    open_, at = _Open(root), 0
     while m := _TOKEN.match(html, at):
         at = m.end()
         if m[4] is not None:
-            node.children.append(unescape(m[4]))
+            open_.node.children.append(unescape(m[4]))
             continue
         if m[2] is None:  # comment, declaration
             continue
         tag = m[2].lower()
         if m[1]:
-            up = node
-            while up is not root and up.tag != tag:
-                if tag not in BLOCKS and up.tag in BLOCKS:  # an inline end tag closes no block
-                    up = root
-                    break
-                up = up.parent
-            if up is not root:
-                while node is not up.parent:
-                    articles -= node.tag in ("article", "main")
-                    node = node.parent
+            depth = open_.last(tag)
+            if depth and (tag in BLOCKS or depth > (open_.blocks[-1] if open_.blocks else 0)):  # an inline end tag closes no block
+                open_.cut(depth)
             elif tag == "br":
-                node.children.append(" ")
+                open_.node.children.append(" ")
             continue
         if tag in ("br", "wbr"):
-            node.children.append(" " if tag == "br" else "")
+            open_.node.children.append(" " if tag == "br" else "")
             continue
-        if tag in BLOCKS:
-            closed, shield = IMPLIED.get(tag, (frozenset(), frozenset()))
-            up, end = node, None
-            while up is not root:
-                if up.tag in closed:
-                    end = up
-                if up.tag in shield or (not closed and up.tag in _P_SHIELD):
-                    break
-                if up.tag == "p" and not closed:
-                    end = up
-                    break
-                up = up.parent
-            if end is not None:
-                while node is not end.parent:
-                    articles -= node.tag in ("article", "main")
-                    node = node.parent
-        child = _Node(tag, _is_boilerplate(tag, m[3], articles > 0), _mark(tag, m[3], articles > 0), node)
-        node.children.append(child)
+        if tag in BLOCKS and (depth := open_.implied_end(tag)):
+            open_.cut(depth)
+        in_article = bool(open_.last("article") or open_.last("main"))
+        child = _Node(tag, _is_boilerplate(tag, m[3], in_article, bool(open_.last("form"))), _mark(tag, m[3], in_article), open_.node)
+        open_.node.children.append(child)
         if tag in VOID:
             continue
         if tag in RAW:
@@ -183,8 +222,7 @@ def parse(html: str) -> _Node:
             at = end.end() if end else len(html)
             continue
         if not m[3].rstrip().endswith("/") or tag in BLOCKS or tag not in ("path", "use"):
-            articles += tag in ("article", "main")
-            node = child
+            open_.push(child)
     return root
 
 
@@ -242,45 +280,43 @@ def _link_share(blocks: list[tuple[_Node, str, int]]) -> float:
 
 def _lift_marks(root: _Node) -> None:
     """Take the mark off elements that hold the article or most of the prose outside of marks."""
-    marked, homes, stack = [], [], [root]
+    marked: list[_Node] = []  # outer ones first
+    around: dict[_Node, _Node | None] = {}  # the marked element next around a marked one
+    mains: set[_Node] = set()  # marked elements that hold a main element, up to a strict one
+    nearest: dict[_Node, _Node | None] = {root: None}
+    stack = [root]
     while stack:
         node = stack.pop()
         if node.mark:
             marked.append(node)
-        if node.tag in ("article", "main"):
-            homes.append(node)
-        stack.extend(c for c in reversed(node.children) if isinstance(c, _Node) and not c.bad)
+            around[node] = nearest[node]
+            nearest[node] = node
+        if node.tag == "main" and nearest[node] is not None:
+            mains.add(nearest[node])
+        for c in reversed(node.children):
+            if isinstance(c, _Node) and not c.bad:
+                nearest[c] = nearest[node]
+                stack.append(c)
     if not marked:
         return
-
-    def holders(node: _Node | None) -> list[_Node]:
-        """Marked elements around a node, from the inner one to the first strict one."""
-        out = []
-        while node is not None and not (out and out[-1].mark == STRICT):
-            if node.mark:
-                out.append(node)
-            node = node.parent
-        return out
-
-    free, own, held = 0.0, {}, {}
+    free, own = 0.0, dict.fromkeys(marked, 0.0)
     for home, text, linked in _blocks([root], True):
-        points, around = _points(text, linked), holders(home)
-        if not around:
-            free += points
-        for k, m in enumerate(around):
-            held[m] = held.get(m, 0.0) + points
-            if k == 0:
-                own[m] = own.get(m, 0.0) + points
-    mains = {m for n in homes if n.tag == "main" for m in holders(n)}
+        if (m := nearest[home]) is None:
+            free += _points(text, linked)
+        else:
+            own[m] += _points(text, linked)
+    held = dict(own)
+    for m in reversed(marked):  # inner ones first; what a strict element holds counts for none around it
+        if m.mark != STRICT and (up := around[m]) is not None:
+            held[up] += held[m]
+            if m in mains:
+                mains.add(up)
     dropped = set()
-    for m in marked:  # outer ones first
-        up = m.parent
-        while up is not None and not up.mark:
-            up = up.parent
-        if up is not None and up in dropped or m.mark == STRICT:
+    for m in marked:
+        if around[m] in dropped or m.mark == STRICT:
             dropped.add(m)
             continue
-        keep = m in mains or held.get(m, 0.0) > free
+        keep = m in mains or held[m] > free
         if not keep and m.mark == TITLE:
             m.mark = 0
             inner = _blocks([m])
@@ -288,28 +324,63 @@ def _lift_marks(root: _Node) -> None:
             keep = _link_share(inner) < LOW_LINK and any(len(t) >= 25 or h.tag in HEADINGS for h, t, _ in inner)
         if keep:
             m.mark = 0
-            free += own.get(m, 0.0)
+            free += own[m]
         else:
             dropped.add(m)
 
 
-def _score(blocks: list[tuple[_Node, str, int]]) -> list[_Node]:
-    """Pass the points of each block to its ancestors; returns the containers that got any."""
-    seen: dict[int, _Node] = {}
+def _bottom_up(top: _Node) -> list[_Node]:
+    """The elements of a tree, children before their parents, without boilerplate."""
+    out, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        out.append(node)
+        stack.extend(c for c in node.children if isinstance(c, _Node) and not c.bad and not c.mark)
+    return out[::-1]
+
+
+def _score(root: _Node, blocks: list[tuple[_Node, str, int]]) -> list[_Node]:
+    """Pass the points of each block to its ancestors; returns the containers that got any, inner ones
+    first.
+
+    A container gets its own points whole, those one level below by half and from there on 2/3 of what a
+    level less gets, so two sums a node, own and passed on, make one pass of the tree."""
+    passed: dict[_Node, float] = {}
     for home, text, linked in blocks:
-        points = _points(text, linked)
         up = home.parent if home.tag in ("p", "pre", "blockquote", "li", "td", "dd", *HEADINGS) and home.parent else home
-        level = 1.0
-        while up is not None and up.tag != "#root":
-            seen[id(up)] = up
-            up.points += points / level
-            up.text += len(text)
-            up.linked += linked
-            level = 2.0 if level == 1.0 else level * 1.5
-            up = up.parent
-    for n in seen.values():
-        n.points *= 1 - n.linked / max(n.text, 1)
-    return list(seen.values())
+        up.points += _points(text, linked)
+        up.text += len(text)
+        up.linked += linked
+    found = []
+    for node in _bottom_up(root):
+        own, below = node.points, passed.get(node, 0.0)
+        if not node.text or node is root:
+            continue
+        if (up := node.parent) is not None:
+            passed[up] = passed.get(up, 0.0) + own / 2 + below / 1.5
+            up.text += node.text
+            up.linked += node.linked
+        node.points = (own + below) * (1 - node.linked / max(node.text, 1))
+        found.append(node)
+    return found
+
+
+def _prune(top: _Node) -> None:
+    """Leave out, within the article, lists and blocks that are nothing but several links."""
+    sums: dict[_Node, list[int]] = {}  # code points, those in links, links, other blocks in it
+    for node in _bottom_up(top):
+        size, linked, links, parts = sums.pop(node, [0, 0, 0, 0])
+        size += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        if node.tag == "a":
+            linked, links = size, links + (size > 0)
+        if node is top:
+            break
+        if node.tag in BLOCKS and node.tag not in HEADINGS and links >= 2 and linked >= HIGH_LINK * size and (parts == 0 or node.tag in ("ul", "ol", "dl")):
+            node.bad = True
+            continue
+        up = sums.setdefault(node.parent, [0, 0, 0, 0])
+        for k, v in enumerate((size, linked, links, int(node.tag in BLOCKS and node.tag not in ("li", "dt", "dd") and size > 0))):
+            up[k] += v
 
 
 def _unmark(root: _Node) -> None:
@@ -324,11 +395,20 @@ def _joined(node: _Node) -> str:
     return "\n\n".join(t for _, t, _ in _blocks([node]))
 
 
+def _loose(node: _Node, own: list[tuple[_Node, str, int]]) -> bool:
+    """Whether a part beside the best container is a line of its own: a notice by its words, or short bare
+    text that stands in no paragraph, heading, list or table."""
+    text = " ".join(t for _, t, _ in own)
+    if len(text) <= NOTE and _NOTE.search(text):
+        return True
+    return node.tag in BLOCKS and node.tag not in _TEXTUAL and len(text) < LOOSE and all(h.tag not in _TEXTUAL for h, _, _ in own)
+
+
 def _spread(best: _Node) -> _Node:
     """The nearest ancestor over which the prose of ``best`` goes on, at least its parent, without the
-    linked parts on the way."""
+    linked and loose parts on the way."""
     path, top, started = best, best, False
-    linked: list[tuple[int, _Node]] = []
+    leave: list[tuple[int, _Node]] = []
     level = height = 0
     while path.tag not in ("body", "html") and path.parent is not None and path.parent.tag != "#root":
         prose, items = False, path.parent.children
@@ -339,19 +419,25 @@ def _spread(best: _Node) -> _Node:
             if not own:
                 continue
             in_text = s.tag not in BLOCKS and any(isinstance(n, str) and not n.isspace() for n in (*items[max(k - 1, 0) : k], *items[k + 1 : k + 2]))
-            if _link_share(own) < LOW_LINK:
+            if not in_text and (_link_share(own) >= LOW_LINK or _loose(s, own)):
+                leave.append((level, s))
+            elif _link_share(own) < LOW_LINK:
                 prose = prose or any(_points(t, n) > 0 for _, t, n in own)
-            elif not in_text:
-                linked.append((level, s))
-        prose = prose or any(isinstance(s, str) and len(s.strip()) >= 25 for s in items)
+        bare = [s for s in items if isinstance(s, str) and len(s.strip()) >= 25]
+        prose = prose or any(len(s.strip()) > NOTE or not _NOTE.search(s) for s in bare)
         if started and not prose:
             break
         path, level = path.parent, level + 1
         if prose or level == 1:
             top, height = path, level
         started = started or prose
-    for at, s in linked:
+    for at, s in leave:
         s.bad = s.bad or at < height
+    # Bare notices between the parts on the way.
+    up = best
+    for _ in range(height):
+        up = up.parent
+        up.children = [c for c in up.children if not (isinstance(c, str) and len(c.strip()) <= NOTE and _NOTE.search(c))]
     return top
 
 
@@ -369,7 +455,7 @@ def main_text(html: str | None) -> str:
             blocks = every
     if not blocks:
         return ""
-    found = _score(blocks)
+    found = _score(root, blocks)
     best = max(found, key=lambda n: n.points, default=None)
     if best is None or best.points <= 0:
         keep = [n for n in found if n.tag in ("article", "main")][:1]
@@ -379,7 +465,9 @@ def main_text(html: str | None) -> str:
         if up.tag == "article" or (up.tag == "main" and around is None):
             around = up
         up = up.parent
-    return _joined(around if around is not None else _spread(best))
+    top = around if around is not None else _spread(best)
+    _prune(top)
+    return _joined(top)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -93,6 +93,36 @@ def _page(body):
     return f"<!doctype html><html><head><title>T</title><style>p{{}}</style></head><body class='has-sidebar'>{body}</body></html>"
 
 
+def test_html_takes_time_in_proportion_to_the_page():
+    import time
+
+    n = 8000
+    for page in (
+        "<div><p>some text, that is long enough to count, yes" * n, "<b>" * n + "</i>" * n + "x", "<i><div>" + "<b>" * n + "</i>" * n,
+        "<ul><li>" * n, '<div class="sidebar">text here, long enough to count, ok' * n, "<span>" * n + "text, long enough, surely",
+        "<article>" + '<div class="related work">text here, long enough to count, ok' * n,
+    ):
+        t = time.process_time()
+        html.main_text(page)
+        assert time.process_time() - t < 5  # a quadratic parser takes half a minute
+
+
+def test_html_loose_notices_and_link_lists_go():
+    ps = "".join(f"<p>{t}</p>" for t in ARTICLE)
+    want = "\n\n".join(ARTICLE)
+    for above in ("<div>Call 555-1234 today for offers</div>", "Call 555-1234 today for offers", ""):
+        for below in ("<div>All rights reserved. Site map, contact, terms of use, and so on</div><div>Copyright 2024 Example Inc.</div>", "<p>© 2024, Example Inc., all of it</p>"):
+            assert html.main_text(_page(f"{above}<div id=content>{ps}</div>{below}")) == want
+    inside = (
+        "<section class='user-feedback'><p>Great, article, I loved it, so much, thanks, and more</p></section>"
+        "<ul><li><a href=a>One more story</a></li><li><a href=b>Two more stories</a></li></ul><div><a href=c>Next</a> | <a href=d>Previous</a></div>"
+    )
+    assert html.main_text(_page(f"<article>{ps}{inside}<p>Use <label>switch</label> now</p></article>")) == want + "\n\nUse switch now"
+    listed = "<ul><li>First, see <a href=a>this</a> for the whole story</li><li>Second point of the list</li></ul>"
+    got = html.main_text(_page(f"<article>{ps}{listed}<p><a href=z>A single link stays</a></p></article>"))
+    assert got == want + "\n\nFirst, see this for the whole story\n\nSecond point of the list\n\nA single link stays"
+
+
 def test_html_leaves_boilerplate_out():
     ps = "".join(f"<p>{t}" for t in ARTICLE)
     noise = (
