@@ -196,7 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(
         F.avg(F.col(label_col).cast("double")).alias("y")
     )
-    rows = document_statistics(docs, id_col, text_col).join(known, "doc_id").withColumn("f", fold()).where("f <> 0")
+    # Rows of fold 0 are never read for their text; whether a row is labelled is asked of narrow rows only,
+    # since a join before the statistics would move every text.
+    rows = document_statistics(docs.where(fold(id_col) != 0), id_col, text_col).join(known, "doc_id").withColumn("f", fold())
     rows = checkpointed(rows.select("x", "y", "f"))
     train = rows.where("f <> 1")
     moments = train.agg(F.count(F.lit(1)).alias("n"), *[g(F.col("x")[i]).alias(f"{k}{i}") for i in range(d) for k, g in (("m", F.avg), ("s", F.stddev_pop))]).first()
@@ -224,21 +226,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """All input columns and ``score double, predicted int``.  Null text: scored as an empty one.
-    Input columns named like a result are left out."""
+def score(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, with_text: bool = True
+) -> DataFrame:
+    """All input columns, the text among them if asked, and ``score double, predicted int``.  Null text:
+    scored as an empty one.  Input columns named like a result are left out."""
     docs = docs.drop("score", "predicted")
+    if not with_text:  # the text stands last and does not come back
+        docs = docs.select(*[c for c in docs.columns if c != text_col], text_col)
     names = docs.columns
     at = names.index(text_col)
+    kept = len(names) if with_text else at
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = model.score(_statistics_in_chunks(batch.column(at).cast(pa.string())))
-            yield pa.record_batch([*batch.columns, pa.array(s, pa.float64())], names=[*batch.schema.names, "_score"])
+            yield pa.record_batch([*batch.columns[:kept], pa.array(s, pa.float64())], names=[*batch.schema.names[:kept], "_score"])
 
     from pyspark.sql import types as T
 
-    schema = T.StructType([*inner.schema.fields, T.StructField("_score", T.DoubleType())])
+    schema = T.StructType([*inner.schema.fields[:kept], T.StructField("_score", T.DoubleType())])
     out = inner.mapInArrow(run, schema).withColumn("_predicted", (F.col("_score") >= threshold).cast("int"))
-    return out.toDF(*names, "score", "predicted")
+    return out.toDF(*names[:kept], "score", "predicted")

@@ -83,7 +83,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     held = F.coalesce(quality.fold() == 0, F.lit(False)).alias("held_out")
-    return quality.score(docs, model).select("doc_id", held, "score", "predicted")
+    return quality.score(docs, model, with_text=False).select("doc_id", held, "score", "predicted")
 
 
 @_query("op10_vector_dedup")

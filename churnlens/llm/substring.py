@@ -32,6 +32,9 @@ from churnlens.llm import words as W
 from churnlens.llm.tables import shuffle_partitions
 
 WINDOW = 13
+#: Text of a bucket and text whose entries meet in one hash partition, in bytes: their numbers follow the
+#: text, so the memory of a task stays the same however large the table is.
+BUCKET_BYTES, PART_BYTES = 64 << 20, 128 << 20
 NULL_ID = np.int64(2**63 - 1)
 _CODE_SEED, _CHECK_SEED = 1, 2
 _KEY_BITS = np.uint64(40)
@@ -321,13 +324,16 @@ def deduplicate(
 
     Null text: no words.  A null id is larger than any id and equal to other null ids; rows of one id
     do not remove each other.  An input column named like a result is left out.  Texts shorter than ``window`` words keep all.  Empty table: no rows."""
-    spark = docs.sparkSession
-    block, parts = (window + 1) // 2, shuffle_partitions(spark)
-    buckets = 2 * parts
+    block = (window + 1) // 2
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0)).alias("bytes")).first()["bytes"]
+    parts = max(shuffle_partitions(docs.sparkSession), -(-size // PART_BYTES))
+    buckets = max(2 * shuffle_partitions(docs.sparkSession), -(-size // BUCKET_BYTES))
     results = {"n_words", "n_removed", "spans", "kept_sha256", "kept_text"}
     others = [f for f in docs.schema.fields if f.name != text_col and f.name.lower() not in results]
     inner = [F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(others)]
-    spread = F.pmod(F.xxhash64(F.col(id_col), F.length(text_col)), F.lit(buckets)).cast("int")
+    # Rows without an id spread by their text.
+    unnamed = F.when(F.col(id_col).isNull(), F.col(text_col).cast("string"))
+    spread = F.pmod(F.xxhash64(F.col(id_col), F.length(text_col), unnamed), F.lit(buckets)).cast("int")
     rows = docs.select(
         spread.alias("bucket"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(NULL_ID))).alias("_key"), *inner,
         F.col(text_col).cast("string").alias("_text"),

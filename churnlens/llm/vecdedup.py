@@ -355,7 +355,9 @@ def near_duplicates(
     embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
     threshold: float = THRESHOLD, overlap: int = 3, target: float = TARGET, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """One row per input row: ``vec_id, n_links, component_id, kept``.
+    """One row per input row: ``vec_id, n_links, component_id, kept, audit_recall``, the last of them the
+    audit's recall of links on this table (null where no vector takes part), which a caller may hold against
+    its own bar; below ``target`` there is a warning as well.
 
     Rows of one label link at cosine ``threshold`` or more; n_links counts other rows, equal vectors
     included.  Null, zero and non-finite vectors, rows without a label or an id, and vectors of a length
@@ -370,7 +372,7 @@ def near_duplicates(
     dims = V.usual_length(usable)
     valid = valid & (F.size("x") == dims)
     nodes = checkpointed(rows.where(valid).groupBy("label", "x").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
-    total = nodes.count()
+    total, recall = nodes.count(), None
     joined = rows.withColumn("_valid", F.coalesce(valid, F.lit(False)))
     if total:
         k = int(np.clip(-(-4 * total // block_rows), 1, MAX_CLUSTERS))
@@ -402,5 +404,5 @@ def near_duplicates(
     component = F.coalesce("_component", "vec_id")
     return joined.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        (F.col("vec_id") == component).alias("kept"),
+        (F.col("vec_id") == component).alias("kept"), F.lit(recall).cast("double").alias("audit_recall"),
     )
