@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from churnlens import schema as S
 from churnlens.functions import features as FX
 from churnlens.functions.prefix import running_sums
-from churnlens.sources import store
+from churnlens.sources import files, store
 
 # Fixed value: the rule scorer's probability is RiskScore divided by its maximum (sum of weights).
 RISK_SCORE_MAX = 11.8
@@ -99,6 +99,6 @@ def batch_scoring(spark: SparkSession, test_data: DataFrame, predictions_path: s
     # made good here.
     written = spark.read.parquet(predictions_path).where(F.col("model_version") == model_version)
     marked = store.mark_scored(test_data, written.select("customer_id"))
-    marked.write.mode("overwrite").parquet(test_data_path)  # a new snapshot; never the path being read
+    snapshot = files.write_snapshot(marked, test_data_path)
     alerts = appended.where(F.col("churn_probability") > 0.7)
-    return ScoringResult(appended, alerts, spark.read.parquet(test_data_path), n)
+    return ScoringResult(appended, alerts, spark.read.parquet(snapshot), n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +72,23 @@ def read_run(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 
 
 def new_run_id() -> str:
-    import datetime as _dt
-
     return _dt.datetime.now(_dt.timezone.utc).strftime("%m_%d_%Y_%H_%M_%S_%f")
+
+
+def write_snapshot(df: DataFrame, root: str) -> str:
+    """A whole new copy of a table under ``root``, in a folder of its own; returns that folder.  A write
+    that stops in the middle leaves the earlier snapshots as they are."""
+    now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")  # in order of time
+    path = f"{root.rstrip('/')}/snapshot-{now}"
+    df.write.parquet(path)
+    return path
+
+
+def latest_snapshot(spark: SparkSession, root: str) -> str | None:
+    """The newest complete snapshot under ``root`` (one with a success marker), or None."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop(root)):
+        return None
+    whole = [f.getPath() for f in fs.listStatus(hadoop(root)) if f.isDirectory() and fs.exists(hadoop(f.getPath(), "_SUCCESS"))]
+    return max(whole, key=lambda p: p.getName()).toString() if whole else None

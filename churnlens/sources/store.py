@@ -8,6 +8,7 @@ is never overwritten.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,17 +124,25 @@ def insert_into(df: DataFrame, table: str) -> None:
 def insert_dataframe(df: DataFrame, path: str, if_exists: str = "append", table: str | None = None) -> int:
     """Write ``df`` to a store table path; ``if_exists`` in {'append', 'replace', 'fail'}.
 
-    Returns the number of rows written, from the footers of the files that the write added, so the cost
-    of counting follows the append and not the table.
-    """
-    mode = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}[if_exists]
+    An append is written to a folder of its own beside the table's files and moved in when it is whole, so
+    a failed one leaves nothing in the table.  Returns the number of rows written, from the footers of
+    exactly those files, whatever other writers add meanwhile."""
     if table is not None:
         df = conform(df, S.STORE_SCHEMAS[table], store_defaults(table))
     spark = df.sparkSession
-    before = _files(spark, path) if mode == "append" else set()
-    df.write.mode(mode).parquet(path)
-    added = sorted(_files(spark, path) - before)
-    return spark.read.parquet(*added).count() if added else 0
+    if if_exists != "append":
+        df.write.mode({"replace": "overwrite", "fail": "errorifexists"}[if_exists]).parquet(path)
+        return spark.read.parquet(path).count()
+    run = f"{path.rstrip('/')}/_append-{uuid.uuid4().hex}"  # readers skip names that begin with _
+    df.write.parquet(run)
+    n = spark.read.schema(df.schema).parquet(run).count()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for file in sorted(_files(spark, run)):
+        if not fs.rename(hadoop(file), hadoop(f"{path.rstrip('/')}/{file.rsplit('/', 1)[1]}")):
+            raise OSError(f"could not move {file} into the table")
+    fs.delete(hadoop(run), True)
+    return n
 
 
 def mark_scored(test: DataFrame, scored_ids: DataFrame, key: str = "customer_id", now: Column | None = None) -> DataFrame:

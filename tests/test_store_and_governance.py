@@ -103,3 +103,25 @@ def test_workers_get_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
+def test_append_counts_its_own_rows_and_snapshots_survive_a_broken_write(spark):
+    import os
+
+    from churnlens.sources import files
+
+    path = scratch_path(spark, "counted")
+    assert store.insert_dataframe(spark.range(5), path, "append") == 5
+    spark.range(100).write.mode("append").parquet(path)  # another writer
+    assert store.insert_dataframe(spark.range(3), path, "append") == 3
+    assert spark.read.parquet(path).count() == 108
+    assert not [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("_append")]
+
+    root = scratch_path(spark, "snapshots")
+    assert files.latest_snapshot(spark, root) is None
+    files.write_snapshot(spark.range(4), root)
+    second = files.write_snapshot(spark.range(6), root)
+    assert files.latest_snapshot(spark, root).removeprefix("file:") == second.removeprefix("file:")
+    third = files.write_snapshot(spark.range(8), root)
+    os.remove(f"{third.removeprefix('file:')}/_SUCCESS")  # stopped before it was whole
+    assert spark.read.parquet(files.latest_snapshot(spark, root)).count() == 6
