@@ -252,6 +252,36 @@ def test_quality_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in got.collect()) and got.count() == docs.count()
 
 
+def test_quality_equals_a_plain_fit(spark):
+    import zlib
+
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels)
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.select("doc_id", "text").collect()}
+    rows = [(r["doc_id"], float(r["quality"])) for r in labels.collect() if r["quality"] is not None and r["doc_id"] in texts]
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, _ in rows}
+
+    def part(folds):
+        some = [(i, y) for i, y in rows if fold[i] in folds]
+        return quality.statistics([texts[i] for i, _ in some]), np.array([y for _, y in some])
+
+    x, y = part({2, 3, 4})
+    mean, scale = x.mean(0), np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    waves = lambda v: np.hstack([np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((v - mean) / scale, -8, 8) @ model.omega + model.phase), np.ones((len(v), 1))])
+    # Ridge as least squares with one extra row a penalized weight.
+    root = np.sqrt(quality.RIDGE * len(y)) * np.eye(quality.FEATURES + 1)[:-1]
+    w = np.linalg.lstsq(np.vstack([waves(x), root]), np.append(y, np.zeros(quality.FEATURES)), rcond=None)[0]
+    assert np.abs(waves(x) @ w - model.raw(x)).max() < 1e-4
+    # Isotonic levels: the largest mean of a stretch that ends here over the least that starts after.
+    cx, cy = part({1})
+    at = np.rint(np.clip(model.raw(cx), -1, 2) * quality.BINS)
+    place, size = np.unique(at, return_counts=True)
+    mass = np.array([cy[at == p].sum() for p in place])
+    total, count = np.append(0, np.cumsum(mass)), np.append(0, np.cumsum(size))
+    level = [max(min((total[j] - total[i]) / (count[j] - count[i]) for j in range(k + 1, len(place) + 1)) for i in range(k + 1)) for k in range(len(place))]
+    assert np.abs(np.interp(place / quality.BINS, model.knots, model.levels) - level).max() < 1e-9
+
+
 def test_quality_odd_inputs(spark, odd, nothing):
     labels = spark.createDataFrame([(4, 1), (5, 0), (6, None), (6, 1), (7, 0), (8, 1), (9, 0), (None, 1)], "doc_id long, quality int")
     model = quality.fit(odd, labels)
