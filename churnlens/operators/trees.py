@@ -477,17 +477,21 @@ def _in_tasks(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[in
 
 
 def _summing(sent, flat: list[tuple[int, int]], specs: Sequence[TreeSpec], width: int, counts: dict):
-    """A block's histograms for every request, ``NODES_A_ROW`` nodes a row."""
+    """A task's histograms for every request, summed over its blocks, ``NODES_A_ROW`` nodes a row.
+
+    The task holds its blocks, a file split, and one request's sums at a time, so what it sends does not
+    grow with its blocks."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         requests = pickle.loads(sent.value)
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row | {"margins": row["margins"] and pickle.loads(row["margins"])}, width, counts)
-                for at, (k, i) in enumerate(flat):
-                    hist = block.histogram(k, specs[k], requests[k][i])
-                    for part in range(0, len(hist), NODES_A_ROW):
-                        yield pa.RecordBatch.from_pydict({"at": [at], "part": [part], "hist": [hist[part : part + NODES_A_ROW].tobytes()]})
+        blocks = [
+            Block(row | {"margins": row["margins"] and pickle.loads(row["margins"])}, width, counts)
+            for batch in batches for row in batch.to_pylist()
+        ]
+        for at, (k, i) in enumerate(flat if blocks else []):
+            hist = sum(block.histogram(k, specs[k], requests[k][i]) for block in blocks)
+            for part in range(0, len(hist), NODES_A_ROW):
+                yield pa.RecordBatch.from_pydict({"at": [at], "part": [part], "hist": [hist[part : part + NODES_A_ROW].tobytes()]})
 
     return sums
 
