@@ -17,6 +17,12 @@
 
 Links are counted where they are found and only a spanning forest of each block leaves the task, so
 output is linear in the input even where a group of near copies holds a third of all rows.
+
+Large groups of near copies do not enter the graph.  Nodes within half the threshold's angle of a
+centroid are its *core* if they are many; any two of them link.  By the triangle inequality a node links
+with a whole core if its angle to the centroid and the core's radius add up to no more than the
+threshold's, and with none of it if they differ by more; only cores that these bounds leave open are
+compared row by row.  Cores are at most ``MAX_CORES``, so their centroids and weights go to every task.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import functions as F
 
 from churnlens.llm import vectors as V
 from churnlens.llm.graph import connected_components
-from churnlens.llm.tables import checkpointed
+from churnlens.llm.tables import checkpointed, shuffle_partitions
 
 THRESHOLD = 0.93
 SAMPLE_ROWS = 32768  # rows that centroids are fitted on
@@ -46,6 +52,9 @@ DEGREE, POOL, ALPHA = 32, 96, 1.2
 WALK_DEGREE = 64  # neighbours of a node that a walk looks at
 MARGIN = 0.04  # the search also expands nodes this far below the threshold
 SEED = 10
+MAX_CORES = 65536  # a core holds at least this part of all nodes, and at least CORE_ROWS
+CORE_ROWS = 64
+SLACK = 1e-7  # radians by which a bound must hold
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -310,6 +319,185 @@ def _links(
     ).applyInArrow(_search(dims, low, margin), "node long, links long, root long")
 
 
+class Cores:
+    """Cores by label: place in ``centers``, radius, weight in copies and least node of each."""
+
+    def __init__(self, centers: np.ndarray, low: float, rows: list):
+        self.centers, self.reach = centers, float(np.arccos(low))
+        self.by_label: dict[str, dict[str, np.ndarray]] = {}
+        for label in {r["label"] for r in rows}:
+            mine = sorted((r for r in rows if r["label"] == label), key=lambda r: r["core"])
+            self.by_label[label] = {k: np.array([r[k] for r in mine]) for k in ("core", "radius", "weight", "least")}
+
+    def status(self, label: str, x: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """The label's cores, and for each row and core whether it surely links with all of it, and
+        whether that is open."""
+        cores = self.by_label[label]
+        angle = _angles(x, self.centers[cores["core"]])
+        sure = angle + cores["radius"] <= self.reach - SLACK
+        return cores, sure, ~sure & (angle - cores["radius"] <= self.reach + SLACK)
+
+
+def _angles(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ centers.T, -1.0, 1.0))
+
+
+def _by_label(batch: pa.RecordBatch) -> list[tuple[str, np.ndarray]]:
+    labels = np.array(batch.column(1).to_pylist(), dtype=object)
+    return [(label, np.flatnonzero(labels == label)) for label in dict.fromkeys(labels)]
+
+
+def _cored(nodes: DataFrame, centers: np.ndarray, dims: int, low: float, total: int) -> tuple[DataFrame, Cores]:
+    """``nodes`` with ``core``: the place of the centroid whose core they belong to, or -1."""
+    half = np.arccos(low) / 2 - SLACK
+    schema = "node long, label string, copies long, x array<double>, core long, angle double"
+
+    def placed(kept: dict[str, np.ndarray] | None) -> DataFrame:
+        """Each node with its nearest centroid, of those kept for its label, if that is near enough."""
+
+        def near(batches):
+            for batch in batches:
+                x = _unit(V.matrix(batch.column(3), dims))
+                core, least = np.full(len(x), -1), np.full(len(x), np.pi)
+                for label, at in [(None, np.arange(len(x)))] if kept is None else _by_label(batch):
+                    some = np.arange(len(centers)) if kept is None else kept.get(label, [])
+                    if len(some) and len(at):
+                        angle = _angles(x[at], centers[some])
+                        own = angle.argmin(1)
+                        least[at] = angle[np.arange(len(at)), own]
+                        core[at] = np.where(least[at] <= half, np.asarray(some)[own], -1)
+                yield pa.record_batch([*batch.columns, pa.array(core), pa.array(least)], names=[*batch.schema.names, "core", "angle"])
+
+        return nodes.select("node", "label", "copies", "x").mapInArrow(near, schema)
+
+    def many(frame: DataFrame) -> list:
+        sums = frame.where("core >= 0").groupBy("label", "core").agg(
+            F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius"), F.sum("copies").alias("weight"), F.min("node").alias("least")
+        )
+        return sums.where(F.col("n") >= max(CORE_ROWS, -(-total // MAX_CORES))).collect()  # at most MAX_CORES rows
+
+    first = many(placed(None))
+    if not first:
+        return nodes.select("node", "label", "copies", "x", F.lit(-1).cast("long").alias("core")), Cores(centers, low, [])
+    # Nodes of lesser cores join the nearest of those kept, where it is near enough.
+    again = checkpointed(placed({label: np.array([r["core"] for r in first if r["label"] == label]) for label in {r["label"] for r in first}}))
+    rows = many(again)
+    kept = again.sparkSession.createDataFrame([(r["label"], r["core"]) for r in rows], "l string, kept long")
+    marked = again.join(F.broadcast(kept), (again["label"] == kept["l"]) & (again["core"] == kept["kept"]), "left")
+    return checkpointed(marked.select("node", "label", "copies", "x", F.coalesce("kept", F.lit(-1)).cast("long").alias("core"))), Cores(centers, low, rows)
+
+
+def _core_links(marked: DataFrame, cores: Cores, dims: int, low: float, block_rows: int) -> DataFrame:
+    """``node, links, root`` of all links with a node of a core.
+
+    A node counts the cores that it surely links with by their weight, and so does the core count it, by one
+    sum a core; where it is open, node and core meet row by row."""
+    rows = marked.where(F.col("label").isin(*cores.by_label)) if len(cores.by_label) <= 100 else marked
+    found = "node long, links long, root long"
+
+    def sure(batches):
+        for batch in batches:
+            ids, copies, own = (batch.column(c).to_numpy() for c in (0, 2, 4))
+            x = _unit(V.matrix(batch.column(3), dims))
+            for label, at in _by_label(batch):
+                if label not in cores.by_label:
+                    continue
+                known, linked, _ = cores.status(label, x[at])
+                hit = linked.any(1)
+                links = linked @ known["weight"] - np.where(own[at] >= 0, copies[at], 0)  # not itself
+                first = known["least"][linked.argmax(1)]
+                yield pa.record_batch([pa.array(ids[at][hit]), pa.array(links[hit]), pa.array(first[hit])], names=["node", "links", "root"])
+                # Cores that share a node are one component.
+                i, c = np.nonzero(linked)
+                pairs = np.unique(np.stack((first[i], known["least"][c])), axis=1)
+                pairs = pairs[:, pairs[0] != pairs[1]]
+                yield pa.record_batch([pa.array(pairs[0]), pa.array(np.zeros(pairs.shape[1], np.int64)), pa.array(pairs[1])], names=["node", "links", "root"])
+
+    def guests(batches):
+        """What nodes outside of cores add to each core that they surely link with."""
+        for batch in batches:
+            copies, own = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            x = _unit(V.matrix(batch.column(3), dims))
+            for label, at in _by_label(batch):
+                if label in cores.by_label:
+                    at = at[own[at] < 0]
+                    known, linked, _ = cores.status(label, x[at])
+                    yield pa.record_batch([pa.array([label] * len(known["core"]), pa.string()), pa.array(known["core"]), pa.array(copies[at] @ linked)], names=["label", "core", "links"])
+
+    def open_(batches):
+        for batch in batches:
+            x = _unit(V.matrix(batch.column(3), dims))
+            for label, at in _by_label(batch):
+                if label in cores.by_label:
+                    known, _, left = cores.status(label, x[at])
+                    i, c = np.nonzero(left)
+                    some = batch.take(pa.array(at[i]))
+                    yield pa.record_batch([*some.columns, pa.array(known["core"][c])], names=[*some.schema.names, "at"])
+
+    added = rows.where("core < 0").mapInArrow(guests, "label string, core long, links long").groupBy("label", "core").agg(F.sum("links").alias("links")).where("links > 0")
+    members = rows.where("core >= 0")
+    told = members.join(added, ["label", "core"]).select("node", "links", F.col("node").alias("root"))
+
+    # Members of a core in blocks, each followed by the nodes that are open towards it.
+    blocks = {(label, int(c)): int(n) for label, k in cores.by_label.items() for c, n in zip(k["core"], -(-k["weight"] // block_rows))}
+    sizes = rows.sparkSession.createDataFrame([(label, c, n) for (label, c), n in blocks.items()], "label string, at long, blocks long")
+    asks = rows.mapInArrow(open_, "node long, label string, copies long, x array<double>, core long, at long").join(F.broadcast(sizes), ["label", "at"])
+    asks = asks.select("label", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "node", "copies", "x", "core")
+    held = members.withColumn("at", F.col("core")).join(F.broadcast(sizes), ["label", "at"])
+    held = held.select("label", "at", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.lit(0).alias("asks"), "node", "copies", "x", "core")
+    keys = ["label", "at", "block"]
+    both = held.unionByName(asks).repartition(shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "asks", "node")
+    met = both.mapInArrow(_meet_core(dims, low), found)
+    return rows.mapInArrow(sure, found).unionByName(told).unionByName(met)
+
+
+def _meet_core(dims: int, low: float):
+    """Exact links between the rows of a block of a core and the nodes that follow it."""
+
+    def run(batches):
+        key, ids, copies, x, credit = None, [], [], [], None
+
+        def finish() -> pa.RecordBatch:
+            at = np.flatnonzero(credit)
+            return pa.record_batch([pa.array(ids[at]), pa.array(credit[at]), pa.array(ids[at])], names=["node", "links", "root"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            labels = np.array(batch.column(0).to_pylist(), dtype=object)
+            rest = [batch.column(c).to_numpy() for c in (1, 2, 3)]
+            change = (labels[1:] != labels[:-1]) | np.logical_or.reduce([r[1:] != r[:-1] for r in rest])
+            cuts = np.concatenate(([0], np.flatnonzero(change) + 1, [batch.num_rows]))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                here = (labels[lo], rest[0][lo], rest[1][lo])
+                part = batch.slice(lo, hi - lo)
+                who, many, vec = part.column(4).to_numpy(), part.column(5).to_numpy(), _unit(V.matrix(part.column(6), dims))
+                if here != key:
+                    if credit is not None:
+                        yield finish()
+                    key, ids, copies, x, credit = here, [], [], [], None
+                if not rest[2][lo]:
+                    ids, copies, x = [*ids, who], [*copies, many], [*x, vec]
+                    continue
+                if not len(ids):
+                    continue
+                if credit is None:
+                    ids, copies, x = np.concatenate(ids), np.concatenate(copies), np.concatenate(x)
+                    credit = np.zeros(len(ids), np.int64)
+                outside = part.column(7).to_numpy() < 0  # nodes of cores count for themselves
+                for a in range(0, len(who), 512):
+                    linked = (vec[a : a + 512] @ x.T >= low) & (who[a : a + 512, None] != ids)
+                    credit += (many[a : a + 512] * outside[a : a + 512]) @ linked
+                    hit = linked.any(1)
+                    yield pa.record_batch(
+                        [pa.array(who[a : a + 512][hit]), pa.array((linked @ copies)[hit]), pa.array(ids[linked.argmax(1)][hit])], names=["node", "links", "root"]
+                    )
+        if credit is not None:
+            yield finish()
+
+    return run
+
+
 def _true_links(nodes: DataFrame, rows: list, dims: int, low: float) -> DataFrame:
     """``node, n``: the links of the nodes ``rows(node, label, x)`` by brute force over all nodes."""
     q = _unit(np.array([r["x"] for r in rows], np.float64).reshape(len(rows), dims))
@@ -378,11 +566,16 @@ def near_duplicates(
         k = int(np.clip(-(-4 * total // block_rows), 1, MAX_CLUSTERS))
         points = V.sample(nodes, "node", "x", total, SAMPLE_ROWS, dims, SEED)
         centers = V.centroids(_unit(points), k, SEED)
-        margin = MARGIN
+        margin, apart, with_cores = MARGIN, nodes, None
+        length = np.sqrt((centers**2).sum(1))
+        marked, cores = _cored(nodes, centers / np.maximum(length, 1e-12)[:, None], dims, threshold, total)
+        if cores.by_label:
+            with_cores = checkpointed(_core_links(marked, cores, dims, threshold, block_rows))
+            apart = checkpointed(marked.where("core < 0").drop("core"))
         while True:
-            found = checkpointed(_links(nodes, centers, overlap, dims, threshold, block_rows, margin))
+            found = checkpointed(_links(apart, centers, overlap, dims, threshold, block_rows, margin))
             links = checkpointed(found.groupBy("node").agg(F.sum("links").alias("links")))
-            recall = _audit(nodes, links, dims, threshold)
+            recall = _audit(apart, links, dims, threshold)
             if recall >= target:
                 break
             if overlap < len(centers):
@@ -392,6 +585,9 @@ def near_duplicates(
             else:
                 warnings.warn(f"links found: {recall:.4f} of the true ones of a sampled node, {target} asked")
                 break
+        if with_cores is not None:
+            found = found.unionByName(with_cores)
+            links = checkpointed(found.groupBy("node").agg(F.sum("links").alias("links")))
         parts = connected_components(found.select("node", "root"), "node", "root")
         classes = nodes.join(links, "node", "left").join(parts, "node", "left").select(
             F.col("label").alias("_label"), F.col("x").alias("_x"),

@@ -440,6 +440,38 @@ def test_vector_dedup_finds_the_links(spark):
         assert np.mean([got[i][1] == want[i][1] for i in want]) >= 0.98
 
 
+def _group_rows(group, others=300, dims=48, seed=2):
+    """A tight group, a looser ring about it, near pairs and unrelated rows, of two labels."""
+    rng = np.random.default_rng(seed)
+    base = vecdedup._unit(rng.normal(size=(1, dims)))
+    tight = base + vecdedup._unit(rng.normal(size=(group, dims))) * rng.uniform(0.05, 0.13, (group, 1))
+    ring = base + vecdedup._unit(rng.normal(size=(60, dims))) * rng.uniform(0.2, 0.6, (60, 1))
+    apart = vecdedup._unit(rng.normal(size=(others, dims)))
+    x = np.concatenate((tight, ring, apart, apart[:40] + rng.normal(size=(40, dims)) * 0.02, tight[:5]))
+    return [(i, [float(c) for c in v], "b" if i % 9 == 0 else "a") for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("block_rows", [2048, 64])
+def test_vector_dedup_of_large_groups_is_exact(spark, monkeypatch, block_rows):
+    rows = _group_rows(700)
+    seen, core_links = [], vecdedup._core_links
+    monkeypatch.setattr(vecdedup, "_core_links", lambda marked, *a: seen.append(marked.where("core >= 0").count()) or core_links(marked, *a))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vecdedup.near_duplicates(df, block_rows=block_rows).collect()}
+    want = {a: (n, c) for a, n, c in _slow_links(rows, 48)}
+    assert seen and seen[0] >= 600
+    assert got == want
+
+
+def test_vector_dedup_work_grows_with_a_group_not_with_its_square(spark, monkeypatch):
+    dealt, links = [], vecdedup._links
+    monkeypatch.setattr(vecdedup, "_links", lambda nodes, *a: dealt.append(nodes.count()) or links(nodes, *a))
+    for group in (1500, 3000):
+        df = spark.createDataFrame(_group_rows(group), "vec_id long, embedding array<double>, label string")
+        vecdedup.near_duplicates(df, block_rows=512).count()
+    assert max(dealt) < 600  # the group itself never enters the graph
+
+
 def test_vector_dedup_counts_a_link_at_both_ends(spark):
     rng = np.random.default_rng(4)
     x = vecdedup._unit(rng.normal(size=(1000, 64)))
