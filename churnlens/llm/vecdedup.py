@@ -28,6 +28,7 @@ compared row by row.  Cores are at most ``MAX_CORES``, so their centroids and we
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,7 @@ SEED = 10
 MAX_CORES = 65536  # a core holds at least this part of all nodes, and at least CORE_ROWS
 CORE_ROWS = 64
 SLACK = 1e-7  # radians by which a bound must hold
+CHUNK = 1024  # rows that are held against all centroids at a time
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -342,9 +344,12 @@ def _angles(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(x @ centers.T, -1.0, 1.0))
 
 
-def _by_label(batch: pa.RecordBatch) -> list[tuple[str, np.ndarray]]:
+def _by_label(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """Rows of one label, at most ``CHUNK`` at a time."""
     labels = np.array(batch.column(1).to_pylist(), dtype=object)
-    return [(label, np.flatnonzero(labels == label)) for label in dict.fromkeys(labels)]
+    for label in dict.fromkeys(labels):
+        at = np.flatnonzero(labels == label)
+        yield from ((label, at[lo : lo + CHUNK]) for lo in range(0, len(at), CHUNK))
 
 
 def _cored(nodes: DataFrame, centers: np.ndarray, dims: int, low: float, total: int) -> tuple[DataFrame, Cores]:
@@ -359,7 +364,7 @@ def _cored(nodes: DataFrame, centers: np.ndarray, dims: int, low: float, total:
             for batch in batches:
                 x = _unit(V.matrix(batch.column(3), dims))
                 core, least = np.full(len(x), -1), np.full(len(x), np.pi)
-                for label, at in [(None, np.arange(len(x)))] if kept is None else _by_label(batch):
+                for label, at in _by_label(batch):
                     some = np.arange(len(centers)) if kept is None else kept.get(label, [])
                     if len(some) and len(at):
                         angle = _angles(x[at], centers[some])
