@@ -6,23 +6,26 @@ level from three sums (gradient, hessian, rows) per node, column and bin.  Gradi
 multiples of 1 / ``SCALE``, so sums are exact integers and a model depends neither on how rows are dealt
 nor on the order in which partial sums meet.
 
-Every model is a generator that asks for the best splits of its open nodes.  Where the rows are more
-than one block, each round of all generators is one Spark job: histograms by block, summed by (model,
-tree, nodes), the best splits found there, only those sent to the driver.  Rows that fit one block need
-no exchange of histograms, so models are dealt to tasks and the same generators are answered in place.
-Both ways yield the same trees.
+Rows that fit one task (``WHOLE_ROWS``) need no exchange of histograms: models, and the trees of forests,
+are dealt to tasks.  Beyond that, boosting goes in step: the rows stay in memory,
+and each level of all models is a short job of one stage that sends the driver full histograms.  Forests go by rounds: each level of all trees is one Spark
+job, sums by task, added by (model, tree, nodes), the best splits found there, only those sent to the
+driver.  All ways yield the same trees.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import pickle
-from collections.abc import Generator, Iterator, Sequence
+import zlib
+from collections.abc import Generator, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +38,15 @@ BLOCK_ROWS = 50_000
 SCALE = 1 << 20
 #: Nodes whose histograms travel in one row between tasks.
 NODES_A_ROW = 64
-#: Rounds of boosting after which margins are written with the blocks.
-REFRESH = 16
+#: Trees after which the margins of models that boost in step are kept with the rows.
+REFRESH = 8
 MIN_GAIN = 1e-6
+#: Rows that are routed at a time, so that what they need stays in the cache.
+STRIP = 1 << 15
+#: Binned rows (some 30 bytes each) up to which a task may hold them all; models and trees are then dealt to tasks.
+WHOLE_ROWS = 1_000_000
+#: Bytes of histograms that a task sends in one turn of boosting in step.
+TURN_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -113,45 +122,57 @@ class Tree:
     """Nodes in the order in which they were opened; ``column`` -1 marks a leaf or an open node."""
 
     number: int
-    column: list[int] = field(default_factory=lambda: [-1])
-    cut: list[int] = field(default_factory=lambda: [0])
-    left: list[int] = field(default_factory=lambda: [0])
-    right: list[int] = field(default_factory=lambda: [0])
-    value: list[float] = field(default_factory=lambda: [0.0])
-    gain: list[float] = field(default_factory=lambda: [0.0])
-    depth: list[int] = field(default_factory=lambda: [0])
-    open: list[int] = field(default_factory=lambda: [0])
+    column: np.ndarray = field(default_factory=lambda: np.full(1, -1, np.int16))
+    cut: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int16))
+    left: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
+    right: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
+    value: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    gain: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    depth: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int32))
+    rows: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    open: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+
+    def children(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Column and cut by node, and left and right child beside each other; a leaf leads to itself."""
+        inner, here = self.column >= 0, np.arange(len(self.column))
+        sides = np.stack([np.where(inner, self.left, here), np.where(inner, self.right, here)], axis=1).ravel()
+        return np.where(inner, self.column, 0).astype(np.int64), self.cut, sides.astype(np.int64)
 
     def route(self, x: np.ndarray) -> np.ndarray:
         """The node that each row of bins reaches."""
-        column, cut, left, right = (np.asarray(v) for v in (self.column, self.cut, self.left, self.right))
-        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-        for _ in range(max(self.depth)):
-            c = column[at]
-            at = np.where(c < 0, at, np.where(x[rows, c] <= cut[at], left[at], right[at]))
-        return at
+        out, steps = np.zeros(len(x), np.int64), int(self.depth.max())
+        column, cut, sides = self.children()
+        for k in range(0, len(x) if steps else 0, STRIP):
+            part = x[k : k + STRIP]
+            flat, base, at = part.reshape(-1), np.arange(len(part)) * x.shape[1], out[k : k + STRIP]
+            for _ in range(steps):
+                at = sides.take(2 * at + (flat.take(base + column.take(at)) > cut.take(at)))
+            out[k : k + STRIP] = at
+        return out
 
     def values(self, x: np.ndarray) -> np.ndarray:
-        return np.asarray(self.value)[self.route(x)]
+        return self.value.take(self.route(x))
 
     def grow(self, spec: TreeSpec, best: Best) -> None:
         """Split the open nodes as answered; the children that may split further are open next."""
-        children = []
-        for s, node in enumerate(self.open):
-            self.value[node] = leaf_value(spec, best.total[s])
-            if best.column[s] < 0:
-                continue
-            self.column[node], self.cut[node], self.gain[node] = int(best.column[s]), int(best.cut[s]), float(best.gain[s])
-            for side, stats in (("left", best.left[s]), ("right", best.total[s] - best.left[s])):
-                child = len(self.column)
-                getattr(self, side)[node] = child
-                for name, v in (("column", -1), ("cut", 0), ("left", 0), ("right", 0), ("gain", 0.0), ("value", leaf_value(spec, stats)), ("depth", self.depth[node] + 1)):
-                    getattr(self, name).append(v)
-                deep = spec.depth is not None and self.depth[child] >= spec.depth
-                pure = spec.kind == "forest" and stats[0] in (0, stats[1])
-                if not deep and not pure and stats[2] >= max(spec.min_split, 2 * spec.min_leaf):
-                    children.append(child)
-        self.open = children
+        self.value[self.open], self.rows[self.open] = leaf_value(spec, best.total), best.total[:, 2]
+        split = np.flatnonzero(best.column >= 0)
+        nodes, first = self.open[split], len(self.column)
+        self.column[nodes], self.cut[nodes], self.gain[nodes] = best.column[split], best.cut[split], best.gain[split]
+        self.left[nodes] = first + 2 * np.arange(len(split))
+        self.right[nodes] = self.left[nodes] + 1
+        stats = np.stack([best.left[split], best.total[split] - best.left[split]], axis=1).reshape(-1, 3)
+        depth = np.repeat(self.depth[nodes] + 1, 2)
+        blank = np.zeros(len(stats))
+        for name, v in (("column", blank - 1), ("cut", blank), ("left", blank), ("right", blank), ("gain", blank), ("value", leaf_value(spec, stats)), ("depth", depth), ("rows", stats[:, 2])):
+            old = getattr(self, name)
+            setattr(self, name, np.concatenate([old, v.astype(old.dtype)]))
+        more = stats[:, 2] >= max(spec.min_split, 2 * spec.min_leaf)
+        if spec.depth is not None:
+            more &= depth < spec.depth
+        if spec.kind == "forest":
+            more &= (stats[:, 0] != 0) & (stats[:, 0] != stats[:, 1])
+        self.open = first + np.flatnonzero(more)
 
 
 @dataclass
@@ -178,11 +199,12 @@ def _shrunk(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0.0)
 
 
-def leaf_value(spec: TreeSpec, stats: np.ndarray) -> float:
-    a, b = stats[0] / SCALE, stats[1] / SCALE
-    if spec.kind == "forest":
-        return float(a / b) if b else 0.0
-    return float(-spec.rate * _shrunk(a, spec.l1) / (b + spec.l2)) if b + spec.l2 > 0 else 0.0
+def leaf_value(spec: TreeSpec, stats: np.ndarray) -> np.ndarray:
+    a, b = stats[..., 0] / SCALE, stats[..., 1] / SCALE
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if spec.kind == "forest":
+            return np.where(b != 0, a / b, 0.0)
+        return np.where(b + spec.l2 > 0, -spec.rate * _shrunk(a, spec.l1) / (b + spec.l2), 0.0)
 
 
 def _score(spec: TreeSpec, s: np.ndarray) -> np.ndarray:
@@ -199,25 +221,56 @@ def _score(spec: TreeSpec, s: np.ndarray) -> np.ndarray:
 
 
 def best_splits(spec: TreeSpec, hist: np.ndarray, columns: np.ndarray) -> Best:
-    """``hist``: nodes x columns x bins x 3.  Ties go to the first column, then the first bin."""
-    left = hist.cumsum(axis=2)
+    """``hist``: 3 x nodes x columns x bins.  Ties go to the first column, then the first bin."""
+    left = np.moveaxis(hist.cumsum(axis=3), 0, -1)
     total = left[:, :1, -1:, :]
-    right = total - left
+    right = np.moveaxis(np.moveaxis(total, -1, 0) - np.moveaxis(left, -1, 0), 0, -1)
     gain = _score(spec, left) + _score(spec, right) - _score(spec, total)
     ok = np.minimum(left[..., 2], right[..., 2]) >= spec.min_leaf
     if spec.min_child:
         ok &= np.minimum(left[..., 1], right[..., 1]) >= spec.min_child * SCALE
-    flat = np.where(ok, gain, -np.inf).reshape(len(hist), -1)
+    nodes, bins = np.arange(hist.shape[1]), hist.shape[3]
+    flat = np.where(ok, gain, -np.inf).reshape(len(nodes), -1)
     at = flat.argmax(axis=1)
-    nodes, bins = np.arange(len(hist)), hist.shape[2]
     best = flat[nodes, at]
     split = (best > MIN_GAIN) & (best >= spec.gamma)
     return Best(
-        total[:, 0, 0], np.where(split, columns[nodes, at // bins], -1), at % bins, np.where(split, best, 0.0),
+        total[:, 0, 0].copy(), np.where(split, columns[nodes, at // bins], -1), at % bins, np.where(split, best, 0.0),
         left[nodes, at // bins, at % bins],
     )
 
 
+def best_of_cells(spec: TreeSpec, cells: np.ndarray, sums: np.ndarray, columns: np.ndarray) -> Best:
+    """As ``best_splits``, from the cells that hold rows alone: ``cells`` are their places in the histogram,
+    ascending, ``sums`` cells x 3.  A cut after an empty cell parts the rows as the one before it does."""
+    nodes, k = columns.shape
+    out = Best(np.zeros((nodes, 3)), np.full(nodes, -1), np.zeros(nodes, np.int64), np.zeros(nodes), np.zeros((nodes, 3)))
+    if not len(cells):
+        return out
+    run, group = sums.cumsum(axis=0), cells // BINS
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    size = np.diff(np.append(first, len(cells)))
+    base = run[first] - sums[first]
+    whole = run[first + size - 1] - base
+    left, total = run - np.repeat(base, size, axis=0), np.repeat(whole, size, axis=0)
+    right = total - left
+    gain = _score(spec, left) + _score(spec, right) - np.repeat(_score(spec, whole), size)
+    ok = np.minimum(left[:, 2], right[:, 2]) >= max(spec.min_leaf, 1)
+    if spec.min_child:
+        ok &= np.minimum(left[:, 1], right[:, 1]) >= spec.min_child * SCALE
+    gain = np.where(ok, gain, -np.inf)
+    node = group // k
+    start = np.flatnonzero(np.diff(node, prepend=-1))
+    found, best = node[start], np.maximum.reduceat(gain, start)
+    tops = np.flatnonzero(gain == np.repeat(best, np.diff(np.append(start, len(cells)))))
+    at = tops[np.flatnonzero(np.diff(node[tops], prepend=-1))]
+    split = (best > MIN_GAIN) & (best >= spec.gamma)
+    out.total[found], out.left[found], out.cut[found] = total[start], left[at], cells[at] % BINS
+    out.column[found] = np.where(split, columns[found, group[at] % k], -1)
+    out.gain[found] = np.where(split, best, 0.0)
+    return out
+
+
 Growing = Generator[list[Request], list[Best], list[Tree]]
 
 
@@ -233,7 +286,7 @@ def grow(spec: TreeSpec, width: int) -> Growing:
             best = yield [Request(t, _node_columns(spec, t, shared[t.number]), done if spec.kind == "boost" else []) for t in live]
             for t, b in zip(live, best):
                 t.grow(spec, b)
-            live = [t for t in live if t.open]
+            live = [t for t in live if len(t.open)]
         done = done + trees
     return done
 
@@ -271,13 +324,24 @@ def uniform(ids: np.ndarray, seed: int, tree: int) -> np.ndarray:
     return (z >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
+def poisson(u: np.ndarray) -> np.ndarray:
+    """Poisson(1) counts by inversion."""
+    out = np.zeros(len(u), np.uint8)
+    for p in _POISSON:
+        out += u >= p
+    return out
+
+
 class Block:
-    def __init__(self, row: dict, width: int, counts: dict):
-        self.y = np.frombuffer(row["y"], np.int8)
-        self.x = np.frombuffer(row["x"], np.uint8).reshape(-1, width)
-        self.ids, self.fold = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["folds"], np.int32)
+    """Rows that a task holds, of one or more written blocks."""
+
+    def __init__(self, rows: Sequence[dict], width: int, counts: dict):
+        joined = lambda name, kind: np.concatenate([np.frombuffer(r[name], kind) for r in rows])
+        self.y, self.x = joined("y", np.int8), joined("x", np.uint8).reshape(-1, width)
+        self.ids, self.fold = joined("ids", np.int64), joined("folds", np.int32)
         self.counts = counts
-        self.margins = {k: (done, np.frombuffer(m, np.float64)) for k, (done, m) in (row.get("margins") or {}).items()}
+        kept = [pickle.loads(r["margins"]) if r["margins"] else {} for r in rows]
+        self.margins = {k: (v[0], np.concatenate([m[k][1] for m in kept])) for k, v in kept[0].items()}
 
     def margin(self, key, spec: TreeSpec, before: Sequence[Tree]) -> np.ndarray:
         """Sum of the trees so far; the last sums are kept, so each tree is added once."""
@@ -292,7 +356,7 @@ class Block:
         t = request.tree.number
         used = (self.fold != (-1 if spec.fold is None else spec.fold)).astype(np.float64)
         if spec.bootstrap:
-            used *= np.searchsorted(_POISSON, uniform(self.ids, spec.seed, t), side="right")
+            used *= poisson(uniform(self.ids, spec.seed, t))
         elif spec.subsample < 1:
             used *= uniform(self.ids, spec.seed, t) < spec.subsample
         w0, w1 = class_weights(spec, self.counts)
@@ -304,21 +368,17 @@ class Block:
             a, b = w * (p - self.y), w * p * (1.0 - p)
         return np.stack([np.rint(a * SCALE), np.rint(b * SCALE), (used > 0).astype(np.float64)])
 
-    def histogram(self, key, spec: TreeSpec, request: Request, stats: np.ndarray | None = None) -> np.ndarray:
+    def histogram(self, key, spec: TreeSpec, request: Request, stats: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of nodes x columns x bins that hold rows, ascending, and their three sums."""
         tree, columns = request.tree, request.columns
         stats = self.stats(key, spec, request) if stats is None else stats
         slots = np.full(len(tree.column), -1)
         slots[tree.open] = np.arange(len(tree.open))
-        slot = slots[tree.route(self.x)]
+        slot = slots.take(tree.route(self.x))
         rows = np.flatnonzero((slot >= 0) & (stats[2] > 0))
-        s, k = slot[rows], columns.shape[1]
-        bins = np.take_along_axis(self.x[rows], columns[s], axis=1)
-        at = ((s[:, None] * k + np.arange(k)) * BINS + bins).ravel()
-        size = len(tree.open) * k * BINS
-        sums = [np.bincount(at, np.repeat(v[rows], k), size) for v in stats]
-        return np.stack(sums, axis=-1).reshape(len(tree.open), k, BINS, 3)
-
-    def confusion(self, spec: TreeSpec, trees: Sequence[Tree], stops: Sequence[int]) -> list[list[int]]:
+        return cells_of(self.x, rows, slot[rows], columns, [v[rows] for v in stats[:2]])
+
+    def confusion(self, spec: TreeSpec, trees: Iterable[Tree], stops: Sequence[int]) -> list[list[int]]:
         """tn, fp, fn, tp of the held-out rows after the first so many trees."""
         out, x, y = [], self.x[self.fold == spec.fold], self.y[self.fold == spec.fold]
         total = np.zeros(len(x))
@@ -330,6 +390,103 @@ class Block:
         return out
 
 
+def cells_of(x: np.ndarray, rows: np.ndarray, slot: np.ndarray, columns: np.ndarray, stats: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of nodes x columns x bins that hold rows, ascending, and sums of gradient, hessian and rows."""
+    hist = dense_of(x, rows, slot, columns, stats)
+    cells = np.flatnonzero(hist[2])
+    return cells, np.stack([h.take(cells) for h in hist.reshape(3, -1)], axis=1)
+
+
+def dense_of(x: np.ndarray, rows: np.ndarray, slot: np.ndarray, columns: np.ndarray, stats: Sequence[np.ndarray]) -> np.ndarray:
+    """3 x nodes x columns x bins: sums of gradient, hessian and rows."""
+    nodes, k = columns.shape
+    hist = np.zeros((3, nodes, k, BINS))
+    flat, base, high = x.reshape(-1), rows * x.shape[1], slot * BINS
+    for j in range(k):
+        at = high + flat.take(base + columns[:, j].take(slot))
+        for i, v in enumerate((*stats, None)):
+            hist[i, :, j] = np.bincount(at, v, nodes * BINS).reshape(nodes, BINS)
+    return hist
+
+
+def _to_sum(tree: Tree, parents: np.ndarray | None, first: int) -> np.ndarray:
+    """Places of the open nodes whose histograms must be summed: of two open siblings the smaller."""
+    if parents is None:
+        return np.arange(len(tree.open))
+    side = (tree.open - first) % 2
+    twin = tree.open + 1 - 2 * side
+    mine, other = tree.rows[tree.open], tree.rows[twin]
+    return np.flatnonzero((mine < other) | ((mine == other) & (side == 0)) | ~np.isin(twin, tree.open))
+
+
+def _completed(tree: Tree, parents: np.ndarray | None, first: int, summed: np.ndarray, got: np.ndarray) -> np.ndarray:
+    """Histograms of all open nodes: the larger sibling is the parent less the smaller."""
+    if len(summed) == len(tree.open):
+        return got
+    place = np.full(len(tree.column), -1)
+    place[tree.open[summed]] = np.arange(len(summed))
+    full = np.empty((3, len(tree.open), *got.shape[2:]))
+    full[:, summed] = got
+    rest = np.setdiff1d(np.arange(len(tree.open)), summed)
+    nodes = tree.open[rest]
+    full[:, rest] = parents[:, (nodes - first) // 2] - got[:, place[nodes + 1 - 2 * ((nodes - first) % 2)]]
+    return full
+
+
+class Growth:
+    """The rows of a block in the open nodes of one tree, followed level by level."""
+
+    def __init__(self, block: Block, key, spec: TreeSpec, tree: Tree, before: Sequence[Tree]):
+        self.x, self.spec, self.tree = block.x, spec, tree
+        self.shared = _tree_columns(spec, tree.number, block.x.shape[1])
+        a, b, n = block.stats(key, spec, Request(tree, self.shared[None], before))
+        self.rows = np.flatnonzero(n)
+        self.a, self.b, self.slot = a[self.rows], b[self.rows], np.zeros(len(self.rows), np.int64)
+        self.parents: np.ndarray | None = None  # full histograms of the nodes split last
+        self.first = 0
+
+    def levels(self) -> Generator[np.ndarray | tuple, np.ndarray | tuple, Tree]:
+        """Yields sums and is sent them back until the tree is grown."""
+        tree, spec = self.tree, self.spec
+        while len(tree.open):
+            columns = _node_columns(spec, tree, self.shared)
+            if spec.sqrt_columns:
+                best = best_of_cells(spec, *(yield cells_of(self.x, self.rows, self.slot, columns, (self.a, self.b))), columns)
+                full = None
+            else:
+                full = yield from self._full(columns)
+                best = best_splits(spec, full, columns)
+            first = len(tree.column)
+            tree.grow(spec, best)
+            self.parents = None if full is None else full[:, best.column >= 0]
+            self._advance(columns, best, first)
+        return tree
+
+    def _full(self, columns: np.ndarray) -> Generator[np.ndarray, np.ndarray, np.ndarray]:
+        """Full histograms of the open nodes."""
+        summed = _to_sum(self.tree, self.parents, self.first)
+        at = np.full(len(self.tree.open), -1)
+        at[summed] = np.arange(len(summed))
+        slot = at.take(self.slot)
+        here = np.flatnonzero(slot >= 0)
+        got = yield dense_of(self.x, self.rows[here], slot[here], columns[summed], (self.a[here], self.b[here]))
+        return _completed(self.tree, self.parents, self.first, summed, got)
+
+    def _advance(self, columns: np.ndarray, best: Best, first: int) -> None:
+        """Rows move to their child; those whose node is not open leave."""
+        tree, self.first = self.tree, first
+        split = best.column >= 0
+        place = np.full(len(tree.column) + 1, -1)
+        place[tree.open] = np.arange(len(tree.open))
+        child = np.full((len(split), 2), len(tree.column))
+        child[split] = first + np.arange(2 * split.sum()).reshape(-1, 2)
+        slots, column = place[child].ravel(), np.where(split, best.column, 0).astype(np.int64)
+        high = self.x.reshape(-1).take(self.rows * self.x.shape[1] + column.take(self.slot)) > best.cut.take(self.slot)
+        slot = slots.take(2 * self.slot + high)
+        stay = np.flatnonzero(slot >= 0)
+        self.rows, self.a, self.b, self.slot = self.rows[stay], self.a[stay], self.b[stay], slot[stay]
+
+
 def _train_counts(spec: TreeSpec, counts: dict) -> tuple[int, int]:
     return tuple(sum(n for (fold, y), n in counts.items() if y == c and fold != (-1 if spec.fold is None else spec.fold)) for c in (0, 1))
 
@@ -348,7 +505,7 @@ def prior(spec: TreeSpec, counts: dict) -> float:
 
 # ---- training -----------------------------------------------------------------------------------
 
-BLOCK_SCHEMA = "x binary, y binary, ids binary, folds binary, margins binary"
+BLOCK_SCHEMA = "x binary, y binary, ids binary, folds binary, margins binary, part int"
 
 
 @dataclass
@@ -360,6 +517,21 @@ class Rows:
     bins: Bins
     counts: dict
 
+    @property
+    def whole(self) -> bool:
+        """Whether a task may hold all rows."""
+        return self.number == 1 or sum(self.counts.values()) <= WHOLE_ROWS
+
+    @property
+    def share(self) -> int:
+        """Rows of a block, on average."""
+        return -(-sum(self.counts.values()) // self.number)
+
+    @property
+    def few(self) -> bool:
+        """Whether a level of one model takes a task less time than a job takes to start."""
+        return sum(self.counts.values()) <= 4 * BLOCK_ROWS
+
     @property
     def width(self) -> int:
         return len(self.bins.low)
@@ -384,7 +556,10 @@ def training_rows(df: DataFrame, id_col: str = "CustomerId", fold_col: str | Non
             t = pa.Table.from_batches(held).combine_chunks()
             x = np.asarray(t.column("a").chunk(0).flatten()).reshape(-1, width)
             parts = [bins.of(x), *(t.column(c).to_numpy().astype(k) for c, k in (("y", np.int8), ("id", np.int64), ("fold", np.int32)))]
-            return pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts] + [pa.array([None], pa.binary())], ["x", "y", "ids", "folds", "margins"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p.tobytes()], pa.binary()) for p in parts] + [pa.array([None], pa.binary()), pa.array([TaskContext.get().partitionId()], pa.int32())],
+                ["x", "y", "ids", "folds", "margins", "part"],
+            )
 
         n = 0
         for batch in batches:
@@ -399,6 +574,8 @@ def training_rows(df: DataFrame, id_col: str = "CustomerId", fold_col: str | Non
             yield block()
 
     parts = max(1, -(-sum(counts.values()) // block_rows))
+    if parts > 1:  # as many rows for each of the tasks that run at a time
+        parts = -(-parts // _slots(spark)) * _slots(spark)
     path = scratch_path(spark, "tree-blocks")
     rows.repartition(parts).mapInArrow(cut, BLOCK_SCHEMA).write.parquet(path)
     rows.unpersist()
@@ -406,131 +583,292 @@ def training_rows(df: DataFrame, id_col: str = "CustomerId", fold_col: str | Non
     return Rows(blocks, blocks.count(), bins, counts)
 
 
-def _answer(block: Block, key, spec: TreeSpec, requests: list[Request]) -> list[Best]:
-    return [best_splits(spec, block.histogram(key, spec, r), r.columns) for r in requests]
-
-
-def _finish(growing: Growing, answer) -> list[Tree]:
-    requests = next(growing)
-    try:
-        while True:
-            requests = growing.send(answer(requests))
-    except StopIteration as end:
-        return end.value
+def _slots(spark) -> int:
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
 def train(rows: Rows, specs: Sequence[TreeSpec]) -> list[list[Tree]]:
     """The trees of every specification."""
-    if rows.number == 1:
-        got = _in_tasks(rows, specs, None)
-        return [pickle.loads(got[k]["model"]) for k in range(len(specs))]
-    return _by_rounds(rows, specs)
+    out: dict[int, list[Tree]] = {}
+    for run, mine in _ways(rows, specs, False):
+        out |= zip(mine, run(rows, [specs[k] for k in mine], None))
+    return [out[k] for k in range(len(specs))]
 
 
 def held_out(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[int]]) -> list[list[list[int]]]:
     """Per specification and stop: tn, fp, fn, tp of the fold that it holds out."""
-    if rows.number == 1:
-        got = _in_tasks(rows, specs, stops)
-        return [pickle.loads(got[k]["model"]) for k in range(len(specs))]
-    models = _by_rounds(rows, specs)
+    out: dict[int, list[list[int]]] = {}
+    for run, mine in _ways(rows, specs, True):
+        out |= zip(mine, run(rows, [specs[k] for k in mine], [stops[k] for k in mine]))
+    return [out[k] for k in range(len(specs))]
+
+
+def _ways(rows: Rows, specs: Sequence[TreeSpec], judged: bool) -> Iterator[tuple]:
+    """How the specifications are trained: (function, their places).  Where a task may hold all rows and
+    there are enough models, or trees of forests, these are dealt to tasks.  Else boosting goes in step and
+    forests by rounds."""
+    slots = _slots(rows.blocks.sparkSession)
+    for kind in ("boost", "forest"):
+        mine = [k for k, s in enumerate(specs) if s.kind == kind]
+        if not mine:
+            continue
+        if rows.number == 1 or (rows.whole and (len(mine) >= slots or kind == "forest" or rows.few)):
+            yield (_judged_after(_in_tasks) if judged and kind == "forest" and len(mine) < slots else _in_tasks), mine
+        elif kind == "boost":
+            yield _in_step, mine
+        else:
+            yield (_judged_after(_by_rounds) if judged else _by_rounds), mine
+
+
+def _judged_after(run):
+    """Trains with ``run``, then judges each block's held-out rows."""
+    return lambda rows, specs, stops: _judged(rows, specs, run(rows, specs, None), stops)
+
+
+def _judged(rows: Rows, specs: Sequence[TreeSpec], trees: list[list[Tree]], stops: Sequence[Sequence[int]]) -> list[list[list[int]]]:
     width, counts = rows.width, rows.counts
-    sent = rows.blocks.sparkSession.sparkContext.broadcast(pickle.dumps(models))
+    sent = rows.blocks.sparkSession.sparkContext.broadcast(trees)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = pickle.loads(sent.value)
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row | {"margins": None}, width, counts)
-                found = [(k, j, *c) for k, s in enumerate(specs) for j, c in enumerate(block.confusion(s, trees[k], stops[k]))]
-                yield pa.RecordBatch.from_pydict({n: [f[i] for f in found] for i, n in enumerate(("spec", "stop", "tn", "fp", "fn", "tp"))})
-
-    cells = ["tn", "fp", "fn", "tp"]
-    schema = ", ".join(f"{c} long" for c in ["spec", "stop", *cells])
-    sums = rows.blocks.mapInArrow(judge, schema).groupBy("spec", "stop").agg(*[F.sum(c).alias(c) for c in cells]).collect()
-    out = [[[0, 0, 0, 0] for _ in s] for s in stops]
-    for r in sums:
-        out[r["spec"]][r["stop"]] = [r[c] for c in cells]
-    return out
+                block = Block([row | {"margins": None}], width, counts)
+                yield _result(-1, [block.confusion(s, sent.value[k], stops[k]) for k, s in enumerate(specs)])
+
+    return _added([pickle.loads(r["model"]) for r in rows.blocks.mapInArrow(judge, "spec long, model binary").collect()])
+
+
+def _added(parts: list[list[list[list[int]]]]) -> list[list[list[int]]]:
+    return [[np.sum(c, axis=0).tolist() for c in zip(*spec)] for spec in zip(*parts)]
+
+
+def _result(k: int, value) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"spec": pa.array([k], pa.int64()), "model": pa.array([pickle.dumps(value)], pa.binary())})
 
 
 def _cost(spec: TreeSpec) -> float:
-    return spec.trees * (spec.depth or 20)
+    return (spec.depth or 20) * (1 if spec.sqrt_columns else 2)
 
 
-def _in_tasks(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[int]] | None) -> dict[int, dict]:
-    """All rows are one block: deal the models to tasks, dear ones first."""
+def _alone(block: Block, key, spec: TreeSpec, numbers: Iterable[int]) -> Iterator[Tree]:
+    """Trees grown on one block."""
+    done: list[Tree] = []
+    for t in numbers:
+        growing = Growth(block, key, spec, Tree(t), done).levels()
+        try:
+            sums = next(growing)
+            while True:
+                sums = growing.send(sums)
+        except StopIteration as end:
+            if spec.kind == "boost":
+                done.append(end.value)
+            yield end.value
+    block.margins.pop(key, None)
+
+
+def _in_tasks(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[int]] | None) -> list:
+    """Every task holds all rows: deal the models, or the trees of forests, to tasks, dear ones first."""
     spark, width, counts = rows.blocks.sparkSession, rows.width, rows.counts
-    order = sorted(range(len(specs)), key=lambda k: -_cost(specs[k]))
-    tasks = min(len(specs), 4 * spark.sparkContext.defaultParallelism)
+    most = 4 * _slots(spark)
+    units = []
+    for k, s in enumerate(specs):
+        cuts = [0, s.trees] if stops is not None or s.kind == "boost" else [s.trees * i // min(most, s.trees) for i in range(min(most, s.trees) + 1)]
+        units += [(k, a, b) for a, b in zip(cuts, cuts[1:])]
+    units.sort(key=lambda u: -_cost(specs[u[0]]) * (u[2] - u[1]))
+    heap = [(0.0, i, []) for i in range(min(len(units), most))]
+    for u in units:
+        load, i, mine = heapq.heappop(heap)
+        heapq.heappush(heap, (load + _cost(specs[u[0]]) * (u[2] - u[1]), i, [*mine, u]))
+    dealt = {i: mine for _, i, mine in heap}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for k in order[row["task"] :: tasks]:
-                    block = Block(row | {"margins": None}, width, counts)
-                    trees = _finish(grow(specs[k], width), lambda requests: _answer(block, k, specs[k], requests))  # noqa: B023
-                    out = trees if stops is None else block.confusion(specs[k], trees, stops[k])
-                    yield pa.RecordBatch.from_pydict({"spec": [k], "model": [pickle.dumps(out)]})
+        held = [row | {"margins": None} for batch in batches for row in batch.to_pylist()]
+        block = Block(held, width, counts) if held else None
+        for k, a, b in dealt[held[0]["task"]] if held else []:
+            trees = _alone(block, k, specs[k], range(a, b))
+            yield _result(k, (a, list(trees) if stops is None else block.confusion(specs[k], trees, stops[k])))
+
+    copies = rows.blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(len(dealt) - 1)))).repartitionById(len(dealt), F.col("task"))
+    out: list = [[] for _ in specs]
+    for r in copies.mapInArrow(work, "spec long, model binary").collect():
+        out[r["spec"]].append(pickle.loads(r["model"]))
+    if stops is not None:
+        return [found[0][1] for found in out]
+    return [[t for _, trees in sorted(found, key=lambda f: f[0]) for t in trees] for found in out]
+
+
+def _packed(arrays: Sequence[np.ndarray]) -> bytes:
+    """Whole numbers of several arrays."""
+    v = np.concatenate([a.ravel() for a in arrays]).astype(np.int64)
+    small = not len(v) or np.abs(v).max() < 1 << 31
+    return (b"i" if small else b"q") + zlib.compress(v.astype(np.int32 if small else np.int64), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed[1:]), np.int32 if packed[:1] == b"i" else np.int64)
+
+
+def _boosting(spec: TreeSpec, width: int) -> Generator[Request, np.ndarray, list[Tree]]:
+    """Asks for full histograms of some nodes of one tree after the other."""
+    done: list[Tree] = []
+    for t in range(spec.trees):
+        tree, parents, first = Tree(t), None, 0
+        shared = _tree_columns(spec, t, width)
+        while len(tree.open):
+            summed = _to_sum(tree, parents, first)
+            got = yield Request(replace(tree, open=tree.open[summed]), np.tile(shared, (len(summed), 1)), done)
+            full = _completed(tree, parents, first, summed, got)
+            best = best_splits(spec, full, np.tile(shared, (len(tree.open), 1)))
+            first = len(tree.column)
+            tree.grow(spec, best)
+            parents = full[:, best.column >= 0]
+        done = [*done, tree]
+    return done
+
+
+def _in_step(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[int]] | None) -> list:
+    """Boosting on rows that stay in memory, one short job a level of all models: each task sums the nodes
+    asked for over its share of the rows; the sums of the tasks meet at the driver, which keeps those of the
+    parents.  What is sent grows with tasks, nodes, columns and bins, not with rows."""
+    spark, width, counts = rows.blocks.sparkSession, rows.width, rows.counts
+    checkpoint_dir(spark)
+    tasks = min(_slots(spark), -(-rows.number * rows.share // (2 * BLOCK_ROWS)))
+
+    def gather(part: Iterator) -> Iterator[dict]:
+        held = list(part)
+        if held:
+            yield {"x": b"".join(r["x"] for r in held), "y": b"".join(r["y"] for r in held), "ids": b"".join(r["ids"] for r in held), "folds": b"".join(r["folds"] for r in held), "margins": None}
+
+    data = rows.blocks.drop("margins").repartitionById(tasks, F.col("part") % tasks).rdd.mapPartitions(gather).persist(StorageLevel.MEMORY_AND_DISK)
+    waiting, asked, trees = list(range(len(specs)))[::-1], {}, {}
+    kept: dict[int, int] = {}  # trees in the margins of the rows in memory, by model
+    refreshes, old = 0, None
+    while waiting or asked:
+        # Models start while the widest levels still fit one turn.
+        while waiting and (not asked or sum(_widest(specs[k], width) for k in [*asked, waiting[-1]]) <= TURN_BYTES):
+            k = waiting.pop()
+            growing = _boosting(specs[k], width)
+            asked[k] = (growing, next(growing))
+        if any(len(r.before) - kept.get(k, 0) >= REFRESH for k, (_, r) in asked.items()):
+            news = {k: _since(r, kept.get(k, 0)) for k, (_, r) in asked.items()}
+            old, data = data, data.mapPartitions(_margins_added(news, specs, width, counts)).persist(StorageLevel.MEMORY_AND_DISK)
+            kept = {k: len(r.before) for k, (_, r) in asked.items()}
+            refreshes += 1
+            if refreshes % 4 == 0:  # so that a lost task replays few trees
+                data.checkpoint()
+        news = {k: _since(r, kept.get(k, 0)) for k, (_, r) in asked.items()}
+        total = sum(_unpacked(p).astype(np.float64) for p in data.mapPartitions(_full_sums(news, specs, width, counts)).collect())
+        if old is not None:
+            old.unpersist()
+            old = None
+        at = 0
+        for k, (growing, r) in list(asked.items()):
+            shape = (3, *r.columns.shape, BINS)
+            sums = total[at : at + math.prod(shape)].reshape(shape)
+            at += sums.size
+            try:
+                asked[k] = (growing, growing.send(sums))
+            except StopIteration as end:
+                trees[k] = end.value
+                del asked[k]
+    data.unpersist()
+    found = [trees[k] for k in range(len(specs))]
+    return found if stops is None else _judged(rows, specs, found, stops)
 
-    dealt = rows.blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).repartition(tasks)
-    return {r["spec"]: r for r in dealt.mapInArrow(work, "spec long, model binary").collect()}
+
+def _since(request: Request, kept: int) -> Request:
+    """Trees whose sums are in the margins need not travel again."""
+    return replace(request, before=[None] * kept + request.before[kept:])
+
+
+def _margins_added(news: dict[int, Request], specs: Sequence[TreeSpec], width: int, counts: dict):
+    def add(part: Iterator[dict]) -> Iterator[dict]:
+        for row in part:
+            block = Block([row], width, counts)
+            margins = {k: (len(r.before), block.margin(k, specs[k], r.before)) for k, r in news.items()}
+            yield row | {"margins": pickle.dumps(margins)}
+
+    return add
+
+
+def _full_sums(news: dict[int, Request], specs: Sequence[TreeSpec], width: int, counts: dict):
+    def sums(part: Iterator[dict]) -> Iterator[bytes]:
+        for row in part:
+            block = Block([row], width, counts)
+            out = []
+            for k, r in news.items():
+                a, b, n = block.stats(k, specs[k], r)
+                slots = np.full(len(r.tree.column), -1)
+                slots[r.tree.open] = np.arange(len(r.tree.open))
+                slot = slots.take(r.tree.route(block.x))
+                here = np.flatnonzero((slot >= 0) & (n > 0))
+                out.append(dense_of(block.x, here, slot[here], r.columns, (a[here], b[here])))
+            yield _packed(out)
+
+    return sums
+
+
+def _widest(spec: TreeSpec, width: int) -> int:
+    return 2 ** max((spec.depth or 10) - 2, 0) * width * BINS * 3 * 4
 
 
 def _summing(sent, flat: list[tuple[int, int]], specs: Sequence[TreeSpec], width: int, counts: dict):
-    """A task's histograms for every request, summed over its blocks, ``NODES_A_ROW`` nodes a row.
+    """A task's sums for every request, over its blocks, ``NODES_A_ROW`` nodes a row.
 
     The task holds its blocks, a file split, and one request's sums at a time, so what it sends does not
     grow with its blocks."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        requests = pickle.loads(sent.value)
-        blocks = [
-            Block(row | {"margins": row["margins"] and pickle.loads(row["margins"])}, width, counts)
-            for batch in batches for row in batch.to_pylist()
-        ]
-        for at, (k, i) in enumerate(flat if blocks else []):
-            hist = sum(block.histogram(k, specs[k], requests[k][i]) for block in blocks)
-            for part in range(0, len(hist), NODES_A_ROW):
-                yield pa.RecordBatch.from_pydict({"at": [at], "part": [part], "hist": [hist[part : part + NODES_A_ROW].tobytes()]})
+        held = [row for batch in batches for row in batch.to_pylist()]
+        block = Block(held, width, counts) if held else None
+        for at, (k, i) in enumerate(flat if held else []):
+            request = sent.value[k][i]
+            nodes, columns = request.columns.shape
+            cells, found = block.histogram(k, specs[k], request)
+            step = NODES_A_ROW * columns * BINS
+            for part in range(0, nodes, NODES_A_ROW):
+                low, high = np.searchsorted(cells, (part // NODES_A_ROW * step, (part // NODES_A_ROW + 1) * step))
+                yield pa.RecordBatch.from_pydict({
+                    "at": pa.array([at], pa.int64()), "part": pa.array([part], pa.int64()),
+                    "cells": pa.array([(cells[low:high] - part // NODES_A_ROW * step).astype(np.int32).tobytes()], pa.binary()),
+                    "sums": pa.array([found[low:high].tobytes()], pa.binary()),
+                })
 
     return sums
 
 
 def _deciding(sent, flat: list[tuple[int, int]], specs: Sequence[TreeSpec]):
-    """Best splits of the nodes of one row, from the histograms of all blocks."""
+    """Best splits of the nodes of one row, from the sums of all tasks."""
 
     def best(key, table):
-        requests = pickle.loads(sent.value)
         at, part = key[0].as_py(), key[1].as_py()
         k, i = flat[at]
-        columns = requests[k][i].columns[part : part + NODES_A_ROW]
-        hist = sum(np.frombuffer(h.as_buffer(), np.float64) for h in table.column("hist"))
-        found = best_splits(specs[k], hist.reshape(len(columns), columns.shape[1], BINS, 3), columns)
+        columns = sent.value[k][i][part : part + NODES_A_ROW]
+        hist = np.zeros((columns.size * BINS, 3))
+        for c, v in zip(table.column("cells"), table.column("sums")):
+            hist[np.frombuffer(c.as_buffer(), np.int32)] += np.frombuffer(v.as_buffer(), np.float64).reshape(-1, 3)
+        cells = np.flatnonzero(hist[:, 2])
+        found = best_of_cells(specs[k], cells, hist[cells], columns)
         return pa.table({"at": [at], "part": [part], "best": [pickle.dumps(found)]})
 
     return best
 
 
-def _by_rounds(rows: Rows, specs: Sequence[TreeSpec]) -> list[list[Tree]]:
-    """One job a round: every block's histograms for the requests of all unfinished models."""
+def _by_rounds(rows: Rows, specs: Sequence[TreeSpec], _stops=None) -> list[list[Tree]]:
+    """Forests, one job a level of all trees: every task's sums, added and decided by (model, tree, nodes)."""
     spark, width, counts = rows.blocks.sparkSession, rows.width, rows.counts
-    checkpoint_dir(spark)
     growing = {k: grow(s, width) for k, s in enumerate(specs)}
     asked, done = {k: next(g) for k, g in growing.items()}, {}
-    blocks, kept = rows.blocks, {}  # kept: boosted trees in the written margins, by model
 
     while asked:
         flat = [(k, i) for k in asked for i in range(len(asked[k]))]
-        behind = {k: asked[k][0].before for k in asked if specs[k].kind == "boost"}
-        if any(len(b) - kept.get(k, 0) >= REFRESH for k, b in behind.items()):
-            blocks, kept = _with_margins(blocks, specs, behind, width, counts), {k: len(b) for k, b in behind.items()}
-        # Trees whose sums are in the margins need not travel again.
-        news = {k: [replace(r, before=[None] * kept.get(k, 0) + r.before[kept.get(k, 0) :]) for r in rs] for k, rs in asked.items()}
-        sent = spark.sparkContext.broadcast(pickle.dumps(news))
-
-        sums = blocks.mapInArrow(_summing(sent, flat, specs, width, counts), "at long, part long, hist binary")
-        rows_out = sums.groupBy("at", "part").applyInArrow(_deciding(sent, flat, specs), "at long, part long, best binary").collect()
+        sent = spark.sparkContext.broadcast(asked)
+        columns = spark.sparkContext.broadcast({k: [r.columns for r in rs] for k, rs in asked.items()})
+
+        sums = rows.blocks.mapInArrow(_summing(sent, flat, specs, width, counts), "at long, part long, cells binary, sums binary")
+        rows_out = sums.groupBy("at", "part").applyInArrow(_deciding(columns, flat, specs), "at long, part long, best binary").collect()
         sent.destroy()
+        columns.destroy()
         parts: dict[int, list] = {}
         for r in sorted(rows_out, key=lambda r: (r["at"], r["part"])):
             parts.setdefault(r["at"], []).append(pickle.loads(r["best"]))
@@ -546,23 +884,6 @@ def _by_rounds(rows: Rows, specs: Sequence[TreeSpec]) -> list[list[Tree]]:
     return [done[k] for k in range(len(specs))]
 
 
-def _with_margins(blocks: DataFrame, specs, behind: dict[int, list[Tree]], width: int, counts: dict) -> DataFrame:
-    sent = blocks.sparkSession.sparkContext.broadcast(pickle.dumps(behind))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = pickle.loads(sent.value)
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row | {"margins": row["margins"] and pickle.loads(row["margins"])}, width, counts)
-                margins = {k: (len(b), block.margin(k, specs[k], b).tobytes()) for k, b in trees.items()}
-                yield pa.RecordBatch.from_pylist([row | {"margins": pickle.dumps(margins)}])
-
-    spark = blocks.sparkSession
-    path = scratch_path(spark, "tree-margins")
-    blocks.mapInArrow(add, BLOCK_SCHEMA).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 # ---- models -------------------------------------------------------------------------------------
 
 
@@ -593,7 +914,7 @@ class TreeModel:
 
     def nodes(self) -> list[tuple]:
         """(tree, node, column, cut, gain, value) of every node; column -1 marks a leaf."""
-        return [(t.number, i, t.column[i], t.cut[i], t.gain[i], t.value[i]) for t in self.trees for i in range(len(t.column))]
+        return [(t.number, i, *node) for t in self.trees for i, node in enumerate(zip(*(v.tolist() for v in (t.column, t.cut, t.gain, t.value))))]
 
 
 def fit(df: DataFrame, specs: Sequence[TreeSpec], id_col: str = "CustomerId", block_rows: int = BLOCK_ROWS) -> list[TreeModel]:
@@ -617,7 +938,7 @@ def cross_validate(rows: Rows, specs: Sequence[TreeSpec], folds: int) -> list[li
 def paths(tree: Tree) -> list[str]:
     """How each node is reached from the root: L and R by step."""
     out = [""] * len(tree.column)
-    for i, c in enumerate(tree.column):
+    for i, (c, left, right) in enumerate(zip(tree.column.tolist(), tree.left.tolist(), tree.right.tolist())):
         if c >= 0:
-            out[tree.left[i]], out[tree.right[i]] = out[i] + "L", out[i] + "R"
+            out[left], out[right] = out[i] + "L", out[i] + "R"
     return out

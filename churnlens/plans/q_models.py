@@ -87,8 +87,15 @@ def q_one_hot_full(spark, sf_dir):
     return out.select("CustomerId", *cols)
 
 
+def _once(df):
+    """``df`` written to the shared folder and read back: fits pass over it many times."""
+    path = scratch_path(df.sparkSession, "customers")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _prod_frame(spark, sf_dir):
-    df = PP.with_label(_split(spark, sf_dir))
+    df = PP.with_label(R.stratified_split(_once(bank_customers(spark, sf_dir))))
     model = PP.prod_preprocessor().fit(df.where("split = 'train'"))
     return model, model.transform(df).select("CustomerId", "split", "features", "label")
 
@@ -268,7 +275,7 @@ def q_class_weights(spark, sf_dir):
 
 
 def _v2(spark, sf_dir):
-    df = PP.with_label(_split(spark, sf_dir))
+    df = PP.with_label(R.stratified_split(_once(bank_customers(spark, sf_dir))))
     model = PP.v2_preprocessor().fit(df.where("split = 'train'"))
     return model, model.transform(df)
 
@@ -643,11 +650,12 @@ def q_kfold_score(spark, sf_dir):
 @query("score_raw")
 def q_score_raw(spark, sf_dir):
     """Raw rows through preprocessor and model: probability of churn, tier and label per customer."""
-    df = PP.with_label(_split(spark, sf_dir))
+    customers = _once(bank_customers(spark, sf_dir))
+    df = PP.with_label(R.stratified_split(customers))
     train = df.where("split = 'train'")
     pre = PP.prod_preprocessor().fit(train)
     model = SR.fit(pre.transform(train), [SR.NAMED["gbt_production"]])[0]
-    raw = bank_customers(spark, sf_dir).select("CustomerId", *S.FEATURE_COLUMNS)
+    raw = customers.select("CustomerId", *S.FEATURE_COLUMNS)
     p = F.col("score")
     return model.transform(pre.transform(raw)).select(
         "CustomerId", F.round(p, 6).alias("churn_probability"), FX.risk_tier(p).alias("risk_category"), FX.churn_label_text(p).alias("prediction")
@@ -746,7 +754,7 @@ def _node_query(spark, sf_dir, spec: TR.TreeSpec, name: str):
     model = TR.fit(feats, [spec])[0]
     rows = [
         (name, t.number, path, *((_TREE_COLUMNS[c], cut, round(gain, 6)) if c >= 0 else (None, None, None)), round(v, 6) + 0.0)
-        for t in model.trees for path, c, cut, gain, v in zip(TR.paths(t), t.column, t.cut, t.gain, t.value)
+        for t in model.trees for path, c, cut, gain, v in zip(TR.paths(t), *(v.tolist() for v in (t.column, t.cut, t.gain, t.value)))
     ]
     return spark.createDataFrame(rows, "model string, tree int, path string, column string, cut int, gain double, value double")
 
