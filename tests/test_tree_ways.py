@@ -47,3 +47,26 @@ def test_a_grid_over_several_blocks_takes_few_jobs(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert all(sum(c) == 200 for cells in found for c in cells)
     assert 0 < jobs <= 6  # one job a level of every tree would be 12 at least
+
+
+def test_forests_of_several_depths_share_their_trees(spark, monkeypatch):
+    rows = _rows(spark, 120)
+    common = {"sqrt_columns": True, "bootstrap": True, "min_leaf": 2, "weighting": "balanced"}
+    specs = [T.TreeSpec("forest", n, d, **common) for n in (3, 5) for d in (2, 4, None)]
+    asked = []
+    monkeypatch.setattr(T, "held_out", lambda rows, specs, stops, run=T.held_out: asked.extend(specs) or run(rows, specs, stops))
+    found = T.cross_validate(rows, specs, 3)
+    assert [(s.trees, s.depth, s.fold) for s in asked] == [(5, None, k) for k in range(3)]  # 5 trees a fold, not 15
+    block = T.Block([r.asDict() | {"margins": None} for r in rows.blocks.collect()], rows.width, rows.counts)
+    for spec, cells in zip(specs, found):
+        for k in range(3):
+            one = replace(spec, fold=k)
+            assert cells[k] == block.confusion(one, T._alone(block, 0, one, range(one.trees)), [one.trees])[0]
+
+
+def test_forests_are_dealt_in_pieces_of_like_cost():
+    specs = [T.TreeSpec("forest", 300, 20, sqrt_columns=True), T.TreeSpec("forest", 50, 3, sqrt_columns=True), T.TreeSpec("boost", 9, 3)]
+    units = T._units(specs, 32)
+    assert sorted(u for u in units if u[0] == 2) == [(2, 0, 9)]
+    assert [t for u in sorted(units) if u[0] == 0 for t in range(*u[1:])] == list(range(300))
+    assert max(20 * (b - a) for k, a, b in units if k == 0) < 300 * 20 / 16
