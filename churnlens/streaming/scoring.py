@@ -3,11 +3,13 @@
 The state holds one row for each customer that has no prediction yet: what the scorer reads of it.  It is
 filled once, from one pass over customers and predictions, when the query starts from nothing.  An event
 looks up its own key: a customer still in the state is passed on and leaves it, any other event adds
-nothing.  A micro-batch therefore reads neither the customer table nor the predictions; it scores and
-appends the customers that were passed on, with ids that continue from the last batch.
+nothing, so only a customer's first event reaches the state's processor.  A micro-batch therefore reads
+neither the customer table nor the predictions; it scores and appends the customers that were passed on,
+with ids that continue from the last batch.
 
 Events are never dropped as late: files arrive in modification-time order, not event-time order, so a
-watermark would lose customers whose events all stand in a late file.  State only shrinks.
+watermark would lose customers whose events all stand in a late file.  The customers' state only shrinks;
+the ids whose first event has passed, one long each, are kept beside it.
 
 After a restart the first micro-batch may repeat one whose rows were already appended, so that batch
 alone is checked against the predictions of its own ids.
@@ -17,8 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -50,7 +51,9 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 class Unscored(StatefulProcessor):
-    """Passes a customer on at its first event, if it is among those without a prediction."""
+    """Passes a customer on at its first event, if it is among those without a prediction.
+
+    Keys come as plain rows: a frame for each customer would cost many times what the state does."""
 
     def __init__(self, schema: T.StructType):
         self.schema = schema
@@ -58,26 +61,21 @@ class Unscored(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.row = handle.getValueState("customer", self.schema)
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        first = initialState.iloc[0]
-        self.row.update(tuple(None if pd.isna(first[c]) else _plain(first[c]) for c in self.schema.names))
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.row.update(tuple(initialState))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         for _ in rows:
             pass
-        if self.row.exists():
-            found = self.row.get()
+        found = self.row.get()
+        if found is not None:
             self.row.clear()
-            yield pd.DataFrame([found], columns=self.schema.names)
+            yield Row(**dict(zip(self.schema.names, found)))
 
     def close(self) -> None:
         pass
 
 
-def _plain(value):
-    return value.item() if hasattr(value, "item") else value
-
-
 def stream_scoring(spark: SparkSession, events_dir: str, customers: DataFrame, predictions_path: str,
                    checkpoint: str, scorer: Scorer = rule_scorer, model_version: str = RULE_MODEL_VERSION,
                    files_per_trigger: int | None = None):
@@ -104,8 +102,9 @@ def stream_scoring(spark: SparkSession, events_dir: str, customers: DataFrame, p
 
     passed = (
         arriving_customers(spark, events_dir, files_per_trigger)
+        .dropDuplicates(["customer_id"])  # later events of a customer add nothing
         .groupBy("customer_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=Unscored(customers.schema), outputStructType=customers.schema, outputMode="Append", timeMode="None",
             initialState=waiting.select(*customers.columns).groupBy("customer_id"),
         )

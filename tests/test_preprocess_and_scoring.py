@@ -138,6 +138,23 @@ def test_stream_repeats_no_batch_after_a_crash(spark):
     assert again.count() == n and again.select("id").distinct().count() == n
 
 
+def test_stream_passes_a_customers_first_event_only(spark):
+    # Thirty events of one customer in two files: one reaches the keyed state, the customer is scored once.
+    from churnlens.streaming.scoring import EVENTS_SCHEMA, stream_scoring
+
+    path, events_dir = scratch_path(spark, "predictions"), scratch_path(spark, "events")
+    store.insert_dataframe(scored_predictions(spark, SF_SMALL), path, "replace", table="predictions")
+    customers = store.test_data(spark, SF_SMALL)
+    cid = SC.fetch_new(customers, spark.read.parquet(path)).first()["customer_id"]
+    row = spark.range(30).select(F.col("id").alias("event_id"), F.lit("2030-01-01").alias("ts"), F.lit(cid).alias("user_id"),
+                                 F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("").alias("props"))
+    row.select(*[F.col(f.name).cast(f.dataType) for f in EVENTS_SCHEMA.fields]).repartition(2).write.parquet(events_dir)
+    q = stream_scoring(spark, events_dir, customers, path, scratch_path(spark, "stream-ckpt"), files_per_trigger=1)
+    operators = [o for p in q.recentProgress for o in p["stateOperators"] if o["operatorName"].startswith("dedupe")]
+    assert sum(o["customMetrics"]["numDroppedDuplicateRows"] for o in operators) == 29
+    assert spark.read.parquet(path).where(F.col("customer_id") == cid).count() == 1
+
+
 def test_store_write_then_logistic_regression_scoring(spark):
     # A store write followed by logistic-regression scoring in the same session must work
     # (nothing on the write path may leave unserializable state on the session).
