@@ -39,8 +39,10 @@ BLOCK_ROWS = 50_000
 SCALE = 1 << 20
 #: Nodes whose histograms travel in one row between tasks.
 NODES_A_ROW = 64
-#: Trees after which the margins of models that boost in step are kept with the rows.
-REFRESH = 8
+#: Trees, a model on average, after which the margins of models that boost in step are kept with the rows,
+#: and rounds of these after which they are checkpointed.
+REFRESH = 1
+CHECKPOINT = 16
 #: Joint values up to which columns are summed together.
 JOINT_VALUES = 512
 MIN_GAIN = 1e-6
@@ -48,6 +50,8 @@ MIN_GAIN = 1e-6
 STRIP = 1 << 15
 #: Binned rows (some 30 bytes each) up to which a task may hold them all; models and trees are then dealt to tasks.
 WHOLE_ROWS = 1_000_000
+#: Rows for which boosting in step takes a further task.
+STEP_ROWS = 30_000
 #: Bytes of histograms that a task sends in one turn of boosting in step.
 TURN_BYTES = 8 << 20
 
@@ -435,7 +439,11 @@ class Block:
         self.counts = counts
         kept = [pickle.loads(r["margins"]) if r["margins"] else {} for r in rows]
         self.margins = {k: (v[0], np.concatenate([m[k][1] for m in kept])) for k, v in kept[0].items()}
+        self.kept: dict = rows[0].get("stats") or {}  # by model: a tree's number and its statistics
         self._joint: list[Joint] | None = None
+        if rows[0].get("joint"):
+            columns, codes = rows[0]["joint"]
+            self._joint = [replace(j, code=code) for j, code in zip(columns, codes)]
 
     @property
     def joint(self) -> list[Joint]:
@@ -456,7 +464,7 @@ class Block:
         if len(stay) == len(self.y):
             return self
         out = copy.copy(self)
-        out.y, out.x, out.ids, out.fold, out.margins = self.y[stay], self.x[stay], self.ids[stay], self.fold[stay], {}
+        out.y, out.x, out.ids, out.fold, out.margins, out.kept = self.y[stay], self.x[stay], self.ids[stay], self.fold[stay], {}, {}
         out._joint = [replace(j, code=j.code[stay]) for j in self.joint]
         return out
 
@@ -470,21 +478,45 @@ class Block:
 
     def stats(self, key, spec: TreeSpec, request: Request) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Gradient (or weight of positives), hessian (or weight) and 1 per row; 0 where a row takes no part."""
-        t = request.tree.number
-        used = (self.fold != (-1 if spec.fold is None else spec.fold)).astype(np.float64)
+        t, n = request.tree.number, len(self.y)
+        if key in self.kept and self.kept[key][0] == t:
+            return self.kept[key][1]
+        weights = class_weights(spec, self.counts)
+        margin = None if spec.kind == "forest" else self.margin(key, spec, request.before)
+        out = np.empty(n), np.empty(n), np.empty(n, bool)
+        for k in range(0, n, STRIP):
+            here = slice(k, k + STRIP)
+            found = self._stats(spec, t, weights, here, None if margin is None else margin[here])
+            for v, part in zip(out, found):
+                v[here] = part
+        return out
+
+    def _stats(self, spec: TreeSpec, t: int, weights: tuple[float, float], here: slice, margin: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        y, (w0, w1) = self.y[here], weights
+        used = (self.fold[here] != (-1 if spec.fold is None else spec.fold)).astype(np.float64)
         if spec.bootstrap:
-            used *= poisson(uniform(self.ids, spec.seed, t))
+            used *= poisson(uniform(self.ids[here], spec.seed, t))
         elif spec.subsample < 1:
-            used *= uniform(self.ids, spec.seed, t) < spec.subsample
-        w0, w1 = class_weights(spec, self.counts)
-        w = used * np.where(self.y == 1, w1, w0)
+            used *= uniform(self.ids[here], spec.seed, t) < spec.subsample
+        w = used * np.where(y == 1, w1, w0)
         if spec.kind == "forest":
-            a, b = w * self.y, w
+            a, b = w * y, w
         else:
-            p = 1.0 / (1.0 + np.exp(-self.margin(key, spec, request.before)))
-            a, b = w * (p - self.y), w * p * (1.0 - p)
+            p = 1.0 / (1.0 + np.exp(-margin))
+            a, b = w * (p - y), w * p * (1.0 - p)
         return np.rint(a * SCALE), np.rint(b * SCALE), used > 0
 
+    def strips(self) -> Iterator[Block]:
+        """The rows by the strip, as blocks that share this one's arrays."""
+        joint = self.joint
+        for k in range(0, len(self.y), STRIP):
+            here, out = slice(k, k + STRIP), copy.copy(self)
+            out.y, out.x, out.ids, out.fold = self.y[here], self.x[here], self.ids[here], self.fold[here]
+            out.margins = {key: (done, m[here]) for key, (done, m) in self.margins.items()}
+            out.kept = {key: (t, tuple(v[here] for v in found)) for key, (t, found) in self.kept.items()}
+            out._joint = [replace(j, code=j.code[here]) for j in joint]
+            yield out
+
     def histogram(self, key, spec: TreeSpec, request: Request, stats: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Cells of nodes x columns x bins that hold rows, ascending, and their three sums."""
         tree, columns = request.tree, request.columns
@@ -1023,12 +1055,14 @@ def _in_step(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[Sto
     parents.  What is sent grows with tasks, nodes, columns and bins, not with rows."""
     spark, width, counts = rows.blocks.sparkSession, rows.width, rows.counts
     checkpoint_dir(spark)
-    tasks = min(_slots(spark), -(-rows.number * rows.share // (2 * BLOCK_ROWS)))
+    tasks = min(_slots(spark), -(-rows.number * rows.share // STEP_ROWS))
 
     def gather(part: Iterator) -> Iterator[dict]:
         held = list(part)
         if held:
-            yield {"x": b"".join(r["x"] for r in held), "y": b"".join(r["y"] for r in held), "ids": b"".join(r["ids"] for r in held), "folds": b"".join(r["folds"] for r in held), "margins": None}
+            row = {name: b"".join(r[name] for r in held) for name in ("x", "y", "ids", "folds")} | {"margins": None}
+            joint = Block([row], width, counts).joint  # found once, not in each of the jobs
+            yield row | {"joint": ([replace(j, code=None) for j in joint], [j.code for j in joint])}
 
     data = rows.blocks.drop("margins").repartitionById(tasks, F.col("part") % tasks).rdd.mapPartitions(gather).persist(StorageLevel.MEMORY_AND_DISK)
     waiting, asked, trees = list(range(len(specs)))[::-1], {}, {}
@@ -1040,12 +1074,12 @@ def _in_step(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[Sto
             k = waiting.pop()
             growing = _boosting(specs[k], width)
             asked[k] = (growing, next(growing))
-        if any(len(r.before) - kept.get(k, 0) >= REFRESH for k, (_, r) in asked.items()):
+        if sum(len(r.before) - kept.get(k, 0) for k, (_, r) in asked.items()) >= REFRESH * len(asked):
             news = {k: _since(r, kept.get(k, 0)) for k, (_, r) in asked.items()}
             old, data = data, data.mapPartitions(_margins_added(news, specs, width, counts)).persist(StorageLevel.MEMORY_AND_DISK)
             kept = {k: len(r.before) for k, (_, r) in asked.items()}
             refreshes += 1
-            if refreshes % 4 == 0:  # so that a lost task replays few trees
+            if refreshes % CHECKPOINT == 0:  # so that a lost task replays few trees
                 data.checkpoint()
         news = {k: _since(r, kept.get(k, 0)) for k, (_, r) in asked.items()}
         total = sum(_unpacked(p).astype(np.float64) for p in data.mapPartitions(_full_sums(news, specs, width, counts)).collect())
@@ -1076,24 +1110,29 @@ def _margins_added(news: dict[int, Request], specs: Sequence[TreeSpec], width: i
     def add(part: Iterator[dict]) -> Iterator[dict]:
         for row in part:
             block = Block([row], width, counts)
-            margins = {k: (len(r.before), block.margin(k, specs[k], r.before)) for k, r in news.items()}
-            yield row | {"margins": pickle.dumps(margins)}
+            stats = {k: (r.tree.number, tuple(map(_short, block.stats(k, specs[k], r)))) for k, r in news.items()}
+            yield row | {"margins": pickle.dumps({k: block.margins[k] for k in news}), "stats": stats}
 
     return add
 
 
+def _short(v: np.ndarray) -> np.ndarray:
+    """Whole numbers in half the room, where they fit."""
+    return v.astype(np.int32) if v.dtype == np.float64 and len(v) and np.abs(v).max() < 1 << 31 else v
+
+
 def _full_sums(news: dict[int, Request], specs: Sequence[TreeSpec], width: int, counts: dict):
     def sums(part: Iterator[dict]) -> Iterator[bytes]:
         for row in part:
-            block = Block([row], width, counts)
-            out = []
-            for k, r in news.items():
-                a, b, n = block.stats(k, specs[k], r)
-                slots = np.full(len(r.tree.column), -1)
-                slots[r.tree.open] = np.arange(len(r.tree.open))
-                slot = slots.take(r.tree.route(block.x))
-                here = np.flatnonzero((slot >= 0) & n)
-                out.append(block.dense(here, slot[here], r.columns, (a[here], b[here])))
+            out = [np.zeros((3, *r.columns.shape, BINS)) for r in news.values()]
+            for block in Block([row], width, counts).strips():
+                for (k, r), total in zip(news.items(), out):
+                    a, b, n = block.stats(k, specs[k], r)
+                    slots = np.full(len(r.tree.column), -1)
+                    slots[r.tree.open] = np.arange(len(r.tree.open))
+                    slot = slots.take(r.tree.route(block.x))
+                    here = np.flatnonzero((slot >= 0) & n)
+                    total += block.dense(here, slot.take(here), r.columns, (a.take(here), b.take(here)))
             yield _packed(out)
 
     return sums
