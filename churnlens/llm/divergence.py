@@ -40,12 +40,20 @@ CHUNK_SCHEMA = (
 )
 
 
+class _Codes(dict):
+    """Numbers its keys as they are first looked up."""
+
+    def __missing__(self, key) -> int:
+        self[key] = code = len(self)
+        return code
+
+
 class _Block:
     """Chunks of a bounded run of documents."""
 
     def __init__(self, number: int, rare: int):
         self.number, self.rare = number, rare
-        self.chunks: dict[bytes, int] = {}
+        self.chunks = _Codes()
         self.langs: dict[str, int] = {}
         self.sources: dict[str, int] = {}
         self.groups: set[tuple[int, int]] = set()
@@ -61,8 +69,7 @@ class _Block:
         found = Counter(text.split())  # bytes split at 0x20 and 0x09-0x0D
         if not found:
             return
-        known = self.chunks
-        self.codes.append(np.fromiter((known.setdefault(c, len(known)) for c in found), np.int32, len(found)))
+        self.codes.append(np.fromiter(map(self.chunks.__getitem__, found), np.int32, len(found)))
         self.times.append(np.fromiter(found.values(), np.int32, len(found)))
         self.doc_lang.append(at)
         self.doc_source.append(by)
@@ -71,16 +78,17 @@ class _Block:
     def batches(self) -> Iterator[pa.RecordBatch]:
         """A row per group, then a row per language and chunk, whose documents and sources are slices of
         the pairs in that order."""
-        langs, sources, chunks = list(self.langs), list(self.sources), list(self.chunks)
+        langs, sources, chunks = list(self.langs), list(self.sources), pa.array(list(self.chunks), pa.binary()).cast(pa.string())
+        lang_names, source_names = pa.array(langs, pa.string()), pa.array(sources, pa.string())
         groups, none = sorted(self.groups), np.empty(0, np.int32)
         flat = np.zeros(len(groups) + 1, np.int32)
-        yield self._batch([langs[a] for a, _ in groups], [sources[b] for _, b in groups], [None] * len(groups), flat[1:], flat, none, flat, [], none)
+        yield self._batch([langs[a] for a, _ in groups], [sources[b] for _, b in groups], pa.nulls(len(groups), pa.string()), flat[1:], flat, none, flat, [], none)
         if not self.pairs:
             return
         sizes = [len(x) for x in self.codes]
         doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         key = np.asarray(self.doc_lang)[doc] * len(chunks) + np.concatenate(self.codes)
-        order = np.argsort(key * len(sources) + np.asarray(self.doc_source)[doc], kind="stable")
+        order = np.argsort(key * len(sources) + np.asarray(self.doc_source)[doc])
         key, doc, n = key[order], doc[order], np.concatenate(self.times)[order]
         source = np.asarray(self.doc_source, np.int32)[doc]
         del order
@@ -95,18 +103,18 @@ class _Block:
             pairs = slice(rows[a], rows[b] if b < len(rows) else len(key))
             p0, p1 = part_at[a], part_at[b]
             few = docs[a:b] < self.rare
-            heads = key[rows[a:b]].tolist()
+            lang, chunk = np.divmod(key[rows[a:b]], len(chunks))
             yield self._batch(
-                [langs[k // len(chunks)] for k in heads], [None] * (b - a), [chunks[k % len(chunks)] for k in heads], docs[a:b],
+                lang_names.take(pa.array(lang)), pa.nulls(b - a, pa.string()), chunks.take(pa.array(chunk)), docs[a:b],
                 np.concatenate(([0], np.cumsum(np.where(few, docs[a:b], 0)))), doc[pairs][np.repeat(few, docs[a:b])],
-                part_at[a : b + 1] - p0, [sources[s] for s in source[parts[p0:p1]].tolist()], total[p0:p1],
+                part_at[a : b + 1] - p0, source_names.take(pa.array(source[parts[p0:p1]])), total[p0:p1],
             )
 
     def _batch(self, langs, sources, chunks, docs, doc_at, in_docs, part_at, names, n) -> pa.RecordBatch:
         part_at = pa.array(part_at, pa.int32())
         return pa.RecordBatch.from_arrays([
-            pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()),
-            pa.array(docs, pa.int32()), pa.array([self.number] * len(langs), pa.int64()),
+            pa.array(langs, pa.string()), pa.array(sources, pa.string()), chunks,
+            pa.array(docs, pa.int32()), pa.array(np.full(len(langs), self.number), pa.int64()),
             pa.ListArray.from_arrays(pa.array(doc_at, pa.int32()), pa.array(in_docs, pa.int32())),
             pa.ListArray.from_arrays(part_at, pa.array(names, pa.string())), pa.ListArray.from_arrays(part_at, pa.array(n, pa.int64())),
         ], ["lang", "source", "chunk", "docs", "block", "in_docs", "sources", "times_in"])

@@ -245,3 +245,17 @@ def test_divergence_equals_sql(spark, nothing, block_pairs, block_terms):
         got = divergence.audit(df, min_docs=least, top=7, block_pairs=block_pairs, block_terms=block_terms)
         assert _spark(got) == _sql(divergence.oracle_sql(least, 7), documents=frame)
     assert divergence.audit(nothing).count() == 0
+
+
+def test_divergence_block_rows(spark):
+    """op13: chunks are numbered when first looked up, and rows of a block are taken by number."""
+    block = divergence._Block(3, 2)
+    block.add("en", "b", b"one two one")
+    block.add("en", "a", b"two")
+    block.add("fr", "a", b"one")
+    assert block.chunks == {b"one": 0, b"two": 1} and isinstance(block.chunks, divergence._Codes)
+    df = spark.createDataFrame([("en", "b", "one two one"), ("en", "a", "two"), ("fr", "a", "one")], "lang string, source string, text string")
+    found = [r for r in divergence.chunk_counts(df.coalesce(1), 2).collect() if r["chunk"]]
+    assert sorted((r["lang"], r["chunk"], r["docs"], sorted(r["in_docs"]), sorted(zip(r["sources"], r["times_in"]))) for r in found) == [
+        ("en", "one", 1, [0], [("b", 2)]), ("en", "two", 2, [], [("a", 1), ("b", 1)]), ("fr", "one", 1, [2], [("a", 1)]),
+    ]
