@@ -1256,7 +1256,7 @@ def fit(df: DataFrame, specs: Sequence[TreeSpec], id_col: str = "CustomerId", bl
 def cross_validate(rows: Rows, specs: Sequence[TreeSpec], folds: int) -> list[list[list[int]]]:
     """Per specification and fold: tn, fp, fn, tp of the held-out rows.  Specifications that differ in the
     number of trees alone share their trees, and so do forests that differ in number and depth: a tree of
-    less depth is the deeper tree, cut."""
+    less depth is the deeper tree, cut.  So do those whose ``min_split`` differs below two leaves."""
     stops: dict[TreeSpec, set[Stop]] = {}
     for s in specs:
         stops.setdefault(_shared(s), set()).add((s.trees, s.depth))
@@ -1268,8 +1268,9 @@ def cross_validate(rows: Rows, specs: Sequence[TreeSpec], folds: int) -> list[li
 
 
 def _shared(spec: TreeSpec) -> TreeSpec:
-    """What the specifications that share trees have in common."""
-    return replace(spec, trees=0, depth=None if spec.kind == "forest" else spec.depth)
+    """What the specifications that share trees have in common.  A node of fewer rows than two leaves never
+    splits, so a smaller ``min_split`` asks for nothing."""
+    return replace(spec, trees=0, depth=None if spec.kind == "forest" else spec.depth, min_split=max(spec.min_split, 2 * spec.min_leaf))
 
 
 def paths(tree: Tree) -> list[str]:
