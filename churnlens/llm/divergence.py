@@ -1,21 +1,20 @@
 """Source divergence audit by chunk factorization.
 
 1. *Chunks.*  Documents are cut at white space.  Each task counts the chunks of its documents in
-   blocks of about ``BLOCK_PAIRS`` (document, chunk) pairs and makes one row per block, language and
+   blocks of about ``BLOCK_PAIRS`` chunks, repeats included, and makes one row per block, language and
    distinct chunk: occurrences by source, number of documents and, where those are fewer than the
    vocabulary threshold, which documents.  The rows are kept in buckets of language and chunk.
-2. *Terms.*  Each globally distinct chunk is tokenized once and its terms are joined back.
+2. *Terms.*  Each distinct chunk of a language is tokenized once, in its bucket.
 3. *Vocabulary.*  A term is in at least as many documents as its most frequent chunk and in at most as
    many as its chunks together.  Where the threshold lies between, all its chunks are rare, so the
    listed documents decide exactly.
-4. *Occurrences* of kept terms follow from chunk occurrences times the term's multiplicity.
+4. *Occurrences* of kept terms are those of the chunk, once for each time that it holds the term.
 5. *Divergence.*  Smoothed integer shares; pairs of sources are summed as dense blocks of
    ``BLOCK_TERMS`` terms by all sources of a language, so no row per term and pair exists.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,8 @@ MIN_DOCS = 30
 TOP_TERMS = 50
 SCALE = 1_000_000_000
 PRIOR = 5
-BLOCK_PAIRS = 3_000_000
+#: Chunk occurrences of a block.
+BLOCK_PAIRS = 4_500_000
 BLOCK_TERMS = 2048
 OUT_ROWS = 50_000
 
@@ -60,20 +60,18 @@ class _Block:
         self.doc_lang: list[int] = []
         self.doc_source: list[int] = []
         self.codes: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.pairs = 0
+        self.words = 0
 
     def add(self, lang: str, source: str, text: bytes) -> None:
         at, by = self.langs.setdefault(lang, len(self.langs)), self.sources.setdefault(source, len(self.sources))
         self.groups.add((at, by))
-        found = Counter(text.split())  # bytes split at 0x20 and 0x09-0x0D
-        if not found:
+        words = text.split()  # bytes split at 0x20 and 0x09-0x0D
+        if not words:
             return
-        self.codes.append(np.fromiter(map(self.chunks.__getitem__, found), np.int32, len(found)))
-        self.times.append(np.fromiter(found.values(), np.int32, len(found)))
+        self.codes.append(np.fromiter(map(self.chunks.__getitem__, words), np.int32, len(words)))
         self.doc_lang.append(at)
         self.doc_source.append(by)
-        self.pairs += len(found)
+        self.words += len(words)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         """A row per group, then a row per language and chunk, whose documents and sources are slices of
@@ -83,15 +81,24 @@ class _Block:
         groups, none = sorted(self.groups), np.empty(0, np.int32)
         flat = np.zeros(len(groups) + 1, np.int32)
         yield self._batch([langs[a] for a, _ in groups], [sources[b] for _, b in groups], pa.nulls(len(groups), pa.string()), flat[1:], flat, none, flat, [], none)
-        if not self.pairs:
+        if not self.words:
             return
-        sizes = [len(x) for x in self.codes]
-        doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        key = np.asarray(self.doc_lang)[doc] * len(chunks) + np.concatenate(self.codes)
-        order = np.argsort(key * len(sources) + np.asarray(self.doc_source)[doc])
-        key, doc, n = key[order], doc[order], np.concatenate(self.times)[order]
+        # Documents in the order of language and source: a sort of each language's occurrences by chunk and
+        # document then brings together a chunk's sources and documents.
+        by = np.lexsort((self.doc_source, self.doc_lang))
+        sizes = [len(self.codes[d]) for d in by]
+        key = np.concatenate([self.codes[d] for d in by]).astype(np.int64)
+        key *= len(by)
+        key += np.repeat(np.arange(len(by)), sizes)
+        ends = np.cumsum(sizes)[np.append(np.flatnonzero(np.diff(np.asarray(self.doc_lang)[by])), len(by) - 1)]
+        for a, b in zip([0, *ends.tolist()], ends.tolist()):
+            key[a:b].sort()
+        pairs = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        n = np.diff(np.append(pairs, len(key)))
+        code, place = np.divmod(key[pairs], len(by))
+        doc = by.astype(np.int32)[place]
         source = np.asarray(self.doc_source, np.int32)[doc]
-        del order
+        key = np.asarray(self.doc_lang)[doc] * len(chunks) + code
         new_row = np.concatenate(([True], key[1:] != key[:-1]))
         parts = np.flatnonzero(new_row | np.concatenate(([True], source[1:] != source[:-1])))
         rows = np.flatnonzero(new_row)
@@ -100,13 +107,13 @@ class _Block:
         part_at = np.append(np.searchsorted(parts, rows), len(parts))
         for a in range(0, len(rows), OUT_ROWS):
             b = min(a + OUT_ROWS, len(rows))
-            pairs = slice(rows[a], rows[b] if b < len(rows) else len(key))
+            held = slice(rows[a], rows[b] if b < len(rows) else len(key))
             p0, p1 = part_at[a], part_at[b]
             few = docs[a:b] < self.rare
             lang, chunk = np.divmod(key[rows[a:b]], len(chunks))
             yield self._batch(
                 lang_names.take(pa.array(lang)), pa.nulls(b - a, pa.string()), chunks.take(pa.array(chunk)), docs[a:b],
-                np.concatenate(([0], np.cumsum(np.where(few, docs[a:b], 0)))), doc[pairs][np.repeat(few, docs[a:b])],
+                np.concatenate(([0], np.cumsum(np.where(few, docs[a:b], 0)))), doc[held][np.repeat(few, docs[a:b])],
                 part_at[a : b + 1] - p0, source_names.take(pa.array(source[parts[p0:p1]])), total[p0:p1],
             )
 
@@ -120,7 +127,7 @@ class _Block:
         ], ["lang", "source", "chunk", "docs", "block", "in_docs", "sources", "times_in"])
 
 
-def _count_blocks(block_pairs: int, rare: int):
+def _count_blocks(block_words: int, rare: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -130,7 +137,7 @@ def _count_blocks(block_pairs: int, rare: int):
             texts = batch.column(2).cast(pa.large_binary())
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
                 block.add(lang, source, text.as_py())
-                if block.pairs >= block_pairs:
+                if block.words >= block_words:
                     yield from block.batches()
                     number += 1
                     block = _Block(number, rare)
@@ -147,14 +154,15 @@ def chunk_counts(docs: DataFrame, min_docs: int = MIN_DOCS, block_pairs: int = B
 
 
 def lower_ascii(text: Column) -> Column:
+    """``text`` with A-Z lowered; where no other letters occur, by the plain function."""
     upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
-    return F.translate(text, upper, upper.lower())
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"divergence-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -163,17 +171,23 @@ def _bucketed(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     path, n = scratch_path(spark, "divergence-chunks"), shuffle_partitions(spark)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    # A task writes one bucket; with a writer kept open a bucket its rows need no sort by bucket.
+    writers, before = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set(writers, "8")
+    try:
+        df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    finally:
+        spark.conf.set(writers, before)
     return spark.table(name)
 
 
 def vocabulary(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``lang, chunk, term, times`` for every term in at least ``min_docs`` documents of its language."""
-    spread = _written(chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")), "spread")
-    once = spread.select("chunk").distinct().withColumn(
-        "term", F.explode(F.transform(F.regexp_extract_all("chunk", F.lit(f"({TERM})"), F.lit(1)), lower_ascii))
-    ).groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-    terms = _written(spread.join(once, "chunk"), "terms")
+    """``lang, chunk, term`` for every term in at least ``min_docs`` documents of its language, a row for each
+    time that the chunk holds the term."""
+    held = F.regexp_extract_all(lower_ascii(F.col("chunk")), F.lit(TERM), F.lit(0))
+    spread = chunks.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs"))  # in the buckets
+    terms = _written(spread.select("lang", "chunk", "docs", F.explode(held).alias("term")), "terms")
+    # A term that a chunk holds twice adds its documents twice: ``most`` is then too large, never too small.
     bounds = terms.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
     sure = bounds.where(F.col("least") >= min_docs).select("lang", "term")
     unsure = bounds.where((F.col("least") < min_docs) & (F.col("most") >= min_docs)).select("lang", "term")
@@ -185,7 +199,7 @@ def vocabulary(chunks: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
         .where(F.col("docs") >= min_docs).select("lang", "term")
     )
-    return terms.join(sure.unionAll(listed), ["lang", "term"]).select("lang", "chunk", "term", "times")
+    return terms.join(sure.unionAll(listed), ["lang", "term"]).select("lang", "chunk", "term")
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
@@ -241,8 +255,8 @@ def audit(
     kept = _written(vocabulary(chunks, min_docs), "kept")
     counts = _written(
         chunks.select("lang", "chunk", "sources", "times_in").join(kept.hint("shuffle_hash"), ["lang", "chunk"])
-        .select("lang", "term", "times", F.inline(F.arrays_zip("sources", "times_in")))
-        .groupBy("lang", F.col("sources").alias("source"), "term").agg(F.sum(F.col("times_in") * F.col("times")).alias("n")),
+        .select("lang", "term", F.inline(F.arrays_zip("sources", "times_in")))
+        .groupBy("lang", F.col("sources").alias("source"), "term").agg(F.sum("times_in").alias("n")),
         "counts",
     )
     size = kept.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("terms"))

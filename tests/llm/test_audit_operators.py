@@ -259,3 +259,21 @@ def test_divergence_block_rows(spark):
     assert sorted((r["lang"], r["chunk"], r["docs"], sorted(r["in_docs"]), sorted(zip(r["sources"], r["times_in"]))) for r in found) == [
         ("en", "one", 1, [0], [("b", 2)]), ("en", "two", 2, [], [("a", 1), ("b", 1)]), ("fr", "one", 1, [2], [("a", 1)]),
     ]
+
+
+def test_divergence_counts_by_one_sort_and_tokenizes_in_the_buckets(spark):
+    """op13: a block's occurrences are sorted once by language, chunk, source and document, and a chunk that
+    holds a term twice counts it twice, without a join of chunks and terms."""
+    block = divergence._Block(0, 9)
+    for lang, source, text in (("fr", "b", b"z a z"), ("en", "b", b"a a b"), ("fr", "a", b"a"), ("en", "a", b"b a"), ("en", "a", b" ")):
+        block.add(lang, source, text)
+    assert block.words == 9
+    rows = [r for b in block.batches() for r in b.to_pylist() if r["chunk"]]
+    assert [(r["lang"], r["chunk"], r["docs"], r["in_docs"], r["sources"], r["times_in"]) for r in rows] == [
+        ("fr", "z", 1, [0], ["b"], [2]), ("fr", "a", 2, [0, 2], ["b", "a"], [1, 1]),
+        ("en", "a", 2, [1, 3], ["b", "a"], [2, 1]), ("en", "b", 2, [1, 3], ["b", "a"], [1, 1]),
+    ]
+    df = spark.createDataFrame([("en", "a", "\u00c9t-Et.et x1")] * 2, "lang string, source string, text string")
+    chunks = divergence.chunk_counts(df, 2).where("chunk IS NOT NULL").drop("source")
+    found = divergence.vocabulary(chunks, 2)
+    assert sorted(map(tuple, found.collect())) == [("en", "x1", "x"), ("en", "\u00c9t-Et.et", "et"), ("en", "\u00c9t-Et.et", "et"), ("en", "\u00c9t-Et.et", "\u00c9t")]
