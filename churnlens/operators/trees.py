@@ -16,6 +16,8 @@ driver.  All ways yield the same trees.
 from __future__ import annotations
 
 import copy
+import functools
+import hashlib
 import heapq
 import math
 import pickle
@@ -48,8 +50,15 @@ JOINT_VALUES = 512
 MIN_GAIN = 1e-6
 #: Rows that are routed at a time, so that what they need stays in the cache.
 STRIP = 1 << 15
-#: Binned rows (some 30 bytes each) up to which a task may hold them all; models and trees are then dealt to tasks.
-WHOLE_ROWS = 1_000_000
+#: Binned rows (some 30 bytes each) up to which a task may hold them all; models and trees are then dealt to tasks.  A
+#: task that grows a model needs some 160 bytes a row, 1 GB at most.
+WHOLE_ROWS = 6_000_000
+#: Rows and nodes that a growing tree takes up at a time, and cells that it decides at a time.
+RUN_ROWS = 1 << 15
+RUN_NODES = 1 << 11
+RUN_CELLS = 1 << 17
+#: Rows a node below which only the bins that occur are summed.
+FEW_ROWS = 100
 #: Rows for which boosting in step takes a further task.
 STEP_ROWS = 30_000
 #: Bytes of histograms that a task sends in one turn of boosting in step.
@@ -451,6 +460,21 @@ class Block:
             self._joint = joint_columns(self.x)
         return self._joint
 
+    @functools.cached_property
+    def columns(self) -> np.ndarray:
+        """Bins column by column."""
+        return np.ascontiguousarray(self.x.T)
+
+    @functools.cached_property
+    def marked(self) -> np.ndarray:
+        """Bins, those of positives above the others."""
+        return self.x + (self.y * np.uint8(BINS)).astype(np.uint8)[:, None]
+
+    @functools.cached_property
+    def marked_joint(self) -> list[np.ndarray]:
+        """Joint values, those of positives above the others."""
+        return [j.code + self.y.astype(np.uint16) * np.uint16(len(j.bins)) for j in self.joint]
+
     def cells(self, columns: np.ndarray) -> Cells:
         """Cells of some columns, ascending, without those of columns that are never cut (``Joint.over``)."""
         held = {c: (j, h) for j in self.joint for c, h in zip(j.columns, j.held)}
@@ -458,12 +482,18 @@ class Block:
         sizes = [len(held[c][1]) for c in used]
         return Cells(np.repeat(used, sizes), np.concatenate([held[c][1] for c in used]), np.cumsum([0, *sizes[:-1]]))
 
+    def _copy(self) -> Block:
+        out = copy.copy(self)
+        for name in ("columns", "marked", "marked_joint"):
+            out.__dict__.pop(name, None)
+        return out
+
     def without(self, fold: int | None) -> Block:
         """The rows that a model which holds out ``fold`` trains on, without margins."""
         stay = np.flatnonzero(self.fold != (-1 if fold is None else fold))
         if len(stay) == len(self.y):
             return self
-        out = copy.copy(self)
+        out = self._copy()
         out.y, out.x, out.ids, out.fold, out.margins, out.kept = self.y[stay], self.x[stay], self.ids[stay], self.fold[stay], {}, {}
         out._joint = [replace(j, code=j.code[stay]) for j in self.joint]
         return out
@@ -510,7 +540,7 @@ class Block:
         """The rows by the strip, as blocks that share this one's arrays."""
         joint = self.joint
         for k in range(0, len(self.y), STRIP):
-            here, out = slice(k, k + STRIP), copy.copy(self)
+            here, out = slice(k, k + STRIP), self._copy()
             out.y, out.x, out.ids, out.fold = self.y[here], self.x[here], self.ids[here], self.fold[here]
             out.margins = {key: (done, m[here]) for key, (done, m) in self.margins.items()}
             out.kept = {key: (t, tuple(v[here] for v in found)) for key, (t, found) in self.kept.items()}
@@ -545,15 +575,15 @@ class Block:
         """3 x nodes x cells: sums of gradient, hessian and rows."""
         hist = np.empty((3, nodes, len(cells.column)))
         used = dict(zip(cells.column[cells.start].tolist(), zip(cells.start.tolist(), cells.size.tolist())))
-        (a, b), room = stats, _room(stats[1], slot)
-        parts = (a, b, None) if room is None else (a, b * room + 1.0)
+        (a, b), (room, v) = stats, _packed_rows(stats[1])
+        parts = (a, b, None) if room is None else (a, v)
         for joint in self.joint:
             mine = [m for m, c in enumerate(joint.columns) if c in used]
             if not mine:
                 continue
-            size = len(joint.bins)
-            at = slot * size
-            at += joint.code.take(rows)
+            size, at = len(joint.bins), joint.code.take(rows)
+            if slot is not None:
+                at = slot * size + at
             got = np.concatenate([np.bincount(at, v, nodes * size).reshape(nodes, size) for v in parts])
             got = (got @ np.hstack([joint.marks[m] for m in mine])).reshape(len(parts), nodes, -1)
             end = 0
@@ -564,9 +594,54 @@ class Block:
         if room is not None:
             np.floor(hist[1] * (1.0 / room), out=hist[2])
             hist[1] -= hist[2] * room
-            hist[[1, 2]] = hist[[2, 1]]
         return hist
 
+    def summed_run(self, rows: np.ndarray, slot: np.ndarray | None, nodes: int, cells: Cells, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """As ``summed``, from statistics of all rows; the rows of a single node, without slots, piece by piece."""
+        if slot is not None:
+            return self.summed(rows, slot, nodes, cells, (a.take(rows), b.take(rows)))
+        used = set(cells.column.tolist())
+        joints = [j for j in self.joint if used & set(j.columns)]
+        got = [np.zeros((3, len(j.bins))) for j in joints]
+        for k in range(0, max(len(rows), 1), RUN_ROWS):
+            part = rows[k : k + RUN_ROWS]
+            one, two = a.take(part), b.take(part)
+            room, v = _packed_rows(two)
+            for j, sums in zip(joints, got):
+                at = j.code.take(part)
+                size = len(j.bins)
+                sums[0] += np.bincount(at, one, size)
+                both = np.bincount(at, v, size)
+                both, n = (both, np.bincount(at, None, size)) if room is None else _unpacked_rows(both, room)
+                sums[1] += both
+                sums[2] += n
+        hist, first = np.empty((3, 1, len(cells.column))), dict(zip(cells.column[cells.start].tolist(), cells.start.tolist()))
+        for j, sums in zip(joints, got):
+            for c, held, marks in zip(j.columns, j.held, j.marks):
+                if c in first:
+                    hist[:, 0, first[c] : first[c] + len(held)] = sums @ marks
+        return hist
+
+    def full(self, rows: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Sums (weight of positives, weight, rows) x columns x bins, flat, of some rows; ``b`` is of all rows."""
+        got = [np.zeros((2, 2 * len(j.bins))) for j in self.joint]
+        for k in range(0, len(rows), RUN_ROWS):
+            part = rows[k : k + RUN_ROWS]
+            two = b.take(part)
+            room, v = _packed_rows(two)
+            for code, sums in zip(self.marked_joint, got):
+                at = code.take(part)
+                both = np.bincount(at, v, sums.shape[1])
+                both, n = (both, np.bincount(at, None, sums.shape[1])) if room is None else _unpacked_rows(both, room)
+                sums[0] += both
+                sums[1] += n
+        hist = np.zeros((3, self.x.shape[1], BINS))
+        for j, sums in zip(self.joint, got):
+            (zero, one), (n0, n1) = sums.reshape(2, 2, -1)
+            for c, held, marks in zip(j.columns, j.held, j.marks):
+                hist[:, c, held] = np.stack([one, zero + one, n0 + n1]) @ marks
+        return hist.reshape(3, -1)
+
     def totals(self, spec: TreeSpec, trees: Iterable[Tree], stops: Sequence[Stop]) -> np.ndarray:
         """Per stop, the sums of the trees before it over the held-out rows."""
         stops = _pairs(stops)
@@ -701,91 +776,239 @@ def _completed(tree: Tree, parents: np.ndarray | None, first: int, summed: np.nd
 
 
 class Growth:
-    """The rows of a block in the open nodes of one tree, followed level by level."""
+    """One tree grown on the rows of a block.  ``rows`` lie node by node, in the order of the open nodes, so that a
+    level passes over them in short runs: what a run needs stays in the cache."""
 
     def __init__(self, block: Block, key, spec: TreeSpec, tree: Tree, before: Sequence[Tree]):
-        self.block, self.x, self.spec, self.tree = block, block.x, spec, tree
+        self.block, self.spec, self.tree = block, spec, tree
         self.shared = _tree_columns(spec, tree.number, block.x.shape[1])
-        a, b, self.used = block.stats(key, spec, Request(tree, self.shared[None], before))
+        self.a, self.b, self.used = block.stats(key, spec, Request(tree, self.shared[None], before))
         self.rows = np.flatnonzero(self.used)
-        self.a, self.b, self.slot = a[self.rows], b[self.rows], np.zeros(len(self.rows), np.int64)
-        self.y = block.y[self.rows] if spec.kind == "forest" else None
+        self.size = np.array([len(self.rows)])
         self.cells = None if spec.sqrt_columns else block.cells(self.shared)
-        self.node = np.zeros(len(block.y), np.int64)  # where each row of those that take part has come to
-        self.parents: np.ndarray | None = None  # full histograms of the nodes split last
+        self.value = np.zeros(len(block.y)) if spec.kind == "boost" else None  # of the leaf that a row has come to
+        self.parents: np.ndarray | dict[int, np.ndarray] | None = None  # full histograms of the nodes split last
         self.first = 0
 
-    def levels(self) -> Generator[np.ndarray | tuple, np.ndarray | tuple, Tree]:
-        """Yields sums and is sent them back until the tree is grown."""
+    def grown(self) -> Tree:
         tree, spec = self.tree, self.spec
         while len(tree.open):
             if spec.sqrt_columns:
-                columns = _node_columns(spec, tree, self.shared)
-                best = best_of_cells(spec, *(yield forest_cells(self.x, self.rows, self.slot, columns, self.y, self.b)), columns)
-                full = None
+                best, full = self._best_of_drawn(_node_columns(spec, tree, self.shared))
+                split = np.flatnonzero(best.column >= 0).tolist()
+                parents = {k: full[i] for k, i in enumerate(split) if i in full}
             else:
-                full = yield from self._full()
+                full = self._full()
                 best = best_of_held(spec, full, self.cells)
-            first, self.open = len(tree.column), tree.open
+                parents = full[:, best.column >= 0]
+            first, opened = len(tree.column), tree.open
             tree.grow(spec, best)
-            self.parents = None if full is None else full[:, best.column >= 0]
-            self._advance(best, first)
+            self._advance(best, first, opened)
+            self.parents, self.first = parents, first
         return tree
 
-    def _full(self) -> Generator[np.ndarray, np.ndarray, np.ndarray]:
+    def _runs(self, but: Iterable[int] = ()) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Open nodes from, to, and their rows, without nodes ``but``: small nodes together, a large one alone."""
+        end, but = np.cumsum(self.size), sorted(but, reverse=True)
+        start, i = end - self.size, 0
+        while i < len(end):
+            if but and but[-1] == i:
+                i = but.pop() + 1
+                continue
+            j = min(max(i + 1, int(np.searchsorted(end, start[i] + RUN_ROWS, "right"))), i + RUN_NODES, *but[-1:])
+            yield i, j, self.rows[start[i] : end[j - 1]]
+            i = j
+
+    def _best_of_drawn(self, columns: np.ndarray) -> tuple[Best, dict[int, np.ndarray]]:
+        """Best splits of the open nodes of a forest's tree, each on columns of its own, and the full histograms of
+        the large ones."""
+        full, (nodes, k) = self._full_of_large(columns.shape[1]), columns.shape
+        best = Best(np.zeros((nodes, 3)), np.full(nodes, -1), np.zeros(nodes, np.int64), np.zeros(nodes), np.zeros((nodes, 3)))
+
+        def decide(at: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+            cells, sums = parts[0] if len(parts) == 1 else map(np.concatenate, zip(*parts))
+            got = best_of_cells(self.spec, cells, sums, columns[at])
+            for name in ("total", "column", "cut", "gain", "left"):
+                getattr(best, name)[at] = getattr(got, name)
+
+        if full:
+            at = np.array(sorted(full))
+            hist = np.stack([full[i].reshape(3, -1, BINS)[:, columns[i]] for i in at.tolist()], axis=1).reshape(3, -1)
+            cells = np.flatnonzero(hist[2])
+            decide(at, [(cells, hist.take(cells, axis=1).T.copy())])
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        here: list[int] = []
+        for i, j, rows in self._runs(full):
+            cells, got = self._cells_of_drawn(rows, self.size[i:j], columns[i:j])
+            waiting.append((cells + len(here) * k * BINS, got))
+            here += range(i, j)
+            if sum(len(c) for c, _ in waiting) >= RUN_CELLS:
+                decide(np.array(here), waiting)
+                waiting, here = [], []
+        if here:
+            decide(np.array(here), waiting)
+        return best, full
+
+    def _cells_of_drawn(self, rows: np.ndarray, size: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of nodes x columns x bins that hold rows, ascending, and sums of the weight of positives, the weight and
+        rows.  Where nodes are small, most bins are empty: the others are numbered, not all summed."""
+        b, (m, k) = self.b.take(rows), columns.shape
+        room, v = _packed_rows(b)
+        few = len(rows) < FEW_ROWS * m and room is not None
+        bins = self.block.x if few else self.block.marked
+        base, flat = rows * bins.shape[1], bins.reshape(-1)
+
+        def places(c: int, step: int) -> np.ndarray:
+            at = np.repeat(columns[:, c], size)
+            at += base
+            return np.repeat(np.arange(0, m * step, step), size) + flat.take(at)
+
+        if few:
+            at = np.concatenate([places(c, k * BINS) + c * BINS for c in range(k)])
+            seen = np.zeros(m * k * BINS, bool)
+            seen[at] = True
+            cells = np.flatnonzero(seen)
+            number = np.empty(len(seen), np.int32)
+            number[cells] = np.arange(len(cells), dtype=np.int32)
+            at = number.take(at) + np.tile(self.block.y.take(rows) * np.int32(len(cells)), k)
+            (zero, n0), (one, n1) = (_unpacked_rows(s, room) for s in np.bincount(at, np.tile(v, k), 2 * len(cells)).reshape(2, -1))
+        else:
+            sums, count = np.empty((m, k, 2, BINS)), None if room else np.empty((m, k, 2, BINS))
+            for c in range(k):
+                at = places(c, 2 * BINS)
+                sums[:, c] = np.bincount(at, v, m * 2 * BINS).reshape(m, 2, BINS)
+                if count is not None:
+                    count[:, c] = np.bincount(at, None, m * 2 * BINS).reshape(m, 2, BINS)
+            held = sums if count is None else count
+            cells = np.flatnonzero(held[:, :, 0] + held[:, :, 1])
+            at = cells + cells // BINS * BINS  # its place among the negatives
+            zero, one = sums.reshape(-1).take(at), sums.reshape(-1).take(at + BINS)
+            if count is None:
+                (zero, n0), (one, n1) = _unpacked_rows(zero, room), _unpacked_rows(one, room)
+            else:
+                n0, n1 = count.reshape(-1).take(at), count.reshape(-1).take(at + BINS)
+        out = np.empty((len(cells), 3))
+        out[:, 0], out[:, 1], out[:, 2] = one, zero + one, n0 + n1
+        return cells, out
+
+    def _full_of_large(self, k: int) -> dict[int, np.ndarray]:
+        """Full histograms (sums x columns x bins, flat) of open nodes of more than a run, by their place, where columns
+        are summed together: of two siblings the smaller is summed, the larger is the parent less it."""
+        joint, opened, out = self.block.joint, self.tree.open, {}
+        if len(joint) > 2 * k:
+            return out
+        end = np.cumsum(self.size)
+
+        def summed(i: int) -> np.ndarray:
+            return self.block.full(self.rows[end[i] - self.size[i] : end[i]], self.b)
+
+        for i in np.flatnonzero(self.size > RUN_ROWS).tolist():
+            if i in out:
+                continue
+            side = int(opened[i] - self.first) % 2
+            parent = (self.parents or {}).get(int(opened[i] - self.first) // 2)
+            j = i + 1 - 2 * side
+            if parent is None or not 0 <= j < len(opened) or opened[j] != opened[i] + 1 - 2 * side:
+                out[i] = summed(i)
+                continue
+            i, j = (i, j) if self.size[i] <= self.size[j] else (j, i)
+            out[i] = summed(i)
+            out[j] = parent - out[i]
+        return out
+
+    def _full(self) -> np.ndarray:
         """Full histograms of the open nodes."""
         summed = _to_sum(self.tree, self.parents, self.first)
-        at = np.full(len(self.tree.open), -1)
-        at[summed] = np.arange(len(summed))
-        if len(summed) == len(at):
-            got = yield self.block.summed(self.rows, self.slot, len(at), self.cells, (self.a, self.b))
-            return got
-        slot = at.take(self.slot)
-        here = np.flatnonzero(slot >= 0)
-        got = yield self.block.summed(self.rows.take(here), slot.take(here), len(summed), self.cells, (self.a.take(here), self.b.take(here)))
+        place = np.full(len(self.tree.open), -1)
+        place[summed] = np.arange(len(summed))
+        got = np.empty((3, len(summed), len(self.cells.column)))
+        for i, j, rows in self._runs():
+            here = place[i:j]
+            mine = here >= 0
+            count = int(mine.sum())
+            if not count:
+                continue
+            slot = None
+            if j - i > 1:
+                size = self.size[i:j]
+                slot = np.repeat(np.arange(count), size[mine])
+                rows = rows if count == j - i else rows.compress(np.repeat(mine, size))
+            low = int(here[mine][0])
+            got[:, low : low + count] = self.block.summed_run(rows, slot, count, self.cells, self.a, self.b)
         return _completed(self.tree, self.parents, self.first, summed, got)
 
-    def _advance(self, best: Best, first: int) -> None:
-        """Rows move to their child; those whose node is not open leave."""
-        tree, self.first = self.tree, first
+    def _advance(self, best: Best, first: int, opened: np.ndarray) -> None:
+        """Rows move to their child; those whose node is not open leave, with its value."""
+        tree, values = self.tree, self.value
         split = best.column >= 0
-        place = np.full(len(tree.column) + 1, -1)
+        place = np.full(len(tree.column), -1)
         place[tree.open] = np.arange(len(tree.open))
-        child = np.full((len(split), 2), len(tree.column))
+        child = np.stack([opened, opened], axis=1)
         child[split] = first + np.arange(2 * split.sum()).reshape(-1, 2)
-        slots, column = place[child].ravel(), np.where(split, best.column, 0).astype(np.int64)
-        flat, width, kept, slot = self.x.reshape(-1), self.x.shape[1], [], []
-        if self.spec.kind == "boost":
-            child[~split] = self.open[~split, None]
-        child, end = child.ravel(), not len(tree.open)
-        for k in range(0, len(self.rows), STRIP):
-            rows, at = self.rows[k : k + STRIP], self.slot[k : k + STRIP]
-            place = rows * width
-            place += column.take(at)
-            side = 2 * at
-            side += flat.take(place) > best.cut.take(at)
-            if end:
-                stay = np.empty(0, np.int64)
-            else:
-                to = slots.take(side)
-                stay = np.flatnonzero(to >= 0)
-                slot.append(to.take(stay))
-            if self.spec.kind == "boost" and len(stay) < len(rows):  # the others get their node later
-                self.node[rows] = child.take(side)
-            kept.append(stay + k)
-        if end:
+        goal = np.where(split[:, None], place[child], -1)
+        if values is None and not len(tree.open):
             return
-        self.slot, stay = np.concatenate(slot), np.concatenate(kept)
-        if len(stay) < len(self.rows):
-            self.rows, self.a, self.b = self.rows.take(stay), self.a.take(stay), self.b.take(stay)
-            self.y = None if self.y is None else self.y.take(stay)
+        size = tree.rows[tree.open]
+        out, ends = np.empty(int(size.sum()), np.int64), np.append(0, np.cumsum(size))
+        columns, width, flat = self.block.columns, self.block.x.shape[1], self.block.x.reshape(-1)
+        for i, j, rows in self._runs():
+            if j - i == 1:
+                if not split[i]:
+                    if values is not None:
+                        values[rows] = tree.value[opened[i]]
+                    continue
+                filled = [ends[t] for t in goal[i].tolist()]  # how far the children are filled
+                column, cut = columns[best.column[i]], best.cut[i]
+                for k in range(0, len(rows), RUN_ROWS):
+                    part = rows[k : k + RUN_ROWS]
+                    right = column.take(part) > cut
+                    for side in (0, 1):
+                        to = goal[i, side]
+                        if to < 0 and values is None:
+                            continue
+                        moved = part.compress(right if side else ~right)
+                        if to >= 0:
+                            out[filled[side] : filled[side] + len(moved)] = moved
+                            filled[side] += len(moved)
+                        else:
+                            values[moved] = tree.value[child[i, side]]
+                continue
+            held, goals = self.size[i:j], goal[i:j].ravel()
+            some = goals[goals >= 0]
+            if not len(some) and values is None:
+                continue
+            at = rows * width
+            at += np.repeat(np.where(split[i:j], best.column[i:j], 0), held)
+            side = np.repeat(np.arange(0, 2 * (j - i), 2), held)
+            side += flat.take(at) > np.repeat(best.cut[i:j], held)
+            if values is not None and len(some) < len(goals):
+                gone = np.flatnonzero((goals < 0).take(side))
+                values[rows.take(gone)] = tree.value.take(child[i:j].ravel().take(side.take(gone)))
+            if len(some):  # the open children of these nodes follow one another
+                order = (goals - some[0] + 1).clip(0).astype(np.uint16).take(side)
+                low, high = ends[some[0]], ends[some[-1] + 1]
+                out[low:high] = rows.take(order.argsort(kind="stable")[len(rows) - (high - low) :])
+        self.rows, self.size = out, size
 
     def values(self) -> np.ndarray:
         """The grown boosted tree's value of every row of the block."""
         rest = np.flatnonzero(~self.used)
         if len(rest):
-            self.node[rest] = self.tree.route(self.x[rest])
-        return self.tree.value.take(self.node)
+            self.value[rest] = self.tree.values(self.block.x[rest])
+        return self.value
+
+
+def _packed_rows(b: np.ndarray) -> tuple[float | None, np.ndarray]:
+    """Numbers whose sums hold both the sum of ``b`` and the rows, exact in doubles: a power of two above all of
+    ``b`` added to each.  None if they would not be exact."""
+    room = float(1 << int(b.sum()).bit_length())
+    return (room, b + room) if (len(b) + 1) * room < 2.0**53 else (None, b)
+
+
+def _unpacked_rows(sums: np.ndarray, room: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of what ``_packed_rows`` packed, and rows."""
+    n = np.floor(sums * (1.0 / room))
+    return sums - n * room, n
 
 
 def _train_counts(spec: TreeSpec, counts: dict) -> tuple[int, int]:
@@ -806,6 +1029,7 @@ def prior(spec: TreeSpec, counts: dict) -> float:
 
 # ---- training -----------------------------------------------------------------------------------
 
+ROW_COLUMNS = ("ids", "x", "y", "folds")
 BLOCK_SCHEMA = "x binary, y binary, ids binary, folds binary, margins binary, part int"
 
 
@@ -951,16 +1175,11 @@ def _alone(block: Block, key, spec: TreeSpec, numbers: Iterable[int]) -> Iterato
     done: list[Tree] = []
     for t in numbers:
         growth = Growth(block, key, spec, Tree(t), done)
-        growing = growth.levels()
-        try:
-            sums = next(growing)
-            while True:
-                sums = growing.send(sums)
-        except StopIteration as end:
-            if spec.kind == "boost":
-                done.append(end.value)
-                block.margins[key] = (len(done), block.margins[key][1] + growth.values())
-            yield end.value
+        tree = growth.grown()
+        if spec.kind == "boost":
+            done.append(tree)
+            block.margins[key] = (len(done), block.margins[key][1] + growth.values())
+        yield tree
     block.margins.pop(key, None)
 
 
@@ -976,11 +1195,22 @@ def _units(specs: Sequence[TreeSpec], most: int) -> list[tuple[int, int, int]]:
     return sorted(units, key=lambda u: -_cost(specs[u[0]]) * (u[2] - u[1]))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], width: int, counts: dict) -> tuple[int, Block | None]:
+    """A task's number and all rows, in the same order in every task; the arrays are the only copy that stays."""
+    held, task = [], -1
+    for batch in batches:
+        for row in range(batch.num_rows):
+            held.append({name: batch.column(name)[row].as_buffer() for name in ROW_COLUMNS} | {"margins": None})
+            task = batch.column("task")[row].as_py()
+    held.sort(key=lambda r: [hashlib.blake2b(r[name]).digest() for name in ROW_COLUMNS])
+    return task, Block(held, width, counts) if held else None
+
+
 def _in_tasks(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[Stop]] | None) -> list:
     """Every task holds all rows: deal the models, or the trees of forests, to tasks.  The votes of a forest's
     pieces on the rows that it holds out meet by forest, not at the driver."""
     spark, width, counts = rows.blocks.sparkSession, rows.width, rows.counts
-    most = 4 * _slots(spark)
+    most = (4 if sum(counts.values()) <= WHOLE_ROWS // 4 else 2) * _slots(spark)  # each holds a copy of the rows
     units = _units(specs, most)
     heap = [(0.0, i, []) for i in range(min(len(units), most))]
     for u in units:
@@ -989,12 +1219,14 @@ def _in_tasks(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[St
     dealt = {i: mine for _, i, mine in heap}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [row | {"margins": None} for batch in batches for row in batch.to_pylist()]
-        held.sort(key=lambda r: (r["ids"], r["x"], r["y"], r["folds"]))  # the same order in every task
-        block = Block(held, width, counts) if held else None
-        for k, a, b in dealt[held[0]["task"]] if held else []:
+        task, block = _gathered(batches, width, counts)
+        fold, part = None, None
+        for k, a, b in sorted(dealt[task], key=lambda u: specs[u[0]].fold or 0) if block else []:
             spec = specs[k]
-            trees = _alone(block.without(spec.fold), k, spec, range(a, b))
+            if part is None or spec.fold != fold:
+                part = None  # one fold's rows at a time
+                fold, part = spec.fold, block.without(spec.fold)
+            trees = _alone(part, k, spec, range(a, b))
             if stops is None:
                 yield _result(k, (a, list(trees)))
             elif spec.kind == "boost":
@@ -1008,7 +1240,7 @@ def _in_tasks(rows: Rows, specs: Sequence[TreeSpec], stops: Sequence[Sequence[St
         cells = [_confusion(specs[k], counts, parts[0][2], total, n) for total, (n, _) in zip(sum(p[1] for p in parts), _pairs(stops[k]))]
         return pa.table({"spec": pa.array([k], pa.int64()), "model": pa.array([pickle.dumps((0, cells))], pa.binary())})
 
-    copies = rows.blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(len(dealt) - 1)))).repartitionById(len(dealt), F.col("task"))
+    copies = rows.blocks.select(*ROW_COLUMNS).withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(len(dealt) - 1)))).repartitionById(len(dealt), F.col("task"))
     found = copies.mapInArrow(work, "spec long, model binary")
     if stops is not None and specs[0].kind == "forest":
         found = found.groupBy("spec").applyInArrow(vote, "spec long, model binary")
