@@ -62,8 +62,14 @@ class Map:
 def kernel_matrix(kernel: str, gamma: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     dot = a @ b.T
     if kernel == "rbf":
-        return np.exp(-gamma * np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * dot, 0.0))
-    return (gamma * dot) ** 3 if kernel == "poly" else np.tanh(gamma * dot)
+        out = (a * a).sum(1)[:, None] + (b * b).sum(1)
+        dot *= 2
+        out -= dot
+        np.maximum(out, 0.0, out=out)
+        out *= -gamma
+        return np.exp(out, out=out)
+    dot *= gamma
+    return dot * dot * dot if kernel == "poly" else np.tanh(dot, out=dot)
 
 
 def nystroem(kernel: str, gamma: float, landmarks: np.ndarray) -> Map:
@@ -79,16 +85,20 @@ def design(feature_map: Map | None, x: np.ndarray) -> np.ndarray:
 
 
 def sums(spec: LinearSpec, b: np.ndarray, z: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Loss, gradient and curvature of the weighted rows, flat."""
+    """Loss, gradient and curvature of the weighted rows, flat.  With the squared hinge, rows beyond the margin add
+    nothing."""
     f = z @ b
     if spec.loss == "log":
         p = 1.0 / (1.0 + np.exp(-f))
         loss, slope, bend = np.logaddexp(0.0, f) - y * f, p - y, p * (1.0 - p)
-    else:
-        s = 2.0 * y - 1.0
-        short = np.maximum(0.0, 1.0 - s * f)
-        loss, slope, bend = short**2, -2.0 * s * short, 2.0 * (short > 0)
-    return np.concatenate([[w @ loss], z.T @ (w * slope), ((z * (w * bend)[:, None]).T @ z).ravel()])
+        return np.concatenate([[w @ loss], z.T @ (w * slope), ((z * (w * bend)[:, None]).T @ z).ravel()])
+    s = 2.0 * y - 1.0
+    short = 1.0 - s * f
+    on = np.flatnonzero((short > 0) & (w != 0))
+    short, s, w, z = short[on], s[on], w[on], z.take(on, axis=0)
+    gradient = z.T @ (w * (-2.0 * s * short))
+    z *= np.sqrt(2.0 * w)[:, None]
+    return np.concatenate([[w @ short**2], gradient, (z.T @ z).ravel()])
 
 
 def newton_step(spec: LinearSpec, b: np.ndarray, total: np.ndarray) -> tuple[float, np.ndarray]:
